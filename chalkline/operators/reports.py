@@ -8,7 +8,7 @@ run as TakeOrdered (per-partition top-n, then a merge).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from chalkline.operators.dq import REASONS_COLUMN
@@ -29,10 +29,14 @@ def rejected_sample(rejected: DataFrame, n: int = 5, reasons: str = REASONS_COLU
 
 
 def reconcile(inputs: DataFrame, outputs: dict[str, DataFrame]) -> DataFrame:
-    """One row: input count, every output count and ``balanced`` = in == sum(out)."""
-    row = inputs.agg(F.count(F.lit(1)).alias("input_rows"))
+    """One row: input count, every output count and ``balanced`` = in == sum(out).
+
+    All counts come from one aggregation over the tagged union of the inputs."""
+    tagged = inputs.select(F.lit("input").alias("_src"))
     for name, df in outputs.items():
-        row = row.crossJoin(df.agg(F.count(F.lit(1)).alias(f"{name}_rows")))   # 1 x 1 rows
+        tagged = tagged.unionByName(df.select(F.lit(name).alias("_src")))
+    names = ["input"] + list(outputs)
+    row = tagged.agg(*[F.count(F.when(F.col("_src") == n, 1)).alias(f"{n}_rows") for n in names])
     total = sum((F.col(f"{n}_rows") for n in outputs), F.lit(0))
     return row.withColumn("balanced", F.col("input_rows") == total)
 
@@ -61,10 +65,9 @@ def bot_share(fact: DataFrame, dim_change_type: DataFrame, digits: int = 6) -> D
     per_bot = (per_type.join(F.broadcast(dim_change_type.select("change_type_key", "is_bot")),
                              "change_type_key")            # dim_change_type: 8 rows
                        .groupBy("is_bot").agg(F.sum("n").alias("edit_count")))
-    total = per_bot.agg(F.sum("edit_count").alias("total"))   # one row
-    return (per_bot.crossJoin(total)
-                   .select("is_bot", "edit_count",
-                           F.round(F.col("edit_count") / F.col("total"), digits).alias("share")))
+    total = F.sum("edit_count").over(Window.partitionBy())   # over two aggregated rows
+    return per_bot.select("is_bot", "edit_count",
+                          F.round(F.col("edit_count") / total, digits).alias("share"))
 
 
 def hour_distribution(fact: DataFrame) -> DataFrame:

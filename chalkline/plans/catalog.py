@@ -13,10 +13,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chalkline.operators import dq, reports
+import datetime as _dt
+
+from chalkline.operators import contracts, dq, reports
 from chalkline.plans import silver
-from chalkline.session import pin_utc
-from chalkline.sources import adapter
+from chalkline.schemas import DIM_WIKI_REFERENCE_SCHEMA
+from chalkline.session import pin_utc, scratch_path
+from chalkline.sources import adapter, files, sitematrix
+from chalkline.sources import feed as feedsrc
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -112,5 +116,114 @@ def silver_rejected(spark, sf_dir):
     return ntz(silver.silver_projection(rej, extra=("dq_failure_reasons",)))
 
 
+# Contracts ----------------------------------------------------------------------
+
+@query
+def contract_null_audit(spark, sf_dir):
+    """CT-5: NULLs in columns the silver contract declares NOT NULL (audit only)."""
+    return contracts.null_audit(staged(spark, sf_dir), contracts.load("silver_recentchange"))
+
+
+@query
+def contract_enum_violations(spark, sf_dir):
+    """CT-4: values outside the declared ``type`` enum, counted not rejected."""
+    return contracts.enum_violations(feed(spark, sf_dir), contracts.load("bronze_recentchange"))
+
+
+@query
+def schema_version_counts(spark, sf_dir):
+    """CT-7: parsed rows per stamped schema version."""
+    return contracts.schema_version_counts(parsed_lines(spark, sf_dir))
+
+
+@query
+def drift_fields(spark, sf_dir):
+    """CT-6: unknown payload fields kept in ``_extra_fields`` and their frequency."""
+    return contracts.drift_report(parsed_lines(spark, sf_dir))
+
+
+# Parsing / ingestion ---------------------------------------------------------------
+
+def lines(spark, sf_dir):
+    return adapter.feed_lines(table(spark, sf_dir, "events"))
+
+
+def parsed_lines(spark, sf_dir):
+    return feedsrc.parse_events(lines(spark, sf_dir))
+
+
+def _event_columns(df: DataFrame) -> list:
+    return ["_event_id", "type", "title", "user", "bot", "wiki", "timestamp",
+            F.col("meta.dt").alias("meta_dt_text"),
+            F.col("length.old").alias("length_old"), F.col("length.new").alias("length_new")]
+
+
+@query
+def parse_event_lines(spark, sf_dir):
+    """SRC-8, FLT-3: JSON lines -> typed events; unknown fields kept as JSON."""
+    p = parsed_lines(spark, sf_dir)
+    return p.select("line_no", *_event_columns(p),
+                    F.get_json_object("_extra_fields", "$.k").cast("int").alias("k"))
+
+
+@query
+def quarantine_lines(spark, sf_dir):
+    """FLT-3 / D8: blank, malformed and non-object lines with their raw text."""
+    return feedsrc.quarantine(lines(spark, sf_dir)).select("line_no", "value", "reason")
+
+
+@query
+def event_envelope_roundtrip(spark, sf_dir):
+    """SNK-6 + SRC-11: rows -> JSON message bytes -> typed rows again."""
+    decoded = feedsrc.decode_messages(feedsrc.encode_messages(feed(spark, sf_dir)))
+    return decoded.select(F.col("id"), *_event_columns(decoded), "_ingested_at")
+
+
+# Reference dimension (site matrix) -----------------------------------------------------
+
+def reference_rows(spark, sf_dir):
+    docs = adapter.sitematrix_documents(table(spark, sf_dir, "nation"), table(spark, sf_dir, "region"))
+    return sitematrix.parse_documents(docs)
+
+
+@query
+def sitematrix_explode(spark, sf_dir):
+    """SRC-9, FLT-4: site-matrix documents -> one row per wiki per snapshot."""
+    return ntz(reference_rows(spark, sf_dir))
+
+
+@query
+def reference_latest_snapshot(spark, sf_dir):
+    """D9 / GD-3 input: latest snapshot per wiki code."""
+    return ntz(sitematrix.latest_snapshot(reference_rows(spark, sf_dir)))
+
+
+def _written_snapshots(spark, sf_dir) -> str:
+    """SNK-7: each fetch written as its own NDJSON snapshot folder."""
+    root = scratch_path(spark, "dim_wiki_reference")
+    ref = reference_rows(spark, sf_dir)
+    for fetched_at, _, _ in adapter.SNAPSHOTS:
+        when = _dt.datetime.fromisoformat(fetched_at.replace("Z", "+00:00"))
+        snap = ref.where(F.col("_snapshot_fetched_at") == F.lit(fetched_at).cast("timestamp"))
+        files.write_snapshot(snap, root, when)
+    return root
+
+
+@query
+def ndjson_batch_scan(spark, sf_dir):
+    """SNK-7 + SRC-3: write snapshot files, read the folder back with an explicit schema."""
+    root = _written_snapshots(spark, sf_dir)
+    return ntz(files.read_ndjson(spark, f"{root}/*", DIM_WIKI_REFERENCE_SCHEMA))
+
+
+@query
+def sql_file_scan(spark, sf_dir):
+    """SRC-4: SQL over the snapshot files with explicit casts."""
+    root = _written_snapshots(spark, sf_dir)
+    casts = {"wiki_code": "STRING", "language_name": "STRING", "project_type": "STRING",
+             "is_closed": "BOOLEAN", "_snapshot_fetched_at": "TIMESTAMP"}
+    return ntz(files.sql_over_files(spark, f"{root}/*", casts, "json"))
+
+
 def queries() -> dict[str, Query]:
     return dict(QUERIES)

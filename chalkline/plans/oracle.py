@@ -145,5 +145,65 @@ SELECT {SILVER_COLS}, array_to_string(reasons, ',') AS dq_failure_reasons
 FROM survivors WHERE len(reasons) > 0""")
 
 
+ORACLES["contract_null_audit"] = _with(STAGED, """
+SELECT 'x' AS column_name, 0 AS null_count WHERE false""" + "".join(f"""
+UNION ALL SELECT '{c}', count(*) FILTER (WHERE {c} IS NULL) FROM timed"""
+    for c in ("_event_id", "type", "title", "wiki", "meta_dt", "_is_late_arrival")))
+
+ORACLES["contract_enum_violations"] = _with(FEED, """
+SELECT 'type' AS column_name, type AS value, count(*) AS row_count FROM feed
+WHERE type IS NOT NULL AND type NOT IN ('edit', 'new', 'log', 'categorize')
+GROUP BY type""")
+
+_OBJECT_LINES = "id % 89 NOT IN (1, 2, 3)"
+
+ORACLES["schema_version_counts"] = _with(FEED, f"""
+SELECT '1.0.0' AS _schema_version, count(*) AS row_count FROM feed WHERE {_OBJECT_LINES}""")
+
+ORACLES["drift_fields"] = _with(FEED, f"""
+SELECT 'k' AS field_name, count(*) AS row_count FROM feed WHERE {_OBJECT_LINES}""")
+
+_EVENT_COLS = """type, title, "user", bot, wiki, "timestamp",
+  strftime(meta_dt, '%Y-%m-%dT%H:%M:%SZ') AS meta_dt_text, length_old, length_new"""
+
+ORACLES["parse_event_lines"] = _with(FEED, f"""
+SELECT id AS line_no,
+  CASE WHEN id % 89 = 4 THEN '' WHEN id % 89 = 5 THEN 'None' ELSE CAST(id AS VARCHAR) END
+    AS _event_id,
+  {_EVENT_COLS},
+  CAST(json_extract(_extra_fields, '$.k') AS INTEGER) AS k
+FROM feed WHERE {_OBJECT_LINES}""")
+
+ORACLES["quarantine_lines"] = _with(FEED, """
+SELECT id AS line_no,
+  CASE id % 89 WHEN 1 THEN 'not json{{{' WHEN 2 THEN '' ELSE '[1, 2, 3]' END AS value,
+  CASE id % 89 WHEN 1 THEN 'malformed' WHEN 2 THEN 'blank' ELSE 'not_object' END AS reason
+FROM feed WHERE id % 89 IN (1, 2, 3)""")
+
+ORACLES["event_envelope_roundtrip"] = _with(FEED, f"""
+SELECT id, _event_id, {_EVENT_COLS}, _ingested_at FROM feed""")
+
+# Site matrix: nations play wikis, regions play languages, two fetches.
+REFERENCE = """
+reference AS (
+  SELECT 'w' || CAST(n_nationkey AS VARCHAR) || 'wiki' AS wiki_code, r_name AS language_name,
+    CASE WHEN n_nationkey % 4 = 3 THEN 'wiktionary' ELSE 'wikipedia' END AS project_type,
+    n_nationkey % s.closed_mod = 0 AS is_closed,
+    CAST(s.fetched AS TIMESTAMP) AS _snapshot_fetched_at
+  FROM nation JOIN region ON n_regionkey = r_regionkey
+  JOIN (VALUES ('2024-01-01 00:00:00', 20, 7), ('2024-01-15 00:00:00', 22, 5))
+    AS s(fetched, lim, closed_mod) ON n_nationkey < s.lim
+),
+reference_latest AS (
+  SELECT * FROM reference QUALIFY row_number() OVER (
+    PARTITION BY wiki_code ORDER BY _snapshot_fetched_at DESC) = 1
+)"""
+
+ORACLES["sitematrix_explode"] = _with(REFERENCE, "SELECT * FROM reference")
+ORACLES["reference_latest_snapshot"] = _with(REFERENCE, "SELECT * FROM reference_latest")
+ORACLES["ndjson_batch_scan"] = ORACLES["sitematrix_explode"]
+ORACLES["sql_file_scan"] = ORACLES["sitematrix_explode"]
+
+
 def oracle_sql() -> dict[str, str]:
     return dict(ORACLES)

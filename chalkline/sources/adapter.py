@@ -143,18 +143,20 @@ def sitematrix_documents(nation: DataFrame, region: DataFrame) -> DataFrame:
 
     The document is bounded by the number of wikis, not by event volume.
     """
-    spark = nation.sparkSession
-    snaps = spark.createDataFrame(list(SNAPSHOTS), "fetched_at string, n_limit int, closed_mod int")
     n = F.col("n_nationkey")
-    sites = (nation.join(region, nation.n_regionkey == region.r_regionkey)
-             .crossJoin(F.broadcast(snaps))          # two literal rows
-             .where(n < F.col("n_limit"))
-             .select("fetched_at", "r_regionkey", "r_name",
-                     F.struct(
-                         F.concat(F.lit("w"), n.cast("string"), F.lit("wiki")).alias("dbname"),
-                         F.when((n % 4) == 3, F.lit("wiktionary")).otherwise(F.lit("wiki")).alias("code"),
-                         F.when((n % F.col("closed_mod")) == 0, F.lit("")).alias("closed"),
-                     ).alias("site")))
+    located = nation.join(region, nation.n_regionkey == region.r_regionkey)
+    per_snapshot = []
+    for fetched_at, n_limit, closed_mod in SNAPSHOTS:
+        per_snapshot.append(located.where(n < n_limit).select(
+            F.lit(fetched_at).alias("fetched_at"), "r_regionkey", "r_name",
+            F.struct(
+                F.concat(F.lit("w"), n.cast("string"), F.lit("wiki")).alias("dbname"),
+                F.when((n % 4) == 3, F.lit("wiktionary")).otherwise(F.lit("wiki")).alias("code"),
+                F.when((n % closed_mod) == 0, F.lit("")).alias("closed"),
+            ).alias("site")))
+    sites = per_snapshot[0]
+    for more in per_snapshot[1:]:
+        sites = sites.unionByName(more)
     langs = (sites.groupBy("fetched_at", "r_regionkey", "r_name")
              .agg(F.sort_array(F.collect_list("site")).alias("site"))
              .select("fetched_at", F.struct(
