@@ -74,7 +74,7 @@ def drop_seen(batch: DataFrame, history: DataFrame, keys: Sequence[str]) -> Data
     batch's event-time range) so the anti join reads only what can collide."""
     keys = list(keys)
     seen = history.select(*keys).where(~_any_null(keys)).distinct()
-    return batch.join(seen, on=keys, how="left_anti")
+    return batch.join(seen, on=keys, how="left_anti").select(*batch.columns)
 
 
 def _any_null(keys: Sequence[str]) -> Column:

@@ -15,9 +15,13 @@ from pyspark.sql import functions as F
 
 import datetime as _dt
 
-from chalkline.operators import contracts, dq, reports
+from chalkline.functions.text import has_control_chars, nfc
+from chalkline.operators import contracts, dedup, dq, reports
 from chalkline.plans import silver
-from chalkline.schemas import DIM_WIKI_REFERENCE_SCHEMA
+from chalkline.schemas import DIM_WIKI_REFERENCE_SCHEMA, RAW_SCHEMA
+from chalkline.streaming import bronze, raw
+from chalkline.streaming import dedup as sdedup
+from chalkline.streaming import silver as ssilver
 from chalkline.session import pin_utc, scratch_path
 from chalkline.sources import adapter, files, sitematrix
 from chalkline.sources import feed as feedsrc
@@ -225,5 +229,157 @@ def sql_file_scan(spark, sf_dir):
     return ntz(files.sql_over_files(spark, f"{root}/*", casts, "json"))
 
 
+# Uniqueness (batch) ----------------------------------------------------------------
+
+LINEITEM_KEY = ("l_orderkey", "l_linenumber")
+
+
+@query
+def dedup_keep_first(spark, sf_dir):
+    """UQ-2: one row per (order, line): earliest ship date wins."""
+    return dedup.keep_first(table(spark, sf_dir, "lineitem"), LINEITEM_KEY, ("l_shipdate",))
+
+
+@query
+def dedup_keep_latest(spark, sf_dir):
+    """UQ-4: latest arrival per event id (``row_number() ... DESC = 1``)."""
+    rows = feed(spark, sf_dir).select("_event_id", "id", "_ingested_at", "type", "dt")
+    return dedup.keep_latest(rows, silver.DEDUP_KEY, silver.ARRIVAL_ORDER)
+
+
+@query
+def duplicate_report(spark, sf_dir):
+    """UQ-6: natural keys seen more than once."""
+    return dedup.duplicate_report(table(spark, sf_dir, "lineitem"), LINEITEM_KEY)
+
+
+ANTI_JOIN_SPLIT = "2024-01-16"
+
+
+@query
+def dedup_anti_join(spark, sf_dir):
+    """UQ-5: a new batch minus ids already in history, history read only from
+    the partitions that can collide (the day before the batch)."""
+    rows = feed(spark, sf_dir).select("id", "_event_id", "dt")
+    batch = rows.where(F.col("dt") >= ANTI_JOIN_SPLIT)
+    history = rows.where((F.col("dt") < ANTI_JOIN_SPLIT)
+                         & (F.col("dt") >= F.date_format(F.date_sub(F.lit(ANTI_JOIN_SPLIT), 1),
+                                                         "yyyy-MM-dd")))
+    return dedup.drop_seen(batch, history, silver.DEDUP_KEY)
+
+
+# Text normalization -------------------------------------------------------------------
+
+@query
+def nfc_titles(spark, sf_dir):
+    """UDF-1: NFC over whole documents (Arrow-batched pandas UDF)."""
+    docs = table(spark, sf_dir, "documents")
+    normalized = nfc(F.col("text"))
+    return docs.select("doc_id", "lang",
+                       F.length(normalized).alias("nfc_chars"),
+                       (normalized != F.col("text")).alias("changed"),
+                       F.sha2(normalized, 256).alias("nfc_sha256"))
+
+
+@query
+def multilingual_validity(spark, sf_dir):
+    """S3: multilingual text is never a validity failure; only control characters are."""
+    docs = table(spark, sf_dir, "documents")
+    return docs.groupBy("lang").agg(
+        F.count(F.lit(1)).alias("n_docs"),
+        F.count(F.when(has_control_chars(F.col("text")), 1)).alias("n_control_chars"),
+        F.count(F.when(~F.col("text").rlike("^[\\x00-\\x7F]*$"), 1)).alias("n_non_ascii"))
+
+
+# Streaming ------------------------------------------------------------------------
+
+def _landed_raw(spark, sf_dir, where=None) -> str:
+    """SNK-1: feed rows landed in raw/dt=/hour= folders."""
+    path = scratch_path(spark, "raw")
+    rows = feed(spark, sf_dir)
+    if where is not None:
+        rows = rows.where(where)
+    raw.write_raw(rows, path, files_per_hour=1)
+    return path
+
+
+@query
+def raw_partition_counts(spark, sf_dir):
+    """SNK-1, STR-5: rows per event-time partition after landing."""
+    path = _landed_raw(spark, sf_dir)
+    landed = spark.read.schema(RAW_SCHEMA).parquet(path)
+    return landed.groupBy("dt", "hour").agg(F.count(F.lit(1)).alias("row_count"))
+
+
+@query
+def stream_bronze_counts(spark, sf_dir):
+    """SRC-1, SNK-3, STR-4: raw -> bronze with an availableNow file stream."""
+    raw_path = _landed_raw(spark, sf_dir)
+    bronze_path, ckpt = scratch_path(spark, "bronze"), scratch_path(spark, "ckpt-bronze")
+    bronze.run_bronze(spark, raw_path, bronze_path, ckpt)
+    out = spark.read.parquet(bronze_path)
+    return out.groupBy("dt").agg(F.count(F.lit(1)).alias("row_count"),
+                                 F.count_distinct("_event_id").alias("distinct_ids"))
+
+
+RERUN_SPLIT = "2024-01-20"
+
+
+@query
+def stream_rerun_idempotent(spark, sf_dir):
+    """SRC-2 / B2: rerun without new files adds nothing; new files add only themselves."""
+    raw_path = scratch_path(spark, "raw")
+    rows = feed(spark, sf_dir)
+    raw.write_raw(rows.where(F.col("dt") < RERUN_SPLIT), raw_path, files_per_hour=1)
+    bronze_path, ckpt = scratch_path(spark, "bronze"), scratch_path(spark, "ckpt-bronze")
+    added = [bronze.run_bronze(spark, raw_path, bronze_path, ckpt)]
+    counts = [spark.read.parquet(bronze_path).count()]
+    added.append(bronze.run_bronze(spark, raw_path, bronze_path, ckpt))
+    counts.append(spark.read.parquet(bronze_path).count())
+    raw.write_raw(rows.where(F.col("dt") >= RERUN_SPLIT), raw_path, files_per_hour=1)
+    added.append(bronze.run_bronze(spark, raw_path, bronze_path, ckpt))
+    counts.append(spark.read.parquet(bronze_path).count())
+    data = [(i + 1, int(a), int(c)) for i, (a, c) in enumerate(zip(added, counts))]
+    return spark.createDataFrame(data, "run_no int, rows_added long, bronze_rows long")
+
+
+@query
+def stream_dedup_ids(spark, sf_dir):
+    """UQ-1, STR-1/2: watermark dedup on the bronze stream (ids only; which
+    copy survives is arrival-dependent)."""
+    raw_path = _landed_raw(spark, sf_dir)
+    out_path, ckpt = scratch_path(spark, "dedup"), scratch_path(spark, "ckpt-dedup")
+    flat = silver.flatten(bronze.raw_stream(spark, raw_path), normalize=False)
+    q = (sdedup.dedup_within_watermark(flat).select("_event_id")
+         .writeStream.format("parquet").option("checkpointLocation", ckpt)
+         .trigger(availableNow=True).start(out_path))
+    q.awaitTermination()
+    return spark.read.parquet(out_path)
+
+
+@query
+def stream_silver_fanout(spark, sf_dir):
+    """SNK-4, UQ-7, STR-8: bronze -> silver in several micro-batches; every
+    row lands in exactly one of clean / rejected / duplicates."""
+    raw_path = _landed_raw(spark, sf_dir)
+    bronze_path, ckpt_b = scratch_path(spark, "bronze"), scratch_path(spark, "ckpt-bronze")
+    bronze.run_bronze(spark, raw_path, bronze_path, ckpt_b)
+    root, ckpt_s = scratch_path(spark, "silver"), scratch_path(spark, "ckpt-silver")
+    ssilver.run_silver(spark, bronze_path, root, ckpt_s, CFG, max_files_per_trigger=400)
+    tagged = spark.read.parquet(bronze_path).select(F.lit("input").alias("_src"), "_event_id")
+    for name in ssilver.OUTPUTS:
+        tagged = tagged.unionByName(
+            ssilver.read_output(spark, root, name).select(F.lit(name).alias("_src"), "_event_id"))
+    src = F.col("_src")
+    kept = src.isin("clean", "rejected")
+    return tagged.agg(
+        F.count(F.when(src == "input", 1)).alias("input_rows"),
+        F.count(F.when(kept, 1)).alias("survivor_rows"),
+        F.count(F.when(src == "duplicates", 1)).alias("duplicates_rows"),
+        F.count_distinct(F.when(kept, F.col("_event_id"))).alias("distinct_ids"),
+        F.count(F.when(kept & F.col("_event_id").isNull(), 1)).alias("null_id_rows"),
+    ).withColumn("balanced", F.col("input_rows") == F.col("survivor_rows") + F.col("duplicates_rows"))
+
+
 def queries() -> dict[str, Query]:
     return dict(QUERIES)

@@ -127,7 +127,7 @@ ORACLES["dq_timeliness"] = _with(STAGED, """
 SELECT dt, count(*) AS n_rows,
        count(*) FILTER (WHERE _is_late_arrival) AS n_late,
        max(_ingestion_latency_seconds) AS max_latency_seconds,
-       sum(_ingestion_latency_seconds) AS sum_latency_seconds
+       CAST(sum(_ingestion_latency_seconds) AS BIGINT) AS sum_latency_seconds
 FROM timed GROUP BY dt""")
 
 ORACLES["dq_reconcile"] = _with(STAGED, """
@@ -205,5 +205,65 @@ ORACLES["ndjson_batch_scan"] = ORACLES["sitematrix_explode"]
 ORACLES["sql_file_scan"] = ORACLES["sitematrix_explode"]
 
 
+_LI_REST = ("l_partkey, l_suppkey, l_quantity, l_extendedprice, l_discount, l_tax, "
+            "l_returnflag, l_linestatus")
+
+ORACLES["dedup_keep_first"] = f"""
+SELECT * EXCLUDE (rn) FROM (
+  SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber
+    ORDER BY l_shipdate NULLS FIRST, {', '.join(c + ' NULLS FIRST' for c in _LI_REST.split(', '))}) AS rn
+  FROM lineitem) WHERE rn = 1"""
+
+ORACLES["dedup_keep_latest"] = _with(FEED, """
+SELECT _event_id, id, _ingested_at, type, dt FROM (
+  SELECT *, row_number() OVER (PARTITION BY _event_id
+    ORDER BY _ingested_at DESC NULLS LAST, id DESC NULLS LAST, type DESC NULLS LAST,
+             dt DESC NULLS LAST) AS rn
+  FROM feed) WHERE rn = 1 OR _event_id IS NULL""")
+
+ORACLES["duplicate_report"] = """
+SELECT l_orderkey, l_linenumber, count(*) AS n_rows, count(*) - 1 AS n_duplicates
+FROM lineitem GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1"""
+
+ORACLES["dedup_anti_join"] = _with(FEED, """
+SELECT b.id, b._event_id, b.dt FROM feed b
+WHERE b.dt >= '2024-01-16' AND NOT EXISTS (
+  SELECT 1 FROM feed h WHERE h.dt < '2024-01-16' AND h.dt >= '2024-01-15'
+    AND h._event_id = b._event_id)""")
+
+ORACLES["nfc_titles"] = """
+SELECT doc_id, lang, CAST(length(nfc_normalize(text)) AS INTEGER) AS nfc_chars,
+  nfc_normalize(text) <> text AS changed, sha256(nfc_normalize(text)) AS nfc_sha256
+FROM documents"""
+
+ORACLES["multilingual_validity"] = f"""
+SELECT lang, count(*) AS n_docs,
+  count(*) FILTER (WHERE regexp_matches(text, '{_CTRL}')) AS n_control_chars,
+  count(*) FILTER (WHERE NOT regexp_matches(text, '^[\x00-\x7F]*$')) AS n_non_ascii
+FROM documents GROUP BY lang"""
+
+ORACLES["raw_partition_counts"] = _with(FEED, """
+SELECT dt, hour, count(*) AS row_count FROM feed GROUP BY dt, hour""")
+
+ORACLES["stream_bronze_counts"] = _with(FEED, """
+SELECT dt, count(*) AS row_count, count(DISTINCT _event_id) AS distinct_ids
+FROM feed GROUP BY dt""")
+
+ORACLES["stream_rerun_idempotent"] = _with(FEED, """,
+c AS (SELECT count(*) FILTER (WHERE dt < '2024-01-20') AS n1,
+             count(*) FILTER (WHERE dt >= '2024-01-20') AS n2 FROM feed)
+SELECT 1 AS run_no, n1 AS rows_added, n1 AS bronze_rows FROM c
+UNION ALL SELECT 2, 0, n1 FROM c
+UNION ALL SELECT 3, n2, n1 + n2 FROM c""")
+
+ORACLES["stream_dedup_ids"] = _with(FEED, "SELECT DISTINCT _event_id FROM feed")
+
+ORACLES["stream_silver_fanout"] = _with(FEED, """,
+c AS (SELECT count(*) AS n, count(DISTINCT _event_id) AS d,
+             count(*) FILTER (WHERE _event_id IS NULL) AS z FROM feed)
+SELECT n AS input_rows, d + z AS survivor_rows, n - d - z AS duplicates_rows,
+       d AS distinct_ids, z AS null_id_rows, true AS balanced FROM c""")
+
+
 def oracle_sql() -> dict[str, str]:
     return dict(ORACLES)
