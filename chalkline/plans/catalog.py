@@ -16,8 +16,8 @@ from pyspark.sql import functions as F
 import datetime as _dt
 
 from chalkline.functions.text import has_control_chars, nfc
-from chalkline.operators import contracts, dedup, dq, reports
-from chalkline.plans import silver
+from chalkline.operators import cdc, contracts, dedup, dq, gold, reports, setops
+from chalkline.plans import silver, silver_sql
 from chalkline.schemas import DIM_WIKI_REFERENCE_SCHEMA, RAW_SCHEMA
 from chalkline.streaming import bronze, raw
 from chalkline.streaming import dedup as sdedup
@@ -381,5 +381,209 @@ def stream_silver_fanout(spark, sf_dir):
     ).withColumn("balanced", F.col("input_rows") == F.col("survivor_rows") + F.col("duplicates_rows"))
 
 
+# Change data --------------------------------------------------------------------------
+
+ORDER_SEQUENCE = ("o_orderdate", "o_orderkey")
+SCD1_SPLIT = "1998-01-01"
+
+
+@query
+def change_feed_diff(spark, sf_dir):
+    """CDC-1: change feed between two versions of orders (full outer join)."""
+    v1, v2 = adapter.orders_versions(table(spark, sf_dir, "orders"))
+    return cdc.snapshot_diff(v1, v2, ["o_orderkey"], commit_version=2)
+
+
+def _customer_changes(spark, sf_dir):
+    return table(spark, sf_dir, "orders").select(
+        "o_custkey", *ORDER_SEQUENCE, "o_orderstatus", "o_orderpriority")
+
+
+@query
+def scd1_customer(spark, sf_dir):
+    """CDC-2: SCD type 1 per customer, built then upserted with a later batch."""
+    changes = _customer_changes(spark, sf_dir)
+    before = changes.where(F.col("o_orderdate") < SCD1_SPLIT)
+    after = changes.where(F.col("o_orderdate") >= SCD1_SPLIT)
+    current = cdc.scd1(before, ["o_custkey"], ORDER_SEQUENCE)
+    return cdc.apply_scd1(current, after, ["o_custkey"], ORDER_SEQUENCE)
+
+
+def _scd2_out(versions: DataFrame) -> DataFrame:
+    return versions.select(
+        "o_custkey", "o_orderstatus",
+        F.col("__START_AT.o_orderdate").alias("__START_AT"),
+        F.col("__START_AT.o_orderkey").alias("__START_ORDERKEY"),
+        F.col("__END_AT.o_orderdate").alias("__END_AT"),
+        F.col("__END_AT.o_orderkey").alias("__END_ORDERKEY"))
+
+
+def month_bucket():
+    return F.date_format(F.col("o_orderdate"), "yyyy-MM")
+
+
+@query
+def scd2_customer(spark, sf_dir):
+    """CDC-3, WN-2: SCD type 2 on order status per customer (time-bucketed neighbours)."""
+    changes = _customer_changes(spark, sf_dir)
+    return _scd2_out(cdc.scd2(changes, ["o_custkey"], ORDER_SEQUENCE, ["o_orderstatus"],
+                              month_bucket()))
+
+
+@query
+def scd_out_of_order(spark, sf_dir):
+    """CDC-4: late changes rebuild only the customers they touch."""
+    changes = _customer_changes(spark, sf_dir).withColumn("_late", (F.col("o_orderkey") % 5) == 0)
+    on_time = changes.where(~F.col("_late")).drop("_late")
+    late = changes.where(F.col("_late")).drop("_late")
+    keys, tracked = ["o_custkey"], ["o_orderstatus"]
+    current = cdc.scd2(on_time, keys, ORDER_SEQUENCE, tracked, month_bucket())
+    return _scd2_out(cdc.apply_scd2(current, on_time, late, keys, ORDER_SEQUENCE, tracked,
+                                    month_bucket()))
+
+
+# Gold star schema ------------------------------------------------------------------------
+
+def clean_silver(spark, sf_dir):
+    return outputs(spark, sf_dir)["clean"]
+
+
+def reference_latest(spark, sf_dir):
+    return sitematrix.latest_snapshot(reference_rows(spark, sf_dir))
+
+
+def star(spark, sf_dir) -> dict[str, DataFrame]:
+    s = clean_silver(spark, sf_dir)
+    return {
+        "dim_editor": gold.dim_editor(s),
+        "dim_page": gold.dim_page(s),
+        "dim_wiki": gold.dim_wiki(s, reference_latest(spark, sf_dir)),
+        "dim_date": gold.dim_date(spark, F.min(F.to_date("meta_dt")), F.max(F.to_date("meta_dt")),
+                                  source=s),
+        "dim_change_type": gold.dim_change_type(spark),
+        "fact": gold.fact_edit_event(s),
+    }
+
+
+@query
+def dim_editor(spark, sf_dir):
+    """GD-1: editors (SCD1 attributes, first seen date, registered flag)."""
+    return star(spark, sf_dir)["dim_editor"]
+
+
+@query
+def dim_page(spark, sf_dir):
+    """GD-2: pages keyed by sha2(wiki, title)."""
+    return star(spark, sf_dir)["dim_page"]
+
+
+@query
+def dim_wiki(spark, sf_dir):
+    """GD-3, JN-1: wikis enriched from the latest reference snapshot (left join)."""
+    return star(spark, sf_dir)["dim_wiki"]
+
+
+@query
+def dim_date(spark, sf_dir):
+    """GD-4: calendar over the data's date range."""
+    return star(spark, sf_dir)["dim_date"]
+
+
+@query
+def dim_change_type(spark, sf_dir):
+    """GD-5: junk dimension type x bot."""
+    return star(spark, sf_dir)["dim_change_type"]
+
+
+FACT_COLUMNS = ("event_id", "date_key", "hour_of_day", "editor_key", "page_key", "wiki_key",
+                "change_type_key", "length_old", "length_new", "length_delta")
+
+
+@query
+def fact_edit_event(spark, sf_dir):
+    """GD-6, GD-7: one fact row per clean silver row, hashed foreign keys."""
+    return star(spark, sf_dir)["fact"].select(*FACT_COLUMNS)
+
+
+@query
+def fact_null_fk(spark, sf_dir):
+    """GD-8, JN-2..4: fact loss, NULL and unresolved foreign keys (all must be 0)."""
+    st = star(spark, sf_dir)
+    return gold.integrity_report(clean_silver(spark, sf_dir), st["fact"], st)
+
+
+# Dashboard ------------------------------------------------------------------------------
+
+@query
+def volume_by_wiki(spark, sf_dir):
+    """AG-3: edits per wiki."""
+    st = star(spark, sf_dir)
+    return reports.volume_by_wiki(st["fact"], st["dim_wiki"])
+
+
+@query
+def bot_share(spark, sf_dir):
+    """AG-4: bot vs human share of edits."""
+    st = star(spark, sf_dir)
+    return reports.bot_share(st["fact"], st["dim_change_type"])
+
+
+@query
+def hour_distribution(spark, sf_dir):
+    """AG-5: edits per hour of day."""
+    return reports.hour_distribution(star(spark, sf_dir)["fact"])
+
+
+@query
+def top_pages(spark, sf_dir):
+    """AG-6, ST-1/2: top 10 pages by summed length delta."""
+    st = star(spark, sf_dir)
+    return reports.top_pages(st["fact"], st["dim_page"], n=10)
+
+
+TOP_EDITORS_SINCE = 20240115
+
+
+@query
+def top_editors(spark, sf_dir):
+    """AG-7: top 10 editors since a date."""
+    st = star(spark, sf_dir)
+    return reports.top_editors(st["fact"], st["dim_editor"], TOP_EDITORS_SINCE, n=10)
+
+
+# Set utilities -------------------------------------------------------------------------
+
+@query
+def union_by_name(spark, sf_dir):
+    """SO-1: clean and rejected rows concatenated by name (missing columns NULL)."""
+    out = outputs(spark, sf_dir)
+    both = setops.union_common(out["clean"].drop(dq.REASONS_COLUMN), out["rejected"])
+    return both.groupBy("dt").agg(F.count(F.lit(1)).alias("row_count"))
+
+
+@query
+def table_equality(spark, sf_dir):
+    """SO-2: the DataFrame and the SQL-over-files reads of the reference are equal."""
+    left = reference_rows(spark, sf_dir)
+    right = sql_file_scan(spark, sf_dir)
+    return setops.equality_report(ntz(left), right)
+
+
+@query
+def id_set_equality(spark, sf_dir):
+    """SO-3, D16: DataFrame rules and SQL-text rules select the same clean ids."""
+    flat = silver.flatten(feed(spark, sf_dir))
+    api = dq.tag_failures(flat, CFG).where(dq.is_clean()).select("id")
+    sql = silver_sql.staged_sql(flat, CFG).where(dq.is_clean()).select("id")
+    return setops.id_set_report(api, sql, "id")
+
+
+@query
+def clean_rejected_disjoint(spark, sf_dir):
+    """SO-4: no event id is both clean and rejected."""
+    out = outputs(spark, sf_dir)
+    return setops.disjoint_report(out["clean"], out["rejected"], "_event_id")
+
+
 def queries() -> dict[str, Query]:
     return dict(QUERIES)

@@ -265,5 +265,156 @@ SELECT n AS input_rows, d + z AS survivor_rows, n - d - z AS duplicates_rows,
        d AS distinct_ids, z AS null_id_rows, true AS balanced FROM c""")
 
 
+# Change data -----------------------------------------------------------------------
+VERSIONS = """
+v1 AS (SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority
+       FROM orders),
+v2 AS (
+  SELECT o_orderkey, o_custkey,
+    CASE WHEN o_orderkey % 7 = 1 THEN
+      CASE o_orderstatus WHEN 'O' THEN 'F' WHEN 'F' THEN 'O' ELSE 'F' END
+    ELSE o_orderstatus END AS o_orderstatus,
+    CASE WHEN o_orderkey % 11 = 2 THEN o_totalprice + 1 ELSE o_totalprice END AS o_totalprice,
+    o_orderdate, o_orderpriority
+  FROM orders WHERE o_orderkey % 50 <> 0
+  UNION ALL
+  SELECT o_orderkey + 10000000, o_custkey, o_orderstatus, o_totalprice, o_orderdate,
+         o_orderpriority FROM orders WHERE o_orderkey % 97 = 5
+),
+changed AS (
+  SELECT v1.o_orderkey FROM v1 JOIN v2 USING (o_orderkey)
+  WHERE v1.o_custkey IS DISTINCT FROM v2.o_custkey
+     OR v1.o_orderstatus IS DISTINCT FROM v2.o_orderstatus
+     OR v1.o_totalprice IS DISTINCT FROM v2.o_totalprice
+     OR v1.o_orderdate IS DISTINCT FROM v2.o_orderdate
+     OR v1.o_orderpriority IS DISTINCT FROM v2.o_orderpriority
+)"""
+
+ORACLES["change_feed_diff"] = _with(VERSIONS, """
+SELECT *, 'insert' AS _change_type, CAST(2 AS BIGINT) AS _commit_version FROM v2
+  WHERE o_orderkey NOT IN (SELECT o_orderkey FROM v1)
+UNION ALL SELECT *, 'delete', 2 FROM v1 WHERE o_orderkey NOT IN (SELECT o_orderkey FROM v2)
+UNION ALL SELECT *, 'update_preimage', 2 FROM v1 WHERE o_orderkey IN (SELECT o_orderkey FROM changed)
+UNION ALL SELECT *, 'update_postimage', 2 FROM v2 WHERE o_orderkey IN (SELECT o_orderkey FROM changed)""")
+
+ORACLES["scd1_customer"] = """
+SELECT o_custkey, o_orderdate, o_orderkey, o_orderstatus, o_orderpriority FROM orders
+WHERE o_custkey IS NOT NULL
+QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) = 1"""
+
+ORACLES["scd2_customer"] = """
+WITH c AS (
+  SELECT o_custkey, o_orderdate, o_orderkey, o_orderstatus,
+    lag(o_orderstatus) OVER w AS prev_status, row_number() OVER w AS rn
+  FROM orders WHERE o_custkey IS NOT NULL
+  WINDOW w AS (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey)
+),
+s AS (SELECT * FROM c WHERE rn = 1 OR prev_status IS DISTINCT FROM o_orderstatus)
+SELECT o_custkey, o_orderstatus, o_orderdate AS __START_AT, o_orderkey AS __START_ORDERKEY,
+  lead(o_orderdate) OVER w AS __END_AT, lead(o_orderkey) OVER w AS __END_ORDERKEY
+FROM s WINDOW w AS (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey)"""
+
+ORACLES["scd_out_of_order"] = ORACLES["scd2_customer"]
+
+# Gold ----------------------------------------------------------------------------------
+GOLD = STAGED + ",\n" + REFERENCE.strip() + """,
+clean AS (SELECT * FROM survivors WHERE len(reasons) = 0),
+fact AS (
+  SELECT _event_id AS event_id,
+    CAST(strftime(meta_dt, '%Y%m%d') AS INTEGER) AS date_key,
+    CAST(hour(meta_dt) AS INTEGER) AS hour_of_day,
+    sha256("user") AS editor_key,
+    sha256(wiki || chr(31) || title) AS page_key,
+    sha256(wiki) AS wiki_key,
+    sha256(type || chr(31) || CAST(bot AS VARCHAR)) AS change_type_key,
+    CAST(length_old AS INTEGER) AS length_old, CAST(length_new AS INTEGER) AS length_new,
+    CAST(length_new AS INTEGER) - CAST(length_old AS INTEGER) AS length_delta
+  FROM clean
+),
+dim_editor AS (
+  SELECT sha256("user") AS editor_key, "user" AS user_name,
+    NOT regexp_matches("user", '^(\\d{1,3}(\\.\\d{1,3}){3}|[0-9A-Fa-f:]*:[0-9A-Fa-f:.]+)$')
+      AS is_registered,
+    bot AS is_bot, first_seen_date
+  FROM (SELECT *, min(CAST(meta_dt AS DATE)) OVER (PARTITION BY "user") AS first_seen_date,
+          row_number() OVER (PARTITION BY "user" ORDER BY meta_dt DESC, _event_id DESC) AS r
+        FROM clean WHERE "user" IS NOT NULL) WHERE r = 1
+),
+dim_page AS (
+  SELECT sha256(wiki || chr(31) || title) AS page_key, title, wiki AS wiki_code,
+    min(CAST(meta_dt AS DATE)) AS first_seen_date
+  FROM clean GROUP BY wiki, title
+),
+dim_wiki AS (
+  SELECT sha256(c.wiki) AS wiki_key, c.wiki AS wiki_code, r.language_name, r.project_type,
+    c.first_seen_date
+  FROM (SELECT wiki, min(CAST(meta_dt AS DATE)) AS first_seen_date FROM clean GROUP BY wiki) c
+  LEFT JOIN reference_latest r ON r.wiki_code = c.wiki
+),
+dim_date AS (
+  SELECT CAST(strftime(d, '%Y%m%d') AS INTEGER) AS date_key, CAST(d AS DATE) AS full_date,
+    CAST(year(d) AS INTEGER) AS year, CAST(month(d) AS INTEGER) AS month,
+    CAST(day(d) AS INTEGER) AS day, dayname(d) AS day_of_week,
+    dayofweek(d) IN (0, 6) AS is_weekend
+  FROM (SELECT unnest(generate_series(min(CAST(meta_dt AS DATE)), max(CAST(meta_dt AS DATE)),
+                                      INTERVAL 1 DAY)) AS d FROM clean)
+),
+dim_change_type AS (
+  SELECT sha256(t || chr(31) || CAST(b AS VARCHAR)) AS change_type_key, t AS type, b AS is_bot
+  FROM (VALUES ('edit'), ('new'), ('log'), ('categorize')) AS ty(t)
+  JOIN (VALUES (false), (true)) AS bo(b) ON true
+)"""
+
+for _d in ("dim_editor", "dim_page", "dim_wiki", "dim_date", "dim_change_type", "fact"):
+    ORACLES[_d if _d != "fact" else "fact_edit_event"] = _with(GOLD, f"SELECT * FROM {_d}")
+
+ORACLES["fact_null_fk"] = _with(GOLD, """
+SELECT check_name, CAST(0 AS BIGINT) AS violations FROM (VALUES ('fact_rows_lost'),
+  ('null_editor_key'), ('null_page_key'), ('null_wiki_key'), ('null_date_key'),
+  ('null_change_type_key'), ('unresolved_editor_key'), ('unresolved_page_key'),
+  ('unresolved_wiki_key'), ('unresolved_date_key'), ('unresolved_change_type_key'))
+  AS c(check_name)""")
+
+ORACLES["volume_by_wiki"] = _with(GOLD, """
+SELECT w.wiki_code, w.language_name, count(*) AS edit_count
+FROM fact f JOIN dim_wiki w USING (wiki_key) GROUP BY w.wiki_code, w.language_name""")
+
+ORACLES["bot_share"] = _with(GOLD, """
+SELECT is_bot, edit_count, round(edit_count / sum(edit_count) OVER (), 6) AS share FROM (
+  SELECT c.is_bot, count(*) AS edit_count
+  FROM fact f JOIN dim_change_type c USING (change_type_key) GROUP BY c.is_bot)""")
+
+ORACLES["hour_distribution"] = _with(GOLD, """
+SELECT hour_of_day, count(*) AS edit_count FROM fact GROUP BY hour_of_day""")
+
+ORACLES["top_pages"] = _with(GOLD, """
+SELECT t.page_key, p.title, p.wiki_code, t.total_length_delta FROM (
+  SELECT page_key, CAST(sum(length_delta) AS BIGINT) AS total_length_delta FROM fact
+  GROUP BY page_key ORDER BY total_length_delta DESC, page_key LIMIT 10) t
+JOIN dim_page p USING (page_key)""")
+
+ORACLES["top_editors"] = _with(GOLD, """
+SELECT t.editor_key, e.user_name, t.edit_count FROM (
+  SELECT editor_key, count(*) AS edit_count FROM fact WHERE date_key >= 20240115
+  GROUP BY editor_key ORDER BY edit_count DESC, editor_key LIMIT 10) t
+JOIN dim_editor e USING (editor_key)""")
+
+# Set utilities ---------------------------------------------------------------------------
+ORACLES["union_by_name"] = _with(STAGED, """
+SELECT dt, count(*) AS row_count FROM survivors GROUP BY dt""")
+
+ORACLES["table_equality"] = """
+SELECT CAST(0 AS BIGINT) AS left_only, CAST(0 AS BIGINT) AS right_only, true AS equal"""
+
+ORACLES["id_set_equality"] = """
+SELECT CAST(0 AS BIGINT) AS only_left, CAST(0 AS BIGINT) AS only_right, true AS equal"""
+
+ORACLES["clean_rejected_disjoint"] = _with(STAGED, """
+SELECT count(*) FILTER (WHERE len(reasons) = 0 AND _event_id IS NOT NULL) AS n_left,
+       count(*) FILTER (WHERE len(reasons) > 0 AND _event_id IS NOT NULL) AS n_right,
+       CAST(0 AS BIGINT) AS n_overlap
+FROM survivors""")
+
+
 def oracle_sql() -> dict[str, str]:
     return dict(ORACLES)

@@ -168,3 +168,26 @@ def sitematrix_documents(nation: DataFrame, region: DataFrame) -> DataFrame:
     doc = F.concat(F.lit('{"count": '), F.col("n").cast("string"), F.lit(", "), body,
                    F.lit(', "specials": [{"dbname": "metawiki", "code": "meta"}]}'))
     return docs.select("fetched_at", doc.alias("doc"))
+
+
+# Two versions of ``orders`` (change feed fixture) --------------------------------
+
+INSERTED_KEY_OFFSET = 10_000_000
+
+
+def orders_versions(orders: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(v1, v2): v2 drops keys % 50 = 0, flips the status of keys % 7 = 1,
+    raises the price of keys % 11 = 2 by 1, and inserts copies of keys
+    % 97 = 5 under key + 10,000,000."""
+    k = F.col("o_orderkey")
+    flipped = (F.when(F.col("o_orderstatus") == "O", F.lit("F"))
+                .when(F.col("o_orderstatus") == "F", F.lit("O"))
+                .otherwise(F.lit("F")))
+    kept = orders.where((k % 50) != 0).select(
+        k, "o_custkey",
+        F.when((k % 7) == 1, flipped).otherwise(F.col("o_orderstatus")).alias("o_orderstatus"),
+        F.when((k % 11) == 2, F.col("o_totalprice") + 1).otherwise(F.col("o_totalprice"))
+         .alias("o_totalprice"),
+        "o_orderdate", "o_orderpriority")
+    inserted = orders.where((k % 97) == 5).withColumn("o_orderkey", k + INSERTED_KEY_OFFSET)
+    return orders, kept.unionByName(inserted.select(*kept.columns))
