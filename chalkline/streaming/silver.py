@@ -16,20 +16,41 @@ from __future__ import annotations
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from chalkline.operators import dedup, dq
 from chalkline.plans import silver as plan
-from chalkline.streaming.bronze import bronze_stream
+from chalkline.streaming.bronze import bronze_schema, bronze_stream
 
 OUTPUTS = ("clean", "rejected", "duplicates")
 DEDUP_HORIZON_HOURS = 2
 
 
+def _outputs(staged: DataFrame, survivors: DataFrame, duplicates: DataFrame) -> dict[str, DataFrame]:
+    return {
+        "clean": plan.silver_projection(survivors.where(dq.is_clean())),
+        "rejected": plan.silver_projection(survivors.where(dq.is_rejected()),
+                                           extra=(dq.REASONS_COLUMN,)),
+        "duplicates": duplicates,
+    }
+
+
+def output_schema(spark: SparkSession, name: str) -> T.StructType:
+    """Schema of one output folder (analysis only, no job), incl. ``batch_id``."""
+    empty = spark.createDataFrame([], bronze_schema())
+    staged = plan.stage(empty, dq.DQConfig())
+    schema = _outputs(staged, staged, staged)[name].schema
+    fields = [f for f in schema.fields if f.name not in ("dt", "hour")]
+    return T.StructType(fields + [T.StructField("batch_id", T.IntegerType()),
+                                  T.StructField("dt", T.StringType()),
+                                  T.StructField("hour", T.IntegerType())])
+
+
 def _history_ids(spark: SparkSession, root: str, batch_id: int, lo: str, hi: str) -> DataFrame | None:
     parts = []
     for name in ("clean", "rejected"):
         try:
-            df = spark.read.parquet(f"{root}/{name}")
+            df = spark.read.schema(output_schema(spark, name)).parquet(f"{root}/{name}")
         except AnalysisException:          # nothing written yet
             continue
         parts.append(df.where((F.col("dt") >= lo) & (F.col("dt") <= hi)
@@ -58,13 +79,7 @@ def fan_out(spark: SparkSession, batch: DataFrame, batch_id: int, root: str,
                 fresh = dedup.drop_seen(survivors, seen, plan.DEDUP_KEY)
                 duplicates = duplicates.unionByName(survivors.exceptAll(fresh))
                 survivors = fresh
-        outputs = {
-            "clean": plan.silver_projection(survivors.where(dq.is_clean())),
-            "rejected": plan.silver_projection(survivors.where(dq.is_rejected()),
-                                               extra=(dq.REASONS_COLUMN,)),
-            "duplicates": duplicates,
-        }
-        for name, df in outputs.items():
+        for name, df in _outputs(staged, survivors, duplicates).items():
             (df.write.mode("overwrite").partitionBy("dt", "hour")
                .parquet(f"{root}/{name}/batch_id={batch_id}"))
     finally:
@@ -84,4 +99,4 @@ def run_silver(spark: SparkSession, bronze_path: str, root: str, checkpoint: str
 
 
 def read_output(spark: SparkSession, root: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{root}/{name}")
+    return spark.read.schema(output_schema(spark, name)).parquet(f"{root}/{name}")
