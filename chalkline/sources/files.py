@@ -82,7 +82,7 @@ def write_version(df: DataFrame, table_path: str, fmt: str = "parquet") -> str:
 
 
 def current_version(spark: SparkSession, table_path: str) -> str:
-    latest = (spark.read.text(f"{table_path.rstrip('/')}/_pointers")
+    latest = (spark.read.text(f"{table_path.rstrip('/')}/_pointers/*")
                    .agg(F.max("value").alias("v")).first()["v"])
     if latest is None:
         raise FileNotFoundError(f"no published version under {table_path}")
