@@ -27,10 +27,13 @@ def _ordered_struct(df: DataFrame, keys: Sequence[str], order: Sequence[str]) ->
 
 
 def _pick(df: DataFrame, keys: Sequence[str], order: Sequence[str], latest: bool) -> DataFrame:
+    """One scan, one aggregation.  A row whose key has a NULL component gets
+    a per-row group id (``_solo``), so it forms a group of its own and is kept."""
     keys, order = list(keys), list(order)
     packed = _ordered_struct(df, keys, order)
     agg = F.max(packed) if latest else F.min(packed)
-    picked = df.groupBy(*keys).agg(agg.alias("_row"))
+    solo = F.when(_any_null(keys), F.monotonically_increasing_id())
+    picked = df.withColumn("_solo", solo).groupBy(*keys, "_solo").agg(agg.alias("_row"))
     return picked.select(*[F.col(k) for k in keys],
                          *[F.col(f"_row.{c}").alias(c) for c in df.columns if c not in keys]
                          ).select(*df.columns)
@@ -40,14 +43,12 @@ def keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> Data
     """One row per key: the smallest by ``order`` (then by the other columns).
 
     Rows with a NULL key component are kept as they are (never collapsed)."""
-    null_key = _any_null(keys)
-    return _pick(df.where(~null_key), keys, order, latest=False).unionByName(df.where(null_key))
+    return _pick(df, keys, order, latest=False)
 
 
 def keep_latest(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
     """One row per key: the largest by ``order`` (``row_number() ... DESC = 1``)."""
-    null_key = _any_null(keys)
-    return _pick(df.where(~null_key), keys, order, latest=True).unionByName(df.where(null_key))
+    return _pick(df, keys, order, latest=True)
 
 
 def split_duplicates(df: DataFrame, keys: Sequence[str], order: Sequence[str]

@@ -126,26 +126,29 @@ FOREIGN_KEYS = (
 
 def integrity_report(silver: DataFrame, fact: DataFrame, dims: dict[str, DataFrame]) -> DataFrame:
     """(check_name, violations): fact loss, NULL foreign keys and unresolved
-    foreign keys.  Every count must be 0."""
-    checks = [silver.agg(F.count(F.lit(1)).alias("n"))
-                    .select(F.lit("fact_rows_lost").alias("check_name"),
-                            F.col("n").alias("violations")),
-              fact.agg(F.count(F.lit(1)).alias("n"))
-                  .select(F.lit("fact_rows_lost").alias("check_name"),
-                          (-F.col("n")).alias("violations"))]
-    nulls = fact.agg(*[F.count(F.when(F.col(k).isNull(), 1)).alias(k) for k, _ in FOREIGN_KEYS])
-    for k, _ in FOREIGN_KEYS:
-        checks.append(nulls.select(F.lit(f"null_{k}").alias("check_name"),
-                                   F.col(k).alias("violations")))
+    foreign keys.  Every count must be 0.
+
+    One pass over the fact: each dimension contributes a presence flag through
+    a left join on its (unique) key, and a single aggregation counts NULL and
+    unresolved keys; the silver side is one count."""
+    flagged = fact.select(*[k for k, _ in FOREIGN_KEYS])
     for k, dim_name in FOREIGN_KEYS:
-        bad = joins.unresolved(fact.where(F.col(k).isNotNull()), dims[dim_name], k, k)
-        checks.append(bad.agg(F.count(F.lit(1)).alias("n"))
-                         .select(F.lit(f"unresolved_{k}").alias("check_name"),
-                                 F.col("n").alias("violations")))
-    out = checks[0]
-    for c in checks[1:]:
-        out = out.unionByName(c)
-    return out.groupBy("check_name").agg(F.sum("violations").alias("violations"))
+        present = dims[dim_name].select(F.col(k), F.lit(True).alias(f"_in_{k}"))
+        flagged = flagged.join(present, on=k, how="left")
+    aggs = [F.count(F.lit(1)).alias("fact_rows")]
+    for k, _ in FOREIGN_KEYS:
+        aggs.append(F.count(F.when(F.col(k).isNull(), 1)).alias(f"null_{k}"))
+        aggs.append(F.count(F.when(F.col(k).isNotNull() & F.col(f"_in_{k}").isNull(), 1))
+                     .alias(f"unresolved_{k}"))
+    stats = flagged.agg(*aggs)
+    names = [f"null_{k}" for k, _ in FOREIGN_KEYS] + [f"unresolved_{k}" for k, _ in FOREIGN_KEYS]
+    pairs = ", ".join(f"'{n}', `{n}`" for n in names)
+    long = stats.selectExpr(f"stack({len(names) + 1}, 'fact_rows_lost', -fact_rows, {pairs}) "
+                            "AS (check_name, violations)")
+    silver_rows = silver.agg(F.count(F.lit(1)).alias("violations")) \
+                        .select(F.lit("fact_rows_lost").alias("check_name"), "violations")
+    return long.unionByName(silver_rows).groupBy("check_name") \
+               .agg(F.sum("violations").alias("violations"))
 
 
 class IntegrityError(RuntimeError):

@@ -22,7 +22,7 @@ from chalkline.schemas import DIM_WIKI_REFERENCE_SCHEMA, RAW_SCHEMA
 from chalkline.streaming import bronze, raw
 from chalkline.streaming import dedup as sdedup
 from chalkline.streaming import silver as ssilver
-from chalkline.session import pin_utc, scratch_path
+from chalkline.session import ensure_parallelism, pin_utc, scratch_path
 from chalkline.sources import adapter, files, sitematrix
 from chalkline.sources import feed as feedsrc
 
@@ -43,7 +43,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def feed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return adapter.feed_rows(table(spark, sf_dir, "events"))
+    return adapter.feed_rows(ensure_parallelism(table(spark, sf_dir, "events")))
 
 
 def staged(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -149,7 +149,7 @@ def drift_fields(spark, sf_dir):
 # Parsing / ingestion ---------------------------------------------------------------
 
 def lines(spark, sf_dir):
-    return adapter.feed_lines(table(spark, sf_dir, "events"))
+    return adapter.feed_lines(ensure_parallelism(table(spark, sf_dir, "events")))
 
 
 def parsed_lines(spark, sf_dir):
@@ -273,7 +273,7 @@ def dedup_anti_join(spark, sf_dir):
 @query
 def nfc_titles(spark, sf_dir):
     """UDF-1: NFC over whole documents (Arrow-batched pandas UDF)."""
-    docs = table(spark, sf_dir, "documents")
+    docs = ensure_parallelism(table(spark, sf_dir, "documents"))
     normalized = nfc(F.col("text"))
     return docs.select("doc_id", "lang",
                        F.length(normalized).alias("nfc_chars"),
@@ -365,7 +365,8 @@ def stream_silver_fanout(spark, sf_dir):
     bronze_path, ckpt_b = scratch_path(spark, "bronze"), scratch_path(spark, "ckpt-bronze")
     bronze.run_bronze(spark, raw_path, bronze_path, ckpt_b)
     root, ckpt_s = scratch_path(spark, "silver"), scratch_path(spark, "ckpt-silver")
-    ssilver.run_silver(spark, bronze_path, root, ckpt_s, CFG, max_files_per_trigger=400)
+    ssilver.run_silver(spark, bronze_path, root, ckpt_s, CFG, max_files_per_trigger=400,
+                       files_per_hour=1)
     tagged = spark.read.parquet(bronze_path).select(F.lit("input").alias("_src"), "_event_id")
     for name in ssilver.OUTPUTS:
         tagged = tagged.unionByName(

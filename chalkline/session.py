@@ -79,3 +79,17 @@ def local_path(path: str) -> str:
 
 def env_sf_dir(default: str = "/root/testdata/sf0.1") -> str:
     return os.environ.get("BENCH_SF_DIR", default)
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a small input over the cluster's cores before CPU-heavy per-row
+    work (JSON parsing, the NFC UDF).
+
+    Only acts when the scan yields fewer partitions than there are cores - a
+    single-row-group file, say.  Large inputs already have at least one split
+    per core and pass through untouched, so no shuffle is added at scale."""
+    spark = df.sparkSession
+    target = min_partitions or spark.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= target:
+        return df
+    return df.repartition(target)

@@ -24,10 +24,20 @@ def with_partitions(events: DataFrame) -> DataFrame:
     return events.withColumn("dt", dt).withColumn("hour", hour)
 
 
+def cluster_for_write(df: DataFrame, files_per_hour: int) -> DataFrame:
+    """Rows of one (dt, hour) go to ``files_per_hour`` writer tasks (deterministic
+    hash salt): few files per partition, and no hour is written by a single task."""
+    return _spread(df, files_per_hour)
+
+
 def _spread(df: DataFrame, files_per_hour: int) -> DataFrame:
+    """Hash-cluster by (dt, hour, salt) into ``spark.sql.shuffle.partitions``
+    writer tasks.  The explicit count keeps AQE from coalescing the writers
+    into a few tasks that would then write every partition folder serially."""
     salt = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns if c not in PARTITION_COLUMNS]),
                   F.lit(files_per_hour))
-    return df.repartition(F.col("dt"), F.col("hour"), salt)
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(n, F.col("dt"), F.col("hour"), salt)
 
 
 def write_raw(events: DataFrame, path: str, files_per_hour: int = 2,

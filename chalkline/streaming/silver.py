@@ -21,6 +21,7 @@ from pyspark.sql import types as T
 from chalkline.operators import dedup, dq
 from chalkline.plans import silver as plan
 from chalkline.streaming.bronze import bronze_schema, bronze_stream
+from chalkline.streaming.raw import cluster_for_write
 
 OUTPUTS = ("clean", "rejected", "duplicates")
 DEDUP_HORIZON_HOURS = 2
@@ -65,7 +66,7 @@ def _history_ids(spark: SparkSession, root: str, batch_id: int, lo: str, hi: str
 
 
 def fan_out(spark: SparkSession, batch: DataFrame, batch_id: int, root: str,
-            cfg: dq.DQConfig) -> None:
+            cfg: dq.DQConfig, files_per_hour: int = 2) -> None:
     staged = plan.stage(batch, cfg).persist()
     try:
         horizon = F.expr(f"INTERVAL {DEDUP_HORIZON_HOURS} HOURS")
@@ -80,18 +81,20 @@ def fan_out(spark: SparkSession, batch: DataFrame, batch_id: int, root: str,
                 duplicates = duplicates.unionByName(survivors.exceptAll(fresh))
                 survivors = fresh
         for name, df in _outputs(staged, survivors, duplicates).items():
-            (df.write.mode("overwrite").partitionBy("dt", "hour")
+            (cluster_for_write(df, files_per_hour).write.mode("overwrite")
+               .partitionBy("dt", "hour")
                .parquet(f"{root}/{name}/batch_id={batch_id}"))
     finally:
         staged.unpersist()
 
 
 def run_silver(spark: SparkSession, bronze_path: str, root: str, checkpoint: str,
-               cfg: dq.DQConfig = dq.DQConfig(), max_files_per_trigger: int | None = None) -> None:
+               cfg: dq.DQConfig = dq.DQConfig(), max_files_per_trigger: int | None = None,
+               files_per_hour: int = 2) -> None:
     """Drain new bronze rows into clean / rejected / duplicates and stop."""
     stream = bronze_stream(spark, bronze_path, max_files_per_trigger)
     q = (stream.writeStream
-         .foreachBatch(lambda df, bid: fan_out(spark, df, bid, root, cfg))
+         .foreachBatch(lambda df, bid: fan_out(spark, df, bid, root, cfg, files_per_hour))
          .option("checkpointLocation", checkpoint)
          .trigger(availableNow=True)
          .start())
