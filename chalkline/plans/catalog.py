@@ -382,6 +382,30 @@ def stream_silver_fanout(spark, sf_dir):
     ).withColumn("balanced", F.col("input_rows") == F.col("survivor_rows") + F.col("duplicates_rows"))
 
 
+@query
+def stream_sql_staging(spark, sf_dir):
+    """SRC-6, D16: the SQL-text rules over a streaming temp view of raw (SQL
+    ``FROM STREAM``); clean rows per date, before dedup."""
+    raw_path = _landed_raw(spark, sf_dir)
+    flat = silver.flatten(bronze.raw_stream(spark, raw_path))
+    staged_stream = silver_sql.staged_sql(flat, CFG, view="chalkline_raw_stream")
+    out_path, ckpt = scratch_path(spark, "sql-stream"), scratch_path(spark, "ckpt-sql")
+    q = (staged_stream.where(dq.is_clean()).select("_event_id", "dt")
+         .writeStream.format("parquet").option("checkpointLocation", ckpt)
+         .trigger(availableNow=True).start(out_path))
+    q.awaitTermination()
+    return (spark.read.schema("_event_id string, dt string").parquet(out_path)
+                 .groupBy("dt").agg(F.count(F.lit(1)).alias("clean_rows")))
+
+
+@query
+def layer_row_counts(spark, sf_dir):
+    """AG-1, AG-9: rows per layer output (bronze in = clean + rejected + duplicates)."""
+    st = staged(spark, sf_dir)
+    parts = silver.split(st)
+    return reports.row_counts({"bronze": st, **parts})
+
+
 # Change data --------------------------------------------------------------------------
 
 ORDER_SEQUENCE = ("o_orderdate", "o_orderkey")

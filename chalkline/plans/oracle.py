@@ -265,6 +265,15 @@ SELECT n AS input_rows, d + z AS survivor_rows, n - d - z AS duplicates_rows,
        d AS distinct_ids, z AS null_id_rows, true AS balanced FROM c""")
 
 
+ORACLES["stream_sql_staging"] = _with(STAGED, """
+SELECT dt, count(*) AS clean_rows FROM timed WHERE len(reasons) = 0 GROUP BY dt""")
+
+ORACLES["layer_row_counts"] = _with(STAGED, """
+SELECT 'bronze' AS table_name, count(*) AS row_count FROM timed
+UNION ALL SELECT 'clean', count(*) FROM survivors WHERE len(reasons) = 0
+UNION ALL SELECT 'rejected', count(*) FROM survivors WHERE len(reasons) > 0
+UNION ALL SELECT 'duplicates', count(*) FROM dups""")
+
 # Change data -----------------------------------------------------------------------
 VERSIONS = """
 v1 AS (SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority
