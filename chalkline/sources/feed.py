@@ -1,7 +1,9 @@
 """The event feed: JSON lines and message payloads -> typed event rows.
 
-Parsing is one projection per row (``try_parse_json`` into a VARIANT, typed
-extraction with ``try_variant_get``), so it runs JVM-side at any volume.
+Parsing is one projection per row, JVM-side: the known fields are typed by
+``from_json`` with the explicit event schema, while ``try_parse_json`` (a
+VARIANT) tells a missing ``id`` from a JSON null and keeps every unknown field,
+with its JSON type, in ``_extra_fields``.
 Lines that are blank, not JSON, or not a JSON object go to a quarantine output
 with their raw text instead of being lost.
 """
@@ -19,24 +21,28 @@ from chalkline.schemas import (
 )
 
 PARSED = "_parsed"
-OBJECT = "_object"
 
 
 def _with_parse(df: DataFrame, value_col: str) -> DataFrame:
-    v = F.try_parse_json(F.col(value_col))
-    return (df.withColumn(PARSED, v)
-              .withColumn(OBJECT, F.try_variant_get(F.col(PARSED), "$", "map<string,variant>")))
+    return df.withColumn(PARSED, F.try_parse_json(F.col(value_col)))
+
+
+def _is_object(value_col: str) -> Column:
+    """Valid JSON whose text starts with '{' - necessarily an object.  Cheap to
+    re-evaluate when the optimizer pushes this predicate below the projection."""
+    return (F.ltrim(F.col(value_col)).startswith("{")
+            & F.try_parse_json(F.col(value_col)).isNotNull())
 
 
 def _event_id(strict: bool) -> Column:
     """``str(payload.get("id", ""))`` (parity: missing -> "", JSON null -> "None");
-    strict mode maps both to NULL."""
-    obj = F.col(OBJECT)
+    strict mode maps both to NULL.  A missing key is SQL NULL, a JSON null is a
+    variant null."""
     raw = F.try_variant_get(F.col(PARSED), "$.id", "variant")
     as_text = F.try_variant_get(F.col(PARSED), "$.id", "string")
     if strict:
-        return F.when(F.map_contains_key(obj, "id") & ~F.is_variant_null(raw), as_text)
-    return (F.when(~F.map_contains_key(obj, "id"), F.lit(""))
+        return F.when(raw.isNotNull() & ~F.is_variant_null(raw), as_text)
+    return (F.when(raw.isNull(), F.lit(""))
              .when(F.is_variant_null(raw), F.lit("None"))
              .otherwise(as_text))
 
@@ -51,12 +57,13 @@ def parse_events(lines: DataFrame, value_col: str = "value", strict: bool = Fals
     ``lines`` other than ``value_col`` are carried along (e.g. a line number),
     and ``_ingested_at`` / ``_producer_instance`` are taken from same-named
     input columns when present, else from the given expressions."""
-    parsed = _with_parse(lines, value_col).where(F.col(OBJECT).isNotNull())
+    parsed = _with_parse(lines.where(_is_object(value_col)), value_col)
     p = F.col(PARSED)
-    typed = [F.try_variant_get(p, f"$.{f.name}", f.dataType.simpleString()).alias(f.name)
-             for f in EVENT_SCHEMA.fields]
-    extra = F.to_json(F.map_filter(F.col(OBJECT),
-                                   lambda k, _: ~k.isin(*KNOWN_TOP_LEVEL_FIELDS)))
+    # Known fields: typed by the JSON reader (fields of the wrong type -> NULL).
+    known = F.from_json(F.col(value_col), EVENT_SCHEMA)
+    typed = [known[f.name].alias(f.name) for f in EVENT_SCHEMA.fields]
+    obj = F.try_variant_get(p, "$", "map<string,variant>")
+    extra = F.to_json(F.map_filter(obj, lambda k, _: ~k.isin(*KNOWN_TOP_LEVEL_FIELDS)))
     now_iso = F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss.SSSSSSxxx")
     ing = (F.col("_ingested_at") if "_ingested_at" in lines.columns
            else (ingested_at if ingested_at is not None else now_iso))
@@ -77,7 +84,7 @@ def parse_events(lines: DataFrame, value_col: str = "value", strict: bool = Fals
 def quarantine(lines: DataFrame, value_col: str = "value") -> DataFrame:
     """Lines that are not a JSON object, with ``reason`` blank / malformed /
     not_object and the raw text kept."""
-    parsed = _with_parse(lines, value_col).where(F.col(OBJECT).isNull())
+    parsed = _with_parse(lines.where(~F.coalesce(_is_object(value_col), F.lit(False))), value_col)
     text = F.col(value_col)
     reason = (F.when(text.isNull() | (F.length(F.trim(text)) == 0), F.lit("blank"))
                .when(F.col(PARSED).isNull(), F.lit("malformed"))
