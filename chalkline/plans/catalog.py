@@ -477,17 +477,37 @@ def reference_latest(spark, sf_dir):
     return sitematrix.latest_snapshot(reference_rows(spark, sf_dir))
 
 
-def star(spark, sf_dir) -> dict[str, DataFrame]:
-    s = clean_silver(spark, sf_dir)
-    return {
-        "dim_editor": gold.dim_editor(s),
-        "dim_page": gold.dim_page(s),
-        "dim_wiki": gold.dim_wiki(s, reference_latest(spark, sf_dir)),
-        "dim_date": gold.dim_date(spark, F.min(F.to_date("meta_dt")), F.max(F.to_date("meta_dt")),
-                                  source=s),
-        "dim_change_type": gold.dim_change_type(spark),
-        "fact": gold.fact_edit_event(s),
-    }
+class Star(dict):
+    """Star-schema builders over clean silver, each built on first use."""
+
+    def __init__(self, spark, sf_dir):
+        super().__init__()
+        self.spark, self.sf_dir = spark, sf_dir
+        self._silver = None
+
+    @property
+    def silver(self):
+        if self._silver is None:
+            self._silver = clean_silver(self.spark, self.sf_dir)
+        return self._silver
+
+    def __missing__(self, name):
+        s, spark = self.silver, self.spark
+        build = {
+            "dim_editor": lambda: gold.dim_editor(s),
+            "dim_page": lambda: gold.dim_page(s),
+            "dim_wiki": lambda: gold.dim_wiki(s, reference_latest(spark, self.sf_dir)),
+            "dim_date": lambda: gold.dim_date(spark, F.min(F.to_date("meta_dt")),
+                                              F.max(F.to_date("meta_dt")), source=s),
+            "dim_change_type": lambda: gold.dim_change_type(spark),
+            "fact": lambda: gold.fact_edit_event(s),
+        }[name]
+        self[name] = build()
+        return self[name]
+
+
+def star(spark, sf_dir) -> Star:
+    return Star(spark, sf_dir)
 
 
 @query
@@ -534,7 +554,8 @@ def fact_edit_event(spark, sf_dir):
 def fact_null_fk(spark, sf_dir):
     """GD-8, JN-2..4: fact loss, NULL and unresolved foreign keys (all must be 0)."""
     st = star(spark, sf_dir)
-    return gold.integrity_report(clean_silver(spark, sf_dir), st["fact"], st)
+    dims = {d: st[d] for _, d in gold.FOREIGN_KEYS}
+    return gold.integrity_report(st.silver, st["fact"], dims)
 
 
 # Dashboard ------------------------------------------------------------------------------

@@ -370,8 +370,9 @@ dim_date AS (
 ),
 dim_change_type AS (
   SELECT sha256(t || chr(31) || CAST(b AS VARCHAR)) AS change_type_key, t AS type, b AS is_bot
-  FROM (VALUES ('edit'), ('new'), ('log'), ('categorize')) AS ty(t)
-  JOIN (VALUES (false), (true)) AS bo(b) ON true
+  FROM (VALUES ('edit', false), ('edit', true), ('new', false), ('new', true),
+               ('log', false), ('log', true), ('categorize', false), ('categorize', true))
+    AS ct(t, b)
 )"""
 
 for _d in ("dim_editor", "dim_page", "dim_wiki", "dim_date", "dim_change_type", "fact"):
