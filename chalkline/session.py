@@ -86,10 +86,14 @@ def ensure_parallelism(df, min_partitions: int | None = None):
     work (JSON parsing, the NFC UDF).
 
     Only acts when the scan yields fewer partitions than there are cores - a
-    single-row-group file, say.  Large inputs already have at least one split
-    per core and pass through untouched, so no shuffle is added at scale."""
+    single-row-group file, say.  The spread rows are checkpointed to the shared
+    checkpoint folder, which also stops the optimizer from pushing the heavy
+    per-row predicates back below the shuffle into the single scan task.
+    Large inputs already have a split per core and pass through untouched: no
+    shuffle and no checkpoint at scale."""
     spark = df.sparkSession
     target = min_partitions or spark.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() >= target:
         return df
-    return df.repartition(target)
+    checkpoint_root(spark)
+    return df.repartition(target).checkpoint(eager=True)

@@ -57,11 +57,12 @@ def parse_events(lines: DataFrame, value_col: str = "value", strict: bool = Fals
     ``lines`` other than ``value_col`` are carried along (e.g. a line number),
     and ``_ingested_at`` / ``_producer_instance`` are taken from same-named
     input columns when present, else from the given expressions."""
-    parsed = _with_parse(lines.where(_is_object(value_col)), value_col)
-    p = F.col(PARSED)
     # Known fields: typed by the JSON reader (fields of the wrong type -> NULL).
-    known = F.from_json(F.col(value_col), EVENT_SCHEMA)
-    typed = [known[f.name].alias(f.name) for f in EVENT_SCHEMA.fields]
+    # Parsed once into a struct column, expanded in the next projection.
+    parsed = (_with_parse(lines.where(_is_object(value_col)), value_col)
+              .withColumn("_known", F.from_json(F.col(value_col), EVENT_SCHEMA)))
+    p = F.col(PARSED)
+    typed = [F.col(f"_known.{f.name}").alias(f.name) for f in EVENT_SCHEMA.fields]
     obj = F.try_variant_get(p, "$", "map<string,variant>")
     extra = F.to_json(F.map_filter(obj, lambda k, _: ~k.isin(*KNOWN_TOP_LEVEL_FIELDS)))
     now_iso = F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss.SSSSSSxxx")
