@@ -34,7 +34,8 @@ def _spread(df: DataFrame, files_per_hour: int) -> DataFrame:
     """Hash-cluster by (dt, hour, salt) into ``spark.sql.shuffle.partitions``
     writer tasks.  The explicit count keeps AQE from coalescing the writers
     into a few tasks that would then write every partition folder serially."""
-    salt = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns if c not in PARTITION_COLUMNS]),
+    salt = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns
+                               if c not in PARTITION_COLUMNS and c != "batch_id"]),
                   F.lit(files_per_hour))
     n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return df.repartition(n, F.col("dt"), F.col("hour"), salt)

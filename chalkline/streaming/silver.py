@@ -5,14 +5,18 @@ three complementary outputs - clean, rejected, duplicates - so that
 Uniqueness is traceable: in-batch duplicates are found by the skew-safe
 survivor aggregation; cross-batch duplicates by an anti join against ids
 already written, read only from the dt partitions that can collide (the
-batch's event-date range widened by the dedup horizon).  Outputs are written
-under ``batch_id=<n>`` with overwrite, so a replayed batch replaces its own
-files, and rows of the replayed batch are excluded from the history it is
-checked against.
+batch's event-date range widened by the dedup horizon) - the history lookup
+lists and reads a bounded set of folders however long the table grows.
+
+Layout: ``<output>/dt=/hour=/batch_id=``, written with dynamic partition
+overwrite, so a replayed batch replaces exactly its own folders; rows of the
+replayed batch are excluded from the history it is checked against.
 """
 
 from __future__ import annotations
 
+import datetime as _dt
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -24,6 +28,7 @@ from chalkline.streaming.bronze import bronze_schema, bronze_stream
 from chalkline.streaming.raw import cluster_for_write
 
 OUTPUTS = ("clean", "rejected", "duplicates")
+PARTITIONS = ("dt", "hour", "batch_id")
 DEDUP_HORIZON_HOURS = 2
 
 
@@ -41,22 +46,34 @@ def output_schema(spark: SparkSession, name: str) -> T.StructType:
     empty = spark.createDataFrame([], bronze_schema())
     staged = plan.stage(empty, dq.DQConfig())
     schema = _outputs(staged, staged, staged)[name].schema
-    fields = [f for f in schema.fields if f.name not in ("dt", "hour")]
-    return T.StructType(fields + [T.StructField("batch_id", T.IntegerType()),
-                                  T.StructField("dt", T.StringType()),
-                                  T.StructField("hour", T.IntegerType())])
+    fields = [f for f in schema.fields if f.name not in PARTITIONS]
+    return T.StructType(fields + [T.StructField("dt", T.StringType()),
+                                  T.StructField("hour", T.IntegerType()),
+                                  T.StructField("batch_id", T.IntegerType())])
+
+
+def _dates(lo: str, hi: str) -> list[str]:
+    d, end = _dt.date.fromisoformat(lo), _dt.date.fromisoformat(hi)
+    out = []
+    while d <= end:
+        out.append(d.isoformat())
+        d += _dt.timedelta(days=1)
+    return out
 
 
 def _history_ids(spark: SparkSession, root: str, batch_id: int, lo: str, hi: str) -> DataFrame | None:
+    """Ids already written in the dt folders [lo, hi] (a glob over just those
+    folders, so listing cost is bounded by the horizon, not the table)."""
     parts = []
+    days = ",".join(_dates(lo, hi))
     for name in ("clean", "rejected"):
+        base = f"{root}/{name}"
         try:
-            df = spark.read.schema(output_schema(spark, name)).parquet(f"{root}/{name}")
-        except AnalysisException:          # nothing written yet
+            df = (spark.read.schema(output_schema(spark, name)).option("basePath", base)
+                       .parquet(f"{base}/dt={{{days}}}"))
+        except AnalysisException:          # nothing written there yet
             continue
-        parts.append(df.where((F.col("dt") >= lo) & (F.col("dt") <= hi)
-                              & (F.col("batch_id") != batch_id))
-                       .select(F.col("_event_id")))
+        parts.append(df.where(F.col("batch_id") != batch_id).select(F.col("_event_id")))
     if not parts:
         return None
     out = parts[0]
@@ -81,9 +98,11 @@ def fan_out(spark: SparkSession, batch: DataFrame, batch_id: int, root: str,
                 duplicates = duplicates.unionByName(survivors.exceptAll(fresh))
                 survivors = fresh
         for name, df in _outputs(staged, survivors, duplicates).items():
-            (cluster_for_write(df, files_per_hour).write.mode("overwrite")
-               .partitionBy("dt", "hour")
-               .parquet(f"{root}/{name}/batch_id={batch_id}"))
+            out = df.withColumn("batch_id", F.lit(batch_id))
+            (cluster_for_write(out, files_per_hour).write.mode("overwrite")
+               .option("partitionOverwriteMode", "dynamic")
+               .partitionBy(*PARTITIONS)
+               .parquet(f"{root}/{name}"))
     finally:
         staged.unpersist()
 
@@ -102,4 +121,8 @@ def run_silver(spark: SparkSession, bronze_path: str, root: str, checkpoint: str
 
 
 def read_output(spark: SparkSession, root: str, name: str) -> DataFrame:
-    return spark.read.schema(output_schema(spark, name)).parquet(f"{root}/{name}")
+    schema = output_schema(spark, name)
+    try:
+        return spark.read.schema(schema).parquet(f"{root}/{name}")
+    except AnalysisException:              # no batch produced this output yet
+        return spark.createDataFrame([], schema)
