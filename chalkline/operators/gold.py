@@ -40,38 +40,62 @@ def change_type_key(type_: Column, is_bot: Column) -> Column:
     return surrogate_key(type_, is_bot)
 
 
+SEQUENCE = "_seq"
+
+
 def _latest_and_first(silver: DataFrame, key: Column, attrs: dict[str, Column]) -> DataFrame:
-    latest = F.max(F.struct(F.col("meta_dt").alias("_seq"), F.col("_event_id").alias("_eid"),
-                            *[c.alias(n) for n, c in attrs.items()])).alias("_l")
+    seq = F.struct(F.col("meta_dt").alias("at"), F.col("_event_id").alias("event_id"))
+    latest = F.max(F.struct(seq.alias(SEQUENCE), *[c.alias(n) for n, c in attrs.items()])).alias("_l")
     first = F.min(F.to_date(F.col("meta_dt"))).alias("first_seen_date")
     grouped = silver.withColumn("_k", key).where(F.col("_k").isNotNull()).groupBy("_k")
     return grouped.agg(latest, first).select(
-        F.col("_k"), *[F.col(f"_l.{n}").alias(n) for n in attrs], "first_seen_date")
+        F.col("_k"), *[F.col(f"_l.{n}").alias(n) for n in attrs], "first_seen_date",
+        F.col(f"_l.{SEQUENCE}").alias(SEQUENCE))
+
+
+def _seq(with_sequence: bool) -> list[str]:
+    return [SEQUENCE] if with_sequence else []
 
 
-def dim_editor(silver: DataFrame) -> DataFrame:
+def dim_editor(silver: DataFrame, with_sequence: bool = False) -> DataFrame:
     d = _latest_and_first(silver, editor_key(F.col("user")),
                           {"user_name": F.col("user"), "is_bot": F.col("bot")})
     return d.select(F.col("_k").alias("editor_key"), "user_name",
                     (~F.col("user_name").rlike(IP_LITERAL)).alias("is_registered"),
-                    "is_bot", "first_seen_date")
+                    "is_bot", "first_seen_date", *_seq(with_sequence))
 
 
-def dim_page(silver: DataFrame) -> DataFrame:
+def dim_page(silver: DataFrame, with_sequence: bool = False) -> DataFrame:
     d = _latest_and_first(silver, page_key(F.col("wiki"), F.col("title")),
                           {"title": F.col("title"), "wiki_code": F.col("wiki")})
-    return d.select(F.col("_k").alias("page_key"), "title", "wiki_code", "first_seen_date")
+    return d.select(F.col("_k").alias("page_key"), "title", "wiki_code", "first_seen_date",
+                    *_seq(with_sequence))
 
 
 def dim_wiki(silver: DataFrame, reference_latest: DataFrame,
-             max_broadcast_rows: int = joins.DEFAULT_BROADCAST_ROWS) -> DataFrame:
+             max_broadcast_rows: int = joins.DEFAULT_BROADCAST_ROWS,
+             with_sequence: bool = False) -> DataFrame:
     """Stream-derived wiki codes enriched from the latest reference snapshot
     (left join: codes missing from the reference keep NULL attributes)."""
     d = _latest_and_first(silver, wiki_key(F.col("wiki")), {"wiki_code": F.col("wiki")})
     ref = reference_latest.select("wiki_code", "language_name", "project_type")
     return (joins.enrich_left(d, ref, "wiki_code", max_broadcast_rows)
                  .select(F.col("_k").alias("wiki_key"), "wiki_code", "language_name",
-                         "project_type", "first_seen_date"))
+                         "project_type", "first_seen_date", *_seq(with_sequence)))
+
+
+def merge_dimension(current: DataFrame, update: DataFrame, key: str) -> DataFrame:
+    """SCD1 upsert of a dimension built ``with_sequence``: per key the
+    attributes of the latest sequence win, ``first_seen_date`` is the earliest.
+    Idempotent (re-merging the same update changes nothing) and
+    order-insensitive, so late batches are handled."""
+    both = current.unionByName(update.select(*current.columns))
+    attrs = [c for c in current.columns if c not in (key, SEQUENCE, "first_seen_date")]
+    merged = both.groupBy(key).agg(
+        F.max(F.struct(F.col(SEQUENCE), *[F.col(a) for a in attrs])).alias("_l"),
+        F.min("first_seen_date").alias("first_seen_date"))
+    return merged.select(key, *[F.col(f"_l.{a}").alias(a) for a in attrs], "first_seen_date",
+                         F.col(f"_l.{SEQUENCE}").alias(SEQUENCE)).select(*current.columns)
 
 
 def dim_date(spark: SparkSession, start: Column | str, end: Column | str,

@@ -21,6 +21,7 @@ from chalkline.plans import silver, silver_sql
 from chalkline.schemas import DIM_WIKI_REFERENCE_SCHEMA, RAW_SCHEMA
 from chalkline.streaming import bronze, raw
 from chalkline.streaming import dedup as sdedup
+from chalkline.streaming import gold as sgold
 from chalkline.streaming import silver as ssilver
 from chalkline.session import ensure_parallelism, pin_utc, scratch_path
 from chalkline.sources import adapter, files, sitematrix
@@ -558,6 +559,23 @@ def fact_null_fk(spark, sf_dir):
     return gold.integrity_report(st.silver, st["fact"], dims)
 
 
+@query
+def stream_gold_editors(spark, sf_dir):
+    """STR-6, STR-7, CDC-2 per batch: raw -> bronze -> silver -> gold as
+    chained availableNow runs; editors are upserted batch by batch (dims before
+    facts, integrity checked per batch) and must equal the batch-built dimension."""
+    raw_path = _landed_raw(spark, sf_dir)
+    bronze_path = scratch_path(spark, "bronze")
+    bronze.run_bronze(spark, raw_path, bronze_path, scratch_path(spark, "ckpt-bronze"))
+    silver_root = scratch_path(spark, "silver")
+    ssilver.run_silver(spark, bronze_path, silver_root, scratch_path(spark, "ckpt-silver"), CFG,
+                       files_per_hour=1)
+    gold_root = scratch_path(spark, "gold")
+    sgold.run_gold(spark, silver_root, gold_root, scratch_path(spark, "ckpt-gold"),
+                   reference_latest(spark, sf_dir), max_files_per_trigger=300)
+    return sgold.read_dimension(spark, gold_root, "dim_editor")
+
+
 # Dashboard ------------------------------------------------------------------------------
 
 @query

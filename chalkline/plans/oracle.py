@@ -378,6 +378,8 @@ dim_change_type AS (
 for _d in ("dim_editor", "dim_page", "dim_wiki", "dim_date", "dim_change_type", "fact"):
     ORACLES[_d if _d != "fact" else "fact_edit_event"] = _with(GOLD, f"SELECT * FROM {_d}")
 
+ORACLES["stream_gold_editors"] = ORACLES["dim_editor"]
+
 ORACLES["fact_null_fk"] = _with(GOLD, """
 SELECT check_name, CAST(0 AS BIGINT) AS violations FROM (VALUES ('fact_rows_lost'),
   ('null_editor_key'), ('null_page_key'), ('null_wiki_key'), ('null_date_key'),

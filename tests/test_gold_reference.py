@@ -93,3 +93,32 @@ def test_null_user_fails_the_load(spark):
     report = gold.integrity_report(s, gold.fact_edit_event(s), _star(spark, s))
     with pytest.raises(gold.IntegrityError, match="null_editor_key"):
         gold.assert_integrity(report)
+
+
+def test_streaming_gold_upserts_dims_before_facts(spark, scratch):
+    """Two batches: the later change of an editor wins, first_seen keeps the
+    earliest date, a late (older) batch changes nothing, facts accumulate."""
+    from chalkline.streaming import gold as sgold
+    root = scratch("gold")
+    ref = spark.createDataFrame([], DIM_WIKI_REFERENCE_SCHEMA)
+    day2 = dt.datetime(2026, 8, 1, 12, tzinfo=dt.timezone.utc)
+    day0 = dt.datetime(2026, 7, 30, 10, tzinfo=dt.timezone.utc)
+    b0 = _silver(spark, [raw_row(event_id="1", id_=1, user="ann", bot=False)])
+    b1 = _silver(spark, [raw_row(event_id="2", id_=2, user="ann", bot=True, meta_dt=day2)])
+    late = _silver(spark, [raw_row(event_id="3", id_=3, user="ann", bot=False, meta_dt=day0)])
+    for bid, b in enumerate([b0, b1, late]):
+        sgold.gold_batch(spark, b, bid, root, ref)
+    sgold.gold_batch(spark, b1, 1, root, ref)                 # replay of batch 1
+    ed = sgold.read_dimension(spark, root, "dim_editor").collect()
+    assert len(ed) == 1 and ed[0]["is_bot"] is True
+    assert str(ed[0]["first_seen_date"]) == "2026-07-30"
+    assert sgold.read_fact(spark, root).count() == 3
+    assert sgold.read_dimension(spark, root, "dim_date").count() == 3      # 07-30 .. 08-01
+
+
+def test_streaming_gold_rejects_null_foreign_key(spark, scratch):
+    from chalkline.streaming import gold as sgold
+    ref = spark.createDataFrame([], DIM_WIKI_REFERENCE_SCHEMA)
+    bad = _silver(spark, [raw_row(event_id="1", id_=1, user=None)])
+    with pytest.raises(gold.IntegrityError):
+        sgold.gold_batch(spark, bad, 0, scratch("gold"), ref)
