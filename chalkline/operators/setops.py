@@ -7,6 +7,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+def with_prefix(df: DataFrame, col: str, prefix: str) -> DataFrame:
+    """Rows whose ``col`` starts with ``prefix`` (e.g. a run marker on ids)."""
+    return df.where(F.col(col).startswith(prefix))
+
+
 def union_common(left: DataFrame, right: DataFrame) -> DataFrame:
     """Project both frames to their common columns, then union by name."""
     common = [c for c in left.columns if c in set(right.columns)]

@@ -537,8 +537,13 @@ def dim_date(spark, sf_dir):
 
 @query
 def dim_change_type(spark, sf_dir):
-    """GD-5: junk dimension type x bot."""
-    return star(spark, sf_dir)["dim_change_type"]
+    """GD-5, JN-3: junk dimension type x bot (static seed) with the number of
+    facts resolving to each member (facts aggregated first, then joined)."""
+    st = star(spark, sf_dir)
+    per_key = st["fact"].groupBy("change_type_key").agg(F.count(F.lit(1)).alias("fact_rows"))
+    return (st["dim_change_type"].join(per_key, "change_type_key", "left")
+              .select("change_type_key", "type", "is_bot",
+                      F.coalesce(F.col("fact_rows"), F.lit(0)).alias("fact_rows")))
 
 
 FACT_COLUMNS = ("event_id", "date_key", "hour_of_day", "editor_key", "page_key", "wiki_key",

@@ -375,9 +375,14 @@ dim_change_type AS (
     AS ct(t, b)
 )"""
 
-for _d in ("dim_editor", "dim_page", "dim_wiki", "dim_date", "dim_change_type", "fact"):
+for _d in ("dim_editor", "dim_page", "dim_wiki", "dim_date", "fact"):
     ORACLES[_d if _d != "fact" else "fact_edit_event"] = _with(GOLD, f"SELECT * FROM {_d}")
 
+ORACLES["dim_change_type"] = _with(GOLD, """
+SELECT c.change_type_key, c.type, c.is_bot, count(f.change_type_key) AS fact_rows
+FROM dim_change_type c LEFT JOIN fact f USING (change_type_key)
+GROUP BY c.change_type_key, c.type, c.is_bot""")
+
 ORACLES["stream_gold_editors"] = ORACLES["dim_editor"]
 
 ORACLES["fact_null_fk"] = _with(GOLD, """

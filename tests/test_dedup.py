@@ -55,3 +55,9 @@ def test_drop_seen_keeps_batch_columns(spark):
     out = dedup.drop_seen(batch, hist, ["_event_id"])
     assert out.columns == batch.columns
     assert sorted(r["n"] for r in out.collect()) == [2, 3]
+
+
+def test_run_marker_prefix_isolates_rows(spark):
+    from chalkline.operators import setops
+    df = spark.createDataFrame([("run7-1",), ("run7-2",), ("run8-1",), (None,)], "_event_id string")
+    assert sorted(r[0] for r in setops.with_prefix(df, "_event_id", "run7-").collect()) == ["run7-1", "run7-2"]
