@@ -9,8 +9,10 @@ result equals ``row_number() over (partition by key order by ...) = 1`` with
 the remaining columns as tie-breakers.
 
 Duplicates (everything that is not a survivor) are ``input EXCEPT ALL
-survivors`` - multiset-exact, and its aggregation is keyed on whole rows, so
-it is skew-free too.
+survivors``, multiset-exact: copies are counted per whole-row value (partial
+aggregation), and surplus copies are re-emitted in bounded chunks, each by its
+own task - a group of identical copies holding a third of the input is spread
+like any other.
 """
 
 from __future__ import annotations
@@ -51,13 +53,41 @@ def keep_latest(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> Dat
     return _pick(df, keys, order, latest=True)
 
 
-def split_duplicates(df: DataFrame, keys: Sequence[str], order: Sequence[str]
-                     ) -> tuple[DataFrame, DataFrame]:
+# Copies of one row value are re-emitted in chunks of this many rows, each
+# chunk by its own task, so a huge group of exact copies is never replicated
+# by a single task.
+REPLICATION_CHUNK = 100_000
+
+
+def split_duplicates(df: DataFrame, keys: Sequence[str], order: Sequence[str],
+                     chunk: int = REPLICATION_CHUNK) -> tuple[DataFrame, DataFrame]:
     """(survivors, duplicates) with ``count(df) = count(survivors) + count(duplicates)``.
 
-    First arrival by ``order`` wins; NULL keys are never duplicates."""
+    First arrival by ``order`` wins; NULL keys are never duplicates.
+    Duplicates are multiset-exact (``df EXCEPT ALL survivors``), computed
+    without a hot task: copies are counted per distinct row value (partial
+    aggregation), the survivor is subtracted, and the remaining copies are
+    re-emitted in chunks spread over the cluster."""
     survivors = keep_first(df, keys, order)
-    return survivors, df.exceptAll(survivors)
+    return survivors, _surplus_copies(df, survivors, chunk)
+
+
+def _surplus_copies(df: DataFrame, survivors: DataFrame, chunk: int) -> DataFrame:
+    cols = df.columns
+    copies = df.groupBy(*cols).agg(F.count(F.lit(1)).alias("_n")).alias("c")
+    kept = survivors.groupBy(*cols).agg(F.count(F.lit(1)).alias("_w")).alias("w")
+    cond = [F.col(f"c.{x}").eqNullSafe(F.col(f"w.{x}")) for x in cols]
+    surplus = (copies.join(kept, cond, "left")
+                     .select(*[F.col(f"c.{x}").alias(x) for x in cols],
+                             (F.col("c._n") - F.coalesce(F.col("w._w"), F.lit(0))).alias("_d"))
+                     .where(F.col("_d") > 0))
+    chunks = surplus.select(*cols, "_d", F.explode(
+        F.sequence(F.lit(0), ((F.col("_d") - 1) / chunk).cast("long"))).alias("_c"))
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    spread = chunks.repartition(n, F.xxhash64(*[F.col(x) for x in cols], F.col("_c")))
+    size = F.least(F.lit(chunk).cast("long"), F.col("_d") - F.col("_c") * chunk)
+    return (spread.select(*cols, F.explode(F.sequence(F.lit(1).cast("long"), size)).alias("_i"))
+                  .select(*cols))
 
 
 def duplicate_report(df: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -61,3 +61,17 @@ def test_run_marker_prefix_isolates_rows(spark):
     from chalkline.operators import setops
     df = spark.createDataFrame([("run7-1",), ("run7-2",), ("run8-1",), (None,)], "_event_id string")
     assert sorted(r[0] for r in setops.with_prefix(df, "_event_id", "run7-").collect()) == ["run7-1", "run7-2"]
+
+
+def test_hot_group_of_exact_copies_is_split(spark):
+    """5,000 identical copies + normal rows: duplicates are exact and the
+    surplus copies come out of several tasks (chunked replication)."""
+    rows = [("hot", 1)] * 5000 + [(str(i), i) for i in range(100)] + [("x", 1), ("x", 2)]
+    df = spark.createDataFrame(rows, "_event_id string, s int")
+    survivors, dups = dedup.split_duplicates(df, ["_event_id"], ["s"], chunk=500)
+    assert survivors.count() == 102
+    assert dups.count() == 5000
+    assert dups.where("_event_id = 'hot'").count() == 4999
+    per_task = (dups.where("_event_id = 'hot'").select(F.spark_partition_id().alias("p"))
+                    .groupBy("p").count().collect())
+    assert len(per_task) > 1 and max(r["count"] for r in per_task) <= 4999 // 2 + 500
