@@ -108,6 +108,18 @@ def drop_seen(batch: DataFrame, history: DataFrame, keys: Sequence[str]) -> Data
     return batch.join(seen, on=keys, how="left_anti").select(*batch.columns)
 
 
+def split_seen(batch: DataFrame, history: DataFrame, keys: Sequence[str]
+               ) -> tuple[DataFrame, DataFrame]:
+    """(fresh, seen): rows of ``batch`` whose key is absent from / present in
+    ``history``.  Anti and semi join on distinct history keys - exact when
+    ``batch`` has at most one row per key (survivors)."""
+    keys = list(keys)
+    ids = history.select(*keys).where(~_any_null(keys)).distinct()
+    fresh = batch.join(ids, on=keys, how="left_anti").select(*batch.columns)
+    seen = batch.join(ids, on=keys, how="left_semi").select(*batch.columns)
+    return fresh, seen
+
+
 def _any_null(keys: Sequence[str]) -> Column:
     cond = None
     for k in keys:

@@ -85,17 +85,20 @@ def _history_ids(spark: SparkSession, root: str, batch_id: int, lo: str, hi: str
 def fan_out(spark: SparkSession, batch: DataFrame, batch_id: int, root: str,
             cfg: dq.DQConfig, files_per_hour: int = 2) -> None:
     staged = plan.stage(batch, cfg).persist()
+    cached = [staged]
     try:
         horizon = F.expr(f"INTERVAL {DEDUP_HORIZON_HOURS} HOURS")
         rng = staged.agg(
             F.date_format(F.min("meta_dt") - horizon, "yyyy-MM-dd").alias("lo"),
             F.date_format(F.max("meta_dt") + horizon, "yyyy-MM-dd").alias("hi")).first()
         survivors, duplicates = dedup.split_duplicates(staged, plan.DEDUP_KEY, plan.ARRIVAL_ORDER)
+        survivors = survivors.persist()          # read by the history check and two writes
+        cached.append(survivors)
         if rng["lo"] is not None:
             seen = _history_ids(spark, root, batch_id, rng["lo"], rng["hi"])
             if seen is not None:
-                fresh = dedup.drop_seen(survivors, seen, plan.DEDUP_KEY)
-                duplicates = duplicates.unionByName(survivors.exceptAll(fresh))
+                fresh, again = dedup.split_seen(survivors, seen, plan.DEDUP_KEY)
+                duplicates = duplicates.unionByName(again)
                 survivors = fresh
         for name, df in _outputs(staged, survivors, duplicates).items():
             out = df.withColumn("batch_id", F.lit(batch_id))
@@ -104,7 +107,8 @@ def fan_out(spark: SparkSession, batch: DataFrame, batch_id: int, root: str,
                .partitionBy(*PARTITIONS)
                .parquet(f"{root}/{name}"))
     finally:
-        staged.unpersist()
+        for df in cached:
+            df.unpersist()
 
 
 def run_silver(spark: SparkSession, bronze_path: str, root: str, checkpoint: str,
