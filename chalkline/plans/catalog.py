@@ -577,7 +577,7 @@ def stream_gold_editors(spark, sf_dir):
                        files_per_hour=1)
     gold_root = scratch_path(spark, "gold")
     sgold.run_gold(spark, silver_root, gold_root, scratch_path(spark, "ckpt-gold"),
-                   reference_latest(spark, sf_dir), max_files_per_trigger=300)
+                   reference_latest(spark, sf_dir), max_files_per_trigger=500)
     return sgold.read_dimension(spark, gold_root, "dim_editor")
 
 
