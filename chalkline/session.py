@@ -8,7 +8,6 @@ only used when that setting is absent (tests, laptops).
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -72,15 +71,6 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_root(spark)}/chalkline/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def local_path(path: str) -> str:
-    """Strip a ``file:`` scheme (for os-level checks in tests)."""
-    return path[len("file:"):] if path.startswith("file:") else path
-
-
-def env_sf_dir(default: str = "/root/testdata/sf0.1") -> str:
-    return os.environ.get("BENCH_SF_DIR", default)
-
-
 def ensure_parallelism(df, min_partitions: int | None = None):
     """Spread a small input over the cluster's cores before CPU-heavy per-row
     work (JSON parsing, the NFC UDF).

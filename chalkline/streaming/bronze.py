@@ -8,12 +8,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from chalkline.schemas import RAW_SCHEMA
 
-BRONZE_STREAM_SCHEMA = RAW_SCHEMA
-
-
 def raw_stream(spark: SparkSession, raw_path: str, max_files_per_trigger: int | None = None
                ) -> DataFrame:
     reader = spark.readStream.schema(RAW_SCHEMA)
@@ -39,8 +37,8 @@ def run_bronze(spark: SparkSession, raw_path: str, bronze_path: str, checkpoint:
     return sum(p.get("numInputRows", 0) for p in q.recentProgress)
 
 
-def bronze_schema() -> "object":
-    from pyspark.sql import types as T
+def bronze_schema() -> T.StructType:
+    """Raw columns plus the load stamp."""
     return T.StructType(RAW_SCHEMA.fields + [T.StructField("_bronze_loaded_at", T.TimestampType())])
 
 

@@ -75,3 +75,11 @@ def test_hot_group_of_exact_copies_is_split(spark):
     per_task = (dups.where("_event_id = 'hot'").select(F.spark_partition_id().alias("p"))
                     .groupBy("p").count().collect())
     assert len(per_task) > 1 and max(r["count"] for r in per_task) <= 4999 // 2 + 500
+
+
+def test_union_all_by_name_fills_missing_columns(spark):
+    from chalkline.operators import setops
+    a = spark.createDataFrame([(1, "x")], "id int, v string")
+    b = spark.createDataFrame([(2, True)], "id int, flag boolean")
+    out = setops.union_all_by_name(a, b).orderBy("id").collect()
+    assert [tuple(r) for r in out] == [(1, "x", None), (2, None, True)]

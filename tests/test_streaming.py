@@ -125,3 +125,16 @@ def test_raw_ingest_stream_lands_by_event_time(spark, scratch):
     got = spark.read.parquet(out).groupBy("dt", "hour").count().collect()
     assert sorted((str(r["dt"]), r["hour"], r["count"]) for r in got) == [
         ("2026-08-01", 10, 3), ("2026-08-01", 11, 3)]
+
+
+def test_sql_over_a_registered_stream(spark, scratch):
+    from chalkline.streaming import sql as ssql
+    raw_path, out, ckpt = scratch("raw"), scratch("out"), scratch("ckpt")
+    land(spark, raw_path, [raw_row(event_id=str(i), id_=i, type_="new" if i else "edit")
+                           for i in range(4)])
+    ssql.register_stream(bronze.raw_stream(spark, raw_path), "raw_events_stream")
+    counts = ssql.stream_sql(spark, "SELECT type, _event_id FROM raw_events_stream WHERE type = 'new'")
+    q = (counts.writeStream.format("parquet").option("checkpointLocation", ckpt)
+         .trigger(availableNow=True).start(out))
+    q.awaitTermination()
+    assert spark.read.parquet(out).count() == 3
