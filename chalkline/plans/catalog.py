@@ -44,7 +44,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def feed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return adapter.feed_rows(table(spark, sf_dir, "events"))
+    return adapter.feed_rows(ensure_parallelism(table(spark, sf_dir, "events")))
 
 
 def staged(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -150,7 +150,7 @@ def drift_fields(spark, sf_dir):
 # Parsing / ingestion ---------------------------------------------------------------
 
 def lines(spark, sf_dir):
-    return adapter.feed_lines(ensure_parallelism(table(spark, sf_dir, "events")))
+    return adapter.feed_lines(ensure_parallelism(table(spark, sf_dir, "events"), barrier=True))
 
 
 def parsed_lines(spark, sf_dir):

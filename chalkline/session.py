@@ -71,19 +71,22 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_root(spark)}/chalkline/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def ensure_parallelism(df, min_partitions: int | None = None):
+def ensure_parallelism(df, min_partitions: int | None = None, barrier: bool = False):
     """Spread a small input over the cluster's cores before CPU-heavy per-row
     work (JSON parsing, the NFC UDF).
 
     Only acts when the scan yields fewer partitions than there are cores - a
-    single-row-group file, say.  The spread rows are checkpointed to the shared
-    checkpoint folder, which also stops the optimizer from pushing the heavy
-    per-row predicates back below the shuffle into the single scan task.
-    Large inputs already have a split per core and pass through untouched: no
-    shuffle and no checkpoint at scale."""
+    single-row-group file, say.  With ``barrier`` the spread rows are also
+    checkpointed to the shared checkpoint folder, which stops the optimizer
+    from pushing heavy per-row predicates (JSON parsing) back below the
+    shuffle into the single scan task.  Large inputs already have a split per
+    core and pass through untouched: no shuffle and no checkpoint at scale."""
     spark = df.sparkSession
     target = min_partitions or spark.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() >= target:
         return df
+    spread = df.repartition(target)
+    if not barrier:
+        return spread
     checkpoint_root(spark)
-    return df.repartition(target).checkpoint(eager=True)
+    return spread.checkpoint(eager=True)
