@@ -1,8 +1,8 @@
 """Change data: snapshot diff (change feed), SCD type 1 and type 2.
 
 * ``snapshot_diff``: two versions of a keyed table -> change rows
-  (insert / update_preimage / update_postimage / delete) in one full outer
-  join and one generator; unchanged rows produce nothing.
+  (insert / update_preimage / update_postimage / delete) from multiset
+  differences and key-existence semi/anti joins (never row pairs).
 * ``scd1``: latest row per key by a sequence - an aggregation (partial,
   map-side), so a hot key never lands whole in one task.
 * ``scd2``: versions with start/end sequence.  Consecutive changes with equal
@@ -24,38 +24,33 @@ CHANGE_TYPE = "_change_type"
 COMMIT_VERSION = "_commit_version"
 
 
-def _null_safe_equal(cols: Sequence[str], left: str, right: str) -> Column:
-    eq = F.lit(True)
-    for c in cols:
-        eq = eq & F.col(f"{left}.{c}").eqNullSafe(F.col(f"{right}.{c}"))
-    return eq
-
-
 def snapshot_diff(before: DataFrame, after: DataFrame, keys: Sequence[str],
                   commit_version: int) -> DataFrame:
-    """Change feed between two versions of a table keyed by ``keys``."""
+    """Change feed between two versions of a table keyed by ``keys``.
+
+    Rows that left (``before EXCEPT ALL after``) are deletes, or update
+    pre-images when their key still exists; rows that arrived (``after EXCEPT
+    ALL before``) are inserts, or update post-images when their key existed
+    before.  Key existence is a semi/anti join against distinct keys, so no
+    key - however many rows share it - ever produces row pairs; unchanged rows
+    produce nothing.  NULLs compare equal, as in ``<=>``."""
     keys = list(keys)
-    payload = [c for c in after.columns if c not in keys]
-    b = before.select(*keys, F.struct(*[F.col(c) for c in payload]).alias("_b"))
-    a = after.select(*keys, F.struct(*[F.col(c) for c in payload]).alias("_a"))
-    j = b.join(a, on=keys, how="full_outer")
-    same = _null_safe_equal(payload, "_b", "_a")
-
-    def change(kind: str, side: str) -> Column:
-        return F.struct(F.lit(kind).alias("kind"), F.col(side).alias("row"))
-
-    changes = F.filter(F.array(
-        F.when(F.col("_b").isNull(), change("insert", "_a")),
-        F.when(F.col("_a").isNull(), change("delete", "_b")),
-        F.when(F.col("_a").isNotNull() & F.col("_b").isNotNull() & ~same,
-               change("update_preimage", "_b")),
-        F.when(F.col("_a").isNotNull() & F.col("_b").isNotNull() & ~same,
-               change("update_postimage", "_a")),
-    ), lambda x: x.isNotNull())
-    out = j.select(*keys, F.explode(changes).alias("_c"))
-    return out.select(*keys, *[F.col(f"_c.row.{c}").alias(c) for c in payload],
-                      F.col("_c.kind").alias(CHANGE_TYPE),
-                      F.lit(commit_version).cast("long").alias(COMMIT_VERSION))
+    cols = after.columns
+    before = before.select(*cols)
+    removed = before.exceptAll(after)
+    added = after.exceptAll(before)
+    before_keys = before.select(*keys).distinct()
+    after_keys = after.select(*keys).distinct()
+
+    def tag(df: DataFrame, other_keys: DataFrame, present: str, absent: str) -> DataFrame:
+        still = df.join(other_keys, on=keys, how="left_semi").withColumn(CHANGE_TYPE, F.lit(present))
+        gone = df.join(other_keys, on=keys, how="left_anti").withColumn(CHANGE_TYPE, F.lit(absent))
+        return still.unionByName(gone)
+
+    changes = tag(removed, after_keys, "update_preimage", "delete").unionByName(
+        tag(added, before_keys, "update_postimage", "insert"))
+    return changes.select(*cols, CHANGE_TYPE,
+                          F.lit(commit_version).cast("long").alias(COMMIT_VERSION))
 
 
 def scd1(changes: DataFrame, keys: Sequence[str], sequence: Sequence[str]) -> DataFrame:

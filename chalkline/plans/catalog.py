@@ -415,7 +415,7 @@ SCD1_SPLIT = "1998-01-01"
 
 @query
 def change_feed_diff(spark, sf_dir):
-    """CDC-1: change feed between two versions of orders (full outer join)."""
+    """CDC-1: change feed between two versions of orders (multiset differences + key existence)."""
     v1, v2 = adapter.orders_versions(table(spark, sf_dir, "orders"))
     return cdc.snapshot_diff(v1, v2, ["o_orderkey"], commit_version=2)
 

@@ -76,3 +76,11 @@ def test_scd_type_is_one_parameter(spark):
     df = spark.createDataFrame(rows, "k int, s int, v string")
     assert cdc.scd1(df, ["k"], ["s"]).count() == 1
     assert cdc.scd2(df, ["k"], ["s"], ["v"], F.lit(0)).count() == 2
+
+
+def test_snapshot_diff_never_pairs_duplicate_keys(spark):
+    v1 = spark.createDataFrame([(1, "a"), (1, "b")] + [(2, "x")] * 50, "k int, v string")
+    v2 = spark.createDataFrame([(1, "a"), (1, "c")] + [(2, "x")] * 49, "k int, v string")
+    out = sorted((r["k"], r["v"], r["_change_type"]) for r in cdc.snapshot_diff(v1, v2, ["k"], 2).collect())
+    assert out == [(1, "b", "update_preimage"), (1, "c", "update_postimage"),
+                   (2, "x", "update_preimage")]
