@@ -6,8 +6,6 @@ function in the hot path; it runs as an Arrow-batched pandas UDF.
 
 from __future__ import annotations
 
-import unicodedata
-
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -27,15 +25,20 @@ def has_control_chars(c: Column) -> Column:
     return c.rlike(CONTROL_CHAR_PATTERN)
 
 
-def _nfc_one(value):
-    if value is None:
-        return None
-    if value.isascii():
-        return value
-    return unicodedata.normalize("NFC", value)
+def _make_nfc():
+    """Build the NFC pandas UDF.
+
+    The worker-side function is defined locally, so it is shipped to the
+    executors by value: workers need pandas, not this package."""
+    def normalize(values: pd.Series) -> pd.Series:
+        import unicodedata
+
+        def one(value):
+            if value is None or value.isascii():
+                return value
+            return unicodedata.normalize("NFC", value)
+        return values.map(one, na_action="ignore")
+    return F.pandas_udf(normalize, T.StringType())
 
 
-@F.pandas_udf(T.StringType())
-def nfc(values: pd.Series) -> pd.Series:
-    """Unicode NFC; NULL stays NULL.  ASCII values skip the normalizer."""
-    return values.map(_nfc_one, na_action="ignore")
+nfc = _make_nfc()
