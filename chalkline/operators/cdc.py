@@ -53,6 +53,14 @@ def snapshot_diff(before: DataFrame, after: DataFrame, keys: Sequence[str],
                           F.lit(commit_version).cast("long").alias(COMMIT_VERSION))
 
 
+def as_upserts(changes: DataFrame) -> DataFrame:
+    """Rows a downstream layer should ingest from a change feed: inserts and
+    update post-images only (pre-images and deletes never re-enter as rows),
+    without the change metadata."""
+    keep = F.col(CHANGE_TYPE).isin("insert", "update_postimage")
+    return changes.where(keep).drop(CHANGE_TYPE, COMMIT_VERSION)
+
+
 def scd1(changes: DataFrame, keys: Sequence[str], sequence: Sequence[str]) -> DataFrame:
     """Current row per key: the change with the greatest sequence wins."""
     keys, sequence = list(keys), list(sequence)

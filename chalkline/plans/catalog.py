@@ -420,6 +420,14 @@ def change_feed_diff(spark, sf_dir):
     return cdc.snapshot_diff(v1, v2, ["o_orderkey"], commit_version=2)
 
 
+@query
+def change_feed_upserts(spark, sf_dir):
+    """D13: what the next layer reads from the change feed (inserts and
+    post-images, no change metadata)."""
+    v1, v2 = adapter.orders_versions(table(spark, sf_dir, "orders"))
+    return cdc.as_upserts(cdc.snapshot_diff(v1, v2, ["o_orderkey"], commit_version=2))
+
+
 def _customer_changes(spark, sf_dir):
     return table(spark, sf_dir, "orders").select(
         "o_custkey", *ORDER_SEQUENCE, "o_orderstatus", "o_orderpriority")

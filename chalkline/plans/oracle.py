@@ -306,6 +306,10 @@ UNION ALL SELECT *, 'delete', 2 FROM v1 WHERE o_orderkey NOT IN (SELECT o_orderk
 UNION ALL SELECT *, 'update_preimage', 2 FROM v1 WHERE o_orderkey IN (SELECT o_orderkey FROM changed)
 UNION ALL SELECT *, 'update_postimage', 2 FROM v2 WHERE o_orderkey IN (SELECT o_orderkey FROM changed)""")
 
+ORACLES["change_feed_upserts"] = _with(VERSIONS, """
+SELECT * FROM v2 WHERE o_orderkey NOT IN (SELECT o_orderkey FROM v1)
+UNION ALL SELECT * FROM v2 WHERE o_orderkey IN (SELECT o_orderkey FROM changed)""")
+
 ORACLES["scd1_customer"] = """
 SELECT o_custkey, o_orderdate, o_orderkey, o_orderstatus, o_orderpriority FROM orders
 WHERE o_custkey IS NOT NULL
