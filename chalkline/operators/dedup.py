@@ -29,16 +29,18 @@ def _ordered_struct(df: DataFrame, keys: Sequence[str], order: Sequence[str]) ->
 
 
 def _pick(df: DataFrame, keys: Sequence[str], order: Sequence[str], latest: bool) -> DataFrame:
-    """One scan, one aggregation.  A row whose key has a NULL component gets
-    a per-row group id (``_solo``), so it forms a group of its own and is kept."""
+    """One aggregation over rows with a complete key.  Rows with a NULL key
+    component never collapse: they bypass the aggregation as a filtered
+    branch (no shuffle, and deterministic under task retries)."""
     keys, order = list(keys), list(order)
+    null_key = _any_null(keys)
     packed = _ordered_struct(df, keys, order)
     agg = F.max(packed) if latest else F.min(packed)
-    solo = F.when(_any_null(keys), F.monotonically_increasing_id())
-    picked = df.withColumn("_solo", solo).groupBy(*keys, "_solo").agg(agg.alias("_row"))
-    return picked.select(*[F.col(k) for k in keys],
-                         *[F.col(f"_row.{c}").alias(c) for c in df.columns if c not in keys]
-                         ).select(*df.columns)
+    picked = df.where(~null_key).groupBy(*keys).agg(agg.alias("_row"))
+    picked = picked.select(*[F.col(k) for k in keys],
+                           *[F.col(f"_row.{c}").alias(c) for c in df.columns if c not in keys]
+                           ).select(*df.columns)
+    return picked.unionByName(df.where(null_key))
 
 
 def keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
