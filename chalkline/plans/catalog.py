@@ -76,6 +76,17 @@ def dq_tag_reasons(spark, sf_dir):
         F.size(dq.REASONS_COLUMN).cast("int").alias("n_failures"))
 
 
+STRICT = dq.DQConfig(as_of=adapter.AS_OF, strict=True)
+
+
+@query
+def dq_strict_reasons(spark, sf_dir):
+    """D1, D2, D14: the strict rule set - ``type`` required, ``user`` checked for
+    control characters, a NULL check counts as a failure, lateness never NULL."""
+    st = silver.stage(feed(spark, sf_dir), STRICT, load_stamp=False)
+    return st.select("id", "_event_id", reasons_text(), "_is_late_arrival")
+
+
 @query
 def dq_breakdown(spark, sf_dir):
     """DQ-9: rejected rows per dimension, most frequent first."""

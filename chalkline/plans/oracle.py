@@ -114,6 +114,23 @@ SELECT id, _event_id, array_to_string(reasons, ',') AS dq_failure_reasons,
        CAST(len(reasons) AS INTEGER) AS n_failures
 FROM staged""")
 
+ORACLES["dq_strict_reasons"] = _with(STAGED, f"""
+SELECT id, _event_id, array_to_string(list_filter([
+    CASE WHEN NOT coalesce(_event_id IS NOT NULL AND title IS NOT NULL AND wiki IS NOT NULL
+                           AND meta_dt IS NOT NULL AND type IS NOT NULL, false)
+         THEN 'completeness' END,
+    CASE WHEN NOT coalesce(type IN ('edit', 'new', 'log', 'categorize')
+                           AND NOT regexp_matches(title, '{_CTRL}')
+                           AND NOT coalesce(regexp_matches("user", '{_CTRL}'), false), false)
+         THEN 'validity' END,
+    CASE WHEN NOT coalesce((type <> 'new' OR length_old IS NULL OR length_old = 0)
+                           AND "timestamp" <= {_AS_OF_EPOCH + _SKEW}, false) THEN 'accuracy' END,
+    CASE WHEN NOT coalesce(dt = CAST(DATE '1970-01-01' + CAST(floor("timestamp" / 86400) AS INTEGER)
+                                     AS VARCHAR), false) THEN 'consistency' END
+  ], lambda x: x IS NOT NULL), ',') AS dq_failure_reasons,
+  coalesce(_ingestion_latency_seconds > {_LATE}, false) AS _is_late_arrival
+FROM staged""")
+
 ORACLES["dq_breakdown"] = _with(STAGED, """
 SELECT reason, count(*) AS row_count
 FROM (SELECT unnest(reasons) AS reason FROM survivors)
