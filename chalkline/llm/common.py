@@ -63,6 +63,13 @@ def free_name(df: DataFrame, stem: str) -> str:
     return stem
 
 
+def positional(df: DataFrame, *named: str) -> tuple[DataFrame, list[str]]:
+    """The frame with columns x0, x1, ... and the new names of the given columns: helper
+    columns, which start with an underscore, then clash with nothing."""
+    names = [f"x{i}" for i in range(len(df.columns))]
+    return df.toDF(*names), [names[df.columns.index(c)] for c in named]
+
+
 def tasks(df: DataFrame) -> int:
     """Partitions for an explicit repartition."""
     spark = df.sparkSession

@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import free_name, land
+from .common import free_name, land, positional
 
 PREFIX_CHARS = 64
 
@@ -60,7 +60,8 @@ def mark_copies(docs: DataFrame, text: str = "text", key: str = "doc_id",
                 groups: DataFrame | None = None) -> DataFrame:
     """Every row with ``_verdict``: struct(text_sha256, keep_id, group_size, kept, n_keep)."""
     groups = copy_groups(docs, text, key) if groups is None else groups
-    keyed, (length, head, full) = _with_keys(docs, text, full=True)
+    rows, (text_x, key_x) = positional(docs, text, key)
+    keyed, (length, head, full) = _with_keys(rows, text_x, full=True)
     g = groups.select(F.col("n_bytes").alias(length), F.col("head_hash").alias(head),
                       F.col("text_sha256").alias(full), F.col("keep_id").alias("_g_keep"),
                       F.col("group_size").alias("_g_size"), F.col("n_keep").alias("_g_n"))
@@ -68,11 +69,12 @@ def mark_copies(docs: DataFrame, text: str = "text", key: str = "doc_id",
     single = F.col("_g_size").isNull()
     verdict = F.struct(
         F.col(full).alias("text_sha256"),
-        F.when(single, F.col(key)).otherwise(F.col("_g_keep")).alias("keep_id"),
+        F.when(single, F.col(key_x)).otherwise(F.col("_g_keep")).alias("keep_id"),
         F.coalesce("_g_size", F.lit(1)).cast("long").alias("group_size"),
-        (single | F.col(key).eqNullSafe(F.col("_g_keep"))).alias("kept"),
+        (single | F.col(key_x).eqNullSafe(F.col("_g_keep"))).alias("kept"),
         F.coalesce("_g_n", F.lit(1)).cast("long").alias("n_keep"))
-    return joined.select(*docs.columns, verdict.alias(free_name(docs, "_verdict")))
+    return joined.select(*[F.col(x).alias(c) for x, c in zip(rows.columns, docs.columns)],
+                         verdict.alias(free_name(docs, "_verdict")))
 
 
 def drop_copies(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:

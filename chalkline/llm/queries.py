@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
-from . import exact_dedup
+from . import bpe, exact_dedup, host_rules, mixing
 
 QUERIES = {
+    "op1_mix_sources": mixing.op1_mix_sources,
+    "op4_bpe_roundtrip": bpe.op4_bpe_roundtrip,
     "op9_exact_dedup": exact_dedup.op9_exact_dedup,
+    "op10_host_quality": host_rules.op10_host_quality,
 }
 
 SQL = {
+    "op1_mix_sources": mixing.SQL,
     "op9_exact_dedup": exact_dedup.SQL,
+    "op10_host_quality": host_rules.SQL,
 }
