@@ -2,17 +2,22 @@
 
 from __future__ import annotations
 
-from . import bpe, exact_dedup, host_rules, mixing
+from . import bpe, exact_dedup, host_rules, licenses, mixing, secrets_scan, setjoin, token_files
 
 QUERIES = {
     "op1_mix_sources": mixing.op1_mix_sources,
     "op4_bpe_roundtrip": bpe.op4_bpe_roundtrip,
+    "op5_license_scan": licenses.op5_license_scan,
+    "op6_token_files": token_files.op6_token_files,
+    "op7_secret_scan": secrets_scan.op7_secret_scan,
+    "op8_ngram_jaccard_join": setjoin.op8_ngram_jaccard_join,
     "op9_exact_dedup": exact_dedup.op9_exact_dedup,
     "op10_host_quality": host_rules.op10_host_quality,
 }
 
 SQL = {
     "op1_mix_sources": mixing.SQL,
+    "op7_secret_scan": secrets_scan.SQL,
     "op9_exact_dedup": exact_dedup.SQL,
     "op10_host_quality": host_rules.SQL,
 }
