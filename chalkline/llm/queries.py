@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from . import bpe, exact_dedup, host_rules, licenses, mixing, secrets_scan, setjoin, token_files
+from . import bpe, exact_dedup, host_rules, interpolation, licenses, mixing, secrets_scan, setjoin, token_files, weak_quality
 
 QUERIES = {
     "op1_mix_sources": mixing.op1_mix_sources,
+    "op2_quality_classifier": weak_quality.op2_quality_classifier,
+    "op3_lm_score": interpolation.op3_lm_score,
     "op4_bpe_roundtrip": bpe.op4_bpe_roundtrip,
     "op5_license_scan": licenses.op5_license_scan,
     "op6_token_files": token_files.op6_token_files,
