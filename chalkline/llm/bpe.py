@@ -32,6 +32,7 @@ import re
 import sys
 from itertools import chain
 
+import ahocorasick
 import numpy as np
 import pyarrow as pa
 import regex
@@ -48,6 +49,8 @@ SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)
 SPLIT_LATIN = r"'(?:[stmd]|re|ve|ll)| ?[^\W\d_]+| ?[0-9]+| ?(?:[^\s\w]|_)+|\s+(?!\S)|\s+"
 BEYOND_LATIN = "[^\x09-\x0d\x20-\x7e\u00c0-\u024f]"
 CACHE_WORDS = 400_000
+#: Words beyond this many bytes are merged one by one with a heap.
+LONG_WORD = 64
 NEVER = np.int64(1) << 40
 
 
@@ -86,54 +89,89 @@ class Vocabulary:
         self.left = np.arange(self.size, dtype=np.int64)
         self.right = np.arange(self.size, dtype=np.int64)
         self.rank: dict[int, int] = {}              # left * size + right -> rank
-        self.result: list[int] = []                 # rank -> token
+        result = []                                 # rank -> token
         for rank, m in enumerate(spec["model"]["merges"]):
             a, b = m.split(" ") if isinstance(m, str) else m
             i, j, k = vocab[a], vocab[b], vocab[a + b]
             self.rank[i * self.size + j] = rank
-            self.result.append(k)
+            result.append(k)
             if self.made[k] < 0:
                 self.made[k], self.left[k], self.right[k] = rank, i, j
+        self.result = np.array(result, dtype=np.int64)
+        self.byte_ids = np.array(self.byte_id, dtype=np.int64)
         keys = np.fromiter(self.rank, dtype=np.int64, count=len(self.rank))
         order = np.argsort(keys)
         self.pair_keys = keys[order]
         self.pair_ranks = np.fromiter(self.rank.values(), dtype=np.int64, count=len(keys))[order]
         # the proposal may use only tokens that their own bytes encode to
         self.propose: dict[bytes, int] = {}
-        for i in vocab.values():
-            b = self.bytes_of[i]
-            if len(b) == 1 or self.exact(b) == [i]:
-                self.propose[b] = i
-        # longest proposal that starts with these two bytes
-        self.reach: dict[bytes, int] = {}
-        for b in self.propose:
-            if len(b) > 1:
-                self.reach[b[:2]] = max(self.reach.get(b[:2], 0), len(b))
+        tokens = list(vocab.values())
+        for i, ids in zip(tokens, self.exact([self.bytes_of[i] for i in tokens])):
+            if ids == [i]:
+                self.propose[self.bytes_of[i]] = i
+        # leftmost-longest matcher over the proposals, bytes as code points below 256
+        self.matcher = ahocorasick.Automaton()
+        for b, i in self.propose.items():
+            self.matcher.add_word(b.decode("latin-1"), i)
+        self.matcher.make_automaton()
         self.cut, self.cut_latin, self.beyond = regex.compile(SPLIT), re.compile(SPLIT_LATIN), re.compile(BEYOND_LATIN)
         self.cut_special = regex.compile("(" + "|".join(map(regex.escape, self.special)) + ")") if self.special else None
-        # the pre-tokenisation never yields a special token's text as one word
-        self.words: dict[str, list[int]] = {s: [i] for s, i in self.special.items()}
-
-    def exact(self, word: bytes) -> list[int]:
-        """Byte-pair merging, lowest rank first, leftmost among equals."""
-        ids = [self.byte_id[b] for b in word]
-        return self._merge_short(ids) if len(ids) <= 64 else self._merge_long(ids)
-
-    def _merge_short(self, ids: list[int]) -> list[int]:
-        size, rank, none = self.size, self.rank.get, int(NEVER)
-        ranks = [rank(a * size + b, none) for a, b in zip(ids, ids[1:])]
-        while ranks:
-            r = min(ranks)
-            if r == none:
-                break
-            i = ranks.index(r)
-            ids[i] = t = self.result[r]
-            del ids[i + 1], ranks[i]
-            if i:
-                ranks[i - 1] = rank(ids[i - 1] * size + t, none)
-            if i < len(ranks):
-                ranks[i] = rank(t * size + ids[i + 1], none)
-        return ids
+        self._forget()
+
+    def _forget(self) -> None:
+        """Known words: number, and start and length of their ids in one array.  The
+        pre-tokenisation never yields a special token's text as a word, so they share it."""
+        self.number = {s: k for k, s in enumerate(self.special)}
+        self.flat = np.array(list(self.special.values()), dtype=np.int32)
+        self.start = np.arange(len(self.special), dtype=np.int64)
+        self.length = np.ones(len(self.special), dtype=np.int64)
+
+    def exact(self, words: list[bytes]) -> list[list[int]]:
+        """Byte-pair merging, lowest rank first, leftmost among equals; one merge of
+        every word at a time, words of like length together on one array."""
+        out: list[list[int]] = [[]] * len(words)
+        groups: dict[int, list[int]] = {}
+        for k, w in enumerate(words):
+            if len(w) > LONG_WORD:
+                out[k] = self._merge_long([self.byte_id[b] for b in w])
+            else:
+                groups.setdefault(-(-len(w) // 8) * 8, []).append(k)
+        for width, members in groups.items():
+            for lo in range(0, len(members), 20_000):
+                self._merge_rows(words, members[lo:lo + 20_000], width, out)
+        return out
+
+    def _merge_rows(self, words, members, width, out) -> None:
+        raw = np.frombuffer(b"".join(words[k].ljust(width, b"\0") for k in members), np.uint8).reshape(-1, width)
+        row = np.array(members)
+        n = np.array([len(words[k]) for k in members])
+        ids = self.byte_ids[raw]
+        cols = np.arange(width)
+        ranks = self.rank_of(ids[:, :-1], ids[:, 1:])
+        ranks[cols[None, :-1] >= n[:, None] - 1] = NEVER
+        while len(row):
+            i = ranks.argmin(axis=1)                     # the first of equal ranks
+            r = ranks[np.arange(len(row)), i]
+            done = r == NEVER
+            for k, x, m in zip(row[done].tolist(), ids[done].tolist(), n[done].tolist()):
+                out[k] = x[:m]
+            go = ~done
+            row, n, ids, ranks, i, r = row[go], n[go] - 1, ids[go], ranks[go], i[go], r[go]
+            if not len(row):
+                return
+            at = np.arange(len(row))
+            ids[at, i] = self.result[r]
+            step = cols + (cols > i[:, None])            # what stands behind the merged pair moves up
+            ids = np.take_along_axis(ids, np.minimum(step, width - 1), axis=1)
+            ranks = np.take_along_axis(ranks, np.minimum(step[:, :-1], width - 2), axis=1)
+            left = np.flatnonzero(i > 0)
+            ranks[left, i[left] - 1] = self.rank_of(ids[left, i[left] - 1], ids[left, i[left]])
+            inner = i + 1 < n
+            right = np.flatnonzero(inner)
+            ranks[right, i[right]] = self.rank_of(ids[right, i[right]], ids[right, i[right] + 1])
+            last = np.flatnonzero(~inner & (i < width - 1))
+            ranks[last, i[last]] = NEVER
+            ranks[cols[None, :-1] >= n[:, None] - 1] = NEVER
 
     def _merge_long(self, ids: list[int]) -> list[int]:
         """The same with a heap of candidate merges: n log n for words of any length."""
@@ -152,7 +190,7 @@ class Vocabulary:
             j = nxt[i]
             if not alive[i] or j >= n or ids[i] != a or ids[j] != b:
                 continue
-            ids[i], alive[j], nxt[i] = self.result[r], False, nxt[j]
+            ids[i], alive[j], nxt[i] = int(self.result[r]), False, nxt[j]
             if nxt[i] < n:
                 prv[nxt[i]] = i
             offer(i, nxt[i])
@@ -160,15 +198,7 @@ class Vocabulary:
         return [t for t, ok in zip(ids, alive) if ok]
 
     def greedy(self, word: bytes) -> list[int]:
-        out, i, n, table, reach = [], 0, len(word), self.propose, self.reach
-        while i < n:
-            for j in range(min(n, i + reach.get(word[i:i + 2], 1)), i, -1):
-                t = table.get(word[i:j])
-                if t is not None:
-                    out.append(t)
-                    i = j
-                    break
-        return out
+        return [i for _, i in self.matcher.iter_long(word.decode("latin-1"))]
 
     def rank_of(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         key = a * self.size + b
@@ -196,31 +226,41 @@ class Vocabulary:
             eat_b, b = np.where(undo_a, eat_b, made_b), np.where(undo_a, b, self.left[b])
         return ok
 
-    def learn(self, pieces) -> None:
+    def learn(self, words) -> None:
         """Encode words that the cache lacks."""
-        new = [w for w in pieces if w not in self.words]
+        new = [w for w in words if w not in self.number]
         if not new:
             return
         raw = [w.encode("utf-8", "surrogatepass") for w in new]
-        guess = [self.greedy(b) for b in raw]
-        lens = np.fromiter(map(len, guess), dtype=np.int64, count=len(guess))
-        flat = np.fromiter(chain.from_iterable(guess), dtype=np.int64, count=int(lens.sum()))
-        owner = np.repeat(np.arange(len(guess)), lens)
+        found = [self.greedy(b) for b in raw]
+        lens, flat = ragged(found)
+        owner = np.repeat(np.arange(len(found)), lens)
         inner = np.flatnonzero(owner[1:] == owner[:-1])
-        pairs = flat[inner] * self.size + flat[inner + 1]
-        kinds, which = np.unique(pairs, return_inverse=True)
+        kinds, which = np.unique(flat[inner] * np.int64(self.size) + flat[inner + 1], return_inverse=True)
         good = self.compatible(kinds // self.size, kinds % self.size)
-        failed = set(owner[inner][~good[which]].tolist())
-        for i, w in enumerate(new):
-            self.words[w] = self.exact(raw[i]) if i in failed else guess[i]
-
-    def encode_batch(self, texts: list[str]) -> list[list[int]]:
-        if len(self.words) > CACHE_WORDS:
-            self.words = {s: [i] for s, i in self.special.items()}
+        failed = np.unique(owner[inner][~good[which]]).tolist()
+        if failed:
+            for i, ids in zip(failed, self.exact([raw[i] for i in failed])):
+                found[i] = ids
+            lens, flat = ragged(found)
+        self.number.update(zip(new, range(len(self.start), len(self.start) + len(new))))
+        self.start = np.concatenate((self.start, len(self.flat) + np.cumsum(lens) - lens))
+        self.length = np.concatenate((self.length, lens))
+        self.flat = np.concatenate((self.flat, flat))
+
+    def encode_batch(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids per text, all ids one after another)."""
+        if len(self.number) > CACHE_WORDS:
+            self._forget()
         cut = [self.cut_words(t) for t in texts]
         self.learn(set(chain.from_iterable(cut)))
-        table = self.words
-        return [list(chain.from_iterable(map(table.__getitem__, ws))) for ws in cut]
+        n_words = np.fromiter(map(len, cut), dtype=np.int64, count=len(cut))
+        words = np.fromiter(map(self.number.__getitem__, chain.from_iterable(cut)), dtype=np.int64, count=int(n_words.sum()))
+        lens = self.length[words]
+        ends = np.cumsum(lens)
+        at = np.repeat(self.start[words] - ends + lens, lens) + np.arange(int(lens.sum()))
+        edge = np.concatenate(([0], ends))[np.concatenate(([0], np.cumsum(n_words)))]
+        return np.diff(edge), self.flat[at]
 
     def cut_words(self, text: str) -> list[str]:
         cut = self.cut if self.beyond.search(text) else self.cut_latin
@@ -248,6 +288,11 @@ def _vocabulary(path: str) -> Vocabulary:
 SLICE_CHARS = 2_000_000
 
 
+def ragged(lists) -> tuple[np.ndarray, np.ndarray]:
+    lens = np.fromiter(map(len, lists), dtype=np.int64, count=len(lists))
+    return lens, np.fromiter(chain.from_iterable(lists), dtype=np.int32, count=int(lens.sum()))
+
+
 def _slices(values, weight):
     start, total = 0, 0
     for i, v in enumerate(values):
@@ -265,9 +310,7 @@ def _encoder(path: str, text_at: int, ids_at: int):
         for b in batches:
             texts = [t or "" for t in b.column(text_at).to_pylist()]
             for lo, hi in _slices(texts, len):
-                ids = vocab.encode_batch(texts[lo:hi])
-                lens = np.fromiter(map(len, ids), dtype=np.int64, count=len(ids))
-                flat = np.fromiter(chain.from_iterable(ids), dtype=np.int32, count=int(lens.sum()))
+                lens, flat = vocab.encode_batch(texts[lo:hi])
                 offsets = np.concatenate(([0], np.cumsum(lens))).astype(np.int32)
                 cols = list(b.slice(lo, hi - lo).columns)
                 yield pa.RecordBatch.from_arrays(
@@ -283,7 +326,11 @@ def _decoder(path: str, ids_at: int):
             for lo in range(0, b.num_rows, 500):
                 part = b.slice(lo, 500)
                 ids = part.column(ids_at)
-                texts = [None if not x.is_valid else vocab.decode(x.values.to_numpy()) for x in ids]
+                flat, edges = ids.values.to_numpy(zero_copy_only=False), ids.offsets.to_pylist()
+                pieces = list(map(vocab.bytes_of.__getitem__, flat[edges[0]:edges[-1]].tolist()))
+                known = ids.is_valid().to_pylist()
+                texts = [b"".join(pieces[x - edges[0]:y - edges[0]]).decode("utf-8", "replace") if ok else None
+                         for x, y, ok in zip(edges, edges[1:], known)]
                 yield pa.RecordBatch.from_arrays(list(part.columns) + [pa.array(texts, type=pa.string())],
                                                  names=part.schema.names + ["decoded"])
     return run
