@@ -38,8 +38,8 @@ from .common import by_value, land, mix64, tasks, words_of
 FOLDS = 7
 HELD_OUT = 2            # scored only
 TUNING = 3              # of the training documents: weights are learned on these
-BLOCK_CHARS = 16_000_000
-RANGE_TOKENS = 2_500_000
+BLOCK_CHARS = 5_000_000
+RANGE_TOKENS = 1_200_000
 ROUNDS = 40
 #: Octave eighths; a count of 0 has its own code.
 FINE = 8
@@ -62,6 +62,12 @@ def unpack(raw: bytes, dtype) -> np.ndarray:
     return np.ascontiguousarray(planes.reshape(size, -1).T).view(dtype).ravel()
 
 
+def rows_of(batch):
+    """One row at a time as Python objects: a row is a whole block."""
+    for i in range(batch.num_rows):
+        yield batch.slice(i, 1).to_pylist()[0]
+
+
 # ---- blocks ----
 
 def _blocks(batches):
@@ -121,7 +127,7 @@ class Block:
 def _requests(ranges: int):
     def run(batches):
         for b in batches:
-            for r in b.to_pylist():
+            for r in rows_of(b):
                 x = Block(r["folds"], r["lens"], r["tokens"], r["words"])
                 tuning = x.fold == TUNING
                 main = ~tuning & (x.fold != HELD_OUT)
@@ -149,6 +155,7 @@ def _answer(group: pa.Table) -> pa.Table:
     rows = group.to_pylist()
     keys = [np.cumsum(unpack(r["keys"], np.uint64), dtype=np.uint64) for r in rows]
     _, place = np.unique(np.concatenate(keys), return_inverse=True)
+    place = place.astype(np.int32)
     main, tuning = (np.bincount(place, np.concatenate([unpack(r[c], np.int64) for r in rows])).astype(np.int64)
                     for c in ("main", "tuning"))
     out, at = [], 0
@@ -242,7 +249,7 @@ def learn_weights(cells: list[tuple[int, int, int, int]], types: int, tokens: in
 def _scores(weights, types: int, tokens: int, doc_type: pa.DataType):
     def run(batches):
         for b in batches:
-            for r in b.to_pylist():
+            for r in rows_of(b):
                 x = Block(r["folds"], r["lens"], r["tokens"], r["words"])
                 c1, c2 = unpack(r["c1"], np.int64), unpack(r["c2"], np.int64)
                 cw, cu = c1[x.tokens], c1[x.before]
