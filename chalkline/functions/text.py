@@ -1,13 +1,14 @@
 """Text helpers.
 
-NFC normalization has no built-in Spark expression, so it is the one Python
-function in the hot path; it runs as an Arrow-batched pandas UDF.
+NFC normalization has no built-in Spark expression; it runs as an Arrow UDF that skips
+batches and values already in normal form.  ``register`` makes it callable from SQL.
 """
 
 from __future__ import annotations
 
-import pandas as pd
-from pyspark.sql import Column
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -26,19 +27,23 @@ def has_control_chars(c: Column) -> Column:
 
 
 def _make_nfc():
-    """Build the NFC pandas UDF.
+    """The kernel is defined locally, so it is shipped to the executors by value:
+    workers need pyarrow, not this package.  ASCII text is in normal form already and is
+    passed on untouched.  (pyarrow's own utf8_normalize is not used: in this version it
+    decomposes under every form.)"""
+    def normalize(values: pa.Array) -> pa.Array:
+        from unicodedata import is_normalized, normalize as to_form
+        if pc.all(pc.or_kleene(pc.string_is_ascii(values), pc.is_null(values)), skip_nulls=False).as_py():
+            return values
+        out = [v if v is None or v.isascii() or is_normalized("NFC", v) else to_form("NFC", v)
+               for v in values.to_pylist()]
+        return pa.array(out, pa.string())
+    return F.arrow_udf(normalize, T.StringType())
 
-    The worker-side function is defined locally, so it is shipped to the
-    executors by value: workers need pandas, not this package."""
-    def normalize(values: pd.Series) -> pd.Series:
-        import unicodedata
 
-        def one(value):
-            if value is None or value.isascii():
-                return value
-            return unicodedata.normalize("NFC", value)
-        return values.map(one, na_action="ignore")
-    return F.pandas_udf(normalize, T.StringType())
+nfc = _make_nfc()
 
 
-nfc = _make_nfc()
+def register(spark: SparkSession, name: str = "nfc") -> None:
+    """Make NFC available to SQL text under ``name``."""
+    spark.udf.register(name, nfc)

@@ -1,15 +1,14 @@
 """Change data: snapshot diff (change feed), SCD type 1 and type 2.
 
-* ``snapshot_diff``: two versions of a keyed table -> change rows
-  (insert / update_preimage / update_postimage / delete) from multiset
-  differences and key-existence semi/anti joins (never row pairs).
-* ``scd1``: latest row per key by a sequence - an aggregation (partial,
-  map-side), so a hot key never lands whole in one task.
-* ``scd2``: versions with start/end sequence.  Consecutive changes with equal
-  tracked attributes collapse into one version.  The neighbour lookups
-  (previous row, next version) are *bucketed*: windows run per (key, time
-  bucket) and a small per-bucket summary carries values across bucket edges,
-  so a key with a huge history is split across many tasks.
+* ``snapshot_diff``: two versions of a keyed table -> change rows (insert /
+  update_preimage / update_postimage / delete).  Both versions are read once, dealt out
+  by key once, and compared by counting equal rows; no row pairs are formed.
+* ``scd1``: latest row per key by a sequence - an aggregation (partial, map-side), so a
+  hot key never lands whole in one task.
+* ``scd2``: versions with start/end sequence.  Consecutive changes with equal tracked
+  attributes collapse into one version.  Rows are range-partitioned by (keys, sequence),
+  so a key with a huge history is cut into many ranges; neighbours are looked up inside a
+  range, and one summary row per range carries them across its edges.
 * ``apply_scd2``: out-of-order changes recompute only the keys they touch.
 """
 
@@ -20,6 +19,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from chalkline.session import scratch_path
+
 CHANGE_TYPE = "_change_type"
 COMMIT_VERSION = "_commit_version"
 
@@ -28,29 +29,22 @@ def snapshot_diff(before: DataFrame, after: DataFrame, keys: Sequence[str],
                   commit_version: int) -> DataFrame:
     """Change feed between two versions of a table keyed by ``keys``.
 
-    Rows that left (``before EXCEPT ALL after``) are deletes, or update
-    pre-images when their key still exists; rows that arrived (``after EXCEPT
-    ALL before``) are inserts, or update post-images when their key existed
-    before.  Key existence is a semi/anti join against distinct keys, so no
-    key - however many rows share it - ever produces row pairs; unchanged rows
-    produce nothing.  NULLs compare equal, as in ``<=>``."""
-    keys = list(keys)
-    cols = after.columns
-    before = before.select(*cols)
-    removed = before.exceptAll(after)
-    added = after.exceptAll(before)
-    before_keys = before.select(*keys).distinct()
-    after_keys = after.select(*keys).distinct()
-
-    def tag(df: DataFrame, other_keys: DataFrame, present: str, absent: str) -> DataFrame:
-        still = df.join(other_keys, on=keys, how="left_semi").withColumn(CHANGE_TYPE, F.lit(present))
-        gone = df.join(other_keys, on=keys, how="left_anti").withColumn(CHANGE_TYPE, F.lit(absent))
-        return still.unionByName(gone)
-
-    changes = tag(removed, after_keys, "update_preimage", "delete").unionByName(
-        tag(added, before_keys, "update_postimage", "insert"))
-    return changes.select(*cols, CHANGE_TYPE,
-                          F.lit(commit_version).cast("long").alias(COMMIT_VERSION))
+    Equal rows of both versions cancel out (NULLs compare equal).  What is left of the
+    old version is a delete, or an update pre-image where the key lives on; what is left
+    of the new one is an insert, or a post-image where the key was there before.  The
+    union is dealt out by key; the counts per row and per key use that one shuffle."""
+    keys, cols = list(keys), after.columns
+    both = before.select(*cols, F.lit(1).alias("_b"), F.lit(0).alias("_a")).unionByName(
+        after.select(*cols, F.lit(0).alias("_b"), F.lit(1).alias("_a")))
+    rows = both.repartition(*keys).groupBy(*cols).agg(F.sum("_b").alias("_b"), F.sum("_a").alias("_a"))
+    same_key = Window.partitionBy(*keys)
+    net = (rows.withColumn("_kb", F.sum("_b").over(same_key)).withColumn("_ka", F.sum("_a").over(same_key))
+           .withColumn("_d", F.col("_a") - F.col("_b")).where("_d <> 0"))
+    kind = (F.when(F.col("_d") > 0, F.when(F.col("_kb") > 0, "update_postimage").otherwise("insert"))
+            .when(F.col("_ka") > 0, "update_preimage").otherwise("delete"))
+    copies = F.explode(F.sequence(F.lit(1).cast("long"), F.abs("_d"))).alias("_c")
+    return net.select(*cols, kind.alias(CHANGE_TYPE), F.lit(commit_version).cast("long").alias(COMMIT_VERSION),
+                      copies).drop("_c")
 
 
 def as_upserts(changes: DataFrame) -> DataFrame:
@@ -77,60 +71,66 @@ def apply_scd1(current: DataFrame, changes: DataFrame, keys: Sequence[str],
     return scd1(current.unionByName(changes.select(*current.columns)), keys, sequence)
 
 
-# Bucketed neighbours ------------------------------------------------------------------
+# Neighbours across ranges -----------------------------------------------------------
 
-def _neighbour(df: DataFrame, keys: list[str], order: list[str], carry: list[str],
-               bucket: Column, out: str, forward: bool) -> DataFrame:
-    """Adds ``out``: struct(order + carry) of the previous (or next) row by
-    ``order`` within ``keys``, NULL at the edge."""
-    d = df.withColumn("_bk", bucket)
-    packed = F.struct(*[F.col(c) for c in order + carry])
-    w = Window.partitionBy(*keys, "_bk").orderBy(*[F.col(c) for c in order])
-    d = d.withColumn(out, (F.lead if forward else F.lag)(packed).over(w))
-    edge = (F.min if forward else F.max)(packed).alias("_edge")
-    summary = d.groupBy(*keys, "_bk").agg(edge)
-    wb = Window.partitionBy(*keys).orderBy("_bk")
-    summary = summary.select(*keys, "_bk",
-                             (F.lead if forward else F.lag)("_edge").over(wb).alias("_carry"))
-    d = d.join(summary, on=keys + ["_bk"], how="left")
-    return d.withColumn(out, F.coalesce(F.col(out), F.col("_carry"))).drop("_carry", "_bk")
+def _ranged(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
+    """Rows in ranges of (keys, order), landed: ``_part`` ascends with the order."""
+    spark = df.sparkSession
+    n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+    path = scratch_path(spark, "scd2-ranges")
+    (df.repartitionByRange(n, *keys, *order).withColumn("_part", F.spark_partition_id())
+     .write.parquet(path))
+    return spark.read.parquet(path)
 
 
 def scd2(changes: DataFrame, keys: Sequence[str], sequence: Sequence[str],
-         tracked: Sequence[str], bucket: Column) -> DataFrame:
+         tracked: Sequence[str]) -> DataFrame:
     """SCD type 2 versions.
 
-    ``sequence`` totally orders changes within a key; ``bucket`` is a coarse,
-    monotone function of it (e.g. the month of the sequence date) used to
-    split long histories.  Output: keys, tracked attributes, ``__START_AT``
-    (struct of sequence), ``__END_AT`` (next version's sequence, NULL while
-    current)."""
+    ``sequence`` totally orders changes within a key.  Output: keys, tracked attributes,
+    ``__START_AT`` (struct of sequence), ``__END_AT`` (next version's sequence, NULL
+    while current)."""
     keys, sequence, tracked = list(keys), list(sequence), list(tracked)
-    base = changes.where(_all_not_null(keys)).select(*keys, *sequence, *tracked)
-    with_prev = _neighbour(base, keys, sequence, tracked, bucket, "_prev", forward=False)
-    differs = F.lit(False)
+    rows = _ranged(changes.where(_all_not_null(keys)).select(*keys, *sequence, *tracked), keys, sequence)
+    whole, place = F.struct(*keys, *sequence, *tracked), F.struct(*keys, *sequence)
+    inside, over_parts = Window.partitionBy("_part").orderBy(*keys, *sequence), Window.orderBy("_part")
+    earlier = over_parts.rowsBetween(Window.unboundedPreceding, -1)
+    later = over_parts.rowsBetween(1, Window.unboundedFollowing)
+
+    def same_key(other: str) -> Column:
+        out = F.col(other).isNotNull()
+        for k in keys:
+            out = out & F.col(k).eqNullSafe(F.col(f"{other}.{k}"))
+        return out
+
+    # one summary row per range: its last row is what the next range's first row follows
+    last = rows.groupBy("_part").agg(F.max(whole).alias("_last"))
+    last = last.select("_part", F.last("_last", ignorenulls=True).over(earlier).alias("_before"))
+    prev = rows.withColumn("_prev", F.lag(whole).over(inside)).join(last, "_part").withColumn(
+        "_prev", F.coalesce("_prev", "_before"))
+    differs = ~same_key("_prev")
     for c in tracked:
         differs = differs | ~F.col(c).eqNullSafe(F.col(f"_prev.{c}"))
-    starts = with_prev.where(F.col("_prev").isNull() | differs).drop("_prev")
-    with_next = _neighbour(starts, keys, sequence, [], bucket, "_next", forward=True)
-    return with_next.select(
-        *keys, *tracked,
-        F.struct(*[F.col(c) for c in sequence]).alias("__START_AT"),
-        F.col("_next").alias("__END_AT"))
+    starts = prev.where(differs).select("_part", *keys, *sequence, *tracked)
+    # ... and its first version start is where the version before it ends
+    first = rows.select("_part").distinct().join(starts.groupBy("_part").agg(F.min(place).alias("_first")), "_part", "left")
+    first = first.select("_part", F.first("_first", ignorenulls=True).over(later).alias("_after"))
+    nxt = starts.withColumn("_next", F.lead(place).over(inside)).join(first, "_part").withColumn(
+        "_next", F.coalesce("_next", "_after"))
+    end = F.struct(*[F.col(f"_next.{c}").alias(c) for c in sequence])
+    return nxt.select(*keys, *tracked, F.struct(*sequence).alias("__START_AT"),
+                      F.when(same_key("_next"), end).alias("__END_AT"))
 
 
 def apply_scd2(versions: DataFrame, change_log: DataFrame, late: DataFrame,
-               keys: Sequence[str], sequence: Sequence[str], tracked: Sequence[str],
-               bucket: Column) -> DataFrame:
-    """Apply out-of-order changes: only keys present in ``late`` are rebuilt
-    (from their full change log plus the late rows); other versions are kept.
-
-    ``bucket`` is an expression over the sequence columns (by name)."""
+               keys: Sequence[str], sequence: Sequence[str], tracked: Sequence[str]) -> DataFrame:
+    """Apply out-of-order changes: only keys present in ``late`` are rebuilt, from their
+    change log plus the late rows (collapsed versions cannot tell whether a state was
+    confirmed after the late change); other versions are kept."""
     keys = list(keys)
     touched = late.select(*keys).distinct()
     history = change_log.select(*late.columns).join(touched, keys, "left_semi")
-    rebuilt_in = history.unionByName(late)
-    rebuilt = scd2(rebuilt_in, keys, sequence, tracked, bucket)
+    rebuilt = scd2(history.unionByName(late), keys, sequence, tracked)
     kept = versions.join(touched, keys, "left_anti")
     return kept.unionByName(rebuilt.select(*versions.columns))
 

@@ -57,14 +57,10 @@ def struct_type(contract: dict) -> T.StructType:
     return T.StructType([_field(f) for f in contract["fields"]])
 
 
-def required_field_names(contract: dict) -> set[str]:
-    """Top-level names; nested struct members are not checked separately."""
-    return {f["name"] for f in contract["fields"]}
-
-
 def assert_fields_present(df_or_schema, contract: dict) -> None:
-    cols = df_or_schema.columns if isinstance(df_or_schema, DataFrame) else df_or_schema.fieldNames()
-    missing = required_field_names(contract) - set(cols)
+    """Raise unless every contracted top-level field is there; more fields are fine."""
+    have = set(df_or_schema.columns if isinstance(df_or_schema, DataFrame) else df_or_schema.fieldNames())
+    missing = [f["name"] for f in contract["fields"] if f["name"] not in have]
     if missing:
         raise ContractViolation(
             f"{contract.get('table', 'dataset')} contract {contract.get('contract_version')} "
@@ -79,16 +75,30 @@ def _strip_nullability(dt: T.DataType) -> T.DataType:
     return dt
 
 
-def assert_types_conform(df: DataFrame, contract: dict) -> None:
-    """Every contracted column present with the contracted type (nullability
-    is audited separately, not enforced here)."""
-    assert_fields_present(df, contract)
-    actual = {f.name: f.dataType for f in df.schema.fields}
-    bad = [(f.name, actual[f.name].simpleString(), f.dataType.simpleString())
-           for f in struct_type(contract).fields
-           if _strip_nullability(actual[f.name]) != _strip_nullability(f.dataType)]
+def conformance(schema: T.StructType, contract: dict) -> list[tuple[str, str, str | None, bool]]:
+    """(column, declared, actual, ok) per contracted column; nullability is audited
+    apart (``null_audit``), a missing column has no actual type."""
+    actual = {f.name: f.dataType for f in schema.fields}
+    out = []
+    for f in struct_type(contract).fields:
+        found = actual.get(f.name)
+        out.append((f.name, f.dataType.simpleString(), found.simpleString() if found else None,
+                    found is not None and _strip_nullability(found) == _strip_nullability(f.dataType)))
+    return out
+
+
+def assert_types_conform(df_or_schema, contract: dict) -> None:
+    """Every contracted column present with the contracted type."""
+    assert_fields_present(df_or_schema, contract)
+    schema = df_or_schema.schema if isinstance(df_or_schema, DataFrame) else df_or_schema
+    bad = [row[:3] for row in conformance(schema, contract) if not row[3]]
     if bad:
-        raise ContractViolation(f"type mismatch (column, actual, contracted): {bad}")
+        raise ContractViolation(f"type mismatch (column, contracted, actual): {bad}")
+
+
+def table_contract(contract: dict, table: str) -> dict:
+    """The part of a contract with several tables that concerns one of them."""
+    return {"contract_version": contract["contract_version"], "table": table, **contract["tables"][table]}
 
 
 def enum_fields(contract: dict) -> dict[str, list]:
@@ -101,25 +111,23 @@ def null_audit(df: DataFrame, contract: dict) -> DataFrame:
     One aggregation pass, whatever the number of audited columns."""
     names = [f["name"] for f in contract["fields"]
              if not f.get("nullable", True) and f["name"] in df.columns]
+    if not names:
+        return df.sparkSession.createDataFrame([], "column_name string, null_count long")
     counts = df.agg(*[F.count(F.when(F.col(n).isNull(), 1)).alias(n) for n in names])
     stack = ", ".join(f"'{n}', `{n}`" for n in names)
     return counts.selectExpr(f"stack({len(names)}, {stack}) AS (column_name, null_count)")
 
 
 def enum_violations(df: DataFrame, contract: dict) -> DataFrame:
-    """(column_name, value, row_count) for non-NULL values outside a declared enum."""
-    parts = []
-    for name, allowed in enum_fields(contract).items():
-        if name not in df.columns:
-            continue
-        parts.append(df.where(F.col(name).isNotNull() & ~F.col(name).isin(*allowed))
-                       .groupBy(F.col(name).cast("string").alias("value"))
-                       .agg(F.count(F.lit(1)).alias("row_count"))
-                       .select(F.lit(name).alias("column_name"), "value", "row_count"))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    """(column_name, value, row_count) for non-NULL values outside a declared enum, in
+    one pass; empty for a contract without enums."""
+    bad = [F.when(~F.col(name).isin(*allowed),
+                  F.struct(F.lit(name).alias("column_name"), F.col(name).cast("string").alias("value")))
+           for name, allowed in enum_fields(contract).items() if name in df.columns]
+    if not bad:
+        return df.sparkSession.createDataFrame([], "column_name string, value string, row_count long")
+    return (df.select(F.explode(F.array_compact(F.array(*bad))).alias("v"))
+            .groupBy("v.column_name", "v.value").agg(F.count(F.lit(1)).alias("row_count")))
 
 
 def drift_report(df: DataFrame, extra_col: str = "_extra_fields") -> DataFrame:

@@ -1,135 +1,119 @@
-"""Data-quality dimensions as Column expressions (no shuffle, one projection).
+"""Data-quality rules: read from the contract, evaluated by one function.
 
-Blocking dimensions, in tag order: completeness, validity, accuracy,
-consistency.  Uniqueness is handled by ``chalkline.operators.dedup``;
-timeliness is informational and never blocks.
+A rule is a dimension and a SQL condition that a good row fulfils.  Field rules
+(required, enum, plain text) follow from the silver contract's fields, rules over
+several fields are written there.  A dimension fails where the conjunction of its
+conditions is FALSE; an unknown (NULL) outcome passes, except in the strict rule set,
+where it fails too.  The same table yields a DataFrame column and SQL text, so there
+is one statement of every rule.
 
-Three-valued logic is part of the semantics: a dimension is tagged only when
-its check is FALSE.  A NULL check (e.g. ``type`` NULL) is not tagged.  The
-``strict`` rule set closes the gaps the specification lists: ``type`` becomes
-required, ``user`` is also checked for control characters and a NULL check
-counts as a failure.
+Timeliness only informs; uniqueness is the work of ``chalkline.operators.dedup``.
 """
 
 from __future__ import annotations
 
+from collections import defaultdict
 from dataclasses import dataclass
+from functools import cache
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from chalkline.functions.text import has_control_chars
-from chalkline.functions.time import iso_to_timestamp, utc_date_of_epoch
+from chalkline.functions.text import CONTROL_CHAR_PATTERN
+from chalkline.functions.time import iso_to_timestamp
+from chalkline.operators import contracts
 
-# Fixed values (must equal the reference): allowed change types, the default
-# clock-skew tolerance (s) and the lateness threshold (s).
-VALID_TYPES = ("edit", "new", "log", "categorize")
+#: Fixed values (must equal the reference): default clock-skew tolerance and lateness
+#: threshold in seconds, and the order in which failed dimensions are listed.
 DEFAULT_CLOCK_SKEW_SECONDS = 300
 DEFAULT_LATE_THRESHOLD_SECONDS = 600
+DIMENSIONS = ("completeness", "validity", "accuracy", "consistency")
 
 REASONS_COLUMN = "_dq_failure_reasons"
-DIMENSIONS = ("completeness", "validity", "accuracy", "consistency")
+SETTINGS = "spark.chalkline.dq."
 
 
 @dataclass(frozen=True)
-class DQConfig:
-    """Thresholds and switches of the rule set.
+class Rule:
+    dimension: str
+    holds: str
+
 
-    ``as_of``: ISO instant used as "now" by the accuracy rule; ``None`` means
-    ``current_timestamp()`` (the reference's behavior, not repeatable).
-    """
+@dataclass(frozen=True)
+class DQConfig:
+    """``as_of`` is the instant that counts as "now" (ISO text; None: the wall clock)."""
     clock_skew_seconds: int = DEFAULT_CLOCK_SKEW_SECONDS
     late_threshold_seconds: int = DEFAULT_LATE_THRESHOLD_SECONDS
     as_of: str | None = None
     strict: bool = False
 
-    @staticmethod
-    def from_conf(spark, **overrides) -> "DQConfig":
-        """Read ``spark.chalkline.dq.*`` settings from the session."""
-        get = spark.conf.get
-        cfg = dict(
-            clock_skew_seconds=int(get("spark.chalkline.dq.clockSkewSeconds",
-                                       str(DEFAULT_CLOCK_SKEW_SECONDS))),
-            late_threshold_seconds=int(get("spark.chalkline.dq.lateThresholdSeconds",
-                                           str(DEFAULT_LATE_THRESHOLD_SECONDS))),
-            as_of=get("spark.chalkline.dq.asOf", None) or None,
-            strict=get("spark.chalkline.dq.strict", "false").lower() == "true",
-        )
-        cfg.update(overrides)
-        return DQConfig(**cfg)
-
-
-def _now_epoch(cfg: DQConfig) -> Column:
-    now = F.current_timestamp() if cfg.as_of is None else iso_to_timestamp(F.lit(cfg.as_of))
-    return F.unix_seconds(now)
-
-
-def completeness_ok(cfg: DQConfig = DQConfig()) -> Column:
-    required = ["_event_id", "title", "wiki", "meta_dt"] + (["type"] if cfg.strict else [])
-    ok = None
-    for name in required:
-        ok = F.col(name).isNotNull() if ok is None else ok & F.col(name).isNotNull()
-    return ok
-
-
-def validity_ok(cfg: DQConfig = DQConfig()) -> Column:
-    ok = F.col("type").isin(*VALID_TYPES) & ~has_control_chars(F.col("title"))
-    if cfg.strict:
-        ok = ok & ~F.coalesce(has_control_chars(F.col("user")), F.lit(False))
-    return ok
-
-
-def accuracy_ok(cfg: DQConfig = DQConfig()) -> Column:
-    old = F.col("length_old")
-    length_ok = (F.col("type") != "new") | old.isNull() | (old == 0)
-    not_future = F.col("timestamp") <= _now_epoch(cfg) + F.lit(cfg.clock_skew_seconds)
-    return length_ok & not_future
-
-
-def consistency_ok(cfg: DQConfig = DQConfig()) -> Column:
-    """Partition date equals the UTC date of the event's epoch timestamp."""
-    event_date = F.date_format(utc_date_of_epoch(F.col("timestamp")), "yyyy-MM-dd")
-    return F.col("dt").cast("string") == event_date
-
-
-CHECKS = {
-    "completeness": completeness_ok,
-    "validity": validity_ok,
-    "accuracy": accuracy_ok,
-    "consistency": consistency_ok,
-}
-
-
-def failure_reasons(cfg: DQConfig = DQConfig()) -> Column:
-    """array<string> of failed dimension names in tag order; empty if none."""
-    tags = []
-    for name in DIMENSIONS:
-        check = CHECKS[name](cfg)
-        failed = ~check if not cfg.strict else ~F.coalesce(check, F.lit(False))
-        tags.append(F.when(failed, F.lit(name)))
-    return F.filter(F.array(*tags), lambda x: x.isNotNull())
-
-
-def tag_failures(df: DataFrame, cfg: DQConfig = DQConfig()) -> DataFrame:
-    """Adds ``_dq_failure_reasons``.  Row-wise, safe on streams."""
-    return df.withColumn(REASONS_COLUMN, failure_reasons(cfg))
-
-
-def tag_timeliness(df: DataFrame, cfg: DQConfig = DQConfig()) -> DataFrame:
-    """Adds ``_ingestion_latency_seconds`` (processing minus event time) and
-    ``_is_late_arrival`` (latency above the threshold).  Never blocks."""
-    latency = (F.unix_seconds(iso_to_timestamp(F.col("_ingested_at")))
-               - F.unix_seconds(F.col("meta_dt")))
-    late = latency > F.lit(cfg.late_threshold_seconds)
-    if cfg.strict:
-        late = F.coalesce(late, F.lit(False))
-    return (df.withColumn("_ingestion_latency_seconds", latency)
-              .withColumn("_is_late_arrival", late))
-
-
-def is_clean(reasons: str = REASONS_COLUMN) -> Column:
-    return F.size(F.col(reasons)) == 0
-
-
-def is_rejected(reasons: str = REASONS_COLUMN) -> Column:
-    return F.size(F.col(reasons)) > 0
+    @classmethod
+    def from_conf(cls, spark, **overrides) -> "DQConfig":
+        """Settings ``spark.chalkline.dq.*`` of the session, then the overrides."""
+        readers = {
+            "clock_skew_seconds": ("clockSkewSeconds", int),
+            "late_threshold_seconds": ("lateThresholdSeconds", int),
+            "as_of": ("asOf", str),
+            "strict": ("strict", lambda v: v.lower() == "true"),
+        }
+        found = {field: read(value) for field, (name, read) in readers.items()
+                 if (value := spark.conf.get(SETTINGS + name, None))}
+        return cls(**{**found, **overrides})
+
+
+@cache
+def rules(strict: bool = False, contract: str = "silver_recentchange") -> tuple[Rule, ...]:
+    """All rules of a contract, with {now} and {skew} still open."""
+    spec = contracts.load(contract)
+    wanted = {"always", "strict"} if strict else {"always"}
+    out = []
+    for f in spec["fields"]:
+        name = f"`{f['name']}`"
+        if f.get("required") in wanted:
+            out.append(Rule("completeness", f"{name} IS NOT NULL"))
+        if "enum" in f:
+            values = ", ".join(f"'{v}'" for v in f["enum"])
+            out.append(Rule("validity", f"{name} IN ({values})"))
+        if f.get("plain_text") in wanted:
+            plain = f"NOT {name} RLIKE r'{CONTROL_CHAR_PATTERN}'"
+            out.append(Rule("validity", f"{name} IS NULL OR {plain}" if f["nullable"] else plain))
+    out += [Rule(r["dimension"], r["holds"]) for r in spec.get("rules", [])]
+    return tuple(out)
+
+
+def reasons_sql(cfg: DQConfig = DQConfig()) -> str:
+    """SQL text of the failed dimensions, array<string> in the fixed order."""
+    now = "current_timestamp()" if cfg.as_of is None else f"try_to_timestamp('{cfg.as_of}')"
+    by_dimension = defaultdict(list)
+    for rule in rules(cfg.strict):
+        by_dimension[rule.dimension].append(
+            f"({rule.holds.format(now=f'unix_seconds({now})', skew=cfg.clock_skew_seconds)})")
+    entries = []
+    for dimension in DIMENSIONS:
+        good = " AND ".join(by_dimension[dimension]) or "TRUE"
+        good = f"coalesce({good}, FALSE)" if cfg.strict else f"({good})"
+        entries.append(f"CASE WHEN NOT {good} THEN '{dimension}' END")
+    return f"array_compact(array({', '.join(entries)}))"
+
+
+def with_reasons(df: DataFrame, cfg: DQConfig = DQConfig()) -> DataFrame:
+    """Adds ``_dq_failure_reasons``; row-wise, also on streams."""
+    return df.withColumn(REASONS_COLUMN, F.expr(reasons_sql(cfg)))
+
+
+def select_sql(source: str, cfg: DQConfig = DQConfig()) -> str:
+    """The same as a query over a table or view of flattened rows."""
+    return f"SELECT *, {reasons_sql(cfg)} AS {REASONS_COLUMN} FROM {source}"
+
+
+def with_timeliness(df: DataFrame, cfg: DQConfig = DQConfig()) -> DataFrame:
+    """Adds ``_ingestion_latency_seconds`` (arrival minus event time) and
+    ``_is_late_arrival``; unknown latency is not late in the strict rule set."""
+    latency = F.unix_seconds(iso_to_timestamp(F.col("_ingested_at"))) - F.unix_seconds("meta_dt")
+    late = latency > cfg.late_threshold_seconds
+    return df.withColumns({"_ingestion_latency_seconds": latency,
+                           "_is_late_arrival": F.coalesce(late, F.lit(False)) if cfg.strict else late})
+
+
+def passed(reasons: str = REASONS_COLUMN) -> Column:
+    return F.size(reasons) == 0

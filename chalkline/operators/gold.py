@@ -17,8 +17,7 @@ from pyspark.sql import functions as F
 
 from chalkline.functions.keys import surrogate_key
 from chalkline.functions.time import date_key
-from chalkline.operators import joins
-from chalkline.operators.dq import VALID_TYPES
+from chalkline.operators import contracts, joins
 
 # Heuristic for anonymous editors: the user name is an IPv4 or IPv6 literal.
 IP_LITERAL = r"^(\d{1,3}(\.\d{1,3}){3}|[0-9A-Fa-f:]*:[0-9A-Fa-f:.]+)$"
@@ -40,6 +39,10 @@ def change_type_key(type_: Column, is_bot: Column) -> Column:
     return surrogate_key(type_, is_bot)
 
 
+def _change_types() -> list[str]:
+    return contracts.enum_fields(contracts.load("silver_recentchange"))["type"]
+
+
 SEQUENCE = "_seq"
 
 
@@ -72,41 +75,56 @@ def dim_page(silver: DataFrame, with_sequence: bool = False) -> DataFrame:
                     *_seq(with_sequence))
 
 
-def dim_wiki(silver: DataFrame, reference_latest: DataFrame,
-             max_broadcast_rows: int = joins.DEFAULT_BROADCAST_ROWS,
+def dim_wiki(silver: DataFrame, reference_latest: DataFrame | None = None,
              with_sequence: bool = False) -> DataFrame:
-    """Stream-derived wiki codes enriched from the latest reference snapshot
-    (left join: codes missing from the reference keep NULL attributes)."""
+    """Wiki codes seen in the stream; with a reference they are enriched (``enrich_wiki``)."""
     d = _latest_and_first(silver, wiki_key(F.col("wiki")), {"wiki_code": F.col("wiki")})
+    d = d.select(F.col("_k").alias("wiki_key"), "wiki_code", "first_seen_date", *_seq(with_sequence))
+    return d if reference_latest is None else enrich_wiki(d, reference_latest)
+
+
+def enrich_wiki(wikis: DataFrame, reference_latest: DataFrame) -> DataFrame:
+    """Language and project of the latest reference snapshot; codes missing from the
+    reference keep NULL attributes.  Done when the dimension is read, so a new snapshot
+    shows at once, also for wikis without new events."""
     ref = reference_latest.select("wiki_code", "language_name", "project_type")
-    return (joins.enrich_left(d, ref, "wiki_code", max_broadcast_rows)
-                 .select(F.col("_k").alias("wiki_key"), "wiki_code", "language_name",
-                         "project_type", "first_seen_date", *_seq(with_sequence)))
-
-
-def merge_dimension(current: DataFrame, update: DataFrame, key: str) -> DataFrame:
-    """SCD1 upsert of a dimension built ``with_sequence``: per key the
-    attributes of the latest sequence win, ``first_seen_date`` is the earliest.
-    Idempotent (re-merging the same update changes nothing) and
-    order-insensitive, so late batches are handled."""
-    both = current.unionByName(update.select(*current.columns))
-    attrs = [c for c in current.columns if c not in (key, SEQUENCE, "first_seen_date")]
-    merged = both.groupBy(key).agg(
+    rest = [c for c in wikis.columns if c not in ("wiki_key", "wiki_code")]
+    return joins.enrich_left(wikis, ref, "wiki_code").select("wiki_key", "wiki_code", "language_name", "project_type", *rest)
+
+
+# Tables that follow the stream: surrogate key, natural attributes as columns of silver.
+TRACKED = {
+    "dim_editor": ("editor_key", {"user_name": "user", "is_bot": "bot"}),
+    "dim_page": ("page_key", {"title": "title", "wiki_code": "wiki"}),
+    "dim_wiki": ("wiki_key", {"wiki_code": "wiki"}),
+}
+_KEY_OF = {"dim_editor": lambda: editor_key(F.col("user")),
+           "dim_page": lambda: page_key(F.col("wiki"), F.col("title")),
+           "dim_wiki": lambda: wiki_key(F.col("wiki"))}
+SCD2_SEQUENCE = ("at", "event_id")
+
+
+def dimension_changes(silver: DataFrame, name: str) -> DataFrame:
+    """Every observation of a dimension member: key, attributes, sequence (at, event_id)."""
+    key, attrs = TRACKED[name]
+    return (silver.select(_KEY_OF[name]().alias(key), *[F.col(c).alias(n) for n, c in attrs.items()],
+                          F.col("meta_dt").alias("at"), F.col("_event_id").alias("event_id"))
+            .where(F.col(key).isNotNull()))
+
+
+def latest_members(rows: DataFrame, key: str) -> DataFrame:
+    """SCD1 merge of dimension rows built ``with_sequence``: per key the attributes of the
+    latest sequence win, ``first_seen_date`` is the earliest.  Idempotent (a row merged
+    twice changes nothing) and order-insensitive, so late batches are handled."""
+    attrs = [c for c in rows.columns if c not in (key, SEQUENCE, "first_seen_date")]
+    merged = rows.groupBy(key).agg(
         F.max(F.struct(F.col(SEQUENCE), *[F.col(a) for a in attrs])).alias("_l"),
         F.min("first_seen_date").alias("first_seen_date"))
     return merged.select(key, *[F.col(f"_l.{a}").alias(a) for a in attrs], "first_seen_date",
-                         F.col(f"_l.{SEQUENCE}").alias(SEQUENCE)).select(*current.columns)
-
-
-def dim_date(spark: SparkSession, start: Column | str, end: Column | str,
-             source: DataFrame | None = None) -> DataFrame:
-    """Calendar rows for every day in [start, end].  With ``source``, the
-    bounds are aggregated from it (one row), so the calendar covers the data."""
-    s = F.to_date(F.lit(start) if isinstance(start, str) else start)
-    e = F.to_date(F.lit(end) if isinstance(end, str) else end)
-    bounds = (source.agg(s.alias("s"), e.alias("e")) if source is not None
-              else spark.range(1).select(s.alias("s"), e.alias("e")))
-    days = bounds.select(F.explode(F.sequence("s", "e")).alias("full_date"))
+                         F.col(f"_l.{SEQUENCE}").alias(SEQUENCE)).select(*rows.columns)
+
+
+def _calendar_columns(days: DataFrame) -> DataFrame:
     d = F.col("full_date")
     return days.select(date_key(d).alias("date_key"), d,
                        F.year(d).alias("year"), F.month(d).alias("month"),
@@ -115,9 +133,25 @@ def dim_date(spark: SparkSession, start: Column | str, end: Column | str,
                        F.dayofweek(d).isin(1, 7).alias("is_weekend"))
 
 
+def dim_date(spark: SparkSession, start: str, end: str) -> DataFrame:
+    """Calendar rows for every day in [start, end] (ISO dates)."""
+    one = spark.range(1).select(F.explode(F.sequence(F.to_date(F.lit(start)), F.to_date(F.lit(end)))).alias("full_date"))
+    return _calendar_columns(one)
+
+
+def calendar(days: DataFrame) -> DataFrame:
+    """Calendar rows from the first to the last of ``full_date``.  Months are counted
+    out first, so the days of a long range come from many tasks."""
+    bounds = days.agg(F.min("full_date").alias("s"), F.max("full_date").alias("e"))
+    months = bounds.select("s", "e", F.explode(F.sequence(
+        F.trunc("s", "month"), F.trunc("e", "month"), F.expr("INTERVAL 1 MONTH"))).alias("m")).repartition("m")
+    return _calendar_columns(months.select(F.explode(F.sequence(
+        F.greatest("s", "m"), F.least("e", F.last_day("m")))).alias("full_date")))
+
+
 def dim_change_type(spark: SparkSession) -> DataFrame:
     """Junk dimension: every change type x bot flag (8 literal rows)."""
-    rows = list(itertools.product(VALID_TYPES, (False, True)))
+    rows = list(itertools.product(_change_types(), (False, True)))
     df = spark.createDataFrame(rows, "type string, is_bot boolean")
     return df.select(change_type_key(F.col("type"), F.col("is_bot")).alias("change_type_key"),
                      "type", "is_bot")
@@ -125,8 +159,7 @@ def dim_change_type(spark: SparkSession) -> DataFrame:
 
 def fact_edit_event(silver: DataFrame) -> DataFrame:
     """One fact row per clean silver row; foreign keys hashed from the row."""
-    old = F.col("length_old").cast("int")
-    new = F.col("length_new").cast("int")
+    old, new = F.col("length_old"), F.col("length_new")
     return silver.select(
         F.col("_event_id").alias("event_id"),
         date_key(F.to_date(F.col("meta_dt"))).alias("date_key"),
@@ -149,30 +182,19 @@ FOREIGN_KEYS = (
 
 
 def integrity_report(silver: DataFrame, fact: DataFrame, dims: dict[str, DataFrame]) -> DataFrame:
-    """(check_name, violations): fact loss, NULL foreign keys and unresolved
-    foreign keys.  Every count must be 0.
-
-    One pass over the fact: each dimension contributes a presence flag through
-    a left join on its (unique) key, and a single aggregation counts NULL and
-    unresolved keys; the silver side is one count."""
-    flagged = fact.select(*[k for k, _ in FOREIGN_KEYS])
-    for k, dim_name in FOREIGN_KEYS:
-        present = dims[dim_name].select(F.col(k), F.lit(True).alias(f"_in_{k}"))
-        flagged = flagged.join(present, on=k, how="left")
-    aggs = [F.count(F.lit(1)).alias("fact_rows")]
-    for k, _ in FOREIGN_KEYS:
-        aggs.append(F.count(F.when(F.col(k).isNull(), 1)).alias(f"null_{k}"))
-        aggs.append(F.count(F.when(F.col(k).isNotNull() & F.col(f"_in_{k}").isNull(), 1))
-                     .alias(f"unresolved_{k}"))
-    stats = flagged.agg(*aggs)
-    names = [f"null_{k}" for k, _ in FOREIGN_KEYS] + [f"unresolved_{k}" for k, _ in FOREIGN_KEYS]
-    pairs = ", ".join(f"'{n}', `{n}`" for n in names)
-    long = stats.selectExpr(f"stack({len(names) + 1}, 'fact_rows_lost', -fact_rows, {pairs}) "
-                            "AS (check_name, violations)")
-    silver_rows = silver.agg(F.count(F.lit(1)).alias("violations")) \
-                        .select(F.lit("fact_rows_lost").alias("check_name"), "violations")
-    return long.unionByName(silver_rows).groupBy("check_name") \
-               .agg(F.sum("violations").alias("violations"))
+    """(check_name, violations): fact loss, NULL foreign keys and unresolved foreign
+    keys.  Every count must be 0.  Per key the fact is counted before the join."""
+    rows = fact.agg((-F.count(F.lit(1))).alias("violations"))
+    parts = [rows.unionByName(silver.agg(F.count(F.lit(1)).alias("violations")))
+             .agg(F.sum("violations").alias("violations")).select(F.lit("fact_rows_lost").alias("check_name"), "violations")]
+    for key, dim_name in FOREIGN_KEYS:
+        entries = F.array(F.struct(F.lit(f"null_{key}").alias("check_name"), F.col("null_rows").alias("violations")),
+                          F.struct(F.lit(f"unresolved_{key}").alias("check_name"), F.col("unresolved_rows").alias("violations")))
+        parts.append(joins.key_report(fact, dims[dim_name], key).select(F.inline(entries)))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
 
 
 class IntegrityError(RuntimeError):

@@ -1,8 +1,4 @@
-"""Join helpers with explicit size checks.
-
-A side is broadcast only after counting it against a limit; above the limit
-the join is left to the planner (sort-merge, or a runtime broadcast chosen by
-AQE from measured sizes)."""
+"""Join helpers.  No broadcast is forced: adaptive execution measures the sides."""
 
 from __future__ import annotations
 
@@ -11,21 +7,22 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-DEFAULT_BROADCAST_ROWS = 1_000_000
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """``broadcast(df)`` when it has at most ``max_rows`` rows, else ``df``.
-
-    The count reads only the (small) dimension side."""
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
-
 
-def enrich_left(facts: DataFrame, reference: DataFrame, on: Sequence[str] | str,
-                max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+def enrich_left(rows: DataFrame, reference: DataFrame, on: Sequence[str] | str) -> DataFrame:
     """Left join: rows without a reference match keep NULL attributes (never lost)."""
-    return facts.join(broadcast_if_small(reference, max_broadcast_rows), on=on, how="left")
+    return rows.join(reference, on=on, how="left")
+
+
+def key_report(facts: DataFrame, dim: DataFrame, key: str) -> DataFrame:
+    """(null_rows, unresolved_rows) of a foreign key.  Facts are counted per key first,
+    so a busy member is one row when the dimension is joined."""
+    per_key = facts.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+    known = dim.select(key).distinct().withColumn("_known", F.lit(True))
+    joined = per_key.join(known, key, "left")
+    return joined.agg(
+        F.coalesce(F.sum(F.when(F.col(key).isNull(), F.col("_n"))), F.lit(0)).alias("null_rows"),
+        F.coalesce(F.sum(F.when(F.col(key).isNotNull() & F.col("_known").isNull(), F.col("_n"))), F.lit(0))
+        .alias("unresolved_rows"))
 
 
 def unresolved(facts: DataFrame, dim: DataFrame, fact_key: str, dim_key: str) -> DataFrame:

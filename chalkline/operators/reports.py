@@ -23,9 +23,7 @@ def rejection_breakdown(rejected: DataFrame, reasons: str = REASONS_COLUMN) -> D
 
 def rejected_sample(rejected: DataFrame, n: int = 5, reasons: str = REASONS_COLUMN) -> DataFrame:
     """A small sample of rejected rows (lowest ids first, so it is repeatable)."""
-    return (rejected.select("_event_id", "type", F.col(reasons))
-                    .orderBy(F.col("_event_id").asc_nulls_first(), F.col("type"))
-                    .limit(n))
+    return rejected.select("id", "_event_id", "type", F.col(reasons)).orderBy("id").limit(n)
 
 
 def reconcile(inputs: DataFrame, outputs: dict[str, DataFrame]) -> DataFrame:
@@ -41,6 +39,15 @@ def reconcile(inputs: DataFrame, outputs: dict[str, DataFrame]) -> DataFrame:
     return row.withColumn("balanced", F.col("input_rows") == total)
 
 
+def balance(counts: DataFrame, inputs: DataFrame, outputs: tuple[str, ...]) -> DataFrame:
+    """``reconcile`` from (verdict, row_count) rows and the input itself."""
+    rows = counts.unionByName(inputs.agg(F.count(F.lit(1)).alias("row_count"))
+                              .select(F.lit("input").alias("verdict"), "row_count"))
+    row = rows.agg(*[F.coalesce(F.sum(F.when(F.col("verdict") == n, F.col("row_count"))), F.lit(0)).alias(f"{n}_rows")
+                     for n in ("input", *outputs)])
+    return row.withColumn("balanced", F.col("input_rows") == sum((F.col(f"{n}_rows") for n in outputs), F.lit(0)))
+
+
 def row_counts(tables: dict[str, DataFrame]) -> DataFrame:
     """(table_name, row_count) for each named DataFrame."""
     parts = [df.agg(F.count(F.lit(1)).alias("row_count"))

@@ -7,6 +7,7 @@ The adapter below is the SQL twin of ``chalkline.sources.adapter``.
 
 from __future__ import annotations
 
+from chalkline.operators import contracts
 from chalkline.sources import adapter as A
 
 _AS_OF_EPOCH = 1706745600          # 2024-02-01T00:00:00Z
@@ -39,17 +40,17 @@ feed AS (
          ELSE CAST(id AS VARCHAR) END AS _event_id,
     type,
     CASE WHEN id % 103 = 9 THEN NULL
-         WHEN id % 107 = 11 THEN 'Bad' || chr(1) || 'title'
+         WHEN id % 107 = 11 THEN 'Broken' || chr(2) || 'heading'
          WHEN id % 109 = 13 THEN {_q(A.NFD_TITLE)}
          WHEN id % 113 = 15 THEN {_q(A.MULTILINGUAL_TITLE)}
          ELSE 'Page ' || CAST(id % 500 AS VARCHAR) END AS title,
     'user_' || CAST(user_id AS VARCHAR) AS "user",
-    user_id % 10 = 0 AS bot,
-    'w' || CAST(user_id % 25 AS VARCHAR) || 'wiki' AS wiki,
+    user_id % 10 = 0 OR (user_id % 7 = 3 AND ts >= TIMESTAMP '2024-01-16') AS bot,
+    'w' || CAST(user_id % 28 AS VARCHAR) || 'wiki' AS wiki,
     CASE WHEN id % 127 = 17 THEN ep - 172800
          WHEN id % 137 = 21 THEN CAST(1893456000 AS BIGINT)
          ELSE ep END AS "timestamp",
-    'https://w' || CAST(user_id % 25 AS VARCHAR) || 'wiki.example.org' AS server_url,
+    'https://w' || CAST(user_id % 28 AS VARCHAR) || 'wiki.example.org' AS server_url,
     date_trunc('second', ts) AS meta_dt,
     CASE WHEN type = 'new' THEN CAST(CASE WHEN id % 131 = 19 THEN 50 ELSE 0 END AS BIGINT)
          ELSE CAST(floor(value) AS BIGINT) END AS length_old,
@@ -63,7 +64,7 @@ feed AS (
   FROM feed_base
 )"""
 
-# Flattened + NFC + DQ tags + timeliness (the staging table).
+# Flattened + NFC + one outcome column per dimension (NULL: unknown) + timeliness.
 STAGED = FEED + f""",
 flat AS (
   SELECT id, _event_id, type, nfc_normalize(title) AS title, nfc_normalize("user") AS "user",
@@ -71,22 +72,26 @@ flat AS (
     _producer_instance, _extra_fields, _schema_version, dt, hour
   FROM feed
 ),
-staged AS (
+outcomes AS (
   SELECT *,
-    list_filter([
-      CASE WHEN NOT (_event_id IS NOT NULL AND title IS NOT NULL AND wiki IS NOT NULL
-                     AND meta_dt IS NOT NULL) THEN 'completeness' END,
-      CASE WHEN NOT (type IN ('edit', 'new', 'log', 'categorize')
-                     AND NOT regexp_matches(title, '{_CTRL}')) THEN 'validity' END,
-      CASE WHEN NOT ((type <> 'new' OR length_old IS NULL OR length_old = 0)
-                     AND "timestamp" <= {_AS_OF_EPOCH + _SKEW}) THEN 'accuracy' END,
-      CASE WHEN NOT (dt = CAST(DATE '1970-01-01' + CAST(floor("timestamp" / 86400) AS INTEGER)
-                               AS VARCHAR)) THEN 'consistency' END
-    ], lambda x: x IS NOT NULL) AS reasons,
-    CAST(epoch(CAST(_ingested_at AS TIMESTAMPTZ)) - epoch(meta_dt) AS BIGINT)
-      AS _ingestion_latency_seconds
+    NOT (_event_id IS NULL OR title IS NULL OR wiki IS NULL OR meta_dt IS NULL) AS complete,
+    type IS NOT NULL AS has_type,
+    type IN ('categorize', 'edit', 'log', 'new') AS known_type,
+    regexp_matches(title, '{_CTRL}') AS dirty_title,
+    coalesce(regexp_matches("user", '{_CTRL}'), false) AS dirty_user,
+    NOT (type = 'new' AND coalesce(length_old, 0) <> 0) AND "timestamp" - {_AS_OF_EPOCH} <= {_SKEW} AS accurate,
+    dt = strftime(make_timestamp(CAST("timestamp" AS BIGINT) * 1000000), '%Y-%m-%d') AS consistent,
+    CAST(epoch(CAST(_ingested_at AS TIMESTAMPTZ)) - epoch(meta_dt) AS BIGINT) AS _ingestion_latency_seconds
   FROM flat
 ),
+staged AS (
+  SELECT *, list_filter(['completeness', 'validity', 'accuracy', 'consistency'], lambda d: CASE d
+      WHEN 'completeness' THEN complete = false
+      WHEN 'validity' THEN (known_type AND NOT dirty_title) = false
+      WHEN 'accuracy' THEN accurate = false
+      ELSE consistent = false END) AS reasons
+  FROM outcomes
+),
 timed AS (
   SELECT *, _ingestion_latency_seconds > {_LATE} AS _is_late_arrival FROM staged
 ),
@@ -115,19 +120,12 @@ SELECT id, _event_id, array_to_string(reasons, ',') AS dq_failure_reasons,
 FROM staged""")
 
 ORACLES["dq_strict_reasons"] = _with(STAGED, f"""
-SELECT id, _event_id, array_to_string(list_filter([
-    CASE WHEN NOT coalesce(_event_id IS NOT NULL AND title IS NOT NULL AND wiki IS NOT NULL
-                           AND meta_dt IS NOT NULL AND type IS NOT NULL, false)
-         THEN 'completeness' END,
-    CASE WHEN NOT coalesce(type IN ('edit', 'new', 'log', 'categorize')
-                           AND NOT regexp_matches(title, '{_CTRL}')
-                           AND NOT coalesce(regexp_matches("user", '{_CTRL}'), false), false)
-         THEN 'validity' END,
-    CASE WHEN NOT coalesce((type <> 'new' OR length_old IS NULL OR length_old = 0)
-                           AND "timestamp" <= {_AS_OF_EPOCH + _SKEW}, false) THEN 'accuracy' END,
-    CASE WHEN NOT coalesce(dt = CAST(DATE '1970-01-01' + CAST(floor("timestamp" / 86400) AS INTEGER)
-                                     AS VARCHAR), false) THEN 'consistency' END
-  ], lambda x: x IS NOT NULL), ',') AS dq_failure_reasons,
+SELECT id, _event_id, array_to_string(list_filter(['completeness', 'validity', 'accuracy', 'consistency'],
+    lambda d: CASE d
+      WHEN 'completeness' THEN NOT (complete AND has_type)
+      WHEN 'validity' THEN (known_type AND NOT dirty_title AND NOT dirty_user) IS DISTINCT FROM true
+      WHEN 'accuracy' THEN (type IS NOT NULL AND accurate) IS DISTINCT FROM true
+      ELSE consistent IS DISTINCT FROM true END), ',') AS dq_failure_reasons,
   coalesce(_ingestion_latency_seconds > {_LATE}, false) AS _is_late_arrival
 FROM staged""")
 
@@ -172,7 +170,7 @@ SELECT 'type' AS column_name, type AS value, count(*) AS row_count FROM feed
 WHERE type IS NOT NULL AND type NOT IN ('edit', 'new', 'log', 'categorize')
 GROUP BY type""")
 
-_OBJECT_LINES = "id % 89 NOT IN (1, 2, 3)"
+_OBJECT_LINES = "id % 89 NOT IN (1, 2, 3, 8)"
 
 ORACLES["schema_version_counts"] = _with(FEED, f"""
 SELECT '1.0.0' AS _schema_version, count(*) AS row_count FROM feed WHERE {_OBJECT_LINES}""")
@@ -185,17 +183,22 @@ _EVENT_COLS = """type, title, "user", bot, wiki, "timestamp",
 
 ORACLES["parse_event_lines"] = _with(FEED, f"""
 SELECT id AS line_no,
-  CASE WHEN id % 89 = 4 THEN '' WHEN id % 89 = 5 THEN 'None' ELSE CAST(id AS VARCHAR) END
-    AS _event_id,
+  CASE id % 89 WHEN 4 THEN '' WHEN 5 THEN 'None' WHEN 9 THEN 'True' WHEN 10 THEN id || '.0'
+       ELSE CAST(id AS VARCHAR) END AS _event_id,
   {_EVENT_COLS},
   CAST(json_extract(_extra_fields, '$.k') AS INTEGER) AS k
 FROM feed WHERE {_OBJECT_LINES}""")
 
-ORACLES["quarantine_lines"] = _with(FEED, """
-SELECT id AS line_no,
-  CASE id % 89 WHEN 1 THEN 'not json{{{' WHEN 2 THEN '' ELSE '[1, 2, 3]' END AS value,
-  CASE id % 89 WHEN 1 THEN 'malformed' WHEN 2 THEN 'blank' ELSE 'not_object' END AS reason
-FROM feed WHERE id % 89 IN (1, 2, 3)""")
+_BAD_LINE = """CASE id % 89 WHEN 1 THEN 'not json{{{' WHEN 2 THEN '' WHEN 3 THEN '[1, 2, 3]'
+  ELSE chr(9) || chr(13) END"""
+
+ORACLES["quarantine_lines"] = _with(FEED, f"""
+SELECT id AS line_no, {_BAD_LINE} AS value,
+  CASE id % 89 WHEN 1 THEN 'malformed' WHEN 3 THEN 'not_object' ELSE 'blank' END AS reason
+FROM feed WHERE id % 89 IN (1, 2, 3, 8)""")
+
+ORACLES["undecodable_payloads"] = _with(FEED, f"""
+SELECT id AS line_no, {_BAD_LINE} AS value FROM feed WHERE id % 89 IN (1, 2, 3, 8)""")
 
 ORACLES["event_envelope_roundtrip"] = _with(FEED, f"""
 SELECT id, _event_id, {_EVENT_COLS}, _ingested_at FROM feed""")
@@ -203,13 +206,12 @@ SELECT id, _event_id, {_EVENT_COLS}, _ingested_at FROM feed""")
 # Site matrix: nations play wikis, regions play languages, two fetches.
 REFERENCE = """
 reference AS (
-  SELECT 'w' || CAST(n_nationkey AS VARCHAR) || 'wiki' AS wiki_code, r_name AS language_name,
+  SELECT 'w' || CAST(n_nationkey AS VARCHAR) || 'wiki' AS wiki_code, r_name || s.suffix AS language_name,
     CASE WHEN n_nationkey % 4 = 3 THEN 'wiktionary' ELSE 'wikipedia' END AS project_type,
     n_nationkey % s.closed_mod = 0 AS is_closed,
     CAST(s.fetched AS TIMESTAMP) AS _snapshot_fetched_at
   FROM nation JOIN region ON n_regionkey = r_regionkey
-  JOIN (VALUES ('2024-01-01 00:00:00', 20, 7), ('2024-01-15 00:00:00', 22, 5))
-    AS s(fetched, lim, closed_mod) ON n_nationkey < s.lim
+  CROSS JOIN (VALUES ('2024-01-01 00:00:00', '', 7), ('2024-01-15 00:00:00', ' 2', 5)) AS s(fetched, suffix, closed_mod)
 ),
 reference_latest AS (
   SELECT * FROM reference QUALIFY row_number() OVER (
@@ -244,9 +246,13 @@ FROM lineitem GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1"""
 
 ORACLES["dedup_anti_join"] = _with(FEED, """
 SELECT b.id, b._event_id, b.dt FROM feed b
-WHERE b.dt >= '2024-01-16' AND NOT EXISTS (
-  SELECT 1 FROM feed h WHERE h.dt < '2024-01-16' AND h.dt >= '2024-01-15'
-    AND h._event_id = b._event_id)""")
+WHERE b.id % 2 = 0 AND NOT EXISTS (
+  SELECT 1 FROM feed h WHERE h.id % 2 = 1 AND h._event_id = b._event_id)""")
+
+ORACLES["run_marker_rows"] = _with(FEED, "SELECT id, _event_id, dt FROM feed WHERE starts_with(_event_id, '7')")
+
+ORACLES["nfc_sql"] = _with(FEED, """
+SELECT id, nfc_normalize(title) AS title, nfc_normalize(title) <> title AS changed FROM feed""")
 
 ORACLES["nfc_titles"] = """
 SELECT doc_id, lang, CAST(length(nfc_normalize(text)) AS INTEGER) AS nfc_chars,
@@ -273,7 +279,21 @@ SELECT 1 AS run_no, n1 AS rows_added, n1 AS bronze_rows FROM c
 UNION ALL SELECT 2, 0, n1 FROM c
 UNION ALL SELECT 3, n2, n1 + n2 FROM c""")
 
-ORACLES["stream_dedup_ids"] = _with(FEED, "SELECT DISTINCT _event_id FROM feed")
+ORACLES["stream_row_counts_many_batches"] = _with(FEED, """
+SELECT count(*) AS rows_reported, count(*) AS rows_in_table, true AS over_100_batches FROM feed""")
+
+ORACLES["stream_dedup_ids"] = _with(FEED, """
+SELECT DISTINCT _event_id FROM feed WHERE _event_id IS NOT NULL
+UNION ALL SELECT _event_id FROM feed WHERE _event_id IS NULL""")
+
+ORACLES["stream_null_time_duplicates"] = _with(FEED, """,
+t AS (SELECT * FROM feed WHERE _event_id IS NOT NULL AND id % 10 = 0),
+n AS (SELECT count(*) AS r, count(DISTINCT _event_id) AS d FROM t)
+SELECT 'rejected' AS verdict, d AS row_count, d AS distinct_ids FROM n
+UNION ALL SELECT 'duplicates', 2 * r - d, d FROM n""")
+
+ORACLES["stream_recorded_feed"] = _with(FEED, f"""
+SELECT dt, count(*) AS row_count FROM feed WHERE {_OBJECT_LINES} GROUP BY dt""")
 
 ORACLES["stream_silver_fanout"] = _with(FEED, """,
 c AS (SELECT count(*) AS n, count(DISTINCT _event_id) AS d,
@@ -357,8 +377,7 @@ fact AS (
     sha256(wiki || chr(31) || title) AS page_key,
     sha256(wiki) AS wiki_key,
     sha256(type || chr(31) || CAST(bot AS VARCHAR)) AS change_type_key,
-    CAST(length_old AS INTEGER) AS length_old, CAST(length_new AS INTEGER) AS length_new,
-    CAST(length_new AS INTEGER) - CAST(length_old AS INTEGER) AS length_delta
+    length_old, length_new, length_new - length_old AS length_delta
   FROM clean
 ),
 dim_editor AS (
@@ -405,13 +424,43 @@ FROM dim_change_type c LEFT JOIN fact f USING (change_type_key)
 GROUP BY c.change_type_key, c.type, c.is_bot""")
 
 ORACLES["stream_gold_editors"] = ORACLES["dim_editor"]
+ORACLES["stream_fact"] = ORACLES["fact_edit_event"]
+ORACLES["stream_dim_wiki_refresh"] = ORACLES["dim_wiki"]
+
+ORACLES["stream_dim_editor_scd2"] = _with(GOLD, """,
+c AS (SELECT "user" AS user_name, bot, meta_dt, _event_id, lag(bot) OVER w AS was, row_number() OVER w AS rn
+      FROM clean WHERE "user" IS NOT NULL WINDOW w AS (PARTITION BY "user" ORDER BY meta_dt, _event_id)),
+v AS (SELECT * FROM c WHERE rn = 1 OR was IS DISTINCT FROM bot)
+SELECT sha256(user_name) AS editor_key, user_name, bot AS is_bot, meta_dt AS start_at, _event_id AS start_event,
+  lead(meta_dt) OVER w AS end_at, lead(_event_id) OVER w AS end_event
+FROM v WINDOW w AS (PARTITION BY user_name ORDER BY meta_dt, _event_id)""")
+
+ORACLES["silver_from_change_feed"] = _with(STAGED.replace("  FROM feed\n)", "  FROM changed\n)").replace("flat AS (", """
+changed AS (
+  SELECT * REPLACE (CASE WHEN id % 53 = 1 THEN 'Renamed page' ELSE title END AS title) FROM feed
+  WHERE dt >= '2024-01-20' OR id % 53 = 1
+),
+flat AS (""", 1), """
+SELECT id, _event_id, title, array_to_string(reasons, ',') AS dq_failure_reasons FROM staged""")
 
-ORACLES["fact_null_fk"] = _with(GOLD, """
-SELECT check_name, CAST(0 AS BIGINT) AS violations FROM (VALUES ('fact_rows_lost'),
-  ('null_editor_key'), ('null_page_key'), ('null_wiki_key'), ('null_date_key'),
-  ('null_change_type_key'), ('unresolved_editor_key'), ('unresolved_page_key'),
-  ('unresolved_wiki_key'), ('unresolved_date_key'), ('unresolved_change_type_key'))
-  AS c(check_name)""")
+ORACLES["fact_null_fk"] = _with(GOLD, """,
+f AS (
+  SELECT CASE WHEN id % 139 <> 23 THEN "user" END AS u, type, dt, wiki, title, CAST(meta_dt AS DATE) AS d
+  FROM clean WHERE id % 1000 <> 999
+),
+e AS (SELECT * FROM clean WHERE dt < '2024-01-25'),
+days AS (SELECT min(CAST(meta_dt AS DATE)) AS a, max(CAST(meta_dt AS DATE)) AS b FROM e)
+SELECT 'fact_rows_lost' AS check_name, (SELECT count(*) FROM clean) - (SELECT count(*) FROM f) AS violations
+UNION ALL SELECT 'null_editor_key', count(*) FROM f WHERE u IS NULL
+UNION ALL SELECT 'unresolved_editor_key', count(*) FROM f WHERE u NOT IN (SELECT "user" FROM e)
+UNION ALL SELECT 'null_page_key', 0
+UNION ALL SELECT 'unresolved_page_key', count(*) FROM f WHERE (wiki, title) NOT IN (SELECT (wiki, title) FROM e)
+UNION ALL SELECT 'null_wiki_key', 0
+UNION ALL SELECT 'unresolved_wiki_key', count(*) FROM f WHERE wiki NOT IN (SELECT wiki FROM e)
+UNION ALL SELECT 'null_date_key', 0
+UNION ALL SELECT 'unresolved_date_key', count(*) FROM f, days WHERE d < a OR d > b
+UNION ALL SELECT 'null_change_type_key', 0
+UNION ALL SELECT 'unresolved_change_type_key', count(*) FROM f WHERE type = 'log'""")
 
 ORACLES["volume_by_wiki"] = _with(GOLD, """
 SELECT w.wiki_code, w.language_name, count(*) AS edit_count
@@ -441,11 +490,15 @@ JOIN dim_editor e USING (editor_key)""")
 ORACLES["union_by_name"] = _with(STAGED, """
 SELECT dt, count(*) AS row_count FROM survivors GROUP BY dt""")
 
-ORACLES["table_equality"] = """
-SELECT CAST(0 AS BIGINT) AS left_only, CAST(0 AS BIGINT) AS right_only, true AS equal"""
+ORACLES["table_equality"] = _with(VERSIONS, """
+SELECT (SELECT count(*) FROM (SELECT * FROM v2 EXCEPT ALL SELECT * FROM v1)) AS left_only,
+       (SELECT count(*) FROM (SELECT * FROM v1 EXCEPT ALL SELECT * FROM v2)) AS right_only,
+       false AS equal""")
 
-ORACLES["id_set_equality"] = """
-SELECT CAST(0 AS BIGINT) AS only_left, CAST(0 AS BIGINT) AS only_right, true AS equal"""
+ORACLES["id_set_equality"] = _with(STAGED, """
+SELECT count(*) FILTER (WHERE len(reasons) = 0 AND _is_late_arrival) AS only_left,
+       count(*) FILTER (WHERE len(reasons) > 0 AND NOT _is_late_arrival) AS only_right, false AS equal
+FROM timed""")
 
 ORACLES["clean_rejected_disjoint"] = _with(STAGED, """
 SELECT count(*) FILTER (WHERE len(reasons) = 0 AND _event_id IS NOT NULL) AS n_left,
@@ -454,5 +507,40 @@ SELECT count(*) FILTER (WHERE len(reasons) = 0 AND _event_id IS NOT NULL) AS n_l
 FROM survivors""")
 
 
+# Storage, configuration, contracts --------------------------------------------------------
+ORACLES["format_roundtrip"] = """
+SELECT f.format, s_suppkey, s_name FROM supplier CROSS JOIN (VALUES ('json'), ('ndjson'), ('parquet')) AS f(format)"""
+
+ORACLES["snapshot_accumulation"] = """
+SELECT s.step, count(*) * s.fetches AS row_count FROM nation
+CROSS JOIN (VALUES (1, 1), (2, 1), (3, 2)) AS s(step, fetches) GROUP BY s.step, s.fetches"""
+
+ORACLES["versioned_table"] = "SELECT * FROM region WHERE r_regionkey > 1"
+
+ORACLES["dq_configured_thresholds"] = _with(STAGED, """
+SELECT dt, count(*) FILTER (WHERE _ingestion_latency_seconds > 60) AS n_late FROM timed GROUP BY dt""")
+
+ORACLES["load_stamps"] = _with(FEED, f"""
+SELECT 'silver' AS layer, count(*) AS n_stamped, 1 AS n_instants, true AS after_start FROM feed
+UNION ALL SELECT 'arrival', count(*), 1, true FROM feed WHERE {_OBJECT_LINES}""")
+
+
+def _declared(contract: dict, name: str) -> list[tuple]:
+    return [(name, f.name, f.dataType.simpleString()) for f in contracts.struct_type(contract).fields]
+
+
+def _conformance_sql() -> str:
+    star = contracts.load("gold_star_schema")
+    rows = [r for n in ("bronze_recentchange", "silver_recentchange", "dim_wiki_reference")
+            for r in _declared(contracts.load(n), n)]
+    rows += [r for n in star["tables"] for r in _declared(contracts.table_contract(star, n), n)]
+    values = ", ".join(f"({_q(c)}, {_q(n)}, {_q(t)})" for c, n, t in rows)
+    return ("SELECT contract, column_name, declared, declared AS actual, true AS ok "
+            f"FROM (VALUES {values}) AS v(contract, column_name, declared)")
+
+
+ORACLES["contract_conformance"] = _conformance_sql()
+
+
 def oracle_sql() -> dict[str, str]:
     return dict(ORACLES)

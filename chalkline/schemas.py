@@ -1,79 +1,29 @@
-"""Explicit schemas per layer (never inferred)."""
+"""Explicit schemas per layer, built from the contracts (never inferred)."""
 
 from __future__ import annotations
 
 from pyspark.sql import types as T
 
-# Fixed values (must equal the reference's data model): the top-level fields
-# of a change event treated as known; everything else goes to _extra_fields.
-KNOWN_TOP_LEVEL_FIELDS = (
-    "id", "type", "title", "user", "bot", "wiki", "timestamp", "server_url", "meta", "length",
-)
+from chalkline.operators import contracts
 
 # Fixed value: version of the known-field list stamped on every parsed row.
 SCHEMA_VERSION = "1.0.0"
 
-META_SCHEMA = T.StructType([
-    T.StructField("uri", T.StringType()),
-    T.StructField("request_id", T.StringType()),
-    T.StructField("id", T.StringType()),
-    T.StructField("dt", T.StringType()),
-    T.StructField("domain", T.StringType()),
-    T.StructField("stream", T.StringType()),
-    T.StructField("topic", T.StringType()),
-    T.StructField("partition", T.LongType()),
-    T.StructField("offset", T.LongType()),
-])
-
-LENGTH_SCHEMA = T.StructType([
-    T.StructField("old", T.LongType()),
-    T.StructField("new", T.LongType()),
-])
-
-# The typed payload of one event (raw and bronze share it).
-EVENT_SCHEMA = T.StructType([
-    T.StructField("id", T.LongType()),
-    T.StructField("type", T.StringType()),
-    T.StructField("title", T.StringType()),
-    T.StructField("user", T.StringType()),
-    T.StructField("bot", T.BooleanType()),
-    T.StructField("wiki", T.StringType()),
-    T.StructField("timestamp", T.LongType()),
-    T.StructField("server_url", T.StringType()),
-    T.StructField("meta", META_SCHEMA),
-    T.StructField("length", LENGTH_SCHEMA),
-])
-
-ENVELOPE_FIELDS = T.StructType([
-    T.StructField("_event_id", T.StringType()),
-    T.StructField("_ingested_at", T.StringType()),
-    T.StructField("_producer_instance", T.StringType()),
-    T.StructField("_extra_fields", T.StringType()),
-    T.StructField("_schema_version", T.StringType()),
-])
+BRONZE_SCHEMA = contracts.struct_type(contracts.load("bronze_recentchange"))
 
-BRONZE_SCHEMA = T.StructType(EVENT_SCHEMA.fields + ENVELOPE_FIELDS.fields)
+# Fields that an event itself carries; the others (with an underscore) are added on
+# arrival, and unknown fields of an event go to _extra_fields.
+KNOWN_TOP_LEVEL_FIELDS = tuple(n for n in BRONZE_SCHEMA.fieldNames() if not n.startswith("_"))
+EVENT_SCHEMA = T.StructType([f for f in BRONZE_SCHEMA.fields if f.name in KNOWN_TOP_LEVEL_FIELDS])
 
 # Raw files carry the event-time partition columns in their paths.
 PARTITION_FIELDS = T.StructType([
     T.StructField("dt", T.StringType()),
     T.StructField("hour", T.IntegerType()),
 ])
-
 RAW_SCHEMA = T.StructType(BRONZE_SCHEMA.fields + PARTITION_FIELDS.fields)
 
-DIM_WIKI_REFERENCE_SCHEMA = T.StructType([
-    T.StructField("wiki_code", T.StringType(), False),
-    T.StructField("language_name", T.StringType()),
-    T.StructField("project_type", T.StringType()),
-    T.StructField("is_closed", T.BooleanType()),
-    T.StructField("_snapshot_fetched_at", T.TimestampType()),
-])
+DIM_WIKI_REFERENCE_SCHEMA = contracts.struct_type(contracts.load("dim_wiki_reference"))
 
 # Silver column order as contracted (dt, hour are partition columns).
-SILVER_COLUMNS = (
-    "_event_id", "type", "title", "user", "bot", "wiki", "timestamp", "server_url",
-    "meta_dt", "length_old", "length_new", "_ingested_at", "_producer_instance",
-    "_extra_fields", "_schema_version", "_ingestion_latency_seconds", "_is_late_arrival",
-    "_silver_loaded_at",
-)
+SILVER_COLUMNS = tuple(f["name"] for f in contracts.load("silver_recentchange")["fields"])

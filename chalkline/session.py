@@ -3,7 +3,7 @@
 The pipeline semantics assume a UTC session (event dates, partition values and
 the consistency rule are all UTC).  Scratch output and streaming checkpoints go
 under the cluster's shared ``spark.checkpoint.dir``; a local temporary folder is
-only used when that setting is absent (tests, laptops).
+only used when that setting is absent on a local master (tests, laptops).
 """
 
 from __future__ import annotations
@@ -20,6 +20,10 @@ SESSION_DEFAULTS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # small scans are cut by the cluster's parallelism, not by a size switch in the code
+    "spark.sql.files.openCostInBytes": "64k",
+    # of a repeated key in a JSON object the last value counts
+    "spark.sql.variant.allowDuplicateKeys": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
     "spark.sql.streaming.stateStore.providerClass":
@@ -50,43 +54,19 @@ def pin_utc(spark: SparkSession) -> None:
 
 
 def checkpoint_root(spark: SparkSession) -> str:
-    """The shared folder named by ``spark.checkpoint.dir``.
-
-    Set only when the cluster has not named one (local runs and tests).
-    """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        root = spark.sparkContext.getCheckpointDir()
-    if not root:
-        root = tempfile.mkdtemp(prefix="chalkline-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", root)
-        spark.sparkContext.setCheckpointDir(root)
-    elif not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(root)
-    return root.rstrip("/")
+    """The shared folder named by ``spark.checkpoint.dir``.  Only a local master, where
+    all tasks share the driver's disk, gets a temporary folder when none is named."""
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if root:
+        return root.rstrip("/")
+    master = spark.sparkContext.master
+    if not master.startswith("local") or master.startswith("local-cluster"):
+        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+    root = tempfile.mkdtemp(prefix="chalkline-ckpt-")
+    spark.conf.set("spark.checkpoint.dir", root)
+    return root
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique location under the shared checkpoint folder."""
     return f"{checkpoint_root(spark)}/chalkline/{name}-{uuid.uuid4().hex[:12]}"
-
-
-def ensure_parallelism(df, min_partitions: int | None = None, barrier: bool = False):
-    """Spread a small input over the cluster's cores before CPU-heavy per-row
-    work (JSON parsing, the NFC UDF).
-
-    Only acts when the scan yields fewer partitions than there are cores - a
-    single-row-group file, say.  With ``barrier`` the spread rows are also
-    checkpointed to the shared checkpoint folder, which stops the optimizer
-    from pushing heavy per-row predicates (JSON parsing) back below the
-    shuffle into the single scan task.  Large inputs already have a split per
-    core and pass through untouched: no shuffle and no checkpoint at scale."""
-    spark = df.sparkSession
-    target = min_partitions or spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= target:
-        return df
-    spread = df.repartition(target)
-    if not barrier:
-        return spread
-    checkpoint_root(spark)
-    return spread.checkpoint(eager=True)

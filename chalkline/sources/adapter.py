@@ -21,11 +21,12 @@ EVENT_TYPE_TO_CHANGE_TYPE = {
     "signup": "new",
     "error": "log",
 }
-BAD_TITLE = "Bad\x01title"
+BAD_TITLE = "Broken\x02heading"
 NFD_TITLE = "Cafe\u0301 Mu\u0308ller"  # NFD form of "Café Müller"
 MULTILINGUAL_TITLE = "北京市 مرحبا 🚀"          # CJK + Arabic + emoji
 FUTURE_EPOCH = 1893456000                       # 2030-01-01T00:00:00Z
 TWO_DAYS = 172800
+BOT_SWITCH = "2024-01-16"
 AS_OF = "2024-02-01T00:00:00Z"                  # fixed "now" for the accuracy rule
 
 
@@ -34,7 +35,10 @@ def _m(c: Column, mod: int, rem: int) -> Column:
 
 
 def feed_rows(events: DataFrame) -> DataFrame:
-    """``events`` -> raw change events (``RAW_SCHEMA``: bronze columns + dt, hour)."""
+    """``events`` -> raw change events (``RAW_SCHEMA``: bronze columns + dt, hour).
+
+    A test table is one small file; its rows are dealt out over the cluster's cores."""
+    events = events.repartition(events.sparkSession.sparkContext.defaultParallelism)
     i = F.col("event_id")
     ts = F.col("ts")
     epoch = F.unix_seconds(ts.cast("timestamp"))
@@ -58,7 +62,8 @@ def feed_rows(events: DataFrame) -> DataFrame:
                  .when(_m(i, 137, 21), F.lit(FUTURE_EPOCH).cast("long"))
                  .otherwise(epoch))
 
-    wiki = F.concat(F.lit("w"), (F.col("user_id") % 25).cast("string"), F.lit("wiki"))
+    # 25 nations play wikis; codes 25 to 27 are in no reference
+    wiki = F.concat(F.lit("w"), (F.col("user_id") % 28).cast("string"), F.lit("wiki"))
     floor_value = F.floor(F.col("value")).cast("long")
     length_old = F.when(change_type == "new",
                         F.when(_m(i, 131, 19), F.lit(50)).otherwise(F.lit(0)).cast("long")
@@ -76,7 +81,9 @@ def feed_rows(events: DataFrame) -> DataFrame:
         change_type.alias("type"),
         title.alias("title"),
         F.concat(F.lit("user_"), F.col("user_id").cast("string")).alias("user"),
-        ((F.col("user_id") % 10) == 0).alias("bot"),
+        # some accounts turn into bots half-way through the month
+        (((F.col("user_id") % 10) == 0) | (((F.col("user_id") % 7) == 3) & (ts >= F.lit(BOT_SWITCH).cast("timestamp_ntz"))))
+        .alias("bot"),
         wiki.alias("wiki"),
         timestamp.alias("timestamp"),
         F.concat(F.lit("https://"), wiki, F.lit(".example.org")).alias("server_url"),
@@ -106,8 +113,9 @@ def feed_rows(events: DataFrame) -> DataFrame:
 def feed_lines(events: DataFrame) -> DataFrame:
     """``events`` -> one raw JSON line per event (column ``value``), the shape
     a change stream delivers.  Unknown fields from ``props`` are merged into the
-    object.  Injected defects on ``id % 89``: 1 malformed text, 2 blank line,
-    3 a JSON array, 4 no ``id`` key, 5 ``"id": null``.
+    object.  Injected defects on ``id % 89``: 1 malformed text, 2 blank line, 3 a JSON
+    array, 4 no ``id`` key, 5 ``"id": null``, 6 a leading tab, 7 a repeated key, 8 only
+    white space, 9 a boolean id, 10 an id with a fraction.
     """
     rows = feed_rows(events)
     payload = F.to_json(F.struct("id", "type", "title", "user", "bot", "wiki", "timestamp",
@@ -115,11 +123,17 @@ def feed_lines(events: DataFrame) -> DataFrame:
     extras = F.regexp_replace(F.col("_extra_fields"), r"^\s*\{", "")
     merged = F.concat(F.regexp_replace(payload, r"\}$", ""), F.lit(", "), extras)
     i = F.col("id")
+    no_id = F.regexp_replace(merged, r"^\{\"id\":-?[0-9]+,", "")
     line = (F.when(_m(i, 89, 1), F.lit("not json{{{"))
             .when(_m(i, 89, 2), F.lit(""))
             .when(_m(i, 89, 3), F.lit("[1, 2, 3]"))
-            .when(_m(i, 89, 4), F.regexp_replace(merged, r"^\{\"id\":-?[0-9]+,", "{"))
-            .when(_m(i, 89, 5), F.regexp_replace(merged, r"^\{\"id\":-?[0-9]+", "{\"id\":null"))
+            .when(_m(i, 89, 4), F.concat(F.lit("{"), no_id))
+            .when(_m(i, 89, 5), F.concat(F.lit('{"id":null,'), no_id))
+            .when(_m(i, 89, 6), F.concat(F.lit("\t"), merged))
+            .when(_m(i, 89, 7), F.concat(F.lit('{"wiki":"shadowed",'), F.substring(merged, 2, 1_000_000)))
+            .when(_m(i, 89, 8), F.lit("\t\r"))
+            .when(_m(i, 89, 9), F.concat(F.lit('{"id":true,'), no_id))
+            .when(_m(i, 89, 10), F.concat(F.lit('{"id":'), i.cast("string"), F.lit(".0,"), no_id))
             .otherwise(merged))
     return rows.select(i.alias("line_no"), line.alias("value"),
                        F.col("_ingested_at"), F.col("_producer_instance"))
@@ -127,12 +141,12 @@ def feed_lines(events: DataFrame) -> DataFrame:
 
 # Reference snapshots --------------------------------------------------------
 
-# Fixed adapter values: two site-matrix fetches.  The second one closes other
-# wikis and adds two new codes, so "latest snapshot per code" matters.
+# Fixed adapter values: two site-matrix fetches.  The second one closes other wikis and
+# renames the languages, so "latest snapshot per code" matters.
 SNAPSHOTS = (
-    # (fetched_at, nations included below, closed when n % closed_mod == 0)
-    ("2024-01-01T00:00:00Z", 20, 7),
-    ("2024-01-15T00:00:00Z", 22, 5),
+    # (fetched_at, closed when n % closed_mod == 0, suffix of the language name)
+    ("2024-01-01T00:00:00Z", 7, ""),
+    ("2024-01-15T00:00:00Z", 5, " 2"),
 )
 
 
@@ -146,12 +160,14 @@ def sitematrix_documents(nation: DataFrame, region: DataFrame) -> DataFrame:
     n = F.col("n_nationkey")
     located = nation.join(region, nation.n_regionkey == region.r_regionkey)
     per_snapshot = []
-    for fetched_at, n_limit, closed_mod in SNAPSHOTS:
-        per_snapshot.append(located.where(n < n_limit).select(
-            F.lit(fetched_at).alias("fetched_at"), "r_regionkey", "r_name",
+    for fetched_at, closed_mod, suffix in SNAPSHOTS:
+        per_snapshot.append(located.select(
+            F.lit(fetched_at).alias("fetched_at"), "r_regionkey",
+            F.concat("r_name", F.lit(suffix)).alias("r_name"),
             F.struct(
                 F.concat(F.lit("w"), n.cast("string"), F.lit("wiki")).alias("dbname"),
                 F.when((n % 4) == 3, F.lit("wiktionary")).otherwise(F.lit("wiki")).alias("code"),
+                # the key alone says closed, whatever its value
                 F.when((n % closed_mod) == 0, F.lit("")).alias("closed"),
             ).alias("site")))
     sites = per_snapshot[0]

@@ -1,17 +1,16 @@
 """The event feed: JSON lines and message payloads -> typed event rows.
 
-Parsing is one projection per row, JVM-side: the known fields are typed by
-``from_json`` with the explicit event schema, while ``try_parse_json`` (a
-VARIANT) tells a missing ``id`` from a JSON null and keeps every unknown field,
-with its JSON type, in ``_extra_fields``.
-Lines that are blank, not JSON, or not a JSON object go to a quarantine output
-with their raw text instead of being lost.
+Every line is parsed once, JVM-side, into a VARIANT; typed fields, the event id and the
+unknown fields are all taken from it.  Of a repeated key the last value counts.  Lines
+that are blank, not JSON, or not a JSON object go to a quarantine output with their raw
+text instead of being lost.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from chalkline.schemas import (
     BRONZE_SCHEMA,
@@ -21,30 +20,33 @@ from chalkline.schemas import (
 )
 
 PARSED = "_parsed"
+JSON_SPACE = " \t\r\n"
 
 
-def _with_parse(df: DataFrame, value_col: str) -> DataFrame:
-    return df.withColumn(PARSED, F.try_parse_json(F.col(value_col)))
+def _is_object(parsed: Column) -> Column:
+    return F.coalesce(F.schema_of_variant(parsed).startswith("OBJECT"), F.lit(False))
 
 
-def _is_object(value_col: str) -> Column:
-    """Valid JSON whose text starts with '{' - necessarily an object.  Cheap to
-    re-evaluate when the optimizer pushes this predicate below the projection."""
-    return (F.ltrim(F.col(value_col)).startswith("{")
-            & F.try_parse_json(F.col(value_col)).isNotNull())
+def _float_text(x: Column) -> Column:
+    """Shortest decimal text with a fraction, plain up to 10^16."""
+    whole = (F.abs(x) >= 1e7) & (F.abs(x) < 1e16) & (x == F.floor(x))
+    return F.when(whole, F.concat(x.cast("long").cast("string"), F.lit(".0"))).otherwise(x.cast("string"))
 
 
 def _event_id(strict: bool) -> Column:
-    """``str(payload.get("id", ""))`` (parity: missing -> "", JSON null -> "None");
-    strict mode maps both to NULL.  A missing key is SQL NULL, a JSON null is a
-    variant null."""
-    raw = F.try_variant_get(F.col(PARSED), "$.id", "variant")
-    as_text = F.try_variant_get(F.col(PARSED), "$.id", "string")
+    """The id as text: numbers and strings as they stand, fractions with their point,
+    ``True`` / ``False`` for booleans.  A missing id is "" and a JSON null "None"; the
+    strict reading maps both to NULL.  Objects and arrays give their JSON text."""
+    raw = F.try_variant_get(PARSED, "$.id", "variant")
+    kind = F.schema_of_variant(raw)
+    text = (F.when(kind == "BOOLEAN", F.initcap(F.try_variant_get(PARSED, "$.id", "string")))
+            .when(kind.rlike("^(DECIMAL|DOUBLE|FLOAT)"), _float_text(F.try_variant_get(PARSED, "$.id", "double")))
+            .when(kind.rlike("^(OBJECT|ARRAY)"), F.to_json(raw))
+            .otherwise(F.try_variant_get(PARSED, "$.id", "string")))
+    absent, null = raw.isNull(), F.is_variant_null(raw)
     if strict:
-        return F.when(raw.isNotNull() & ~F.is_variant_null(raw), as_text)
-    return (F.when(raw.isNull(), F.lit(""))
-             .when(F.is_variant_null(raw), F.lit("None"))
-             .otherwise(as_text))
+        return F.when(~absent & ~null, text)
+    return F.when(absent, F.lit("")).when(null, F.lit("None")).otherwise(text)
 
 
 def parse_events(lines: DataFrame, value_col: str = "value", strict: bool = False,
@@ -53,44 +55,45 @@ def parse_events(lines: DataFrame, value_col: str = "value", strict: bool = Fals
     """JSON lines -> bronze-shaped rows (known fields typed, the rest in
     ``_extra_fields`` as JSON, ``_event_id`` and ``_schema_version`` derived).
 
-    Non-object lines are dropped here; ``quarantine`` returns them.  Columns of
+    Lines that are no object are dropped here; ``quarantine`` returns them.  Columns of
     ``lines`` other than ``value_col`` are carried along (e.g. a line number),
     and ``_ingested_at`` / ``_producer_instance`` are taken from same-named
     input columns when present, else from the given expressions."""
-    # Known fields: typed by the JSON reader (fields of the wrong type -> NULL).
-    # Parsed once into a struct column, expanded in the next projection.
-    parsed = (_with_parse(lines.where(_is_object(value_col)), value_col)
-              .withColumn("_known", F.from_json(F.col(value_col), EVENT_SCHEMA)))
-    p = F.col(PARSED)
-    typed = [F.col(f"_known.{f.name}").alias(f.name) for f in EVENT_SCHEMA.fields]
-    obj = F.try_variant_get(p, "$", "map<string,variant>")
-    extra = F.to_json(F.map_filter(obj, lambda k, _: ~k.isin(*KNOWN_TOP_LEVEL_FIELDS)))
     now_iso = F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss.SSSSSSxxx")
-    ing = (F.col("_ingested_at") if "_ingested_at" in lines.columns
-           else (ingested_at if ingested_at is not None else now_iso))
-    prod = (F.col("_producer_instance") if "_producer_instance" in lines.columns
-            else (producer_instance if producer_instance is not None else F.lit(None).cast("string")))
+    arrival = {"_ingested_at": now_iso if ingested_at is None else ingested_at,
+               "_producer_instance": F.lit(None).cast("string") if producer_instance is None else producer_instance}
+    arrival = {n: F.col(n) if n in lines.columns else c for n, c in arrival.items()}
     carried = [c for c in lines.columns
-               if c not in (value_col, "_ingested_at", "_producer_instance")
-               and c not in BRONZE_SCHEMA.fieldNames()]
-    return parsed.select(
-        *carried, *typed,
+               if c != value_col and c not in arrival and c not in BRONZE_SCHEMA.fieldNames()]
+    # one cast types all known fields; a value that does not fit becomes NULL
+    known = F.try_variant_get(PARSED, "$", EVENT_SCHEMA.simpleString())
+    boolean_id = F.schema_of_variant(F.try_variant_get(PARSED, "$.id", "variant")) == "BOOLEAN"
+    typed = {f.name: F.col(f"_known.{f.name}") for f in EVENT_SCHEMA.fields}
+    typed["id"] = F.when(F.coalesce(boolean_id, F.lit(False)), None).otherwise(typed["id"])
+    fields = F.try_variant_get(PARSED, "$", "map<string,variant>")
+    unknown = F.to_json(F.map_filter(fields, lambda k, _: ~k.isin(*KNOWN_TOP_LEVEL_FIELDS)))
+    event = F.struct(
+        *[c.alias(n) for n, c in typed.items()],
         _event_id(strict).alias("_event_id"),
-        ing.alias("_ingested_at"),
-        prod.alias("_producer_instance"),
-        extra.alias("_extra_fields"),
+        *[c.alias(n) for n, c in arrival.items()],
+        unknown.alias("_extra_fields"),
         F.lit(SCHEMA_VERSION).alias("_schema_version"))
+    # a generator yields one row per object and none otherwise; unlike a filter it is not
+    # moved below the projection, where the line would be parsed a second time
+    parsed = lines.withColumn(PARSED, F.try_parse_json(value_col)).withColumn("_known", known)
+    return parsed.select(*carried, F.inline(F.array_compact(F.array(F.when(_is_object(F.col(PARSED)), event)))))
 
 
 def quarantine(lines: DataFrame, value_col: str = "value") -> DataFrame:
     """Lines that are not a JSON object, with ``reason`` blank / malformed /
     not_object and the raw text kept."""
-    parsed = _with_parse(lines.where(~F.coalesce(_is_object(value_col), F.lit(False))), value_col)
-    text = F.col(value_col)
-    reason = (F.when(text.isNull() | (F.length(F.trim(text)) == 0), F.lit("blank"))
-               .when(F.col(PARSED).isNull(), F.lit("malformed"))
-               .otherwise(F.lit("not_object")))
-    return parsed.select(*[c for c in lines.columns], reason.alias("reason"))
+    text, parsed = F.col(value_col), F.col(PARSED)
+    reason = (F.when(text.isNull() | (F.btrim(text, F.lit(JSON_SPACE)) == ""), F.lit("blank"))
+               .when(parsed.isNull(), F.lit("malformed"))
+               .when(~_is_object(parsed), F.lit("not_object")))
+    row = F.struct(*lines.columns, reason.alias("reason"))
+    judged = lines.withColumn(PARSED, F.try_parse_json(value_col))
+    return judged.select(F.inline(F.array_compact(F.array(F.when(reason.isNotNull(), row)))))
 
 
 def encode_messages(df: DataFrame, key_col: str | None = "_event_id") -> DataFrame:
@@ -100,11 +103,29 @@ def encode_messages(df: DataFrame, key_col: str | None = "_event_id") -> DataFra
     return df.select(key.alias("key"), value.alias("value"))
 
 
-def decode_messages(messages: DataFrame, schema=BRONZE_SCHEMA, value_col: str = "value"
+def _decoded(messages: DataFrame, schema: T.StructType, value_col: str) -> DataFrame:
+    checked = T.StructType([*schema.fields, T.StructField("_undecodable", T.StringType())])
+    text = F.col(value_col).cast("string")
+    return messages.withColumn("_m", F.from_json(text, checked, {"columnNameOfCorruptRecord": "_undecodable"}))
+
+
+def _failed(value_col: str) -> Column:
+    blank = F.btrim(F.col(value_col).cast("string"), F.lit(JSON_SPACE)) == ""
+    return F.col("_m").isNull() | F.col("_m._undecodable").isNotNull() | blank
+
+
+def decode_messages(messages: DataFrame, schema: T.StructType = BRONZE_SCHEMA, value_col: str = "value"
                     ) -> DataFrame:
-    """Message bytes -> typed rows (explicit schema; undecodable payloads -> NULL row)."""
-    return (messages.select(F.from_json(F.col(value_col).cast("string"), schema).alias("_m"))
-                    .select("_m.*"))
+    """Message bytes -> typed rows (explicit schema).  Payloads that cannot be decoded
+    are left out; ``undecodable_messages`` returns them."""
+    good = _decoded(messages, schema, value_col).where(~_failed(value_col))
+    return good.select(*[F.col(f"_m.{f.name}").alias(f.name) for f in schema.fields])
+
+
+def undecodable_messages(messages: DataFrame, schema: T.StructType = BRONZE_SCHEMA, value_col: str = "value"
+                         ) -> DataFrame:
+    """Messages whose payload is no JSON object of the schema, as they came."""
+    return _decoded(messages, schema, value_col).where(_failed(value_col)).select(*messages.columns)
 
 
 def replay_stream(spark, path: str, max_files_per_trigger: int | None = None) -> DataFrame:

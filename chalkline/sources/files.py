@@ -2,9 +2,7 @@
 format-dispatched read/write, snapshot files and versioned tables.
 
 Versioned tables replace content without a table format: each write goes to a
-new version folder, then a pointer file naming it is added under
-``_pointers/``.  Readers take the greatest pointer, so a reader never sees a
-half-written version.
+new version folder, and readers take the newest complete one.
 """
 
 from __future__ import annotations
@@ -13,7 +11,6 @@ import datetime as _dt
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 # Allowed formats (name -> Spark source); anything else is rejected.
@@ -69,24 +66,56 @@ def write_snapshot(df: DataFrame, root: str, fetched_at: _dt.datetime) -> str:
     return path
 
 
+# The folder name of a NULL partition value (fixed value of the file layout).
+NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
+
+
+def existing(spark: SparkSession, paths: list[str]) -> list[str]:
+    """Those of the paths that exist, asked of the file system that each names."""
+    jvm, conf = spark._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    out = []
+    for path in paths:
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        if p.getFileSystem(conf).exists(p):
+            out.append(path)
+    return out
+
+
+def subfolders(spark: SparkSession, path: str, prefix: str = "") -> list[str]:
+    """Names of the folders directly under ``path`` that start with ``prefix``."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(p):
+        return []
+    names = [s.getPath().getName() for s in fs.listStatus(p) if s.isDirectory()]
+    return sorted(n for n in names if n.startswith(prefix))
+
+
 def write_version(df: DataFrame, table_path: str, fmt: str = "parquet") -> str:
-    """Materialize a full recompute as a new version and publish it."""
-    spark = df.sparkSession
+    """Materialize a full recompute as a new version folder.  Readers take the latest
+    complete one, which Spark's ``_SUCCESS`` marks, so none sees a half-written version."""
     stamp = _dt.datetime.now(_dt.timezone.utc).strftime("%Y%m%dT%H%M%S%fZ")
-    version = f"v-{stamp}-{uuid.uuid4().hex[:8]}"
-    path = f"{table_path.rstrip('/')}/{version}"
+    path = f"{table_path.rstrip('/')}/v-{stamp}-{uuid.uuid4().hex[:8]}"
     write(df, path, fmt)
-    spark.createDataFrame([(version,)], "value string").coalesce(1).write.mode("errorifexists") \
-         .text(f"{table_path.rstrip('/')}/_pointers/{version}")
     return path
 
 
 def current_version(spark: SparkSession, table_path: str) -> str:
-    latest = (spark.read.text(f"{table_path.rstrip('/')}/_pointers/*")
-                   .agg(F.max("value").alias("v")).first()["v"])
-    if latest is None:
-        raise FileNotFoundError(f"no published version under {table_path}")
-    return f"{table_path.rstrip('/')}/{latest}"
+    root = table_path.rstrip("/")
+    for name in reversed(subfolders(spark, root, "v-")):
+        if existing(spark, [f"{root}/{name}/_SUCCESS"]):
+            return f"{root}/{name}"
+    raise FileNotFoundError(f"no complete version under {table_path}")
+
+
+def expire_versions(spark: SparkSession, table_path: str, keep: int = 2) -> int:
+    """Delete all but the newest ``keep`` versions; returns how many went."""
+    root = table_path.rstrip("/")
+    old = subfolders(spark, root, "v-")[:-keep]
+    for name in old:
+        p = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/{name}")
+        p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+    return len(old)
 
 
 def read_current(spark: SparkSession, table_path: str, fmt: str = "parquet",

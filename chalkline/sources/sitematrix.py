@@ -16,13 +16,10 @@ from pyspark.sql import types as T
 NON_LANGUAGE_KEYS = ("count", "specials")
 PROJECT_CODE_TO_TYPE = {"wiki": "wikipedia"}
 
+# A site stays a map, so that a key can be told from its value.
 _LANGUAGE = T.StructType([
     T.StructField("localname", T.StringType()),
-    T.StructField("site", T.ArrayType(T.StructType([
-        T.StructField("dbname", T.StringType()),
-        T.StructField("code", T.StringType()),
-        T.StructField("closed", T.StringType()),
-    ]))),
+    T.StructField("site", T.ArrayType(T.MapType(T.StringType(), T.StringType()))),
 ])
 
 
@@ -38,15 +35,15 @@ def parse_documents(docs: DataFrame, doc_col: str = "doc", fetched_col: str = "f
                     .select("_fetched", F.from_json("entry", _LANGUAGE).alias("lang")))
     sites = langs.select("_fetched", F.col("lang.localname").alias("language_name"),
                          F.explode_outer("lang.site").alias("site")).where(F.col("site").isNotNull())
-    code = F.col("site.code")
+    code = F.col("site")["code"]
     project = code
     for src, dst in PROJECT_CODE_TO_TYPE.items():
         project = F.when(code == src, F.lit(dst)).otherwise(project)
     return sites.select(
-        F.col("site.dbname").alias("wiki_code"),
+        F.col("site")["dbname"].alias("wiki_code"),
         F.col("language_name"),
         project.alias("project_type"),
-        F.col("site.closed").isNotNull().alias("is_closed"),
+        F.map_contains_key("site", F.lit("closed")).alias("is_closed"),
         F.try_to_timestamp(F.col("_fetched")).alias("_snapshot_fetched_at"))
 
 

@@ -2,7 +2,8 @@
 
 The raw folder is read as a file stream with an explicit schema; the
 checkpoint records which files were consumed, so a rerun with no new files
-adds nothing and new files add only themselves."""
+adds nothing and new files add only themselves.  Each micro-batch writes its own
+``batch_id`` folders, so a retried batch replaces what it wrote."""
 
 from __future__ import annotations
 
@@ -10,42 +11,49 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from chalkline.operators import contracts
 from chalkline.schemas import RAW_SCHEMA
+from chalkline.streaming.raw import PARTITION_COLUMNS, write_partitioned
 
-def raw_stream(spark: SparkSession, raw_path: str, max_files_per_trigger: int | None = None
-               ) -> DataFrame:
-    reader = spark.readStream.schema(RAW_SCHEMA)
+
+def _file_stream(spark: SparkSession, path: str, schema: T.StructType, max_files_per_trigger: int | None) -> DataFrame:
+    reader = spark.readStream.schema(schema)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    return reader.parquet(raw_path)
+    return reader.parquet(path)
+
+
+def raw_stream(spark: SparkSession, raw_path: str, max_files_per_trigger: int | None = None) -> DataFrame:
+    return _file_stream(spark, raw_path, RAW_SCHEMA, max_files_per_trigger)
 
 
 def bronze_rows(raw: DataFrame) -> DataFrame:
-    return raw.withColumn("_bronze_loaded_at", F.current_timestamp())
+    return raw.select(*RAW_SCHEMA.fieldNames(), F.current_timestamp().alias("_bronze_loaded_at"))
 
 
 def run_bronze(spark: SparkSession, raw_path: str, bronze_path: str, checkpoint: str,
                max_files_per_trigger: int | None = None) -> int:
-    """Drain new raw files into bronze and stop; returns rows appended."""
-    q = (bronze_rows(raw_stream(spark, raw_path, max_files_per_trigger))
-         .writeStream.format("parquet")
-         .partitionBy("dt", "hour")
-         .option("checkpointLocation", checkpoint)
-         .trigger(availableNow=True)
-         .start(bronze_path))
-    q.awaitTermination()
-    return sum(p.get("numInputRows", 0) for p in q.recentProgress)
+    """Drain new raw files into bronze and stop; returns the rows written, counted at
+    the sink for every batch.  Raises before reading if raw breaks the contract."""
+    stream = bronze_rows(raw_stream(spark, raw_path, max_files_per_trigger))
+    contracts.assert_types_conform(stream, contracts.load("bronze_recentchange"))
+    added: dict[int, int] = {}
+
+    def mirror(batch: DataFrame, batch_id: int) -> None:
+        added[batch_id] = write_partitioned(batch.withColumn("batch_id", F.lit(batch_id)), bronze_path,
+                                            (*PARTITION_COLUMNS, "batch_id"), "overwrite")
+
+    (stream.writeStream.foreachBatch(mirror).option("checkpointLocation", checkpoint)
+     .trigger(availableNow=True).start().awaitTermination())
+    return sum(added.values())
 
 
 def bronze_schema() -> T.StructType:
-    """Raw columns plus the load stamp."""
-    return T.StructType(RAW_SCHEMA.fields + [T.StructField("_bronze_loaded_at", T.TimestampType())])
+    """Raw columns plus the load stamp and the batch."""
+    return T.StructType(RAW_SCHEMA.fields + [T.StructField("_bronze_loaded_at", T.TimestampType()),
+                                             T.StructField("batch_id", T.IntegerType())])
 
 
-def bronze_stream(spark: SparkSession, bronze_path: str, max_files_per_trigger: int | None = None
-                  ) -> DataFrame:
+def bronze_stream(spark: SparkSession, bronze_path: str, max_files_per_trigger: int | None = None) -> DataFrame:
     """Incremental read of the bronze table (for silver)."""
-    reader = spark.readStream.schema(bronze_schema())
-    if max_files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    return reader.parquet(bronze_path)
+    return _file_stream(spark, bronze_path, bronze_schema(), max_files_per_trigger)

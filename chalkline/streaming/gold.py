@@ -1,64 +1,114 @@
-"""Gold, incrementally: each micro-batch of clean silver rows upserts the
-dimensions first, checks that every foreign key of the batch resolves, then
-appends the batch's fact rows (dims before fact, fail fast on a bad key).
-
-Dimensions are SCD1 tables published as versions (``sources.files``): a batch
-merges its own dimension rows into the current version and publishes a new
-one.  Facts go to ``fact/batch_id=<n>`` with overwrite, so a replayed batch
-replaces its own rows; merging the same batch twice is a no-op.
+"""Gold, incrementally: each micro-batch of clean silver rows adds its dimension rows
+first, checks that every foreign key of the batch resolves, then appends the batch's
+fact rows (dims before fact, fail fast on a bad key).
+
+A batch costs what it brings, not what the dimensions hold: it writes its own rows as a
+delta, ``<dim>/delta/bucket=/batch_id=``, where the bucket is a hash of the key.  Readers
+merge the deltas with the last compaction of each bucket; ``compact`` rewrites only the
+buckets that have new deltas.  A replayed batch replaces its own folders.
+
+``scd_type`` is one parameter: type 1 keeps the latest attributes of a member, type 2
+all versions.  Attributes of the wiki reference are joined when the dimension is read,
+so a new snapshot shows without new events.
 """
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from chalkline.operators import gold
+from chalkline.operators import cdc, contracts, gold
 from chalkline.sources import files
 from chalkline.streaming import silver as ssilver
 
-DIMENSION_KEYS = {"dim_editor": "editor_key", "dim_page": "page_key", "dim_wiki": "wiki_key"}
-
-
-def _current(spark: SparkSession, path: str) -> DataFrame | None:
-    try:
-        return files.read_current(spark, path)
-    except (AnalysisException, FileNotFoundError):
-        return None
-
-
-def _publish(spark: SparkSession, df: DataFrame, path: str) -> DataFrame:
-    return spark.read.parquet(files.write_version(df, path))
-
-
-def gold_batch(spark: SparkSession, clean: DataFrame, batch_id: int, root: str,
-               reference_latest: DataFrame) -> None:
+BUCKETS = 64
+_BUILD = {"dim_editor": gold.dim_editor, "dim_page": gold.dim_page, "dim_wiki": gold.dim_wiki}
+
+
+def _delta(silver: DataFrame, name: str, scd_type: int) -> DataFrame:
+    """A batch's rows of a dimension: one per member (type 1), or every observation
+    (type 2: a late one may fall between any two)."""
+    if scd_type == 1:
+        return _BUILD[name](silver, with_sequence=True)
+    if scd_type != 2:
+        raise ValueError(f"scd_type must be 1 or 2, not {scd_type!r}")
+    return gold.dimension_changes(silver, name)
+
+
+def _write(df: DataFrame, path: str, key: str, stamp: str, number: int) -> None:
+    bucket = F.pmod(F.xxhash64(key), F.lit(BUCKETS)).cast("int")
+    (df.withColumn("bucket", bucket).withColumn(stamp, F.lit(number)).hint("rebalance", "bucket")
+       .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+       .partitionBy("bucket", stamp).parquet(path))
+
+
+def _read_delta(spark: SparkSession, path: str, rows: T.StructType) -> DataFrame:
+    """A delta folder under its own schema; it may hold no file yet."""
+    schema = T.StructType([*rows.fields, T.StructField("bucket", T.IntegerType()), T.StructField("batch_id", T.IntegerType())])
+    if not files.existing(spark, [path]):
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(path)
+
+
+def _delta_schema(spark: SparkSession, name: str, scd_type: int) -> T.StructType:
+    return _delta(spark.createDataFrame([], ssilver.output_schema(spark)), name, scd_type).schema
+
+
+def _stored(spark: SparkSession, root: str, name: str, scd_type: int) -> DataFrame:
+    """All rows that count: the last compaction of each bucket and the deltas after it."""
+    path = f"{root}/{name}"
+    delta = _read_delta(spark, f"{path}/delta", _delta_schema(spark, name, scd_type))
+    if not files.existing(spark, [f"{path}/base"]):
+        return delta.drop("bucket", "batch_id")
+    base = spark.read.parquet(f"{path}/base")
+    last = base.groupBy("bucket").agg(F.max("upto").alias("_upto"))       # one row per bucket
+    new = delta.join(last, "bucket", "left").where(F.col("_upto").isNull() | (F.col("batch_id") > F.col("_upto")))
+    old = base.join(last, "bucket").where("upto = _upto")
+    cols = [c for c in delta.columns if c not in ("bucket", "batch_id")]
+    return old.select(*cols).unionByName(new.select(*cols))
+
+
+def _merged(rows: DataFrame, name: str, scd_type: int) -> DataFrame:
+    key, attrs = gold.TRACKED[name]
+    if scd_type == 1:
+        return gold.latest_members(rows, key)
+    return cdc.scd2(rows, [key], gold.SCD2_SEQUENCE, list(attrs))
+
+
+def compact(spark: SparkSession, root: str, name: str, upto: int) -> int:
+    """Merge the deltas of type 1 dimension ``name`` up to batch ``upto`` into a new base of
+    the buckets that have any; returns how many buckets were rewritten."""
+    path, (key, _) = f"{root}/{name}", gold.TRACKED[name]
+    delta = _read_delta(spark, f"{path}/delta", _delta_schema(spark, name, 1)).where(F.col("batch_id") <= upto)
+    touched = delta.select("bucket", "batch_id").distinct()
+    if files.existing(spark, [f"{path}/base"]):
+        done = spark.read.parquet(f"{path}/base").groupBy("bucket").agg(F.max("upto").alias("_upto"))
+        touched = touched.join(done, "bucket", "left").where("_upto IS NULL OR batch_id > _upto")
+    buckets = [r["bucket"] for r in touched.select("bucket").distinct().collect()]      # at most BUCKETS
+    if buckets:
+        rows = _stored(spark, root, name, 1).where(F.pmod(F.xxhash64(key), F.lit(BUCKETS)).isin(buckets))
+        _write(_merged(rows, name, 1), f"{path}/base", key, "upto", upto)
+    return len(buckets)
+
+
+def gold_batch(spark: SparkSession, clean: DataFrame, batch_id: int, root: str, scd_type: int = 1) -> None:
+    contract = contracts.load("gold_star_schema")
     s = clean.persist()
     try:
-        updates = {
-            "dim_editor": gold.dim_editor(s, with_sequence=True),
-            "dim_page": gold.dim_page(s, with_sequence=True),
-            "dim_wiki": gold.dim_wiki(s, reference_latest, with_sequence=True),
-        }
         dims = {}
-        for name, update in updates.items():
-            path = f"{root}/{name}"
-            cur = _current(spark, path)
-            merged = update if cur is None else gold.merge_dimension(cur, update, DIMENSION_KEYS[name])
-            dims[name] = _publish(spark, merged, path)
-        # calendar: contiguous over everything seen so far (bounded by days)
-        seen = s.select(F.to_date("meta_dt").alias("d"))
-        cur_days = _current(spark, f"{root}/dim_date")
-        if cur_days is not None:
-            seen = seen.unionByName(cur_days.select(F.col("full_date").alias("d")))
-        days = gold.dim_date(spark, F.min("d"), F.max("d"), source=seen)
-        dims["dim_date"] = _publish(spark, days, f"{root}/dim_date")
-        types = _current(spark, f"{root}/dim_change_type")
-        if types is None:                      # static seed, written once
-            types = _publish(spark, gold.dim_change_type(spark), f"{root}/dim_change_type")
-        dims["dim_change_type"] = types
+        for name, (key, _) in gold.TRACKED.items():
+            delta, path = _delta(s, name, scd_type), f"{root}/{name}/delta"
+            _write(delta, path, key, "batch_id", batch_id)
+            # every key of this batch is in this batch's delta
+            dims[name] = _read_delta(spark, path, delta.schema).where(F.col("batch_id") == batch_id)
+        days = s.select(F.to_date("meta_dt").alias("full_date")).distinct()
+        (days.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite")
+         .option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(f"{root}/dim_date/delta"))
+        dims["dim_date"] = gold.calendar(days)
+        dims["dim_change_type"] = gold.dim_change_type(spark)
         fact = gold.fact_edit_event(s)
+        contracts.assert_types_conform(fact, contracts.table_contract(contract, "fact_edit_event"))
         gold.assert_integrity(gold.integrity_report(s, fact, dims))
         fact.write.mode("overwrite").parquet(f"{root}/fact/batch_id={batch_id}")
     finally:
@@ -66,23 +116,34 @@ def gold_batch(spark: SparkSession, clean: DataFrame, batch_id: int, root: str,
 
 
 def run_gold(spark: SparkSession, silver_root: str, root: str, checkpoint: str,
-             reference_latest: DataFrame, max_files_per_trigger: int | None = None) -> None:
-    """Drain new clean silver rows into the star schema and stop."""
-    reader = spark.readStream.schema(ssilver.output_schema(spark, "clean"))
+             max_files_per_trigger: int | None = None, scd_type: int = 1) -> None:
+    """Drain new clean silver rows into the star schema and stop.  Raises before reading
+    if silver breaks its contract."""
+    schema = ssilver.output_schema(spark)
+    contracts.assert_types_conform(schema, contracts.load("silver_recentchange"))
+    reader = spark.readStream.schema(schema)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    stream = reader.parquet(f"{silver_root}/clean")
+    stream = reader.parquet(f"{silver_root}/verdict=clean")
     q = (stream.writeStream
-         .foreachBatch(lambda df, bid: gold_batch(spark, df, bid, root, reference_latest))
+         .foreachBatch(lambda df, bid: gold_batch(spark, df, bid, root, scd_type))
          .option("checkpointLocation", checkpoint)
          .trigger(availableNow=True)
          .start())
     q.awaitTermination()
 
 
-def read_dimension(spark: SparkSession, root: str, name: str) -> DataFrame:
-    df = files.read_current(spark, f"{root}/{name}")
-    return df.drop(gold.SEQUENCE) if gold.SEQUENCE in df.columns else df
+def read_dimension(spark: SparkSession, root: str, name: str, reference_latest: DataFrame | None = None,
+                   scd_type: int = 1) -> DataFrame:
+    """The dimension as of now, under its contract's columns (type 1) or as versions (type 2)."""
+    if name == "dim_date":
+        return gold.calendar(spark.read.schema("full_date date, batch_id int").parquet(f"{root}/dim_date/delta"))
+    if name == "dim_change_type":
+        return gold.dim_change_type(spark)
+    merged = _merged(_stored(spark, root, name, scd_type), name, scd_type).drop(gold.SEQUENCE)
+    if name == "dim_wiki" and reference_latest is not None:
+        merged = gold.enrich_wiki(merged, reference_latest)
+    return merged
 
 
 def read_fact(spark: SparkSession, root: str) -> DataFrame:

@@ -1,12 +1,12 @@
 """Raw landing: events partitioned by *event* time (dt, hour from meta.dt).
 
-Files per hour are spread over ``files_per_hour`` writer tasks by a
-deterministic hash, so one busy hour is never written by a single task and a
-retried task rewrites the same rows."""
+Writes are rebalanced by (dt, hour): adaptive execution splits a busy hour over
+several tasks by its bytes and joins quiet hours, whatever their number.  Streams
+land batch by batch under ``batch_id``, so a retried batch replaces its own files."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 PARTITION_COLUMNS = ("dt", "hour")
@@ -15,7 +15,7 @@ PARTITION_COLUMNS = ("dt", "hour")
 def event_time_partitions(meta_dt_text: Column) -> tuple[Column, Column]:
     """dt = text before 'T'; hour = first two characters after it."""
     dt = F.substring_index(meta_dt_text, "T", 1)
-    hour = F.substring(F.substring_index(meta_dt_text, "T", -1), 1, 2).cast("int")
+    hour = F.substring(F.substring_index(meta_dt_text, "T", -1), 1, 2).try_cast("int")
     return dt, hour
 
 
@@ -24,43 +24,34 @@ def with_partitions(events: DataFrame) -> DataFrame:
     return events.withColumn("dt", dt).withColumn("hour", hour)
 
 
-def cluster_for_write(df: DataFrame, files_per_hour: int) -> DataFrame:
-    """Rows of one (dt, hour) go to ``files_per_hour`` writer tasks (deterministic
-    hash salt): few files per partition, and no hour is written by a single task."""
-    return _spread(df, files_per_hour)
+def write_partitioned(df: DataFrame, path: str, partitions: tuple[str, ...] = PARTITION_COLUMNS,
+                      mode: str = "append", max_records_per_file: int = 1_000_000) -> int:
+    """Write rows to their partition folders; returns the number of rows written.
+    ``mode="overwrite"`` replaces only the folders that the rows belong to."""
+    written = Observation()
+    (df.hint("rebalance", *[c for c in PARTITION_COLUMNS if c in df.columns])
+       .observe(written, F.count(F.lit(1)).alias("rows"))
+       .write.mode(mode).option("partitionOverwriteMode", "dynamic")
+       .option("maxRecordsPerFile", max_records_per_file)
+       .partitionBy(*partitions).parquet(path))
+    return written.get["rows"]
 
 
-def _spread(df: DataFrame, files_per_hour: int) -> DataFrame:
-    """Hash-cluster by (dt, hour, salt) into ``spark.sql.shuffle.partitions``
-    writer tasks.  The explicit count keeps AQE from coalescing the writers
-    into a few tasks that would then write every partition folder serially."""
-    salt = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns
-                               if c not in PARTITION_COLUMNS and c != "batch_id"]),
-                  F.lit(files_per_hour))
-    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return df.repartition(n, F.col("dt"), F.col("hour"), salt)
-
-
-def write_raw(events: DataFrame, path: str, files_per_hour: int = 2,
-              max_records_per_file: int = 1_000_000, mode: str = "append") -> None:
+def write_raw(events: DataFrame, path: str, max_records_per_file: int = 1_000_000,
+              mode: str = "append") -> int:
     """Batch landing of parsed events (needs ``meta``; adds dt/hour if absent)."""
     df = events if "dt" in events.columns else with_partitions(events)
-    (_spread(df, files_per_hour).write.mode(mode)
-        .option("maxRecordsPerFile", max_records_per_file)
-        .partitionBy(*PARTITION_COLUMNS).parquet(path))
+    return write_partitioned(df, path, mode=mode, max_records_per_file=max_records_per_file)
 
 
 def start_raw_ingest(events_stream: DataFrame, path: str, checkpoint: str,
-                     trigger: dict | None = None, files_per_hour: int = 2,
-                     max_records_per_file: int = 1_000_000):
-    """Streaming landing through the file sink: exactly-once (the sink's log
-    lists committed files, so a retried batch never duplicates rows).
-    ``trigger`` sets the flush cadence, e.g. ``{"processingTime": "60 seconds"}``;
-    the default drains what is available and stops."""
-    df = _spread(with_partitions(events_stream), files_per_hour)
-    writer = (df.writeStream.format("parquet")
-                .partitionBy(*PARTITION_COLUMNS)
-                .option("checkpointLocation", checkpoint)
-                .option("maxRecordsPerFile", max_records_per_file)
-                .trigger(**(trigger or {"availableNow": True})))
-    return writer.start(path)
+                     trigger: dict | None = None, max_records_per_file: int = 1_000_000):
+    """Streaming landing.  ``trigger`` sets the flush cadence, e.g.
+    ``{"processingTime": "60 seconds"}``; the default drains what is there and stops."""
+    def land(batch: DataFrame, batch_id: int) -> None:
+        write_partitioned(with_partitions(batch).withColumn("batch_id", F.lit(batch_id)), path,
+                          (*PARTITION_COLUMNS, "batch_id"), "overwrite", max_records_per_file)
+
+    return (events_stream.writeStream.foreachBatch(land)
+            .option("checkpointLocation", checkpoint)
+            .trigger(**(trigger or {"availableNow": True})).start())

@@ -13,10 +13,10 @@ def iso(t: dt.datetime) -> str:
     return t.strftime("%Y-%m-%dT%H:%M:%SZ")
 
 
-def raw_row(event_id="1", id_=1, type_="edit", title="Test page", user="Someone", bot=False,
-            wiki="enwiki", meta_dt=BASE_DT, timestamp=None, length_old=100, length_new=120,
+def raw_row(event_id="1", id_=1, type_="edit", title="Lighthouse", user="keeper", bot=False,
+            wiki="cywiki", meta_dt=BASE_DT, timestamp=None, length_old=310, length_new=345,
             ingested_at=None, dt_part=None, hour=None, extra="{}"):
-    """One raw row (RAW_SCHEMA order).  Defaults mirror a valid edit."""
+    """One raw row (RAW_SCHEMA order).  By default a clean edit."""
     if timestamp is None and meta_dt is not None:
         timestamp = int(meta_dt.timestamp())
     if ingested_at is None and meta_dt is not None:

@@ -11,8 +11,8 @@ def test_adapter_counts_match_survey(spark):
     r = st.agg(
         F.count(F.lit(1)).alias("rows"),
         *[F.count(F.when(F.array_contains(dq.REASONS_COLUMN, d), 1)).alias(d) for d in dq.DIMENSIONS],
-        F.count(F.when(dq.is_clean(), 1)).alias("clean"),
-        F.count(F.when(dq.is_rejected(), 1)).alias("rejected"),
+        F.count(F.when(dq.passed(), 1)).alias("clean"),
+        F.count(F.when(~dq.passed(), 1)).alias("rejected"),
         F.count_distinct("_event_id").alias("distinct_ids"),
         F.count(F.when(F.col("_is_late_arrival"), 1)).alias("late"),
     ).first().asDict()

@@ -1,10 +1,9 @@
-"""Change feed, SCD1, SCD2 (bucketed) and out-of-order application."""
+"""Change feed, SCD1, SCD2 (across ranges) and out-of-order application."""
 
 import datetime as dt
 import random
 
 import pandas as pd
-from pyspark.sql import functions as F
 
 from chalkline.operators import cdc
 
@@ -46,7 +45,7 @@ def _scd2_rows(df):
                     r["__END_AT"]["s"] if r["__END_AT"] else None) for r in df.collect()), key=repr)
 
 
-def test_scd2_matches_brute_force_across_buckets(spark):
+def test_scd2_matches_brute_force_across_ranges(spark):
     rnd = random.Random(3)
     base = dt.date(2024, 1, 1)
     rows = []
@@ -54,7 +53,7 @@ def test_scd2_matches_brute_force_across_buckets(spark):
         k = 0 if n % 3 == 0 else rnd.randint(1, 20)      # key 0 is hot
         rows.append((k, base + dt.timedelta(days=rnd.randint(0, 400)), n, rnd.choice("ABC")))
     df = spark.createDataFrame(rows, "k int, d date, s int, v string")
-    got = cdc.scd2(df, ["k"], ["d", "s"], ["v"], F.date_format("d", "yyyy-MM"))
+    got = cdc.scd2(df, ["k"], ["d", "s"], ["v"])
     assert _scd2_rows(got) == _brute_scd2(rows)
 
 
@@ -62,11 +61,10 @@ def test_scd2_collapses_equal_neighbours_and_out_of_order(spark):
     d = dt.date(2024, 1, 1)
     rows = [(1, d, 1, "A"), (1, d, 2, "A"), (1, d, 4, "B"), (1, d + dt.timedelta(days=40), 5, "A")]
     df = spark.createDataFrame(rows, "k int, d date, s int, v string")
-    bucket = F.date_format("d", "yyyy-MM")
-    versions = cdc.scd2(df, ["k"], ["d", "s"], ["v"], bucket)
+    versions = cdc.scd2(df, ["k"], ["d", "s"], ["v"])
     assert sorted((r[3], r[1]) for r in _scd2_rows(versions)) == [(1, "A"), (4, "B"), (5, "A")]
     late = spark.createDataFrame([(1, d, 3, "C")], "k int, d date, s int, v string")
-    applied = cdc.apply_scd2(versions, df, late, ["k"], ["d", "s"], ["v"], bucket)
+    applied = cdc.apply_scd2(versions, df, late, ["k"], ["d", "s"], ["v"])
     assert _scd2_rows(applied) == _brute_scd2(rows + [(1, d, 3, "C")])
 
 
@@ -75,7 +73,7 @@ def test_scd_type_is_one_parameter(spark):
     rows = [(1, 1, "A"), (1, 2, "B")]
     df = spark.createDataFrame(rows, "k int, s int, v string")
     assert cdc.scd1(df, ["k"], ["s"]).count() == 1
-    assert cdc.scd2(df, ["k"], ["s"], ["v"], F.lit(0)).count() == 2
+    assert cdc.scd2(df, ["k"], ["s"], ["v"]).count() == 2
 
 
 def test_snapshot_diff_never_pairs_duplicate_keys(spark):

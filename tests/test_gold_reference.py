@@ -71,8 +71,7 @@ def _star(spark, s):
     ref = spark.createDataFrame([], DIM_WIKI_REFERENCE_SCHEMA)
     return {"dim_editor": gold.dim_editor(s), "dim_page": gold.dim_page(s),
             "dim_wiki": gold.dim_wiki(s, ref),
-            "dim_date": gold.dim_date(spark, F.min(F.to_date("meta_dt")),
-                                      F.max(F.to_date("meta_dt")), source=s),
+            "dim_date": gold.calendar(s.select(F.to_date("meta_dt").alias("full_date"))),
             "dim_change_type": gold.dim_change_type(spark)}
 
 
@@ -100,15 +99,18 @@ def test_streaming_gold_upserts_dims_before_facts(spark, scratch):
     earliest date, a late (older) batch changes nothing, facts accumulate."""
     from chalkline.streaming import gold as sgold
     root = scratch("gold")
-    ref = spark.createDataFrame([], DIM_WIKI_REFERENCE_SCHEMA)
     day2 = dt.datetime(2026, 8, 1, 12, tzinfo=dt.timezone.utc)
     day0 = dt.datetime(2026, 7, 30, 10, tzinfo=dt.timezone.utc)
     b0 = _silver(spark, [raw_row(event_id="1", id_=1, user="ann", bot=False)])
     b1 = _silver(spark, [raw_row(event_id="2", id_=2, user="ann", bot=True, meta_dt=day2)])
     late = _silver(spark, [raw_row(event_id="3", id_=3, user="ann", bot=False, meta_dt=day0)])
     for bid, b in enumerate([b0, b1, late]):
-        sgold.gold_batch(spark, b, bid, root, ref)
-    sgold.gold_batch(spark, b1, 1, root, ref)                 # replay of batch 1
+        sgold.gold_batch(spark, b, bid, root)
+    sgold.gold_batch(spark, b1, 1, root)                      # replay of batch 1
+    before = sgold.read_dimension(spark, root, "dim_editor").collect()
+    assert sgold.compact(spark, root, "dim_editor", upto=1) == 1
+    assert sgold.compact(spark, root, "dim_editor", upto=1) == 0      # nothing new to merge
+    assert sgold.read_dimension(spark, root, "dim_editor").collect() == before
     ed = sgold.read_dimension(spark, root, "dim_editor").collect()
     assert len(ed) == 1 and ed[0]["is_bot"] is True
     assert str(ed[0]["first_seen_date"]) == "2026-07-30"
@@ -118,7 +120,6 @@ def test_streaming_gold_upserts_dims_before_facts(spark, scratch):
 
 def test_streaming_gold_rejects_null_foreign_key(spark, scratch):
     from chalkline.streaming import gold as sgold
-    ref = spark.createDataFrame([], DIM_WIKI_REFERENCE_SCHEMA)
     bad = _silver(spark, [raw_row(event_id="1", id_=1, user=None)])
     with pytest.raises(gold.IntegrityError):
-        sgold.gold_batch(spark, bad, 0, scratch("gold"), ref)
+        sgold.gold_batch(spark, bad, 0, scratch("gold"))

@@ -13,7 +13,7 @@ CFG = dq.DQConfig(as_of="2026-08-02T00:00:00Z")
 
 
 def land(spark, path, rows):
-    raw.write_raw(raw_df(spark, rows), path, files_per_hour=1)
+    raw.write_raw(raw_df(spark, rows), path)
 
 
 def test_bronze_counts_rerun_and_increment(spark, scratch):
@@ -93,8 +93,9 @@ def test_replayed_batch_is_not_its_own_duplicate(spark, scratch):
     root = scratch("silver")
     batch = raw_df(spark, [raw_row(event_id="a", id_=1)]).withColumn(
         "_bronze_loaded_at", F.current_timestamp())
-    ssilver.fan_out(spark, batch, 0, root, CFG)
-    ssilver.fan_out(spark, batch, 0, root, CFG)      # retry of the same batch id
+    assert ssilver.fan_out(spark, batch, 0, root, dq.DQConfig()) == 1
+    assert ssilver.fan_out(spark, batch, 0, root, dq.DQConfig()) == 1      # retry of the same batch id
+    assert spark.read.parquet(f"{root}/_instants/batch_id=0").count() == 1
     assert ssilver.read_output(spark, root, "clean").count() == 1
     assert ssilver.read_output(spark, root, "duplicates").count() == 0
 
@@ -106,11 +107,12 @@ def test_watermark_dedup_stream(spark, scratch):
     land(spark, raw_path, [raw_row(event_id="x", id_=1), raw_row(event_id="x", id_=2),
                            raw_row(event_id="y", id_=3)])
     flat = silver.flatten(bronze.raw_stream(spark, raw_path), normalize=False)
-    q = (sdedup.dedup_within_watermark(flat).writeStream.format("parquet")
-         .option("checkpointLocation", ckpt).trigger(availableNow=True).start(out))
-    q.awaitTermination()
+    with sdedup.DroppedRows(spark) as dropped:
+        q = (sdedup.dedup_within_watermark(flat).writeStream.format("parquet")
+             .option("checkpointLocation", ckpt).trigger(availableNow=True).start(out))
+        q.awaitTermination()
     assert sorted(r["_event_id"] for r in spark.read.parquet(out).collect()) == ["x", "y"]
-    assert sdedup.dropped_by_watermark(q) == 0
+    assert dropped.total(q) == 0
 
 
 def test_raw_ingest_stream_lands_by_event_time(spark, scratch):
@@ -150,7 +152,7 @@ def test_ingestion_smoke_published_equals_persisted(spark, scratch):
     messages = feed.encode_messages(parsed)
     decoded = feed.decode_messages(messages)
     raw_path, bronze_path = scratch("raw"), scratch("bronze")
-    raw.write_raw(decoded, raw_path, files_per_hour=1)
+    raw.write_raw(decoded, raw_path)
     bronze.run_bronze(spark, raw_path, bronze_path, scratch("ckpt"))
     assert messages.count() == 20
     assert spark.read.parquet(bronze_path).count() == 20
