@@ -15,7 +15,7 @@ shingles, so a passage that many documents share makes no long list by itself.
 sets whose partners may be heavy stand in the lists too.  The boundary is where the
 enumerated subsets would cost more than list entries, over the sizes that occur.
 
-Every list member is compared with the list's smallest class first; a 512-bit parity
+Every list member is compared with a few pivots of the list first; a 512-bit parity
 sketch, whose Hamming distance never exceeds the symmetric difference, discards pairs
 without losing any, and the texts of the rest are compared word for word.  Components
 of those links are found, and only lists that still span several components are joined
@@ -48,6 +48,8 @@ LIGHT_MAX = 64
 #: Cost of a list entry in enumerated subsets: it is sorted and compared with its list.
 LIST_COST = 8
 BAND_GROWTH = 1.25
+#: Members of a list that all others are compared with first, dealt by hash.
+PIVOTS = 4
 LARGEST = 1 << 32
 
 
@@ -244,7 +246,10 @@ class Join:
         alike = Window.partitionBy("sig")
         self.lists = land(heavy.unionByName(light)
                           .withColumn("low", F.min("cid").over(alike)).withColumn("high", F.max("cid").over(alike))
-                          .where("low < high").select("sig", "cid", "low"), "jaccard-lists")
+                          .withColumn("pivots", F.array_compact(F.array(*[
+                              F.min(F.when(F.pmod(F.xxhash64("cid"), F.lit(PIVOTS)) == k, F.col("cid"))).over(alike)
+                              for k in range(PIVOTS)])))
+                          .where("low < high").select("sig", "cid", "pivots"), "jaccard-lists")
 
     def _checked(self, pairs: DataFrame) -> DataFrame:
         """Pairs (a, b) whose texts link."""
@@ -291,7 +296,8 @@ class Join:
 
     def component_labels(self) -> DataFrame:
         """(cid, label): label is the smallest document id of the class's component."""
-        pivots = self.lists.where("low < cid").select(F.col("low").alias("a"), F.col("cid").alias("b")).distinct()
+        pivots = (self.lists.select("cid", F.explode("pivots").alias("p")).where("p <> cid")
+                  .select(F.least("p", "cid").alias("a"), F.greatest("p", "cid").alias("b")).distinct())
         links = self._checked(pivots)
         labels = components(links)
         more = self._checked(self._across(labels))
