@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import sys
 import tempfile
 import uuid
@@ -50,6 +51,14 @@ def land(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def release(spark: SparkSession) -> None:
+    """Let go of shuffle files behind landed tables.  Spark deletes them when the driver
+    collects the plans that made them, which an idle driver may put off for long; asking
+    for a collection between the steps of a long job bounds its disk."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def ascii_lower(text: Column) -> Column:
     """A-Z to a-z, every other character as it is."""
     return F.translate(text, UPPER, LOWER)

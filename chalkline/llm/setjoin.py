@@ -39,7 +39,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import by_value, land, mix64, positional, shingle_hashes, words_of
+from .common import by_value, land, mix64, positional, release, shingle_hashes, words_of
 from .components import components
 
 SKETCH_BITS = 512
@@ -235,8 +235,8 @@ class Join:
                             "jaccard-classes")
         c = self.classes.select("cid", *ids, F.col("doc").alias("first"), F.col("tag").alias("first_tag"))
         same = F.col("doc").eqNullSafe(F.col("first")) & (F.col("tag") == F.col("first_tag"))
-        first = self.rows.join(c, ids).where(same).select("cid", "n", "sketch", "small", "keys")
-        members = land(first, "jaccard-members")
+        members = land(self.rows.join(c, ids).where(same).select("cid", "n", "sketch", "small", "keys"), "jaccard-members")
+        release(docs.sparkSession)
         self.sketches = members.select("cid", "n", "sketch")
         small = members.where(f"n <= {LIGHT_MAX}")
         counts = {r["n"]: r["count"] for r in small.groupBy("n").count().collect()}      # at most LIGHT_MAX rows
@@ -250,6 +250,7 @@ class Join:
                               F.min(F.when(F.pmod(F.xxhash64("cid"), F.lit(PIVOTS)) == k, F.col("cid"))).over(alike)
                               for k in range(PIVOTS)])))
                           .where("low < high").select("sig", "cid", "pivots"), "jaccard-lists")
+        release(docs.sparkSession)
 
     def _checked(self, pairs: DataFrame) -> DataFrame:
         """Pairs (a, b) whose texts link."""
@@ -269,6 +270,7 @@ class Join:
             c = self.classes.join(wanted, "cid", "left_semi").select("cid", F.col("doc").alias("first"), "tag")
             found = self.texts.join(c, F.col("doc").eqNullSafe(F.col("first")) & (text_tag("text") == F.col("tag")))
             self._texts = land(found.select("cid", "text").dropDuplicates(["cid"]), "jaccard-texts")
+            release(self._texts.sparkSession)
         return self._texts
 
     def _across(self, labels: DataFrame | None) -> DataFrame:
