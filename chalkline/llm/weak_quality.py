@@ -5,7 +5,7 @@ one is right is not known; expectation-maximisation estimates it from the votes
 for either class, the share of junk votes of each labeller, with the class of a document
 hidden.  Votes reach the driver as counts per pattern of votes, at most 3 ** labellers
 rows whatever the corpus.  The posterior of the hidden class then labels a bounded
-sample of documents (SAMPLE_DOCS, chosen by hash) that trains a logistic scorer on
+sample of distinct texts (SAMPLE_DOCS, chosen by hash) that trains a logistic scorer on
 hashed word shapes, and the scorer judges every document, also those on which no
 labeller has an opinion.
 
@@ -31,6 +31,8 @@ from pyspark.sql import functions as F
 from .common import by_value, free_name, positional
 
 SAMPLE_DOCS = 20_000
+#: The sample takes a share of so many hash values; fine enough for any number of rows.
+HASH_RANGE = 1 << 40
 DIMENSIONS = 1 << 14
 THRESHOLD = 0.3
 EM_ROUNDS = 100
@@ -180,13 +182,20 @@ def _vote(batches):
 
 
 def _sample(batches):
+    """(hash, pattern, at, val) of every text, once a task however many rows hold it."""
+    seen: set[int] = set()
     for b in batches:
-        rows = [(Measures(t)) for t in b.column(0).to_pylist()]
+        hashes, rows = [], []
+        for h, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+            if h not in seen:
+                seen.add(h)
+                hashes.append(h)
+                rows.append(Measures(t))
         cells = [features(m) for m in rows]
         yield pa.RecordBatch.from_arrays(
-            [pa.array([",".join(map(str, votes(m))) for m in rows], pa.string()),
+            [pa.array(hashes, pa.int64()), pa.array([",".join(map(str, votes(m))) for m in rows], pa.string()),
              pa.array([a for a, _ in cells], pa.list_(pa.int32())), pa.array([v for _, v in cells], pa.list_(pa.float64()))],
-            names=["pattern", "at", "val"])
+            names=["hash", "pattern", "at", "val"])
 
 
 def fit(docs: DataFrame, text: str = "text", sample_docs: int = SAMPLE_DOCS) -> tuple[LabelModel, np.ndarray]:
@@ -196,11 +205,12 @@ def fit(docs: DataFrame, text: str = "text", sample_docs: int = SAMPLE_DOCS) ->
     parse = lambda p: tuple(map(int, p.split(",")))
     model = LabelModel({parse(r["pattern"]): r["n"] for r in counted})
     total = sum(r["n"] for r in counted)
-    per_million = min(1_000_000, -(-1_000_000 * sample_docs // max(total, 1)))
-    # equal texts share a hash: the sample is of texts, whichever rows hold them
-    chosen = texts.where(F.pmod(F.xxhash64("t"), F.lit(1_000_000)) < per_million)
-    rows = (chosen.mapInArrow(_sample, "pattern string, at array<int>, val array<double>").where(F.size("at") > 0)
-            .limit(2 * sample_docs).collect())
+    share = min(HASH_RANGE, -(-HASH_RANGE * sample_docs // max(total, 1)))
+    # the sample is of texts, each of them once, whichever and however many rows hold it:
+    # about sample_docs texts at most, by their hash alone
+    chosen = texts.select(F.xxhash64("t").alias("hash"), "t").where(F.pmod("hash", F.lit(HASH_RANGE)) < share)
+    rows = (chosen.mapInArrow(_sample, "hash long, pattern string, at array<int>, val array<double>").where(F.size("at") > 0)
+            .groupBy("hash").agg(F.min(F.struct("pattern", "at", "val")).alias("m")).select("m.*").collect())
     rows.sort(key=lambda r: (r["pattern"], r["at"], r["val"]))
     weights = train([(np.array(r["at"]), np.array(r["val"]), model.posterior[parse(r["pattern"])]) for r in rows])
     return model, weights
