@@ -292,6 +292,12 @@ n AS (SELECT count(*) AS r, count(DISTINCT _event_id) AS d FROM t)
 SELECT 'rejected' AS verdict, d AS row_count, d AS distinct_ids FROM n
 UNION ALL SELECT 'duplicates', 2 * r - d, d FROM n""")
 
+ORACLES["stream_null_time_duplicates_all"] = _with(FEED, """,
+t AS (SELECT * FROM feed WHERE _event_id IS NOT NULL),
+n AS (SELECT count(*) AS r, count(DISTINCT _event_id) AS d FROM t)
+SELECT 'rejected' AS verdict, d AS row_count, d AS distinct_ids FROM n
+UNION ALL SELECT 'duplicates', 2 * r - d, d FROM n""")
+
 ORACLES["stream_recorded_feed"] = _with(FEED, f"""
 SELECT dt, count(*) AS row_count FROM feed WHERE {_OBJECT_LINES} GROUP BY dt""")
 
