@@ -200,6 +200,11 @@ def _near(pct: int) -> Column:
             & (ham * (100 + pct) <= (100 - pct) * (F.col("na") + F.col("nb"))))
 
 
+def _side(full: DataFrame, x: str, *more: str) -> DataFrame:
+    """Members of lists as one side of a pair."""
+    return full.select("sig", *more, F.col("cid").alias(x), F.col("size").alias("n" + x), F.col("sketch").alias("s" + x))
+
+
 def _verify(n: int, pct: int):
     def run(batches):
         def shingles(text):
@@ -274,23 +279,30 @@ class Join:
         return self._texts
 
     def _across(self, labels: DataFrame | None) -> DataFrame:
-        """Pairs of one list; with labels only those of different components."""
-        lists = self.lists.select("sig", "cid")
+        """Pairs of one list that may link; with labels only those of different components."""
         s = self.sketches.withColumnsRenamed({"cid": "id", "n": "size"})
-        if labels is not None:
-            alike = Window.partitionBy("sig")
-            lists = (lists.join(labels.withColumnRenamed("node", "cid"), "cid", "left")
-                     .withColumn("comp", F.coalesce("root", "cid")).drop("root")
-                     .withColumn("low", F.min("comp").over(alike)).withColumn("high", F.max("comp").over(alike))
-                     .where("low < high").select("sig", "cid", "comp"))
-        else:
-            lists = lists.withColumn("comp", F.col("cid"))
-        full = land(lists.join(s, F.col("cid") == F.col("id")).select("sig", "cid", "comp", "size", "sketch"), "jaccard-open")
-        x = full.select("sig", F.col("cid").alias("a"), F.col("comp").alias("ca"), F.col("size").alias("na"), F.col("sketch").alias("sa"))
-        y = full.select("sig", F.col("cid").alias("b"), F.col("comp").alias("cb"), F.col("size").alias("nb"), F.col("sketch").alias("sb"))
-        hit = x.join(y.withColumnRenamed("sig", "sig_b"),
-                     (F.col("sig") == F.col("sig_b")) & (F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb")) & _near(self.pct))
-        return hit.select("a", "b").distinct()
+        if labels is None:
+            full = land(self.lists.select("sig", "cid").join(s, F.col("cid") == F.col("id")).select("sig", "cid", "size", "sketch"), "jaccard-open")
+            x, y = _side(full, "a"), _side(full, "b").withColumnRenamed("sig", "sig_b")
+            hit = x.join(y, (F.col("sig") == F.col("sig_b")) & (F.col("a") < F.col("b")) & _near(self.pct))
+            return hit.select("a", "b").distinct()
+        lists = land(self.lists.select("sig", "cid").join(labels.withColumnRenamed("node", "cid"), "cid", "left")
+                     .select("sig", "cid", F.coalesce("root", "cid").alias("comp")), "jaccard-labelled")
+        open_lists = lists.groupBy("sig").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low < high")
+        full = land(lists.join(open_lists.select("sig"), "sig", "left_semi").join(s, F.col("cid") == F.col("id"))
+                    .select("sig", "cid", "comp", "size", "sketch"), "jaccard-open")
+        # pairs of components that meet in a list, the one with fewer members there first;
+        # the component is in the keys of both joins, so no pair inside one is ever formed
+        sides = full.groupBy("sig", "comp").agg(F.count(F.lit(1)).alias("m"))
+        u = sides.select("sig", F.col("comp").alias("ca"), F.col("m").alias("ma"))
+        v = sides.select(F.col("sig").alias("sig_v"), F.col("comp").alias("cb"), F.col("m").alias("mb"))
+        meet = land(u.join(v, (F.col("sig") == F.col("sig_v")) & (F.struct("ma", "ca") < F.struct("mb", "cb")))
+                    .select("sig", "ca", "cb"), "jaccard-meet")
+        x = _side(full, "a", "comp").withColumnRenamed("comp", "ca")
+        y = _side(full, "b", "comp").withColumnsRenamed({"sig": "sig_b", "comp": "comp_b"})
+        hit = meet.join(x, ["sig", "ca"]).join(
+            y, (F.col("sig") == F.col("sig_b")) & (F.col("cb") == F.col("comp_b")) & _near(self.pct))
+        return hit.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
     def links(self) -> DataFrame:
         """Every link between different classes: (a, b)."""
