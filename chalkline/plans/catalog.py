@@ -666,19 +666,12 @@ def fact_null_fk(spark, sf_dir):
     return gold.integrity_report(st.silver, gold.fact_edit_event(rows.where("id % 1000 <> 999")), dims)
 
 
-_GOLD_RUNS: dict[tuple, str] = {}
-
-
 def _gold_run(spark, sf_dir, scd_type: int = 1, max_files_per_trigger: int = 500) -> str:
-    """raw -> bronze -> silver -> gold; one streamed star per session, data folder and SCD
-    type, of which several queries read different tables."""
-    run = (spark.sparkContext.applicationId, sf_dir, scd_type)
-    if run not in _GOLD_RUNS:
-        _, silver_root = _silver_run(spark, sf_dir)
-        root = scratch_path(spark, "gold")
-        sgold.run_gold(spark, silver_root, root, scratch_path(spark, "ckpt-gold"), max_files_per_trigger, scd_type)
-        _GOLD_RUNS[run] = root
-    return _GOLD_RUNS[run]
+    """raw -> bronze -> silver -> gold; every query streams a star of its own."""
+    _, silver_root = _silver_run(spark, sf_dir)
+    root = scratch_path(spark, "gold")
+    sgold.run_gold(spark, silver_root, root, scratch_path(spark, "ckpt-gold"), max_files_per_trigger, scd_type)
+    return root
 
 
 @query
