@@ -78,18 +78,24 @@ def mark_copies(docs: DataFrame, text: str = "text", key: str = "doc_id",
 
 
 def drop_copies(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """The rows of ``docs`` without copies; of equal texts the largest id stays."""
+    """The rows of ``docs`` without copies; of equal texts the largest id stays.  Only rows
+    whose (length, head hash) is that of some group have their whole text hashed."""
     groups = land(copy_groups(docs, text, key), "copy-groups")
     mark = free_name(docs, "_verdict")
-    kept = mark_copies(docs, text, key, groups).where(F.col(mark)["kept"])
+    rows, (text_x,) = positional(docs, text)
+    keyed, (length, head, _) = _with_keys(rows, text_x, full=False)
+    heads = groups.select(F.col("n_bytes").alias(length), F.col("head_hash").alias(head)).distinct()
+    flagged = keyed.join(heads.withColumn("_copied", F.lit(True)), [length, head], "left")
+    alone, alike = (flagged.where(c).select(*rows.columns).toDF(*docs.columns) for c in ("_copied IS NULL", "_copied"))
+    kept = mark_copies(alike, text, key, groups).where(F.col(mark)["kept"])
     repeated = groups.where("n_keep > 1")
     if repeated.isEmpty():
-        return kept.select(*docs.columns)
+        return alone.unionByName(kept.select(*docs.columns))
     rows = kept.where(F.col(mark)["n_keep"] > 1)
     row = F.struct(*docs.columns)
     once = (rows.groupBy(F.col(mark)["text_sha256"].alias("_sha"))
             .agg(F.min_by(row, F.sha2(F.to_json(row), 256)).alias("_row")).select("_row.*"))
-    return kept.where(F.col(mark)["n_keep"] == 1).select(*docs.columns).unionByName(once)
+    return alone.unionByName(kept.where(F.col(mark)["n_keep"] == 1).select(*docs.columns)).unionByName(once)
 
 
 def op9_exact_dedup(spark, sf_dir):
