@@ -41,9 +41,13 @@ TEMPLATES = {
         without warranties or conditions of any kind either express or implied see the license for the specific
         language governing permissions and limitations under the license]]"""],
     "gpl-2.0": ["licensed under [[the terms of]] the gnu general public license [[as published by the free software "
-                "foundation]] [[either]] version 2 [[of the license]] [[or at your option any later version]]"],
+                "foundation]] [[either]] version 2 [[of the license]] [[or at your option any later version]]",
+                "under the terms of the gnu general public license as published by the free software foundation "
+                "[[either]] version 2 [[of the license]] [[or at your option any later version]]"],
     "gpl-3.0": ["licensed under [[the terms of]] the gnu general public license [[as published by the free software "
-                "foundation]] [[either]] version 3 [[of the license]] [[or at your option any later version]]"],
+                "foundation]] [[either]] version 3 [[of the license]] [[or at your option any later version]]",
+                "under the terms of the gnu general public license as published by the free software foundation "
+                "[[either]] version 3 [[of the license]] [[or at your option any later version]]"],
     "cc-by-4.0": ["licensed under [[a]] [[creative commons attribution 4 0 international license]] cc by 4 0"],
     "cc-by-nc-4.0": ["licensed under [[a]] [[creative commons attribution noncommercial 4 0 international license]] "
                      "cc by nc 4 0"],
