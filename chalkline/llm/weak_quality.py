@@ -34,6 +34,8 @@ SAMPLE_DOCS = 20_000
 #: The sample takes a share of so many hash values; fine enough for any number of rows.
 HASH_RANGE = 1 << 40
 DIMENSIONS = 1 << 14
+#: Word pairs of a window in which variety is measured.
+WINDOW = 1000
 THRESHOLD = 0.3
 EM_ROUNDS = 100
 STEPS = 300
@@ -67,7 +69,8 @@ class Measures:
         self.wordless = sum(k for s, k in self.shapes.items() if b"a" not in s and b"A" not in s and b"0" not in s)
         w = self.words
         self.echo = sum(map(bytes.__eq__, w[1:], w))
-        self.pairs = len(set(zip(w, w[1:])))
+        # distinct pairs of each window, summed: variety means the same at every length
+        self.pairs = sum(len(set(zip(w[i:i + WINDOW], w[i + 1:i + WINDOW + 1]))) for i in range(0, self.n - 1, WINDOW))
         self.loud = sum(k for s, k in self.shapes.items() if s.endswith(b"!!"))
 
 
