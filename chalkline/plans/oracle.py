@@ -286,12 +286,6 @@ ORACLES["stream_dedup_ids"] = _with(FEED, """
 SELECT DISTINCT _event_id FROM feed WHERE _event_id IS NOT NULL
 UNION ALL SELECT _event_id FROM feed WHERE _event_id IS NULL""")
 
-ORACLES["stream_null_time_duplicates"] = _with(FEED, """,
-t AS (SELECT * FROM feed WHERE _event_id IS NOT NULL AND id % 10 = 0),
-n AS (SELECT count(*) AS r, count(DISTINCT _event_id) AS d FROM t)
-SELECT 'rejected' AS verdict, d AS row_count, d AS distinct_ids FROM n
-UNION ALL SELECT 'duplicates', 2 * r - d, d FROM n""")
-
 ORACLES["stream_null_time_duplicates_all"] = _with(FEED, """,
 t AS (SELECT * FROM feed WHERE _event_id IS NOT NULL),
 n AS (SELECT count(*) AS r, count(DISTINCT _event_id) AS d FROM t)

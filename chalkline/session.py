@@ -53,6 +53,12 @@ def pin_utc(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.session.timeZone", "UTC")
 
 
+def pin_last_key_counts(spark: SparkSession) -> None:
+    """Of a repeated key in a JSON object the last value counts, whatever the session was
+    built with.  Spark reads this setting when the plan is made, so every parse pins it."""
+    spark.conf.set("spark.sql.variant.allowDuplicateKeys", "true")
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.  Only a local master, where
     all tasks share the driver's disk, gets a temporary folder when none is named."""

@@ -18,6 +18,7 @@ from chalkline.schemas import (
     KNOWN_TOP_LEVEL_FIELDS,
     SCHEMA_VERSION,
 )
+from chalkline.session import pin_last_key_counts
 
 PARSED = "_parsed"
 JSON_SPACE = " \t\r\n"
@@ -59,6 +60,7 @@ def parse_events(lines: DataFrame, value_col: str = "value", strict: bool = Fals
     ``lines`` other than ``value_col`` are carried along (e.g. a line number),
     and ``_ingested_at`` / ``_producer_instance`` are taken from same-named
     input columns when present, else from the given expressions."""
+    pin_last_key_counts(lines.sparkSession)
     now_iso = F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss.SSSSSSxxx")
     arrival = {"_ingested_at": now_iso if ingested_at is None else ingested_at,
                "_producer_instance": F.lit(None).cast("string") if producer_instance is None else producer_instance}
@@ -87,6 +89,7 @@ def parse_events(lines: DataFrame, value_col: str = "value", strict: bool = Fals
 def quarantine(lines: DataFrame, value_col: str = "value") -> DataFrame:
     """Lines that are not a JSON object, with ``reason`` blank / malformed /
     not_object and the raw text kept."""
+    pin_last_key_counts(lines.sparkSession)
     text, parsed = F.col(value_col), F.col(PARSED)
     reason = (F.when(text.isNull() | (F.btrim(text, F.lit(JSON_SPACE)) == ""), F.lit("blank"))
                .when(parsed.isNull(), F.lit("malformed"))
