@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from . import bpe, exact_dedup, host_rules, interpolation, licenses, mixing, secrets_scan, setjoin, token_files, weak_quality
+from . import (bpe, exact_dedup, host_rules, interpolation, licenses, mixing, prefix_trie, secrets_scan, setjoin,
+               token_files, weak_quality)
 
 QUERIES = {
     "op1_mix_sources": mixing.op1_mix_sources,
@@ -15,6 +16,7 @@ QUERIES = {
     "op8_ngram_jaccard_join": setjoin.op8_ngram_jaccard_join,
     "op9_exact_dedup": exact_dedup.op9_exact_dedup,
     "op10_host_quality": host_rules.op10_host_quality,
+    "op11_prefix_trie": prefix_trie.op11_prefix_trie,
 }
 
 SQL = {
@@ -22,4 +24,5 @@ SQL = {
     "op7_secret_scan": secrets_scan.SQL,
     "op9_exact_dedup": exact_dedup.SQL,
     "op10_host_quality": host_rules.SQL,
+    "op11_prefix_trie": prefix_trie.SQL,
 }
