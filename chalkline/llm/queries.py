@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from . import (bpe, exact_dedup, host_rules, interpolation, licenses, mixing, prefix_trie, secrets_scan, setjoin,
-               token_files, weak_quality)
+from . import (bpe, conversation_repair, exact_dedup, host_rules, interpolation, licenses, mixing, page_text, prefix_trie,
+               secrets_scan, setjoin, token_files, weak_quality)
 
 QUERIES = {
     "op1_mix_sources": mixing.op1_mix_sources,
@@ -17,6 +17,8 @@ QUERIES = {
     "op9_exact_dedup": exact_dedup.op9_exact_dedup,
     "op10_host_quality": host_rules.op10_host_quality,
     "op11_prefix_trie": prefix_trie.op11_prefix_trie,
+    "op12_page_text": page_text.op12_page_text,
+    "op13_conversation_repair": conversation_repair.op13_conversation_repair,
 }
 
 SQL = {
