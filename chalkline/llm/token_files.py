@@ -14,32 +14,44 @@ Files follow each other by range, so a document's place in the whole stream is t
 file's start, a sum over one row per file, plus its place in the file.
 
 Defined results: a null text has only its end id; null document ids come first;
-rows equal in id follow each other by a hash of their text; an empty table gives
-files without documents.  The folder must be one that pyarrow's file systems open
+rows equal in id follow each other by a hash of their text; a text of any length is
+streamed through its file's frames; an empty table gives files without documents.  Document
+ids are integers: an id column of another type is an error, as the format stores 64-bit
+integers.  Columns besides id and text are ignored whatever their names.  The folder must be one that pyarrow's file systems open
 (file, hdfs, s3, gs).
 """
 
 from __future__ import annotations
 
+import json
 import os
 import posixpath
+import re
 import struct
+import sys
 import uuid
 from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.fs as pafs
+import regex
 import xxhash
 import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from .bpe import byte_alphabet
 from .common import by_value, land, shared_path, tasks
 
 FRAME_IDS = 32_768
 LEVEL = 3
 CACHE_WORDS = 300_000
+#: Printable ASCII and the composed letters of Latin-1 and Latin Extended-A.
+LATIN = re.compile("[!-~\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u017F]+")
+#: Byte-level vocabularies write a byte that is not printable as another character.
+BYTE_CHARS = {byte: char for char, byte in byte_alphabet().items()}
 #: Fixed values of the seekable zstandard layout.
 SKIPPABLE, FOOTER, CHECKSUMS = 0x184D2A5E, 0x8F92EAB1, 0x80
 MANIFEST = "part int, path string, n_docs long, n_ids long"
@@ -139,7 +151,13 @@ class WordEncoder:
     """The tokenizers library behind a cache of words.
 
     The vocabulary's own cut never joins text across ASCII white space, and its
-    normalisation does not either, so a text's ids are those of its words in turn."""
+    normalisation does not either, so a text's ids are those of its words in turn.  A new
+    word goes through the library's steps one by one (normaliser, cut, model), which costs
+    a third of a whole ``encode`` call.  Where the vocabulary file says that text is composed,
+    lower-cased, cut by a pattern and mapped byte by byte, a word of printable ASCII and
+    composed Latin letters takes these steps here, with the file's own pattern.
+    A word that holds an added token is encoded whole.  Words not seen for long are
+    forgotten: the cache is two generations of CACHE_WORDS."""
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -147,25 +165,83 @@ class WordEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-        self.cache: dict[bytes, list[int]] = {}
+        with open(path, encoding="utf-8") as f:
+            config = json.load(f)
+        self.added = [t["content"] for t in config.get("added_tokens", [])]
+        self.cut = self._own_cut(config)
+        self.model, self.normal, self.pre = self.tokenizer.model, self.tokenizer.normalizer, self.tokenizer.pre_tokenizer
+        self.words, self.old, self.pieces = {}, {}, {}
+
+    @staticmethod
+    def _own_cut(config: dict):
+        """The file's pattern, where printable ASCII is lower-cased, cut by it, and no more."""
+        steps = (config.get("normalizer") or {}).get("normalizers", [])
+        known = [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]
+        cuts = (config.get("pre_tokenizer") or {}).get("pretokenizers", [])
+        if steps != known or [c["type"] for c in cuts] != ["Split", "ByteLevel"]:
+            return None
+        split, level = cuts
+        if (split["behavior"], split["invert"]) != ("Removed", True) or level["add_prefix_space"] or level["use_regex"]:
+            return None
+        return regex.compile(split["pattern"]["Regex"])
+
+    def _cut(self, word: str) -> list[str]:
+        if self.cut is not None and LATIN.fullmatch(word):
+            small = word.lower()
+            if LATIN.fullmatch(small):
+                parts = [small] if small.isalpha() else self.cut.findall(small)
+                return parts if small.isascii() else [p.encode().decode("latin-1").translate(BYTE_CHARS) for p in parts]
+        if self.normal is not None:
+            word = self.normal.normalize_str(word)
+        return [p for p, _ in self.pre.pre_tokenize_str(word)] if self.pre is not None else [word]
+
+    def _packed(self, text: str) -> bytes:
+        """The ids of a word as little-endian unsigned 32-bit integers."""
+        out = []
+        for piece in self._cut(text):
+            ids = self.pieces.get(piece)
+            if ids is None:
+                ids = self.pieces[piece] = pack([t.id for t in self.model.tokenize(piece)])
+            out.append(ids)
+        return out[0] if len(out) == 1 else b"".join(out)
 
     def encode(self, texts) -> list[np.ndarray]:
-        if len(self.cache) > CACHE_WORDS:
-            self.cache.clear()
+        if len(self.words) > CACHE_WORDS:
+            self.words, self.old = {}, self.words
+        if len(self.pieces) > CACHE_WORDS:
+            self.pieces = {}
+        added = any(a in t for t in texts if t for a in self.added)
         cut = [(t or "").encode("utf-8", "surrogatepass").split() for t in texts]
-        new = list({w for ws in cut for w in ws}.difference(self.cache))
-        for lo in range(0, len(new), 20_000):
-            part = new[lo:lo + 20_000]
-            found = self.tokenizer.encode_batch([w.decode("utf-8", "surrogatepass") for w in part],
-                                                add_special_tokens=False)
-            self.cache.update(zip(part, (e.ids for e in found)))
-        get = self.cache.__getitem__
-        return [np.fromiter(chain.from_iterable(map(get, ws)), dtype=np.uint32) for ws in cut]
+        for w in set(chain.from_iterable(cut)).difference(self.words):
+            ids = self.old.get(w)
+            if ids is None:
+                text = w.decode("utf-8", "surrogatepass")
+                if added and any(a in text for a in self.added):
+                    ids = pack(self.tokenizer.encode(text, add_special_tokens=False).ids)
+                else:
+                    ids = self._packed(text)
+            self.words[w] = ids
+        get = self.words.__getitem__
+        return [np.frombuffer(b"".join(map(get, ws)), dtype="<u4") for ws in cut]
+
+
+def pack(ids: list[int]) -> bytes:
+    return struct.pack(f"<{len(ids)}I", *ids)
+
+
+#: One per worker process: each task unpickles its own copy of this module's functions.
+_ENCODERS: dict[str, WordEncoder] = sys.__dict__.setdefault("_chalkline_word_encoders", {})
+
+
+def _encoder_of(path: str) -> WordEncoder:
+    if path not in _ENCODERS:
+        _ENCODERS[path] = WordEncoder(path)
+    return _ENCODERS[path]
 
 
 def _writer(vocab_path: str, folder: str, end_id: int):
     def run(batches):
-        encoder, writer, part = WordEncoder(vocab_path), None, None
+        encoder, writer, part = _encoder_of(vocab_path), None, None
         fs, root = open_folder(folder)
         name = f"ids-{uuid.uuid4().hex}.zst"
         sink = None
@@ -191,6 +267,8 @@ def _writer(vocab_path: str, folder: str, end_id: int):
 def write(docs: DataFrame, vocab_path: str, folder: str, key: str = "doc_id", text: str = "text",
           end_id: int = 1) -> DataFrame:
     """Write the files; returns the landed manifest (part, path, n_docs, n_ids, start)."""
+    if not isinstance(docs.schema[key].dataType, T.IntegralType):
+        raise TypeError(f"document ids must be integers, {key} is {docs.schema[key].dataType.simpleString()}")
     rows = docs.select(F.col(key).cast("long").alias("_key"), F.col(text).cast("string").alias("_text"))
     order = [F.col("_key"), F.xxhash64("_text")]        # many rows of one id still spread over ranges
     ranged = (rows.repartitionByRange(tasks(docs), *order)
