@@ -20,8 +20,10 @@ The vocabulary file is read on each worker from ``vocab_path``, a parameter.  Sp
 tokens found in a text stand for themselves, as in the tokenizers library.
 
 Defined results: a null text is the empty text and encodes to no ids; decoding
-replaces bytes that are no UTF-8 by U+FFFD; rows pass through one by one, so
-repeated rows, extra columns and empty tables need no care.
+replaces bytes that are no UTF-8 by U+FFFD; a text of any length is encoded whole (a batch
+is worked through in slices); repeated rows each have their result; an empty table gives an
+empty table; extra columns pass through, and new columns take names that the input does
+not use (a name asked for that is taken is an error).
 """
 
 from __future__ import annotations
@@ -40,7 +42,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import by_value
+from .common import by_value, free_name, last_name
 
 #: Pre-tokenisation of byte-level vocabularies (fixed value of the file format).
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -336,20 +338,32 @@ def _decoder(path: str, ids_at: int):
     return run
 
 
-def encode(docs: DataFrame, vocab_path: str, text: str = "text", ids: str = "ids") -> DataFrame:
-    """``docs`` with a column of token ids (array<int>)."""
+def encode(docs: DataFrame, vocab_path: str, text: str = "text", ids: str | None = None) -> DataFrame:
+    """``docs`` with a column of token ids (array<int>): ``ids``, or under a name that the
+    input does not use (``free_name``)."""
+    ids = _new_column(docs, ids, "ids")
     fn = _encoder(vocab_path, docs.columns.index(text), len(docs.columns))
     schema = T.StructType([*docs.schema.fields, T.StructField(ids, T.ArrayType(T.IntegerType()))])
     return _positional(docs, fn, schema)
 
 
-def decode(docs: DataFrame, vocab_path: str, ids: str = "ids", text: str = "decoded") -> DataFrame:
-    """``docs`` with the text of its token ids; null ids give a null text."""
+def decode(docs: DataFrame, vocab_path: str, ids: str | None = None, text: str | None = None) -> DataFrame:
+    """``docs`` with the text of its token ids, by default the column that ``encode`` added,
+    as ``decoded`` or a free name like it; null ids give a null text."""
+    ids, text = ids or last_name(docs, "ids"), _new_column(docs, text, "decoded")
     fn = _decoder(vocab_path, docs.columns.index(ids))
     schema = T.StructType([*docs.schema.fields, T.StructField(text, T.StringType())])
     return _positional(docs, fn, schema)
 
 
+def _new_column(docs: DataFrame, name: str | None, stem: str) -> str:
+    if name is None:
+        return free_name(docs, stem)
+    if name.lower() in {c.lower() for c in docs.columns}:
+        raise ValueError(f"the input has a column {name} already")
+    return name
+
+
 def _positional(docs: DataFrame, fn, schema: T.StructType) -> DataFrame:
     """mapInArrow with columns matched by position, whatever their names are."""
     inner = docs.toDF(*[f"c{i}" for i in range(len(docs.columns))])

@@ -72,6 +72,14 @@ def free_name(df: DataFrame, stem: str) -> str:
     return stem
 
 
+def last_name(df: DataFrame, stem: str) -> str:
+    """The column that ``free_name`` named last."""
+    taken = {c.lower() for c in df.columns}
+    while "_" + stem.lower() in taken:
+        stem = "_" + stem
+    return stem
+
+
 def positional(df: DataFrame, *named: str) -> tuple[DataFrame, list[str]]:
     """The frame with columns x0, x1, ... and the new names of the given columns: helper
     columns, which start with an underscore, then clash with nothing."""

@@ -8,7 +8,7 @@ one row per input partition before it is shuffled; the joins that narrow the row
 are plain equi-joins whose hot keys adaptive execution splits.
 
 Defined results: a null text is the empty text; a null id is smaller than any
-other; an empty table gives an empty table; columns beyond text and id pass
+other; a very long text is hashed whole; an empty table gives an empty table; columns beyond text and id pass
 through, and helper columns take names that the input does not use.  Rows that
 repeat both text and id are the same document: all of them carry the same
 verdict, and ``drop_copies`` returns one of them (the smallest by the SHA-256 of

@@ -10,7 +10,8 @@ that fail that rule are rejected; clean documents of any host stay.
 Defined results: a null text has no words (and fails the hard length rule), a null
 host is a host of its own, an empty table gives an empty table; repeated rows are
 measured one by one.  Lines are equal when identical; windows of words are compared
-by 64-bit hashes of their words.
+by 64-bit hashes of their words.  A very long text is measured whole; columns that the rules
+do not read are ignored whatever their names.
 """
 
 from __future__ import annotations

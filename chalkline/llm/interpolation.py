@@ -19,8 +19,9 @@ on the corpus.
 
 Defined results: a null or wordless text is the end token alone; a null id counts as
 the empty id when folds are dealt; repeated rows are scored, and counted, one by one;
-without training documents only the uniform part remains; an empty table gives an
-empty table.
+without training documents only the uniform part remains; a very long text is counted and
+scored whole; weights do not depend on the order of rows, so ties have no say; columns besides
+id and text are ignored whatever their names; an empty table gives an empty table.
 """
 
 from __future__ import annotations

@@ -8,11 +8,16 @@ also has an anchor, its longest run of mandatory words without markup; only text
 that hold the anchor are walked through the automaton, so most texts cost one
 substring search per template.
 
-Plain phrases name a licence family; templates add more exact labels.
+Plain phrases name a licence family; templates add more exact labels.  Wordings that
+differ in a name or a version only (the GNU and Creative Commons families, licence
+identifiers) are made from one wording by rule.
 
 Defined results: a null or wordless text has no words, no matches and score 0;
 repeated rows are scanned one by one, an empty table gives an empty table, and
-extra columns pass through untouched.  The work is per row, without a shuffle.
+extra columns pass through untouched: the result is one struct column under a name that
+the input does not use (``free_name``).  A text of any length is scanned whole, in time
+linear in it and its matches.  Matches that tie in place are ordered by end and label.
+The work is per row, without a shuffle.
 """
 
 from __future__ import annotations
@@ -23,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import by_value, positional
+from .common import by_value, free_name, positional
 
 #: Phrase -> label.  Fixed values.
 PHRASES = {
@@ -69,6 +74,63 @@ TEMPLATES = {
         this software including all implied warranties of merchantability and fitness"""],
 }
 
+#: Names, versions and notices by which families are spelt out.  Fixed values.
+GNU = {"gpl": ("general", ("2", "3")), "lgpl": ("lesser general", ("2 1", "3")), "agpl": ("affero general", ("3",))}
+CC = {"by": "attribution", "by-sa": "attribution sharealike", "by-nc": "attribution noncommercial", "by-nd": "attribution noderivatives",
+      "by-nc-sa": "attribution noncommercial sharealike", "by-nc-nd": "attribution noncommercial noderivatives"}
+CC_VERSIONS = ("1 0", "2 0", "2 5", "3 0", "4 0")
+#: Label -> words of its identifier, where the label does not spell it.
+IDENTIFIERS = {"mit-notice": "mit", "isc-text": "isc", "bsd-2-clause": "bsd 2 clause", "bsd-3-clause": "bsd 3 clause"}
+_BSD = """redistribution and use in source and binary forms with or without modification are permitted provided that the
+    following conditions are met <<2>> redistributions of source code must retain the above copyright notice this list of
+    conditions and the following disclaimer <<2>> redistributions in binary form must reproduce the above copyright notice
+    this list of conditions and the following disclaimer in the documentation and or other materials provided with the
+    distribution {endorsement} this software is provided by <<12>> as is and any express or implied warranties including but
+    not limited to the implied warranties of merchantability and fitness for a particular purpose are disclaimed"""
+_NO_ENDORSEMENT = """<<2>> neither the name of <<12>> nor the names of its contributors may be used to endorse or promote products
+    derived from this software without specific prior written permission"""
+#: More wordings that stand for themselves.
+NOTICES = {
+    "bsd-2-clause": [_BSD.format(endorsement="")],
+    "bsd-3-clause": [_BSD.format(endorsement=_NO_ENDORSEMENT)],
+    "mpl-2.0": ["this source code form is subject to the terms of the mozilla public license v 2 0 [[if a copy of the mpl was not "
+                "distributed with this file you can obtain one at <<8>>]]"],
+    "epl-2.0": ["made available under the terms of the eclipse public license [[v]] 2 0"],
+    "cc0-1.0": ["waived all copyright and related or neighboring rights to", "creative commons zero [[v]] 1 0 universal",
+                "cc0 1 0 universal"],
+    "unlicense": ["this is free and unencumbered software released into the public domain anyone is free to copy modify publish use "
+                  "compile sell or distribute this software"],
+}
+
+
+def family_templates() -> dict[str, list[str]]:
+    """Label -> wordings: ``TEMPLATES``, ``NOTICES``, and the families by their rule."""
+    out = {label: list(ways) for label, ways in [*TEMPLATES.items(), *NOTICES.items()]}
+
+    def add(label, wording):
+        if wording not in out.setdefault(label, []):
+            out[label].append(wording)
+
+    for short, (name, versions) in GNU.items():
+        for v in versions:
+            label = f"{short}-{v.replace(' ', '.') if ' ' in v else v + '.0'}"
+            for start in ("licensed under [[the terms of]] the", "under the terms of the"):
+                add(label, f"{start} gnu {name} public license [[as published by the free software foundation]] [[either]] "
+                           f"version {v} [[of the license]] [[or at your option any later version]]")
+            add(label, f"gnu {name} public license [[for more details]] version {v} [[or later]]")
+            add(label, f"spdx license identifier {label.replace('-', ' ').replace('.', ' ')} [[only]] [[or later]]")
+    for short, name in CC.items():
+        for v in CC_VERSIONS:
+            label = f"cc-{short}-{v.replace(' ', '.')}"
+            add(label, f"[[licensed under]] [[a]] [[the]] creative commons {name} {v} [[international]] [[unported]] [[generic]] license")
+            add(label, f"licensed under [[a]] [[the]] [[terms of the]] cc {short.replace('-', ' ')} {v} [[license]]")
+    for label in [*TEMPLATES, *NOTICES]:
+        words = IDENTIFIERS.get(label, label.replace("-", " ").replace(".", " "))
+        if not words.endswith("text"):
+            add(label, f"spdx license identifier {words}")
+    return out
+
+
 #: ASCII characters that are no digit or letter separate words; A-Z count as a-z.
 _FOLD = bytes(c + 32 if 65 <= c <= 90 else c if 48 <= c <= 57 or 97 <= c <= 122 or c > 127 else 32 for c in range(256))
 
@@ -155,9 +217,11 @@ class Automaton:
 
 def phrase_places(joined: bytes, phrase: bytes):
     """Word numbers at which a phrase stands; ``joined`` has a space around every word."""
-    at = joined.find(phrase)
+    at, seen, words = joined.find(phrase), 0, 0
     while at >= 0:
-        yield joined.count(b" ", 0, at)
+        words += joined.count(b" ", seen, at)
+        seen = at
+        yield words
         at = joined.find(phrase, at + 1)
 
 
@@ -199,15 +263,16 @@ def _scanner(phrases: dict, templates: dict, text_at: int):
     return run
 
 
-def scan(docs: DataFrame, phrases: dict = PHRASES, templates: dict = TEMPLATES, text: str = "text") -> DataFrame:
+def scan(docs: DataFrame, phrases: dict = PHRASES, templates: dict | None = None, text: str = "text") -> DataFrame:
     """``docs`` with ``_license``: struct(n_words, n_covered, matches)."""
+    templates = family_templates() if templates is None else templates
     rows, (text_x,) = positional(docs, text)
     fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema.fields)
     out = rows.mapInArrow(_scanner(phrases, templates, rows.columns.index(text_x)),
                           f"{fields}, _words long, _covered long, _found {MATCH}")
     return out.select(*[F.col(x).alias(c) for x, c in zip(rows.columns, docs.columns)],
                       F.struct(F.col("_words").alias("n_words"), F.col("_covered").alias("n_covered"),
-                               F.col("_found").alias("matches")).alias("_license"))
+                               F.col("_found").alias("matches")).alias(free_name(docs, "_license")))
 
 
 def op5_license_scan(spark, sf_dir):

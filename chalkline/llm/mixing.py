@@ -14,7 +14,9 @@ size, id), each task sums its own range, and a small table with one row per
 is cut into many ranges.
 
 Defined results: a null text has size 0, a null source is a source of its own,
-ordered last; a source without words gets target 0 and no copies.  Rows equal in
+ordered last; a source without words gets target 0 and no copies; a very long text is one
+document like others, taken at most ceil(expected) times; an empty table gives an empty
+table; extra columns pass through, whatever their names, and ``_mix`` gives way to one so named.  Rows equal in
 source, size and id are ordered by a hash of all their columns; rows equal in
 everything are alike, so the result is the same whichever of them is taken.
 """

@@ -15,8 +15,8 @@ trigram and holds no text.
 Defined results: a null text is the empty text; positions are code points, ends are
 exclusive; matches of one rule are leftmost and do not overlap, matches of different
 rules may.  Documents with equal ids share their postings (verification decides), so
-null and repeated ids are safe; extra columns are untouched; an empty table gives an
-empty table.
+null and repeated ids are safe; a very long text is scanned whole; extra columns are untouched
+whatever their names; an empty table gives an empty table.
 """
 
 from __future__ import annotations

@@ -24,7 +24,9 @@ proportion to its size, and every pair of linked texts ends in one component.
 
 Defined results: a text with fewer than n words is one shingle; a null or wordless
 text has an empty set and links with nothing; equal sets always link; rows that repeat
-an id belong to the class of their own text; an empty table gives an empty table.
+an id belong to the class of their own text; a very long text has all its shingles; columns
+besides id and text are ignored (``drop_near_copies`` passes them through) whatever their
+names; an empty table gives an empty table.
 """
 
 from __future__ import annotations
@@ -36,10 +38,10 @@ from math import comb
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import by_value, land, mix64, positional, release, shingle_hashes, words_of
+from .common import by_value, land, mix64, positional, release, shingle_hashes, tasks, words_of
 from .components import components
 
 SKETCH_BITS = 512
@@ -48,9 +50,16 @@ LIGHT_MAX = 64
 #: Cost of a list entry in enumerated subsets: it is sorted and compared with its list.
 LIST_COST = 8
 BAND_GROWTH = 1.25
-#: Members of a list that all others are compared with first, dealt by hash.
+#: Members of a list that all others are compared with first.
 PIVOTS = 4
+#: List entries are sorted in this many shares of the keys, one after the other.
+SHARES = 4
+#: Lists with more members than this outside their main component are joined by pairs of
+#: lists: every member is compared with those, against about K / 2 more entries a member.
+LONG = 512
 LARGEST = 1 << 32
+#: Set in the keys of subsets, not in those of slices.
+SUBSET = np.uint64(1)
 
 
 # ---- sizes, bands, slices ----
@@ -64,7 +73,7 @@ def bands(pct: int) -> list[tuple[int, int, int, int]]:
         empty, k = 0, diff + 1
         for _ in range(8):
             mean = k * (1 - 1 / k) ** low if k > 1 else 0.0
-            empty = int(mean + 6 * mean ** 0.5 + 0.5)
+            empty = int(mean + 6 * mean ** 0.5 + 0.5) + 1
             k = diff + 1 + empty
         out.append((low, high, k, empty))
         low = high
@@ -127,8 +136,8 @@ def slice_keys(hashes: np.ndarray, pct: int, table, lows) -> np.ndarray:
         cuts = np.concatenate(([0], cuts, [len(hashes)]))
         filled = cuts[1:] > cuts[:-1]
         keys = mix64((sums[cuts[1:]] - sums[cuts[:-1]]) + mix64(np.arange(k, dtype=np.uint64) + np.uint64(i << 33)))
-        out.append(keys if k - np.count_nonzero(filled) > empty else keys[filled])
-    return np.concatenate(out) if out else hashes[:0]
+        out.append(keys if k - np.count_nonzero(filled) >= empty else keys[filled])
+    return np.concatenate(out) & ~SUBSET if out else hashes[:0]
 
 
 def _profiles(n: int, pct: int):
@@ -174,23 +183,79 @@ def profiles(docs: DataFrame, n: int, pct: int, text: str, key: str) -> DataFram
                                               "small array<long>, keys array<long>")
 
 
+def _share(sig: Column) -> Column:
+    return F.pmod(F.shiftright(sig, 1), F.lit(SHARES))
+
+
 def _subsets(pct: int):
     def run(batches):
         for b in batches:
-            cids, keys = [], []
-            for cid, small in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+            ids, keys = [], []
+            for d1, small in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
                 m = mix64(np.array(small, dtype=np.int64).view(np.uint64))
                 whole = m.sum(dtype=np.uint64)
                 for c in sorted(subset_sizes(len(m), pct)):
                     drop = list(combinations(range(len(m)), len(m) - c))
                     gone = np.array([m[list(d)].sum(dtype=np.uint64) for d in drop], dtype=np.uint64)
-                    keys.append(mix64((whole - gone) + mix64(np.array([(1 << 62) + c], dtype=np.uint64))).view(np.int64))
-                    cids += [cid] * len(drop)
+                    keys.append((mix64((whole - gone) + mix64(np.array([(1 << 62) + c], dtype=np.uint64))) | SUBSET).view(np.int64))
+                    ids += [d1] * len(drop)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(cids, pa.int64()), pa.array(np.concatenate(keys) if keys else [], pa.int64())], names=["cid", "sig"])
+                [pa.array(ids, pa.int64()), pa.array(np.concatenate(keys) if keys else [], pa.int64())], names=["d1", "sig"])
     return run
 
 
+def _shared(batches):
+    """Sorted (sig, d1) -> (sig, d1, pivots) of the keys that several sets have.  The first
+    and the last key of a range may go on in the next one, so they stay in any case."""
+    sig, d1, first, held = None, None, True, None         # the run that is open; held: its only member
+
+    def rows(s, d, pivots):
+        sizes = np.array([len(p) for p in pivots], dtype=np.int64)
+        flat = np.concatenate(pivots) if len(pivots) else np.zeros(0, np.int64)
+        offsets = np.concatenate(([0], np.cumsum(sizes))).astype(np.int32)
+        return pa.RecordBatch.from_arrays([pa.array(s, pa.int64()), pa.array(d, pa.int64()),
+                                           pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat, pa.int64()))],
+                                          names=["sig", "d1", "pivots"])
+
+    for b in batches:
+        s, d = (b.column(i).to_numpy(zero_copy_only=False) for i in (0, 1))
+        if not len(s):
+            continue
+        before_s, before_d = (s[0] if sig is None else sig), (d[0] if sig is None else d1)
+        fresh = np.append(sig is None or s[0] != before_s or d[0] != before_d, (s[1:] != s[:-1]) | (d[1:] != d[:-1]))
+        s, d = s[fresh], d[fresh]
+        if not len(s):
+            continue
+        starts = np.flatnonzero(np.append(sig is None or s[0] != sig, s[1:] != s[:-1]))
+        out_s, out_d, out_p = [], [], []
+        goes_on = len(starts) == 0 or starts[0] > 0       # rows that belong to the open run
+        edges = np.append(starts, len(s))
+        if goes_on:
+            upto = edges[0]
+            if held is not None:                          # the open run has its second member
+                out_s.append([sig]), out_d.append([held]), out_p.append(d[:1])
+                pivot, held = held, None
+            out_s.append(s[:upto]), out_d.append(d[:upto]), out_p.extend([np.array([pivot], dtype=np.int64)] * upto)
+        elif held is not None and first:
+            out_s.append([sig]), out_d.append([held]), out_p.append(np.zeros(0, np.int64))
+        if len(starts):
+            first = first and sig is None
+            lengths = np.diff(edges)
+            if first and lengths[0] == 1 and len(starts) > 1:
+                out_s.append(s[:1]), out_d.append(d[:1]), out_p.append(np.zeros(0, np.int64))
+            for i in np.flatnonzero(lengths > 1):
+                x, y = edges[i], edges[i + 1]
+                out_s.append(s[x:y]), out_d.append(d[x:y]), out_p.extend([d[x:min(y, x + PIVOTS)]] * (y - x))
+            held = int(d[starts[-1]]) if lengths[-1] == 1 else None
+            first = first and len(starts) == 1
+            pivot = int(d[starts[-1]])
+        sig, d1 = int(s[-1]), int(d[-1])
+        if out_s:
+            yield rows(np.concatenate(out_s), np.concatenate(out_d), out_p)
+    if held is not None:
+        yield rows([sig], [held], [np.zeros(0, np.int64)])
+
+
 # ---- candidates and verification ----
 
 def _near(pct: int) -> Column:
@@ -226,7 +291,8 @@ def _verify(n: int, pct: int):
 
 class Join:
     """The landed tables of one join: ``docs`` (doc, n, d1, d2), ``classes`` (cid, n, d1,
-    d2, doc), ``sketches`` (cid, n, sketch) and ``lists`` (sig, cid) of two members or more."""
+    d2, doc), ``sketches`` (cid, n, sketch), ``entries`` (sig, d1, pivots) of lists of two
+    members or more, and ``lists`` (sig, cid), the same by class."""
 
     def __init__(self, docs: DataFrame, n: int, pct: int, text: str = "text", key: str = "doc_id"):
         self.n, self.pct, self._texts = n, pct, None
@@ -240,21 +306,28 @@ class Join:
                             "jaccard-classes")
         c = self.classes.select("cid", *ids, F.col("doc").alias("first"), F.col("tag").alias("first_tag"))
         same = F.col("doc").eqNullSafe(F.col("first")) & (F.col("tag") == F.col("first_tag"))
-        members = land(self.rows.join(c, ids).where(same).select("cid", "n", "sketch", "small", "keys"), "jaccard-members")
+        members = land(self.rows.drop("keys").join(c, ids).where(same).select("cid", "d1", "n", "sketch", "small"), "jaccard-members")
         release(docs.sparkSession)
         self.sketches = members.select("cid", "n", "sketch")
         small = members.where(f"n <= {LIGHT_MAX}")
         counts = {r["n"]: r["count"] for r in small.groupBy("n").count().collect()}      # at most LIGHT_MAX rows
         self.boundary = x = boundary(counts, pct)
-        light = small.where(F.col("n") <= x).select("cid", "small").mapInArrow(_subsets(pct), "cid long, sig long")
-        heavy = members.where(f"100 * n DIV {pct} > {x}").select("cid", F.explode("keys").alias("sig"))
-        alike = Window.partitionBy("sig")
-        self.lists = land(heavy.unionByName(light)
-                          .withColumn("low", F.min("cid").over(alike)).withColumn("high", F.max("cid").over(alike))
-                          .withColumn("pivots", F.array_compact(F.array(*[
-                              F.min(F.when(F.pmod(F.xxhash64("cid"), F.lit(PIVOTS)) == k, F.col("cid"))).over(alike)
-                              for k in range(PIVOTS)])))
-                          .where("low < high").select("sig", "cid", "pivots"), "jaccard-lists")
+        light = small.where(F.col("n") <= x).select("d1", "small").mapInArrow(_subsets(pct), "d1 long, sig long")
+        heavy = self.rows.where(f"n > 0 AND 100 * n DIV {pct} > {x}")
+        parts = []
+        for share in range(SHARES):
+            mine = F.filter("keys", lambda k: _share(k) == share)
+            entries = heavy.select(F.explode(mine).alias("sig"), "d1").unionByName(
+                light.where(_share(F.col("sig")) == share).select("sig", "d1"))
+            ranged = entries.repartitionByRange(tasks(docs), "sig", "d1").sortWithinPartitions("sig", "d1")
+            parts.append(land(ranged.mapInArrow(_shared, "sig long, d1 long, pivots array<long>"), "jaccard-lists"))
+            release(docs.sparkSession)
+        self.entries = parts[0]
+        for part in parts[1:]:
+            self.entries = self.entries.unionByName(part)
+        # a hash of a set, nearly always its class's alone; should two classes share it, both stand in the list
+        self.lists = land(self.entries.select("sig", "d1").join(self.classes.select("d1", "cid"), "d1").select("sig", "cid"),
+                          "jaccard-members-of-lists")
         release(docs.sparkSession)
 
     def _checked(self, pairs: DataFrame) -> DataFrame:
@@ -286,32 +359,50 @@ class Join:
             x, y = _side(full, "a"), _side(full, "b").withColumnRenamed("sig", "sig_b")
             hit = x.join(y, (F.col("sig") == F.col("sig_b")) & (F.col("a") < F.col("b")) & _near(self.pct))
             return hit.select("a", "b").distinct()
-        lists = land(self.lists.select("sig", "cid").join(labels.withColumnRenamed("node", "cid"), "cid", "left")
-                     .select("sig", "cid", F.coalesce("root", "cid").alias("comp")), "jaccard-labelled")
-        open_lists = lists.groupBy("sig").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low < high")
-        full = land(lists.join(open_lists.select("sig"), "sig", "left_semi").join(s, F.col("cid") == F.col("id"))
-                    .select("sig", "cid", "comp", "size", "sketch"), "jaccard-open")
-        # pairs of components that meet in a list, the one with fewer members there first;
-        # the component is in the keys of both joins, so no pair inside one is ever formed
-        sides = full.groupBy("sig", "comp").agg(F.count(F.lit(1)).alias("m"))
-        u = sides.select("sig", F.col("comp").alias("ca"), F.col("m").alias("ma"))
-        v = sides.select(F.col("sig").alias("sig_v"), F.col("comp").alias("cb"), F.col("m").alias("mb"))
-        meet = land(u.join(v, (F.col("sig") == F.col("sig_v")) & (F.struct("ma", "ca") < F.struct("mb", "cb")))
-                    .select("sig", "ca", "cb"), "jaccard-meet")
-        x = _side(full, "a", "comp").withColumnRenamed("comp", "ca")
-        y = _side(full, "b", "comp").withColumnsRenamed({"sig": "sig_b", "comp": "comp_b"})
-        hit = meet.join(x, ["sig", "ca"]).join(
-            y, (F.col("sig") == F.col("sig_b")) & (F.col("cb") == F.col("comp_b")) & _near(self.pct))
+        labelled = land(self.lists.join(labels.withColumnRenamed("node", "cid"), "cid", "left")
+                        .select("sig", "cid", F.coalesce("root", "cid").alias("comp")), "jaccard-labelled")
+        sides = labelled.groupBy("sig", "comp").agg(F.count(F.lit(1)).alias("m"))
+        lists = (sides.groupBy("sig").agg((F.sum("m") - F.max("m")).alias("outside"), F.count(F.lit(1)).alias("k"))
+                 .where("k > 1").select("sig", "outside"))
+        opened = land(labelled.join(lists, "sig"), "jaccard-open")
+        sorted_lists = F.array_sort(F.collect_set("sig"))         # at most the slices of one set
+        long = (F.col("outside") > LONG) & (F.col("sig").bitwiseAND(F.lit(1)) == 0)
+        own = opened.where(long).groupBy("cid", "comp").agg(sorted_lists.alias("sigs"))
+        pairs = F.flatten(F.transform("sigs", lambda x, i: F.transform(
+            F.slice(F.col("sigs"), i + 2, F.greatest(F.size("sigs") - i - 1, F.lit(0))), lambda y: F.xxhash64(x, y))))
+        double = own.select(F.explode(pairs).alias("sig"), "cid", "comp")
+        return self._of_two_components(opened.where(~long).select("sig", "cid", "comp").unionByName(double))
+
+    def _of_two_components(self, lists: DataFrame) -> DataFrame:
+        """Pairs of one list but two components that may link.  One side of each pair is
+        outside the list's main component, so no pair inside that one is formed."""
+        full = self._sides(lists)
+        x = _side(full.where(~F.col("main")), "a", "comp").withColumnRenamed("comp", "ca")
+        y = _side(full, "b", "comp", "main").withColumnsRenamed({"sig": "sig_b", "comp": "cb"})
+        hit = x.join(y, (F.col("sig") == F.col("sig_b")) & (F.col("ca") != F.col("cb"))
+                     & (F.col("main") | (F.col("a") < F.col("b"))) & _near(self.pct))
         return hit.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
+    def _sides(self, lists: DataFrame) -> DataFrame:
+        """Members of the lists with two components or more; ``main`` marks those of the
+        component that has most members there."""
+        s = self.sketches.withColumnsRenamed({"cid": "id", "n": "size"})
+        sides = lists.groupBy("sig", "comp").agg(F.count(F.lit(1)).alias("m"))
+        main = sides.groupBy("sig").agg(F.max_by("comp", F.struct("m", "comp")).alias("main"), F.count(F.lit(1)).alias("k"))
+        return land(lists.join(main.where("k > 1"), "sig").join(s, F.col("cid") == F.col("id"))
+                    .select("sig", "cid", "comp", "size", "sketch", (F.col("comp") == F.col("main")).alias("main")), "jaccard-sides")
+
     def links(self) -> DataFrame:
         """Every link between different classes: (a, b)."""
         return self._checked(self._across(None))
 
     def component_labels(self) -> DataFrame:
         """(cid, label): label is the smallest document id of the class's component."""
-        pivots = (self.lists.select("cid", F.explode("pivots").alias("p")).where("p <> cid")
-                  .select(F.least("p", "cid").alias("a"), F.greatest("p", "cid").alias("b")).distinct())
+        pairs = (self.entries.select("d1", F.explode("pivots").alias("p")).where("p <> d1")
+                 .select(F.least("p", "d1").alias("da"), F.greatest("p", "d1").alias("db")).distinct())
+        ids = self.classes.select("d1", "cid")
+        pivots = (pairs.join(ids.withColumnsRenamed({"d1": "da", "cid": "a"}), "da")
+                  .join(ids.withColumnsRenamed({"d1": "db", "cid": "b"}), "db").select("a", "b"))
         links = self._checked(pivots)
         labels = components(links)
         more = self._checked(self._across(labels))

@@ -30,10 +30,10 @@ import re
 import struct
 import sys
 import uuid
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import pyarrow.fs as pafs
 import regex
 import xxhash
@@ -47,8 +47,11 @@ from .common import by_value, land, shared_path, tasks
 
 FRAME_IDS = 32_768
 LEVEL = 3
-CACHE_WORDS = 300_000
+CACHE_WORDS = 200_000
+#: Texts are encoded in slices of about this many characters: distinct words once a slice.
+SLICE_CHARS = 8_000_000
 #: Printable ASCII and the composed letters of Latin-1 and Latin Extended-A.
+STOPS = ".,;:!?"
 LATIN = re.compile("[!-~\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u017F]+")
 #: Byte-level vocabularies write a byte that is not printable as another character.
 BYTE_CHARS = {byte: char for char, byte in byte_alphabet().items()}
@@ -147,6 +150,18 @@ def open_folder(uri: str):
     return fs, path
 
 
+def slices(texts, chars: int):
+    """(start, end) of consecutive texts with about so many characters together."""
+    start, total = 0, 0
+    for i, t in enumerate(texts):
+        total += len(t or "")
+        if total >= chars:
+            yield start, i + 1
+            start, total = i + 1, 0
+    if start < len(texts):
+        yield start, len(texts)
+
+
 class WordEncoder:
     """The tokenizers library behind a cache of words.
 
@@ -186,43 +201,64 @@ class WordEncoder:
         return regex.compile(split["pattern"]["Regex"])
 
     def _cut(self, word: str) -> list[str]:
-        if self.cut is not None and LATIN.fullmatch(word):
+        if self.cut is not None:
+            plain = word.isascii()
             small = word.lower()
-            if LATIN.fullmatch(small):
-                parts = [small] if small.isalpha() else self.cut.findall(small)
-                return parts if small.isascii() else [p.encode().decode("latin-1").translate(BYTE_CHARS) for p in parts]
+            if plain and small.isalpha():
+                return [small]
+            if LATIN.fullmatch(small) and (plain or LATIN.fullmatch(word)):
+                base = small.rstrip(STOPS)          # letters, then stops, are two pieces
+                parts = ([base, small[len(base):]] if base != small else [small]) if base.isalpha() else self.cut.findall(small)
+                return parts if plain else [p.encode().decode("latin-1").translate(BYTE_CHARS) for p in parts]
         if self.normal is not None:
             word = self.normal.normalize_str(word)
         return [p for p, _ in self.pre.pre_tokenize_str(word)] if self.pre is not None else [word]
 
     def _packed(self, text: str) -> bytes:
-        """The ids of a word as little-endian unsigned 32-bit integers."""
-        out = []
+        """The ids of a word as little-endian unsigned 32-bit integers (none of an empty one)."""
+        if not text:
+            return b""
+        get, out = self.pieces.get, []
         for piece in self._cut(text):
-            ids = self.pieces.get(piece)
+            ids = get(piece)
             if ids is None:
-                ids = self.pieces[piece] = pack([t.id for t in self.model.tokenize(piece)])
+                found = [t.id for t in self.model.tokenize(piece)]
+                ids = self.pieces[piece] = struct.pack(f"<{len(found)}I", *found)
             out.append(ids)
         return out[0] if len(out) == 1 else b"".join(out)
 
     def encode(self, texts) -> list[np.ndarray]:
+        """Ids of each text.  A batch is cut into words and its distinct words are found on
+        Arrow arrays; Python sees a distinct word once, ids are gathered with numpy."""
         if len(self.words) > CACHE_WORDS:
             self.words, self.old = {}, self.words
         if len(self.pieces) > CACHE_WORDS:
             self.pieces = {}
-        added = any(a in t for t in texts if t for a in self.added)
-        cut = [(t or "").encode("utf-8", "surrogatepass").split() for t in texts]
-        for w in set(chain.from_iterable(cut)).difference(self.words):
-            ids = self.old.get(w)
+        texts = [t or "" for t in texts]
+        added = any(a in t for t in texts for a in self.added)
+        cut = pc.ascii_split_whitespace(pa.array(texts, pa.large_string()))
+        coded = cut.values.dictionary_encode()
+        words, old, found = self.words, self.old, []
+        for w in coded.dictionary.to_pylist():
+            ids = words.get(w)
             if ids is None:
-                text = w.decode("utf-8", "surrogatepass")
-                if added and any(a in text for a in self.added):
-                    ids = pack(self.tokenizer.encode(text, add_special_tokens=False).ids)
-                else:
-                    ids = self._packed(text)
-            self.words[w] = ids
-        get = self.words.__getitem__
-        return [np.frombuffer(b"".join(map(get, ws)), dtype="<u4") for ws in cut]
+                ids = old.get(w)
+                if ids is None:
+                    if added and any(a in w for a in self.added):
+                        ids = pack(self.tokenizer.encode(w, add_special_tokens=False).ids)
+                    else:
+                        ids = self._packed(w)
+                words[w] = ids
+            found.append(ids)
+        flat = np.frombuffer(b"".join(found), dtype="<u4")
+        size = np.fromiter(map(len, found), dtype=np.int64, count=len(found)) // 4
+        which = coded.indices.to_numpy()
+        lens = size[which]
+        ends = np.cumsum(lens)
+        at = np.repeat((np.cumsum(size) - size)[which] - ends + lens, lens) + np.arange(int(lens.sum()))
+        edges = np.concatenate(([0], ends))[cut.offsets.to_numpy()]
+        every = flat[at]
+        return [every[x:y] for x, y in zip(edges[:-1].tolist(), edges[1:].tolist())]
 
 
 def pack(ids: list[int]) -> bytes:
@@ -252,8 +288,8 @@ def _writer(vocab_path: str, folder: str, end_id: int):
                 fs.create_dir(root, recursive=True)
                 sink = fs.open_output_stream(posixpath.join(root, name), compression=None)
                 writer = FileWriter(sink)
-            for lo in range(0, len(keys), 500):
-                for key, ids in zip(keys[lo:lo + 500], encoder.encode(texts[lo:lo + 500])):
+            for lo, hi in slices(texts, SLICE_CHARS):
+                for key, ids in zip(keys[lo:hi], encoder.encode(texts[lo:hi])):
                     writer.add(key, np.append(ids, np.uint32(end_id)))
         if writer is not None:
             writer.close()

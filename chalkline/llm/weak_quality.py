@@ -13,8 +13,10 @@ Both passes over the corpus are per row, without a shuffle of texts; the weights
 array of fixed size that travels with the tasks.
 
 Defined results: a null or wordless text gets score 0 and is rejected; repeated rows get
-equal scores; extra columns pass through untouched; an empty table gives an empty table
-(and an untrained scorer).
+equal scores; a very long text is judged whole, by windows; texts that tie for the last place
+of the sample are told apart by their hash; extra columns pass through untouched, and the verdict
+takes a name that the input does not use; an empty table gives an empty table (and an
+untrained scorer).
 """
 
 from __future__ import annotations
