@@ -10,6 +10,8 @@
   so a key with a huge history is cut into many ranges; neighbours are looked up inside a
   range, and one summary row per range carries them across its edges.
 * ``apply_scd2``: out-of-order changes recompute only the keys they touch.
+* ``splice_scd2``: new observations, late ones too, recompute a key only from the version
+  on that the first of them falls into.
 """
 
 from __future__ import annotations
@@ -23,6 +25,7 @@ from chalkline.session import scratch_path
 
 CHANGE_TYPE = "_change_type"
 COMMIT_VERSION = "_commit_version"
+LAST_SEEN = "__LAST_AT"
 
 
 def snapshot_diff(before: DataFrame, after: DataFrame, keys: Sequence[str],
@@ -84,15 +87,16 @@ def _ranged(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
 
 
 def scd2(changes: DataFrame, keys: Sequence[str], sequence: Sequence[str],
-         tracked: Sequence[str]) -> DataFrame:
+         tracked: Sequence[str], last_seen: bool = False) -> DataFrame:
     """SCD type 2 versions.
 
     ``sequence`` totally orders changes within a key.  Output: keys, tracked attributes,
     ``__START_AT`` (struct of sequence), ``__END_AT`` (next version's sequence, NULL
-    while current)."""
+    while current), and with ``last_seen`` also ``__LAST_AT``, the sequence of the last
+    change that confirmed the version."""
     keys, sequence, tracked = list(keys), list(sequence), list(tracked)
     rows = _ranged(changes.where(_all_not_null(keys)).select(*keys, *sequence, *tracked), keys, sequence)
-    whole, place = F.struct(*keys, *sequence, *tracked), F.struct(*keys, *sequence)
+    whole, place = F.struct(*keys, *sequence, *tracked), F.struct(*keys, *sequence, "_seen")
     inside, over_parts = Window.partitionBy("_part").orderBy(*keys, *sequence), Window.orderBy("_part")
     earlier = over_parts.rowsBetween(Window.unboundedPreceding, -1)
     later = over_parts.rowsBetween(1, Window.unboundedFollowing)
@@ -111,15 +115,22 @@ def scd2(changes: DataFrame, keys: Sequence[str], sequence: Sequence[str],
     differs = ~same_key("_prev")
     for c in tracked:
         differs = differs | ~F.col(c).eqNullSafe(F.col(f"_prev.{c}"))
-    starts = prev.where(differs).select("_part", *keys, *sequence, *tracked)
+    seen = F.struct(*[F.col(f"_prev.{c}").alias(c) for c in sequence]).alias("_seen")     # the change before it
+    starts = prev.where(differs).select("_part", *keys, *sequence, *tracked, seen)
     # ... and its first version start is where the version before it ends
     first = rows.select("_part").distinct().join(starts.groupBy("_part").agg(F.min(place).alias("_first")), "_part", "left")
     first = first.select("_part", F.first("_first", ignorenulls=True).over(later).alias("_after"))
     nxt = starts.withColumn("_next", F.lead(place).over(inside)).join(first, "_part").withColumn(
         "_next", F.coalesce("_next", "_after"))
     end = F.struct(*[F.col(f"_next.{c}").alias(c) for c in sequence])
-    return nxt.select(*keys, *tracked, F.struct(*sequence).alias("__START_AT"),
-                      F.when(same_key("_next"), end).alias("__END_AT"))
+    versions = nxt.select(*keys, *tracked, F.struct(*sequence).alias("__START_AT"),
+                          F.when(same_key("_next"), end).alias("__END_AT"),
+                          F.when(same_key("_next"), F.col("_next._seen")).alias("_seen"))
+    if not last_seen:
+        return versions.drop("_seen")
+    newest = rows.groupBy(*keys).agg(F.max(F.struct(*sequence)).alias("_newest"))
+    return versions.join(newest, keys).select(*[c for c in versions.columns if c != "_seen"],
+                                              F.coalesce("_seen", "_newest").alias(LAST_SEEN))
 
 
 def apply_scd2(versions: DataFrame, change_log: DataFrame, late: DataFrame,
@@ -135,6 +146,41 @@ def apply_scd2(versions: DataFrame, change_log: DataFrame, late: DataFrame,
     return kept.unionByName(rebuilt.select(*versions.columns))
 
 
+def splice_scd2(versions: DataFrame, log: DataFrame, new: DataFrame, keys: Sequence[str], sequence: Sequence[str],
+                tracked: Sequence[str]) -> DataFrame:
+    """Versions after new observations, without a second look at what they cannot touch.
+
+    ``versions`` carry ``__LAST_AT`` (``scd2`` with ``last_seen``).  Per key the first new observation
+    falls into one version; all versions before that one stay as they are.  If it came after
+    the version was last confirmed, and no later version exists, the version's own row stands
+    for all its observations; only otherwise are observations read from ``log``, from that
+    version's start on.  Keys without a new observation are not looked at."""
+    keys, sequence, tracked = list(keys), list(sequence), list(tracked)
+    place, rows = F.struct(*sequence), [*keys, *sequence, *tracked]
+    fresh = new.where(_all_not_null(keys)).select(*rows)
+    first = fresh.groupBy(*keys).agg(F.min(place).alias("_first"))
+    touched = versions.join(first, keys)
+    begun = touched.where(F.col("__START_AT") <= F.col("_first"))
+    cut = (touched.groupBy(*keys).agg(F.max("__START_AT").alias("_newest"), F.max("_first").alias("_first"))
+           .join(begun.groupBy(*keys).agg(F.max(F.struct(F.col("__START_AT").alias("s"), F.col(LAST_SEEN).alias("l"))).alias("_b")),
+                 keys, "left")
+           .select(*keys, F.col("_b.s").alias("_from"),
+                   ((F.col("_b.s") == F.col("_newest")) & (F.col("_b.l") < F.col("_first"))).alias("_append")))
+    late = F.coalesce("_append", F.lit(False)) == F.lit(False)
+    kept = versions.join(cut.select(*keys, "_from"), keys, "left_anti").unionByName(
+        versions.join(cut.where("_from IS NOT NULL").select(*keys, "_from"), keys)
+        .where(F.col("__START_AT") < F.col("_from")).select(*versions.columns))
+    at = [F.col(f"_v.{c}").alias(c) for c in sequence]
+    stands = (versions.join(cut.where("_append").select(*keys, "_from"), keys).where(F.col("__START_AT") == F.col("_from"))
+              .select(*keys, F.explode(F.array_distinct(F.array("__START_AT", LAST_SEEN))).alias("_v"), *tracked)
+              .select(*keys, *at, *tracked))
+    again = (log.select(*rows).join(cut.where(late).select(*keys, "_from"), keys)
+             .where(F.col("_from").isNull() | (place >= F.col("_from"))).select(*rows))
+    part = fresh.unionByName(stands).unionByName(again).distinct()
+    rebuilt = scd2(part, keys, sequence, tracked, last_seen=True)
+    return kept.unionByName(rebuilt.select(*versions.columns))
+
+
 def _all_not_null(keys: Sequence[str]) -> Column:
     cond = F.lit(True)
     for k in keys:

@@ -65,18 +65,17 @@ def split_duplicates(df: DataFrame, keys: Sequence[str], order: Sequence[str],
                      chunk: int = REPLICATION_CHUNK) -> tuple[DataFrame, DataFrame]:
     """(survivors, duplicates) with ``count(df) = count(survivors) + count(duplicates)``.
 
-    First arrival by ``order`` wins; NULL keys are never duplicates.  Keys that occur
-    twice are found on the key columns alone; only rows of such keys take the path over
-    whole rows, where duplicates are multiset-exact (``EXCEPT ALL`` the survivors):
-    copies are counted per distinct row value (partial aggregation), the survivor is
-    subtracted, and the remaining copies are re-emitted in chunks spread over the cluster."""
+    First arrival by ``order`` wins; NULL keys are never duplicates.  Survivors are one
+    aggregation.  For the duplicates, keys that occur twice are found on the key columns
+    alone; only rows of such keys take the path over whole rows, which is multiset-exact
+    (``EXCEPT ALL`` the survivors): copies are counted per distinct row value (partial
+    aggregation), the survivor is subtracted, and the remaining copies are re-emitted in
+    chunks spread over the cluster.  A reader of survivors alone never plans that path."""
     keys = list(keys)
     repeated = (df.where(~_any_null(keys)).groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
                 .where("_n > 1").select(*keys))
-    once = df.join(repeated, keys, "left_anti").select(*df.columns)
     several = df.join(repeated, keys, "left_semi").select(*df.columns)
-    first = keep_first(several, keys, order)
-    return once.unionByName(first), _surplus_copies(several, first, chunk)
+    return keep_first(df, keys, order), _surplus_copies(several, keep_first(several, keys, order), chunk)
 
 
 def _surplus_copies(df: DataFrame, survivors: DataFrame, chunk: int) -> DataFrame:

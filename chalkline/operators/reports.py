@@ -69,8 +69,7 @@ def volume_by_wiki(fact: DataFrame, dim_wiki: DataFrame) -> DataFrame:
 
 def bot_share(fact: DataFrame, dim_change_type: DataFrame, digits: int = 6) -> DataFrame:
     per_type = fact.groupBy("change_type_key").agg(F.count(F.lit(1)).alias("n"))
-    per_bot = (per_type.join(F.broadcast(dim_change_type.select("change_type_key", "is_bot")),
-                             "change_type_key")            # dim_change_type: 8 rows
+    per_bot = (per_type.join(dim_change_type.select("change_type_key", "is_bot"), "change_type_key")
                        .groupBy("is_bot").agg(F.sum("n").alias("edit_count")))
     total = F.sum("edit_count").over(Window.partitionBy())   # over two aggregated rows
     return per_bot.select("is_bot", "edit_count",

@@ -20,13 +20,13 @@ from chalkline.functions.text import has_control_chars, nfc
 from chalkline.operators import cdc, contracts, dedup, dq, gold, reports, setops
 from chalkline.plans import silver
 from chalkline.schemas import DIM_WIKI_REFERENCE_SCHEMA, EVENT_SCHEMA, RAW_SCHEMA
-from chalkline.streaming import bronze, raw
+from chalkline.streaming import bronze, changes, enrich, raw, stateful
 from chalkline.streaming import dedup as sdedup
 from chalkline.streaming import gold as sgold
 from chalkline.streaming import silver as ssilver
 from chalkline.streaming import sql as ssql
 from chalkline.session import pin_utc, scratch_path
-from chalkline.sources import adapter, files, sitematrix
+from chalkline.sources import adapter, files, footers, sitematrix
 from chalkline.sources import feed as feedsrc
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -555,6 +555,155 @@ def silver_from_change_feed(spark, sf_dir):
     return silver.stage(upserts, CFG, load_stamp=False).select("id", "_event_id", "title", reasons_text())
 
 
+# Streams with a position, a reference, or state of their own ---------------------------------
+
+@query
+def stream_wiki_enrichment(spark, sf_dir):
+    """JN-1: clean silver rows as a stream, joined with the reference version of their
+    batch; the second fetch is written between two runs and shows from the second on.
+    Codes without a reference row stay."""
+    raw_path, rows = scratch_path(spark, "raw"), feed(spark, sf_dir)
+    bronze_path, root, out = (scratch_path(spark, n) for n in ("bronze", "silver", "enriched"))
+    table_path, ref = scratch_path(spark, "reference"), reference_rows(spark, sf_dir)
+    ckpt = {n: scratch_path(spark, f"ckpt-{n}") for n in ("bronze", "silver", "enriched")}
+    schema = ssilver.output_schema(spark)
+    first_fetch = F.lit(adapter.SNAPSHOTS[0][0]).cast("timestamp")
+    for known, part in ((ref.where(F.col("_snapshot_fetched_at") == first_fetch), F.col("dt") < RERUN_SPLIT),
+                        (ref, F.col("dt") >= RERUN_SPLIT)):
+        files.write_version(known, table_path)
+        raw.write_raw(rows.where(part), raw_path)
+        bronze.run_bronze(spark, raw_path, bronze_path, ckpt["bronze"])
+        ssilver.run_silver(spark, bronze_path, root, ckpt["silver"], CFG)
+        clean = spark.readStream.schema(schema).parquet(f"{root}/verdict=clean")
+        enrich.run_enriched(spark, clean, table_path, out, ckpt["enriched"])
+    return enrich.read_enriched(spark, out, schema).select("_event_id", "wiki", "dt", *enrich.ATTRIBUTES)
+
+
+def _orders_commits(spark, sf_dir):
+    """Three batches for a change table of orders: all of them, updates and new rows (with
+    unchanged ones among them), and deletes."""
+    v1, v2 = adapter.orders_versions(table(spark, sf_dir, "orders"))
+    k = F.col("o_orderkey")
+    touched = ((k % 7) == 1) | ((k % 11) == 2) | (k >= adapter.INSERTED_KEY_OFFSET) | ((k % 13) == 4)
+    upsert, delete = F.lit("upsert").alias(changes.OP), F.lit("delete").alias(changes.OP)
+    cols = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"]
+    v1, v2 = v1.select(*cols), v2.select(*cols)
+    return v1.schema, [v1.select("*", upsert), v2.where(touched).select("*", upsert), v1.where((k % 50) == 0).select("*", delete)]
+
+
+def _consumed(spark, out):
+    """A handler that appends what it is handed, one folder per run and batch."""
+    def handler(run_no):
+        return lambda rows, batch_id: (rows.withColumn("run_no", F.lit(run_no)).write.mode("overwrite")
+                                       .parquet(f"{out}/run={run_no}-{batch_id}"))
+    return handler
+
+
+@query
+def change_feed_incremental(spark, sf_dir):
+    """SRC-7, SNK-9: three commits of a change table; a consumer that starts after the first
+    sees the second and the third once, a rerun nothing."""
+    schema, batches = _orders_commits(spark, sf_dir)
+    t = changes.ChangeTable(spark, scratch_path(spark, "orders"), schema, ["o_orderkey"])
+    ckpt, out = scratch_path(spark, "ckpt-consumer"), scratch_path(spark, "consumed")
+    handler = _consumed(spark, out)
+
+    def consume(run_no):
+        changes.consume(spark, t.root, ckpt, handler(run_no), t.change_schema(), starting_version=2)
+
+    t.commit(batches[0])
+    t.commit(batches[1])
+    consume(1)
+    t.commit(batches[2])
+    consume(2)
+    consume(3)
+    return spark.read.parquet(f"{out}/*").select(
+        "o_orderkey", "o_orderstatus", "o_totalprice", cdc.CHANGE_TYPE, cdc.COMMIT_VERSION, "run_no")
+
+
+@query
+def change_table_current(spark, sf_dir):
+    """SNK-9: the state that the three commits leave, without a diff of whole states."""
+    schema, batches = _orders_commits(spark, sf_dir)
+    t = changes.ChangeTable(spark, scratch_path(spark, "orders"), schema, ["o_orderkey"])
+    for batch in batches:
+        t.commit(batch)
+    return t.current()
+
+
+LANDINGS = ("2024-01-11", "2024-01-21")
+
+
+def _landings():
+    dt = F.col("dt")
+    return [dt < LANDINGS[0], (dt >= LANDINGS[0]) & (dt < LANDINGS[1]), dt >= LANDINGS[1]]
+
+
+@query
+def stream_layer_change_feed(spark, sf_dir):
+    """SRC-7, SNK-9: bronze publishes each of its batches as a commit; silver consumes from
+    the second on, each commit once, judged like any other row."""
+    raw_path, bronze_path, commits, out = (scratch_path(spark, n) for n in ("raw", "bronze", "bronze-commits", "consumed"))
+    ckpt, reader, rows = scratch_path(spark, "ckpt-bronze"), scratch_path(spark, "ckpt-reader"), feed(spark, sf_dir)
+    handler = _consumed(spark, out)
+    for run_no, part in enumerate(_landings()):
+        raw.write_raw(rows.where(part), raw_path)
+        bronze.run_bronze(spark, raw_path, bronze_path, ckpt, commits=commits)
+        if run_no:
+            layer = spark.read.schema(bronze.bronze_schema()).parquet(bronze_path)
+            changes.consume(spark, commits, reader, handler(run_no), RAW_SCHEMA, starting_version=2, layer=layer)
+    read = spark.read.parquet(f"{out}/*")
+    upserts = silver.stage(read.where(F.col(cdc.CHANGE_TYPE) == "insert"), CFG, load_stamp=False)
+    keys = read.select("id", cdc.COMMIT_VERSION, "run_no")
+    return upserts.select("id", "_event_id", reasons_text()).join(keys, "id")
+
+
+def _verdict_batches(spark, judged, out, ckpt, run_no=None):
+    """Drain a judged stream, (id, _event_id, verdict) of every batch in a folder of its own."""
+    def keep(batch, batch_id):
+        (batch.select("id", "_event_id", stateful.VERDICT, F.lit(run_no).cast("int").alias("run_no"))
+         .write.mode("overwrite").parquet(f"{out}/batch={run_no or 0}-{batch_id}"))
+    (judged.writeStream.foreachBatch(keep).option("checkpointLocation", ckpt)
+     .trigger(availableNow=True).start().awaitTermination())
+
+
+RESENT = ("2024-01-05", "2024-01-26")
+
+
+@query
+def stream_redelivery(spark, sf_dir):
+    """UQ-3: every event once, then, after a restart, the first and the last days again.
+    Each producer's state holds half its ids: the last days are redelivered, the first have
+    been pushed out and pass."""
+    raw_path, out, ckpt = (scratch_path(spark, n) for n in ("raw", "redelivery", "ckpt-redelivery"))
+    rows = feed(spark, sf_dir)
+    max_ids = max(1, rows.count() // 6)
+    dt = F.col("dt")
+    for run_no, part in ((1, F.lit(True)), (2, (dt <= RESENT[0]) | (dt >= RESENT[1]))):
+        raw.write_raw(rows.where(part), raw_path)
+        flat = silver.flatten(bronze.raw_stream(spark, raw_path), normalize=False)
+        _verdict_batches(spark, stateful.suppress_redelivery(flat, max_ids=max_ids), out, ckpt, run_no)
+    return spark.read.parquet(f"{out}/*")
+
+
+@query
+def stream_first_arrivals(spark, sf_dir):
+    """UQ-1, DQ-5, STR-1, D7: three landings, the earliest days last, then an event that moves
+    the watermark past all horizons.  Every row comes out once: the copy that arrived first,
+    its duplicates, and what came behind the watermark."""
+    raw_path, out, ckpt = (scratch_path(spark, n) for n in ("raw", "arrivals", "ckpt-arrivals"))
+    rows, parts = feed(spark, sf_dir), _landings()
+    seal = rows.orderBy("id").limit(1).withColumns({
+        "id": F.lit(-1).cast("long"), "_event_id": F.lit("seal"), "dt": F.lit("2030-01-01"), "hour": F.lit(0),
+        "meta": F.col("meta").withField("dt", F.lit("2030-01-01T00:00:00Z"))})
+    for landed in (rows.where(parts[1]), rows.where(parts[2]), rows.where(parts[0]), seal):
+        raw.write_raw(landed, raw_path)
+        flat = silver.flatten(bronze.raw_stream(spark, raw_path), normalize=False)
+        judged = stateful.first_arrivals(flat, horizon_ms=60 * 86_400_000)
+        _verdict_batches(spark, judged, out, ckpt)
+    return spark.read.parquet(f"{out}/*").where("id >= 0").select("id", "_event_id", stateful.VERDICT)
+
+
 # Gold star schema ------------------------------------------------------------------------
 
 def clean_silver(spark, sf_dir):
@@ -565,21 +714,23 @@ def reference_latest(spark, sf_dir):
     return sitematrix.latest_snapshot(reference_rows(spark, sf_dir))
 
 
+#: What the tables of the star read of clean silver.
+STAR_INPUT = ("_event_id", "id", "type", "title", "user", "bot", "wiki", "meta_dt", "length_old", "length_new", "dt")
+
+
 class Star(dict):
-    """Star-schema builders over clean silver, each built on first use."""
+    """Star-schema builders over clean silver, each built on first use.  A query of one table
+    reads the plan itself; where several tables share it, ``landed`` writes the columns that
+    they read once."""
 
-    def __init__(self, spark, sf_dir):
+    def __init__(self, spark, sf_dir, landed: bool = False):
         super().__init__()
         self.spark, self.sf_dir = spark, sf_dir
-        self._silver = None
-
-    @property
-    def silver(self):
-        if self._silver is None:        # landed once, then read by every table of the star
-            path = scratch_path(self.spark, "clean-silver")
-            clean_silver(self.spark, self.sf_dir).write.parquet(path)
-            self._silver = self.spark.read.parquet(path)
-        return self._silver
+        self.silver = clean_silver(spark, sf_dir).select(*STAR_INPUT)
+        if landed:
+            path = scratch_path(spark, "clean-silver")
+            self.silver.write.parquet(path)
+            self.silver = spark.read.schema(self.silver.schema).parquet(path)
 
     def __missing__(self, name):
         s, spark = self.silver, self.spark
@@ -595,8 +746,8 @@ class Star(dict):
         return self[name]
 
 
-def star(spark, sf_dir) -> Star:
-    return Star(spark, sf_dir)
+def star(spark, sf_dir, landed: bool = False) -> Star:
+    return Star(spark, sf_dir, landed)
 
 
 @query
@@ -651,7 +802,7 @@ FK_SPLIT = "2024-01-25"
 def fact_null_fk(spark, sf_dir):
     """GD-8, JN-2..4: fact loss, NULL and unresolved foreign keys.  The dimensions stop at
     a date that the facts pass, and some facts have no user, so every check has work."""
-    st = star(spark, sf_dir)
+    st = star(spark, sf_dir, landed=True)
     rows = st.silver.withColumn("user", F.when(F.col("id") % 139 != 23, F.col("user")))
     early = st.silver.where(F.col("dt") < FK_SPLIT)
     dims = {"dim_editor": gold.dim_editor(early), "dim_page": gold.dim_page(early), "dim_wiki": gold.dim_wiki(early),
@@ -701,20 +852,46 @@ def stream_dim_editor_scd2(spark, sf_dir):
                         F.col("__END_AT.event_id").alias("end_event")))
 
 
+def _scd2_rows(versions, phase):
+    return ntz(versions.select("editor_key", "user_name", "is_bot", F.col("__START_AT.at").alias("start_at"),
+                               F.col("__START_AT.event_id").alias("start_event"), F.col("__END_AT.at").alias("end_at"),
+                               F.col("__END_AT.event_id").alias("end_event"), F.lit(phase).alias("phase")))
+
+
 @query
-def contract_conformance(spark, sf_dir):
-    """CT-1..3: every contracted column of every layer against the layer's own schema."""
-    st = star(spark, sf_dir)
-    layers = [("bronze_recentchange", contracts.load("bronze_recentchange"), feed(spark, sf_dir).schema),
-              ("silver_recentchange", contracts.load("silver_recentchange"),
-               silver.stage(feed(spark, sf_dir), CFG).schema),
-              ("dim_wiki_reference", contracts.load("dim_wiki_reference"), reference_rows(spark, sf_dir).schema)]
-    gold_contract = contracts.load("gold_star_schema")
-    for name in gold_contract["tables"]:
-        built = st["fact" if name == "fact_edit_event" else name]
-        layers.append((name, contracts.table_contract(gold_contract, name), built.schema))
-    rows = [(name, *row) for name, contract, schema in layers for row in contracts.conformance(schema, contract)]
-    return spark.createDataFrame(rows, "contract string, column_name string, declared string, actual string, ok boolean")
+def stream_scd2_spliced(spark, sf_dir):
+    """CDC-3, CDC-4, STR-7: the middle days are streamed and compacted, then the last days and,
+    late, the first ones arrive.  Read as base and spliced deltas, and compacted once more."""
+    clean, root = clean_silver(spark, sf_dir).withColumn("_silver_loaded_at", F.lit(adapter.AS_OF).cast("timestamp")), scratch_path(spark, "gold")
+    first, middle, last = _landings()
+    for batch_id, part in enumerate((middle, last, first)):
+        sgold.gold_batch(spark, clean.where(part), batch_id, root, scd_type=2)
+        if batch_id == 0:
+            sgold.compact(spark, root, "dim_editor", upto=0, scd_type=2)
+    spliced = _scd2_rows(sgold.read_dimension(spark, root, "dim_editor", scd_type=2), "spliced")
+    landed = scratch_path(spark, "spliced")
+    spliced.write.parquet(landed)
+    sgold.compact(spark, root, "dim_editor", upto=2, scd_type=2)
+    again = _scd2_rows(sgold.read_dimension(spark, root, "dim_editor", scd_type=2), "compacted")
+    return spark.read.schema(spliced.schema).parquet(landed).unionByName(again)
+
+
+PLANTED_DAY = "2024-01-25"
+
+
+@query
+def contract_file_types(spark, sf_dir):
+    """CT-1..3: footers of all landed files against the contract.  A day is landed twice more,
+    once with a column under another type and once without a column; those files are named."""
+    path, rows = _landed_raw(spark, sf_dir), feed(spark, sf_dir)
+    day = rows.where(F.col("dt") == PLANTED_DAY).drop("dt", "hour")
+    day.withColumn("timestamp", F.col("timestamp").cast("string")).write.parquet(f"{path}/dt={PLANTED_DAY}/hour=24")
+    day.drop("title").write.parquet(f"{path}/dt={PLANTED_DAY}/hour=25")
+    contract = contracts.load("bronze_recentchange")
+    landed = {**contract, "fields": [f for f in contract["fields"] if f["name"] in RAW_SCHEMA.fieldNames()]}
+    bad = footers.file_violations(spark, path, landed)
+    folder = F.regexp_extract("path", "dt=([^/]+)/hour=([0-9]+)", 0)
+    return bad.groupBy(folder.alias("folder"), "column_name", "declared", "actual").agg(F.sum("n_rows").alias("n_rows"))
 
 
 # Dashboard ------------------------------------------------------------------------------
@@ -722,7 +899,7 @@ def contract_conformance(spark, sf_dir):
 @query
 def volume_by_wiki(spark, sf_dir):
     """AG-3: edits per wiki."""
-    st = star(spark, sf_dir)
+    st = star(spark, sf_dir, landed=True)
     return reports.volume_by_wiki(st["fact"], st["dim_wiki"])
 
 
@@ -742,7 +919,7 @@ def hour_distribution(spark, sf_dir):
 @query
 def top_pages(spark, sf_dir):
     """AG-6, ST-1/2: top 10 pages by summed length delta."""
-    st = star(spark, sf_dir)
+    st = star(spark, sf_dir, landed=True)
     return reports.top_pages(st["fact"], st["dim_page"], n=10)
 
 
@@ -752,7 +929,7 @@ TOP_EDITORS_SINCE = 20240115
 @query
 def top_editors(spark, sf_dir):
     """AG-7: top 10 editors since a date."""
-    st = star(spark, sf_dir)
+    st = star(spark, sf_dir, landed=True)
     return reports.top_editors(st["fact"], st["dim_editor"], TOP_EDITORS_SINCE, n=10)
 
 

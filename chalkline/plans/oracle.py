@@ -7,7 +7,6 @@ The adapter below is the SQL twin of ``chalkline.sources.adapter``.
 
 from __future__ import annotations
 
-from chalkline.operators import contracts
 from chalkline.sources import adapter as A
 
 _AS_OF_EPOCH = 1706745600          # 2024-02-01T00:00:00Z
@@ -189,7 +188,7 @@ SELECT id AS line_no,
   CAST(json_extract(_extra_fields, '$.k') AS INTEGER) AS k
 FROM feed WHERE {_OBJECT_LINES}""")
 
-_BAD_LINE = """CASE id % 89 WHEN 1 THEN 'not json{{{' WHEN 2 THEN '' WHEN 3 THEN '[1, 2, 3]'
+_BAD_LINE = """CASE id % 89 WHEN 1 THEN '{"type": "edit",' WHEN 2 THEN '' WHEN 3 THEN '[1, 2, 3]'
   ELSE chr(9) || chr(13) END"""
 
 ORACLES["quarantine_lines"] = _with(FEED, f"""
@@ -311,6 +310,23 @@ UNION ALL SELECT 'clean', count(*) FROM survivors WHERE len(reasons) = 0
 UNION ALL SELECT 'rejected', count(*) FROM survivors WHERE len(reasons) > 0
 UNION ALL SELECT 'duplicates', count(*) FROM dups""")
 
+ORACLES["stream_layer_change_feed"] = _with(STAGED, """
+SELECT id, _event_id, array_to_string(reasons, ',') AS dq_failure_reasons,
+  CASE WHEN dt < '2024-01-21' THEN 2 ELSE 3 END::BIGINT AS _commit_version,
+  CASE WHEN dt < '2024-01-21' THEN 1 ELSE 2 END::INTEGER AS run_no
+FROM staged WHERE dt >= '2024-01-11'""")
+
+ORACLES["stream_redelivery"] = _with(FEED, """
+SELECT id, _event_id, 'new' AS verdict, 1::INTEGER AS run_no FROM feed
+UNION ALL SELECT id, _event_id, CASE WHEN _event_id IS NULL OR dt <= '2024-01-05' THEN 'new' ELSE 'redelivered' END, 2
+FROM feed WHERE dt <= '2024-01-05' OR dt >= '2024-01-26'""")
+
+ORACLES["stream_first_arrivals"] = _with(FEED, """
+SELECT id, _event_id, CASE WHEN _event_id IS NULL THEN 'first' WHEN dt < '2024-01-11' THEN 'late'
+    WHEN row_number() OVER (PARTITION BY _event_id, dt < '2024-01-11' ORDER BY _ingested_at, id) = 1 THEN 'first'
+    ELSE 'duplicate' END AS verdict
+FROM feed""")
+
 # Change data -----------------------------------------------------------------------
 VERSIONS = """
 v1 AS (SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority
@@ -347,6 +363,16 @@ ORACLES["change_feed_upserts"] = _with(VERSIONS, """
 SELECT * FROM v2 WHERE o_orderkey NOT IN (SELECT o_orderkey FROM v1)
 UNION ALL SELECT * FROM v2 WHERE o_orderkey IN (SELECT o_orderkey FROM changed)""")
 
+ORACLES["change_feed_incremental"] = _with(VERSIONS, """,
+c AS (SELECT *, 'insert' AS _change_type, 2 AS v FROM v2 WHERE o_orderkey NOT IN (SELECT o_orderkey FROM v1)
+      UNION ALL SELECT *, 'update_preimage', 2 FROM v1 WHERE o_orderkey IN (SELECT o_orderkey FROM changed)
+      UNION ALL SELECT *, 'update_postimage', 2 FROM v2 WHERE o_orderkey IN (SELECT o_orderkey FROM changed)
+      UNION ALL SELECT *, 'delete', 3 FROM v1 WHERE o_orderkey NOT IN (SELECT o_orderkey FROM v2))
+SELECT o_orderkey, o_orderstatus, o_totalprice, _change_type, CAST(v AS BIGINT) AS _commit_version,
+  CAST(v - 1 AS INTEGER) AS run_no FROM c""")
+
+ORACLES["change_table_current"] = _with(VERSIONS, "SELECT * FROM v2")
+
 ORACLES["scd1_customer"] = """
 SELECT o_custkey, o_orderdate, o_orderkey, o_orderstatus, o_orderpriority FROM orders
 WHERE o_custkey IS NOT NULL
@@ -423,6 +449,11 @@ SELECT c.change_type_key, c.type, c.is_bot, count(f.change_type_key) AS fact_row
 FROM dim_change_type c LEFT JOIN fact f USING (change_type_key)
 GROUP BY c.change_type_key, c.type, c.is_bot""")
 
+ORACLES["stream_wiki_enrichment"] = _with(GOLD, """
+SELECT c._event_id, c.wiki, c.dt, r.language_name, r.project_type
+FROM clean c LEFT JOIN reference r ON r.wiki_code = c.wiki AND r._snapshot_fetched_at =
+  CASE WHEN c.dt < '2024-01-20' THEN TIMESTAMP '2024-01-01' ELSE TIMESTAMP '2024-01-15' END""")
+
 ORACLES["stream_gold_editors"] = ORACLES["dim_editor"]
 ORACLES["stream_fact"] = ORACLES["fact_edit_event"]
 ORACLES["stream_dim_wiki_refresh"] = ORACLES["dim_wiki"]
@@ -435,6 +466,10 @@ SELECT sha256(user_name) AS editor_key, user_name, bot AS is_bot, meta_dt AS sta
   lead(meta_dt) OVER w AS end_at, lead(_event_id) OVER w AS end_event
 FROM v WINDOW w AS (PARTITION BY user_name ORDER BY meta_dt, _event_id)""")
 
+ORACLES["stream_scd2_spliced"] = f"""
+WITH s AS ({ORACLES['stream_dim_editor_scd2']})
+SELECT *, 'spliced' AS phase FROM s UNION ALL SELECT *, 'compacted' FROM s"""
+
 ORACLES["silver_from_change_feed"] = _with(STAGED.replace("  FROM feed\n)", "  FROM changed\n)").replace("flat AS (", """
 changed AS (
   SELECT * REPLACE (CASE WHEN id % 53 = 1 THEN 'Renamed page' ELSE title END AS title) FROM feed
@@ -525,21 +560,10 @@ SELECT 'silver' AS layer, count(*) AS n_stamped, 1 AS n_instants, true AS after_
 UNION ALL SELECT 'arrival', count(*), 1, true FROM feed WHERE {_OBJECT_LINES}""")
 
 
-def _declared(contract: dict, name: str) -> list[tuple]:
-    return [(name, f.name, f.dataType.simpleString()) for f in contracts.struct_type(contract).fields]
-
-
-def _conformance_sql() -> str:
-    star = contracts.load("gold_star_schema")
-    rows = [r for n in ("bronze_recentchange", "silver_recentchange", "dim_wiki_reference")
-            for r in _declared(contracts.load(n), n)]
-    rows += [r for n in star["tables"] for r in _declared(contracts.table_contract(star, n), n)]
-    values = ", ".join(f"({_q(c)}, {_q(n)}, {_q(t)})" for c, n, t in rows)
-    return ("SELECT contract, column_name, declared, declared AS actual, true AS ok "
-            f"FROM (VALUES {values}) AS v(contract, column_name, declared)")
-
-
-ORACLES["contract_conformance"] = _conformance_sql()
+ORACLES["contract_file_types"] = _with(FEED, """
+SELECT 'dt=2024-01-25/hour=24' AS folder, 'timestamp' AS column_name, 'bigint' AS declared, 'string' AS actual, count(*) AS n_rows
+FROM feed WHERE dt = '2024-01-25'
+UNION ALL SELECT 'dt=2024-01-25/hour=25', 'title', 'string', NULL, count(*) FROM feed WHERE dt = '2024-01-25'""")
 
 
 def oracle_sql() -> dict[str, str]:

@@ -48,10 +48,13 @@ def read_ndjson(spark: SparkSession, path: str, schema: T.StructType) -> DataFra
 
 def sql_over_files(spark: SparkSession, path: str, casts: dict[str, str], fmt: str = "json"
                    ) -> DataFrame:
-    """``SELECT CAST(c AS t) AS c, ... FROM <fmt>.`path``` - typed by casts."""
+    """``SELECT CAST(c AS t) AS c, ... FROM <the files>`` - typed by casts.  JSON is read as
+    text columns of those names, so that no pass over the files infers a schema."""
     cols = ", ".join(f"CAST(`{c}` AS {t}) AS `{c}`" for c, t in casts.items())
-    src = _format(fmt)
-    return spark.sql(f"SELECT {cols} FROM {src}.`{path}`")
+    reader = spark.read.format(_format(fmt))
+    if _format(fmt) == "json":
+        reader = reader.schema(", ".join(f"`{c}` STRING" for c in casts))
+    return spark.sql(f"SELECT {cols} FROM {{rows}}", rows=reader.load(path))
 
 
 def snapshot_name(fetched_at: _dt.datetime) -> str:
@@ -91,6 +94,11 @@ def subfolders(spark: SparkSession, path: str, prefix: str = "") -> list[str]:
     return sorted(n for n in names if n.startswith(prefix))
 
 
+def delete(spark: SparkSession, path: str) -> None:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
 def write_version(df: DataFrame, table_path: str, fmt: str = "parquet") -> str:
     """Materialize a full recompute as a new version folder.  Readers take the latest
     complete one, which Spark's ``_SUCCESS`` marks, so none sees a half-written version."""
@@ -113,8 +121,7 @@ def expire_versions(spark: SparkSession, table_path: str, keep: int = 2) -> int:
     root = table_path.rstrip("/")
     old = subfolders(spark, root, "v-")[:-keep]
     for name in old:
-        p = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/{name}")
-        p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+        delete(spark, f"{root}/{name}")
     return len(old)
 
 

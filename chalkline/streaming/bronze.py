@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 
 from chalkline.operators import contracts
 from chalkline.schemas import RAW_SCHEMA
+from chalkline.streaming import changes
 from chalkline.streaming.raw import PARTITION_COLUMNS, write_partitioned
 
 
@@ -32,9 +33,10 @@ def bronze_rows(raw: DataFrame) -> DataFrame:
 
 
 def run_bronze(spark: SparkSession, raw_path: str, bronze_path: str, checkpoint: str,
-               max_files_per_trigger: int | None = None) -> int:
+               max_files_per_trigger: int | None = None, commits: str | None = None) -> int:
     """Drain new raw files into bronze and stop; returns the rows written, counted at
-    the sink for every batch.  Raises before reading if raw breaks the contract."""
+    the sink for every batch.  Raises before reading if raw breaks the contract.  Each batch
+    is published as a commit under ``commits``, if given."""
     stream = bronze_rows(raw_stream(spark, raw_path, max_files_per_trigger))
     contracts.assert_types_conform(stream, contracts.load("bronze_recentchange"))
     added: dict[int, int] = {}
@@ -42,6 +44,8 @@ def run_bronze(spark: SparkSession, raw_path: str, bronze_path: str, checkpoint:
     def mirror(batch: DataFrame, batch_id: int) -> None:
         added[batch_id] = write_partitioned(batch.withColumn("batch_id", F.lit(batch_id)), bronze_path,
                                             (*PARTITION_COLUMNS, "batch_id"), "overwrite")
+        if commits:
+            changes.publish_batch(spark, commits, batch_id)
 
     (stream.writeStream.foreachBatch(mirror).option("checkpointLocation", checkpoint)
      .trigger(availableNow=True).start().awaitTermination())

@@ -8,7 +8,9 @@ merge the deltas with the last compaction of each bucket; ``compact`` rewrites o
 buckets that have new deltas.  A replayed batch replaces its own folders.
 
 ``scd_type`` is one parameter: type 1 keeps the latest attributes of a member, type 2
-all versions.  Attributes of the wiki reference are joined when the dimension is read,
+all versions.  A compaction of type 2 stores finished versions; what came after it is spliced
+in: only keys with new observations are looked at, from the version on that the first of
+these falls into, so a late observation changes the versions next to it.  Attributes of the wiki reference are joined when the dimension is read,
 so a new snapshot shows without new events.
 """
 
@@ -76,19 +78,40 @@ def _merged(rows: DataFrame, name: str, scd_type: int) -> DataFrame:
     return cdc.scd2(rows, [key], gold.SCD2_SEQUENCE, list(attrs))
 
 
-def compact(spark: SparkSession, root: str, name: str, upto: int) -> int:
-    """Merge the deltas of type 1 dimension ``name`` up to batch ``upto`` into a new base of
-    the buckets that have any; returns how many buckets were rewritten."""
+def _versions(spark: SparkSession, root: str, name: str, upto: int | None = None) -> DataFrame:
+    """Type 2 versions: the last compaction of each bucket, and the observations since (up to
+    a batch) spliced in."""
+    key, attrs = gold.TRACKED[name]
+    keys, tracked, path = [key], list(attrs), f"{root}/{name}"
+    delta = _read_delta(spark, f"{path}/delta", _delta_schema(spark, name, 2))
+    if upto is not None:
+        delta = delta.where(F.col("batch_id") <= upto)
+    if not files.existing(spark, [f"{path}/versions"]):
+        return cdc.scd2(delta, keys, gold.SCD2_SEQUENCE, tracked, last_seen=True)
+    base = spark.read.parquet(f"{path}/versions")
+    last = base.groupBy("bucket").agg(F.max("upto").alias("_upto"))       # one row per bucket
+    known = delta.join(last, "bucket", "left")
+    new = known.where(F.col("_upto").isNull() | (F.col("batch_id") > F.col("_upto")))
+    old = base.join(last, "bucket").where("upto = _upto").select(key, *tracked, "__START_AT", "__END_AT", cdc.LAST_SEEN)
+    return cdc.splice_scd2(old, known.where(F.col("batch_id") <= F.col("_upto")), new, keys, gold.SCD2_SEQUENCE, tracked)
+
+
+def compact(spark: SparkSession, root: str, name: str, upto: int, scd_type: int = 1) -> int:
+    """Merge the deltas of dimension ``name`` up to batch ``upto`` into a new base of the
+    buckets that have any; returns how many buckets were rewritten.  Type 2 stores versions;
+    its deltas stay, as a later observation may fall between any two."""
     path, (key, _) = f"{root}/{name}", gold.TRACKED[name]
-    delta = _read_delta(spark, f"{path}/delta", _delta_schema(spark, name, 1)).where(F.col("batch_id") <= upto)
+    place = f"{path}/base" if scd_type == 1 else f"{path}/versions"
+    delta = _read_delta(spark, f"{path}/delta", _delta_schema(spark, name, scd_type)).where(F.col("batch_id") <= upto)
     touched = delta.select("bucket", "batch_id").distinct()
-    if files.existing(spark, [f"{path}/base"]):
-        done = spark.read.parquet(f"{path}/base").groupBy("bucket").agg(F.max("upto").alias("_upto"))
+    if files.existing(spark, [place]):
+        done = spark.read.parquet(place).groupBy("bucket").agg(F.max("upto").alias("_upto"))
         touched = touched.join(done, "bucket", "left").where("_upto IS NULL OR batch_id > _upto")
     buckets = [r["bucket"] for r in touched.select("bucket").distinct().collect()]      # at most BUCKETS
     if buckets:
-        rows = _stored(spark, root, name, 1).where(F.pmod(F.xxhash64(key), F.lit(BUCKETS)).isin(buckets))
-        _write(_merged(rows, name, 1), f"{path}/base", key, "upto", upto)
+        rows = _stored(spark, root, name, 1) if scd_type == 1 else _versions(spark, root, name, upto)
+        rows = rows.where(F.pmod(F.xxhash64(key), F.lit(BUCKETS)).isin(buckets))
+        _write(_merged(rows, name, 1) if scd_type == 1 else rows, place, key, "upto", upto)
     return len(buckets)
 
 
@@ -140,6 +163,8 @@ def read_dimension(spark: SparkSession, root: str, name: str, reference_latest:
         return gold.calendar(spark.read.schema("full_date date, batch_id int").parquet(f"{root}/dim_date/delta"))
     if name == "dim_change_type":
         return gold.dim_change_type(spark)
+    if scd_type == 2:
+        return _versions(spark, root, name).drop(cdc.LAST_SEEN)
     merged = _merged(_stored(spark, root, name, scd_type), name, scd_type).drop(gold.SEQUENCE)
     if name == "dim_wiki" and reference_latest is not None:
         merged = gold.enrich_wiki(merged, reference_latest)

@@ -6,30 +6,37 @@ import datetime as dt
 
 from chalkline.schemas import RAW_SCHEMA
 
-BASE_DT = dt.datetime(2026, 8, 1, 10, 0, 0, tzinfo=dt.timezone.utc)
+#: The instant most rows happen at; tests shift it.
+BASE_DT = dt.datetime(2025, 3, 14, 21, 5, 0, tzinfo=dt.timezone.utc)
+ARRIVAL_LAG = dt.timedelta(seconds=42)
+
+DEFAULTS = {
+    "id": 1, "type": "edit", "title": "Canal lock", "user": "ferry", "bot": False, "wiki": "kawiki",
+    "server_url": "https://ka.example.net", "_event_id": "1", "_producer_instance": "unit", "_extra_fields": "{}",
+    "_schema_version": "1.0.0",
+}
 
 
 def iso(t: dt.datetime) -> str:
     return t.strftime("%Y-%m-%dT%H:%M:%SZ")
 
 
-def raw_row(event_id="1", id_=1, type_="edit", title="Lighthouse", user="keeper", bot=False,
-            wiki="cywiki", meta_dt=BASE_DT, timestamp=None, length_old=310, length_new=345,
+def raw_row(event_id="1", id_=1, type_="edit", title=DEFAULTS["title"], user=DEFAULTS["user"], bot=False,
+            wiki=DEFAULTS["wiki"], meta_dt=BASE_DT, timestamp=None, length_old=75, length_new=119,
             ingested_at=None, dt_part=None, hour=None, extra="{}"):
-    """One raw row (RAW_SCHEMA order).  By default a clean edit."""
-    if timestamp is None and meta_dt is not None:
-        timestamp = int(meta_dt.timestamp())
-    if ingested_at is None and meta_dt is not None:
-        ingested_at = (meta_dt + dt.timedelta(seconds=5)).isoformat()
-    meta_text = iso(meta_dt) if isinstance(meta_dt, dt.datetime) else meta_dt
-    if dt_part is None:
-        dt_part = meta_dt.strftime("%Y-%m-%d") if isinstance(meta_dt, dt.datetime) else "2026-08-01"
-    if hour is None:
-        hour = meta_dt.hour if isinstance(meta_dt, dt.datetime) else 10
-    meta = (None, None, None, meta_text, None, None, None, None, None)
-    return (id_, type_, title, user, bot, wiki, timestamp, "https://example.org", meta,
-            (length_old, length_new), event_id, ingested_at, "test", extra, "1.0.0",
-            dt_part, hour)
+    """One raw row in the order of ``RAW_SCHEMA``, by default a clean edit.  ``meta_dt`` is an
+    instant, or text as it came; what depends on it follows it unless given."""
+    at = meta_dt if isinstance(meta_dt, dt.datetime) else None
+    values = {
+        **DEFAULTS, "id": id_, "type": type_, "title": title, "user": user, "bot": bot, "wiki": wiki, "_event_id": event_id,
+        "_extra_fields": extra, "length": (length_old, length_new),
+        "meta": tuple((iso(at) if at else meta_dt) if f.name == "dt" else None for f in RAW_SCHEMA["meta"].dataType.fields),
+        "timestamp": int(at.timestamp()) if timestamp is None and at else timestamp,
+        "_ingested_at": (at + ARRIVAL_LAG).isoformat() if ingested_at is None and at else ingested_at,
+        "dt": dt_part or (at or BASE_DT).strftime("%Y-%m-%d"),
+        "hour": (at or BASE_DT).hour if hour is None else hour,
+    }
+    return tuple(values[f.name] for f in RAW_SCHEMA.fields)
 
 
 def raw_df(spark, rows):

@@ -33,7 +33,7 @@ def test_null_audit_and_enum(spark):
     df = raw_df(spark, [raw_row(), raw_row(event_id=None, type_="weird")])
     from chalkline.plans import silver
     from chalkline.operators import dq
-    staged = silver.stage(df, dq.DQConfig(as_of="2026-08-02T00:00:00Z"), load_stamp=False)
+    staged = silver.stage(df, dq.DQConfig(as_of="2025-03-15T00:00:00Z"), load_stamp=False)
     audit = {r["column_name"]: r["null_count"]
              for r in contracts.null_audit(staged, contracts.load("silver_recentchange")).collect()}
     assert audit["_event_id"] == 1 and audit["title"] == 0

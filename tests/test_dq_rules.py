@@ -8,7 +8,7 @@ from chalkline.operators import dq
 from chalkline.plans import silver
 from tests.helpers import BASE_DT, raw_df, raw_row
 
-AS_OF = "2026-08-02T00:00:00Z"
+AS_OF = "2025-03-15T00:00:00Z"
 CFG = dq.DQConfig(as_of=AS_OF)
 
 
@@ -27,7 +27,7 @@ def test_required_field_null_is_completeness(spark, field):
     kw = {field: None}
     if field == "meta_dt":
         kw.update(timestamp=int(BASE_DT.timestamp()), ingested_at=BASE_DT.isoformat(),
-                  dt_part="2026-08-01", hour=10)
+                  dt_part="2025-03-14", hour=21)
     assert reasons(spark, **kw)[0] == ["completeness"]
 
 
@@ -66,10 +66,10 @@ def test_future_timestamp_is_accuracy(spark):
 
 def test_clock_skew_tolerance(spark):
     as_of = int(dt.datetime(2026, 8, 2, tzinfo=dt.timezone.utc).timestamp())
-    # 2026-08-02 00:04:00 is inside 300 s of "now"; dt is set to match.
-    r, _ = reasons(spark, timestamp=as_of + 240, dt_part="2026-08-02")
+    # 2025-03-15 00:04:00 is inside 300 s of "now"; dt is set to match.
+    r, _ = reasons(spark, timestamp=as_of + 240, dt_part="2025-03-15")
     assert r == []
-    r, _ = reasons(spark, timestamp=as_of + 400, dt_part="2026-08-02")
+    r, _ = reasons(spark, timestamp=as_of + 400, dt_part="2025-03-15")
     assert r == ["accuracy"]
 
 

@@ -20,7 +20,7 @@ DOC = {"count": 2,
 
 
 def test_sitematrix_parse(spark):
-    docs = spark.createDataFrame([(json.dumps(DOC), "2026-08-01T00:00:00Z")], "doc string, fetched_at string")
+    docs = spark.createDataFrame([(json.dumps(DOC), "2025-03-14T00:00:00Z")], "doc string, fetched_at string")
     got = {r["wiki_code"]: (r["language_name"], r["project_type"], r["is_closed"])
            for r in sitematrix.parse_documents(docs).collect()}
     assert got == {"aawiki": ("Afar", "wikipedia", True),
@@ -63,7 +63,7 @@ def test_format_dispatch_rejects_unknown(spark, scratch):
 
 
 def _silver(spark, rows):
-    st = silver.stage(raw_df(spark, rows), dq.DQConfig(as_of="2026-08-02T00:00:00Z"))
+    st = silver.stage(raw_df(spark, rows), dq.DQConfig(as_of="2025-03-15T00:00:00Z"))
     return silver.split(st)["clean"]
 
 

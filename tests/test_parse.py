@@ -22,12 +22,17 @@ def test_valid_line_parsed(spark):
     assert json.loads(r["_extra_fields"]) == {} and r["_schema_version"] == "1.0.0"
 
 
-def test_malformed_lines_skipped_and_stream_continues(spark):
-    lines = ["not json{{{", json.dumps(VALID), "not json{{{", json.dumps({**VALID, "id": 8802})]
+BROKEN = ['{"title": "cut off', "<html>502</html>", '{"id": 1,, "bot": true}']
+
+
+def test_broken_lines_go_to_quarantine_and_the_others_on(spark):
+    good = {3 * i + 1: 9000 + i for i in range(4)}
+    lines = [json.dumps({**VALID, "id": good[i]}) if i in good else BROKEN[i % 3] for i in range(12)]
     df = lines_df(spark, lines)
-    assert sorted(r["id"] for r in feed.parse_events(df).collect()) == [8801, 8802]
-    q = {r["line_no"]: r["reason"] for r in feed.quarantine(df).collect()}
-    assert q == {0: "malformed", 2: "malformed"}
+    assert {r["line_no"]: r["id"] for r in feed.parse_events(df).collect()} == good
+    held = feed.quarantine(df).collect()
+    assert {r["line_no"] for r in held} == set(range(12)) - set(good)
+    assert all((r["reason"], r["value"]) == ("malformed", lines[r["line_no"]]) for r in held)
 
 
 def test_edge_lines(spark):

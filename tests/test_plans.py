@@ -23,10 +23,10 @@ def test_history_lookup_reads_only_horizon_folders(spark, scratch):
         batch = raw_df(spark, [raw_row(event_id=f"e{day}", id_=day, meta_dt=t)]) \
             .withColumn("_bronze_loaded_at", F.current_timestamp())
         ssilver.fan_out(spark, batch, bid, root, cfg)
-    slots = spark.createDataFrame([("2026-08-06", h) for h in range(24)], "dt string, hour int")
+    slots = spark.createDataFrame([("2025-03-19", h) for h in range(24)], "dt string, hour int")
     hist = ssilver.history_ids(spark, root, 99, slots)
     files = hist.inputFiles()
-    assert files and all("dt=2026-08-06" in f for f in files)
+    assert files and all("dt=2025-03-19" in f for f in files)
     assert sorted(r[0] for r in hist.collect()) == ["e5"]
 
 
@@ -45,7 +45,7 @@ def test_busy_hour_is_written_by_several_tasks(spark, scratch):
 def test_silver_counts_read_the_input_once(spark, capsys):
     from chalkline.plans import silver
     from chalkline.operators import dq
-    st = silver.stage(raw_df(spark, [raw_row()]), dq.DQConfig(as_of="2026-08-02T00:00:00Z"), normalize=False)
+    st = silver.stage(raw_df(spark, [raw_row()]), dq.DQConfig(as_of="2025-03-15T00:00:00Z"), normalize=False)
     assert _plan(silver.verdict_counts(st), capsys).count("Scan ExistingRDD") == 1
 
 

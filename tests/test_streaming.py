@@ -9,7 +9,7 @@ from chalkline.streaming import bronze, raw
 from chalkline.streaming import silver as ssilver
 from tests.helpers import BASE_DT, raw_df, raw_row
 
-CFG = dq.DQConfig(as_of="2026-08-02T00:00:00Z")
+CFG = dq.DQConfig(as_of="2025-03-15T00:00:00Z")
 
 
 def land(spark, path, rows):
@@ -45,7 +45,7 @@ def _silver_case_rows():
         raw_row(event_id="dup", id_=7),
         raw_row(event_id="dup", id_=8, ingested_at=(BASE_DT + dt.timedelta(seconds=30)).isoformat()),
         raw_row(event_id="late", id_=9, meta_dt=late, ingested_at=BASE_DT.isoformat(),
-                dt_part="2026-08-01", hour=9),
+                dt_part="2025-03-14", hour=20),
     ]
 
 
@@ -120,13 +120,13 @@ def test_raw_ingest_stream_lands_by_event_time(spark, scratch):
     from chalkline.sources import feed
     src, out, ckpt = scratch("lines"), scratch("raw"), scratch("ckpt")
     lines = [json.dumps({"id": i, "type": "edit", "title": "t", "wiki": "enwiki",
-                         "meta": {"dt": f"2026-08-01T{10 + i % 2:02d}:00:00Z"}}) for i in range(6)]
+                         "meta": {"dt": f"2025-03-14T{10 + i % 2:02d}:00:00Z"}}) for i in range(6)]
     spark.createDataFrame([(l,) for l in lines + ["garbage"]], "value string").write.text(src)
     events = feed.parse_events(feed.replay_stream(spark, src))
     raw.start_raw_ingest(events, out, ckpt).awaitTermination()
     got = spark.read.parquet(out).groupBy("dt", "hour").count().collect()
     assert sorted((str(r["dt"]), r["hour"], r["count"]) for r in got) == [
-        ("2026-08-01", 10, 3), ("2026-08-01", 11, 3)]
+        ("2025-03-14", 10, 3), ("2025-03-14", 11, 3)]
 
 
 def test_sql_over_a_registered_stream(spark, scratch):
@@ -147,7 +147,7 @@ def test_ingestion_smoke_published_equals_persisted(spark, scratch):
     import json
     from chalkline.sources import feed
     lines = [json.dumps({"id": i, "type": "edit", "title": f"p{i}", "wiki": "enwiki",
-                         "meta": {"dt": "2026-08-01T10:00:00Z"}}) for i in range(20)]
+                         "meta": {"dt": "2025-03-14T10:00:00Z"}}) for i in range(20)]
     parsed = feed.parse_events(spark.createDataFrame([(l,) for l in lines], "value string"))
     messages = feed.encode_messages(parsed)
     decoded = feed.decode_messages(messages)
