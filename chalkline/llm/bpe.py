@@ -367,7 +367,7 @@ def _new_column(docs: DataFrame, name: str | None, stem: str) -> str:
 def _positional(docs: DataFrame, fn, schema: T.StructType) -> DataFrame:
     """mapInArrow with columns matched by position, whatever their names are."""
     inner = docs.toDF(*[f"c{i}" for i in range(len(docs.columns))])
-    names = [*inner.columns, f"c{len(inner.columns)}"]
+    names = [f"c{i}" for i in range(len(schema.fields))]
 
     def renamed(batches):
         for b in fn(batches):
@@ -382,9 +382,25 @@ def default_vocab() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+def round_trip(docs: DataFrame, vocab_path: str, text: str = "text") -> DataFrame:
+    """``encode`` and ``decode`` of a text column in one worker: ``docs`` without the texts,
+    with (ids, decoded), or free names like them."""
+    names = [*[c for c in docs.columns if c != text], free_name(docs, "ids"), free_name(docs, "decoded")]
+    kept = [i for i, c in enumerate(docs.columns) if c != text]
+    encoded, decoded = _encoder(vocab_path, docs.columns.index(text), len(docs.columns)), _decoder(vocab_path, len(kept))
+
+    def without_text(batches):
+        for b in encoded(batches):
+            yield b.select([*kept, b.num_columns - 1])
+
+    fields = [docs.schema.fields[i] for i in kept]
+    schema = T.StructType([*fields, T.StructField(names[-2], T.ArrayType(T.IntegerType())), T.StructField(names[-1], T.StringType())])
+    return _positional(docs, lambda batches: decoded(without_text(batches)), schema)
+
+
 def digests(docs: DataFrame, vocab_path: str, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Round trip of every text, reduced to counts and digests."""
-    both = decode(encode(docs.select(key, text), vocab_path, text).drop(text), vocab_path)
+    both = round_trip(docs.select(key, text), vocab_path, text)
     return both.select(
         key, F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),

@@ -316,9 +316,8 @@ class Join:
         heavy = self.rows.where(f"n > 0 AND 100 * n DIV {pct} > {x}")
         parts = []
         for share in range(SHARES):
-            mine = F.filter("keys", lambda k: _share(k) == share)
-            entries = heavy.select(F.explode(mine).alias("sig"), "d1").unionByName(
-                light.where(_share(F.col("sig")) == share).select("sig", "d1"))
+            entries = (heavy.select(F.explode("keys").alias("sig"), "d1").unionByName(light.select("sig", "d1"))
+                       .where(_share(F.col("sig")) == share))
             ranged = entries.repartitionByRange(tasks(docs), "sig", "d1").sortWithinPartitions("sig", "d1")
             parts.append(land(ranged.mapInArrow(_shared, "sig long, d1 long, pivots array<long>"), "jaccard-lists"))
             release(docs.sparkSession)
