@@ -190,6 +190,8 @@ def consume(spark: SparkSession, root: str, checkpoint: str, handler: Callable[[
     ``starting_version`` are passed over.  For an append-only layer, ``layer`` is a batch
     read of it with its ``batch_id`` column; its rows come as inserts."""
     root, seen = root.rstrip("/"), []
+    if not files.existing(spark, [f"{root}/commits"]):
+        return seen
 
     def hand_over(commits: DataFrame, batch_id: int) -> None:
         found = sorted({(r["version"], r["rows_path"]) for r in
