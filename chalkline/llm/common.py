@@ -51,6 +51,12 @@ def land(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def discard(spark: SparkSession, path: str) -> None:
+    """Delete a table of ``shared_path`` that nothing reads any more."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def release(spark: SparkSession) -> None:
     """Let go of shuffle files behind landed tables.  Spark deletes them when the driver
     collects the plans that made them, which an idle driver may put off for long; asking

@@ -41,7 +41,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import by_value, land, mix64, positional, release, shingle_hashes, tasks, words_of
+from .common import by_value, discard, land, mix64, positional, release, shared_path, shingle_hashes, tasks, words_of
 from .components import components
 
 SKETCH_BITS = 512
@@ -52,7 +52,7 @@ LIST_COST = 8
 BAND_GROWTH = 1.25
 #: Members of a list that all others are compared with first.
 PIVOTS = 4
-#: List entries are sorted in this many shares of the keys, one after the other.
+#: List entries are sorted, and pairs verified, in this many shares, one after the other.
 SHARES = 4
 #: Lists with more members than this outside their main component are joined by pairs of
 #: lists: every member is compared with those, against about K / 2 more entries a member.
@@ -297,7 +297,11 @@ class Join:
     def __init__(self, docs: DataFrame, n: int, pct: int, text: str = "text", key: str = "doc_id"):
         self.n, self.pct, self._texts = n, pct, None
         self.texts = docs.select(F.col(key).alias("doc"), F.col(text).cast("string").alias("text"))
-        self.rows = land(profiles(docs, n, pct, text, key), "jaccard-sets")
+        spark, keyed_path = docs.sparkSession, shared_path(docs.sparkSession, "jaccard-keys")
+        keyed = profiles(docs, n, pct, text, key)
+        keyed.write.parquet(keyed_path)         # one pass over the texts; the keys go when the lists stand
+        keyed = spark.read.schema(keyed.schema).parquet(keyed_path)
+        self.rows = land(keyed.drop("keys"), "jaccard-sets")
         ids = ["n", "d1", "d2"]
         least = F.min(F.struct("doc", "tag"))       # a null id comes first, so it is kept apart below
         self.classes = land(self.rows.where("n > 0").groupBy(*ids)
@@ -306,14 +310,14 @@ class Join:
                             "jaccard-classes")
         c = self.classes.select("cid", *ids, F.col("doc").alias("first"), F.col("tag").alias("first_tag"))
         same = F.col("doc").eqNullSafe(F.col("first")) & (F.col("tag") == F.col("first_tag"))
-        members = land(self.rows.drop("keys").join(c, ids).where(same).select("cid", "d1", "n", "sketch", "small"), "jaccard-members")
+        members = land(self.rows.join(c, ids).where(same).select("cid", "d1", "n", "sketch", "small"), "jaccard-members")
         release(docs.sparkSession)
         self.sketches = members.select("cid", "n", "sketch")
         small = members.where(f"n <= {LIGHT_MAX}")
         counts = {r["n"]: r["count"] for r in small.groupBy("n").count().collect()}      # at most LIGHT_MAX rows
         self.boundary = x = boundary(counts, pct)
         light = small.where(F.col("n") <= x).select("d1", "small").mapInArrow(_subsets(pct), "d1 long, sig long")
-        heavy = self.rows.where(f"n > 0 AND 100 * n DIV {pct} > {x}")
+        heavy = keyed.where(f"n > 0 AND 100 * n DIV {pct} > {x}")
         parts = []
         for share in range(SHARES):
             entries = (heavy.select(F.explode("keys").alias("sig"), "d1").unionByName(light.select("sig", "d1"))
@@ -321,6 +325,7 @@ class Join:
             ranged = entries.repartitionByRange(tasks(docs), "sig", "d1").sortWithinPartitions("sig", "d1")
             parts.append(land(ranged.mapInArrow(_shared, "sig long, d1 long, pivots array<long>"), "jaccard-lists"))
             release(docs.sparkSession)
+        discard(spark, keyed_path)
         self.entries = parts[0]
         for part in parts[1:]:
             self.entries = self.entries.unionByName(part)
@@ -336,9 +341,15 @@ class Join:
                     .join(s.select(F.col("cid").alias("b"), F.col("n").alias("nb"), F.col("sketch").alias("sb")), "b")
                     .where(_near(self.pct)).select("a", "b").distinct(), "jaccard-near")
         t = self.member_texts()
-        both = (near.join(t.select(F.col("cid").alias("a"), F.col("text").alias("ta")), "a")
-                .join(t.select(F.col("cid").alias("b"), F.col("text").alias("tb")), "b").select("a", "b", "ta", "tb"))
-        return land(both.mapInArrow(_verify(self.n, self.pct), "a long, b long"), "jaccard-links")
+        done = None
+        for share in range(SHARES):         # texts of a share of the pairs at a time, which bounds the disk
+            mine = near.where(F.pmod(F.xxhash64("a", "b"), F.lit(SHARES)) == share)
+            both = (mine.join(t.select(F.col("cid").alias("a"), F.col("text").alias("ta")), "a")
+                    .join(t.select(F.col("cid").alias("b"), F.col("text").alias("tb")), "b").select("a", "b", "ta", "tb"))
+            part = land(both.mapInArrow(_verify(self.n, self.pct), "a long, b long"), "jaccard-links")
+            done = part if done is None else done.unionByName(part)
+            release(near.sparkSession)
+        return done
 
     def member_texts(self) -> DataFrame:
         """(cid, text) of the classes that stand in some list, fetched once."""
