@@ -28,6 +28,7 @@ FUTURE_EPOCH = 1893456000                       # 2030-01-01T00:00:00Z
 TWO_DAYS = 172800
 BOT_SWITCH = "2024-01-16"
 AS_OF = "2024-02-01T00:00:00Z"                  # fixed "now" for the accuracy rule
+ROWS_PER_TASK = 50_000                          # events that one task turns into feed rows
 
 
 def _m(c: Column, mod: int, rem: int) -> Column:
@@ -37,11 +38,11 @@ def _m(c: Column, mod: int, rem: int) -> Column:
 def feed_rows(events: DataFrame) -> DataFrame:
     """``events`` -> raw change events (``RAW_SCHEMA``: bronze columns + dt, hour).
 
-    The file splits decide how many tasks there are.  Only a table with fewer splits than
-    the cluster has cores is dealt out over them; a large one is not shuffled."""
+    The narrow source rows are dealt out first, ``ROWS_PER_TASK`` to a task: a file's splits
+    follow its bytes, but its rows come in row groups, so many splits may be empty and a
+    few hold everything."""
     cores = events.sparkSession.sparkContext.defaultParallelism
-    if events._jdf.rdd().getNumPartitions() < cores:
-        events = events.repartition(cores)
+    events = events.repartition(max(cores, -(-events.count() // ROWS_PER_TASK)))
     i = F.col("event_id")
     ts = F.col("ts")
     epoch = F.unix_seconds(ts.cast("timestamp"))
