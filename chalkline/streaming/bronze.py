@@ -43,7 +43,7 @@ def run_bronze(spark: SparkSession, raw_path: str, bronze_path: str, checkpoint:
 
     def mirror(batch: DataFrame, batch_id: int) -> None:
         added[batch_id] = write_partitioned(batch.withColumn("batch_id", F.lit(batch_id)), bronze_path,
-                                            (*PARTITION_COLUMNS, "batch_id"), "overwrite")
+                                            (*PARTITION_COLUMNS, "batch_id"), "overwrite", gathered=True)
         if commits:
             changes.publish_batch(spark, commits, batch_id)
 

@@ -16,6 +16,8 @@ so a new snapshot shows without new events.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -23,6 +25,7 @@ from pyspark.sql import types as T
 from chalkline.operators import cdc, contracts, gold
 from chalkline.sources import files
 from chalkline.streaming import silver as ssilver
+from chalkline.streaming.raw import staged_overwrite
 
 BUCKETS = 64
 _BUILD = {"dim_editor": gold.dim_editor, "dim_page": gold.dim_page, "dim_wiki": gold.dim_wiki}
@@ -40,9 +43,8 @@ def _delta(silver: DataFrame, name: str, scd_type: int) -> DataFrame:
 
 def _write(df: DataFrame, path: str, key: str, stamp: str, number: int) -> None:
     bucket = F.pmod(F.xxhash64(key), F.lit(BUCKETS)).cast("int")
-    (df.withColumn("bucket", bucket).withColumn(stamp, F.lit(number)).hint("rebalance", "bucket")
-       .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-       .partitionBy("bucket", stamp).parquet(path))
+    rows = df.withColumn("bucket", bucket).withColumn(stamp, F.lit(number)).hint("rebalance", "bucket")
+    staged_overwrite(rows.write).partitionBy("bucket", stamp).parquet(path)
 
 
 def _read_delta(spark: SparkSession, path: str, rows: T.StructType) -> DataFrame:
@@ -118,17 +120,25 @@ def compact(spark: SparkSession, root: str, name: str, upto: int, scd_type: int
 def gold_batch(spark: SparkSession, clean: DataFrame, batch_id: int, root: str, scd_type: int = 1) -> None:
     contract = contracts.load("gold_star_schema")
     s = clean.persist()
+    days = s.select(F.to_date("meta_dt").alias("full_date")).distinct()
+
+    def dimension(name: str) -> DataFrame:
+        key, _ = gold.TRACKED[name]
+        delta, path = _delta(s, name, scd_type), f"{root}/{name}/delta"
+        _write(delta, path, key, "batch_id", batch_id)
+        # every key of this batch is in this batch's delta
+        return _read_delta(spark, path, delta.schema).where(F.col("batch_id") == batch_id)
+
+    def dates() -> DataFrame:
+        staged_overwrite(days.withColumn("batch_id", F.lit(batch_id)).write).partitionBy("batch_id").parquet(f"{root}/dim_date/delta")
+        return gold.calendar(days)
+
     try:
-        dims = {}
-        for name, (key, _) in gold.TRACKED.items():
-            delta, path = _delta(s, name, scd_type), f"{root}/{name}/delta"
-            _write(delta, path, key, "batch_id", batch_id)
-            # every key of this batch is in this batch's delta
-            dims[name] = _read_delta(spark, path, delta.schema).where(F.col("batch_id") == batch_id)
-        days = s.select(F.to_date("meta_dt").alias("full_date")).distinct()
-        (days.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite")
-         .option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(f"{root}/dim_date/delta"))
-        dims["dim_date"] = gold.calendar(days)
+        # the dimensions do not depend on each other: one's folders are published while
+        # another's rows are made
+        with ThreadPoolExecutor(len(gold.TRACKED) + 1) as pool:
+            made = {name: pool.submit(dimension, name) for name in gold.TRACKED} | {"dim_date": pool.submit(dates)}
+        dims = {name: job.result() for name, job in made.items()}
         dims["dim_change_type"] = gold.dim_change_type(spark)
         fact = gold.fact_edit_event(s)
         contracts.assert_types_conform(fact, contracts.table_contract(contract, "fact_edit_event"))
