@@ -862,7 +862,10 @@ def _scd2_rows(versions, phase):
 def stream_scd2_spliced(spark, sf_dir):
     """CDC-3, CDC-4, STR-7: the middle days are streamed and compacted, then the last days and,
     late, the first ones arrive.  Read as base and spliced deltas, and compacted once more."""
-    clean, root = clean_silver(spark, sf_dir).withColumn("_silver_loaded_at", F.lit(adapter.AS_OF).cast("timestamp")), scratch_path(spark, "gold")
+    clean, path, root = clean_silver(spark, sf_dir), scratch_path(spark, "clean-silver"), scratch_path(spark, "gold")
+    # judged and deduplicated once; every part reads its days
+    clean.withColumn("_silver_loaded_at", F.lit(adapter.AS_OF).cast("timestamp")).write.parquet(path)
+    clean = spark.read.parquet(path)
     first, middle, last = _landings()
     for batch_id, part in enumerate((middle, last, first)):
         sgold.gold_batch(spark, clean.where(part), batch_id, root, scd_type=2)
