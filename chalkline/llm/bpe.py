@@ -42,7 +42,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import by_value, free_name, last_name
+from .common import by_value, free_name, in_slices, last_name
 
 #: Pre-tokenisation of byte-level vocabularies (fixed value of the file format).
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -286,8 +286,10 @@ def _vocabulary(path: str) -> Vocabulary:
     return _LOADED[path]
 
 
-#: Texts are handled in slices of about this many characters, which bounds a task's memory.
+#: Texts are handled in slices of about this many characters, which bounds a task's memory,
+#: and leave their batch so many rows at a time.
 SLICE_CHARS = 2_000_000
+SLICE_ROWS = 1000
 
 
 def ragged(lists) -> tuple[np.ndarray, np.ndarray]:
@@ -309,7 +311,7 @@ def _slices(values, weight):
 def _encoder(path: str, text_at: int, ids_at: int):
     def run(batches):
         vocab = _vocabulary(path)
-        for b in batches:
+        for b in in_slices(batches, SLICE_ROWS):
             texts = [t or "" for t in b.column(text_at).to_pylist()]
             for lo, hi in _slices(texts, len):
                 lens, flat = vocab.encode_batch(texts[lo:hi])

@@ -6,6 +6,7 @@ import gc
 import sys
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 import numpy as np
 from pyspark import cloudpickle
@@ -16,6 +17,8 @@ from pyspark.sql import functions as F
 WORD = r"[^\x20\x09-\x0D]+"
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 LOWER = "abcdefghijklmnopqrstuvwxyz"
+#: Bytes of texts that a task hands to its Python worker at a time.
+BATCH_BYTES = 4 << 20
 
 
 def by_value(module_name: str) -> None:
@@ -51,6 +54,23 @@ def land(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def small_batches(spark: SparkSession):
+    """Rows that are written inside go to Python by at most ``BATCH_BYTES`` at a time: a batch
+    is held by the executor and, several times over, by its Python workers, which keep the
+    memory for the steps that follow.  Narrow rows are cut by their number as before."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, str(BATCH_BYTES))
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(name)
+        else:
+            spark.conf.set(name, before)
+
+
 def discard(spark: SparkSession, path: str) -> None:
     """Delete a table of ``shared_path`` that nothing reads any more."""
     folder = spark._jvm.org.apache.hadoop.fs.Path(path)
@@ -101,6 +121,13 @@ def tasks(df: DataFrame) -> int:
 
 # ---- used inside tasks ----
 
+def in_slices(batches, rows: int):
+    """The batches' rows, so many at a time: Python holds the objects of one slice only."""
+    for b in batches:
+        for at in range(0, b.num_rows, rows):
+            yield b.slice(at, rows)
+
+
 def words_of(text) -> list[bytes]:
     """Words of a text (null: none), A-Z in lower case, as UTF-8.  ``bytes`` lower-cases
     and splits on exactly the ASCII letters and white space."""

@@ -41,7 +41,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import by_value, discard, land, mix64, positional, release, shared_path, shingle_hashes, tasks, words_of
+from .common import by_value, discard, in_slices, land, mix64, positional, release, shared_path, shingle_hashes, small_batches, tasks, words_of
 from .components import components
 
 SKETCH_BITS = 512
@@ -58,6 +58,10 @@ SHARES = 4
 #: lists: every member is compared with those, against about K / 2 more entries a member.
 LONG = 512
 LARGEST = 1 << 32
+#: Hashes of words that a task keeps.
+KNOWN_WORDS = 50_000
+#: Rows that a task profiles, and pairs that it verifies, at a time.
+ROWS, PAIRS = 256, 64
 #: Set in the keys of subsets, not in those of slices.
 SUBSET = np.uint64(1)
 
@@ -144,9 +148,9 @@ def _profiles(n: int, pct: int):
     def run(batches):
         table, known = bands(pct), {}
         lows = [x[0] for x in table]
-        for b in batches:
+        for b in in_slices(batches, ROWS):
             sizes, d1, d2, sketches, smalls, keys = [], [], [], [], [], []
-            if len(known) > 300_000:
+            if len(known) > KNOWN_WORDS:
                 known.clear()
             for text in b.column(1).to_pylist():
                 ids = []
@@ -276,7 +280,7 @@ def _verify(n: int, pct: int):
             w = words_of(text)
             return set(zip(*(w[i:] for i in range(min(n, len(w))))))
         held = (None, None)
-        for b in batches:
+        for b in in_slices(batches, PAIRS):
             ok = []
             for a, ta, tb in zip(b.column(0).to_pylist(), b.column(2).to_pylist(), b.column(3).to_pylist()):
                 if held[0] != a:
@@ -299,7 +303,8 @@ class Join:
         self.texts = docs.select(F.col(key).alias("doc"), F.col(text).cast("string").alias("text"))
         spark, keyed_path = docs.sparkSession, shared_path(docs.sparkSession, "jaccard-keys")
         keyed = profiles(docs, n, pct, text, key)
-        keyed.write.parquet(keyed_path)         # one pass over the texts; the keys go when the lists stand
+        with small_batches(spark):
+            keyed.write.parquet(keyed_path)     # one pass over the texts; the keys go when the lists stand
         keyed = spark.read.schema(keyed.schema).parquet(keyed_path)
         self.rows = land(keyed.drop("keys"), "jaccard-sets")
         ids = ["n", "d1", "d2"]
@@ -346,7 +351,8 @@ class Join:
             mine = near.where(F.pmod(F.xxhash64("a", "b"), F.lit(SHARES)) == share)
             both = (mine.join(t.select(F.col("cid").alias("a"), F.col("text").alias("ta")), "a")
                     .join(t.select(F.col("cid").alias("b"), F.col("text").alias("tb")), "b").select("a", "b", "ta", "tb"))
-            part = land(both.mapInArrow(_verify(self.n, self.pct), "a long, b long"), "jaccard-links")
+            with small_batches(near.sparkSession):
+                part = land(both.mapInArrow(_verify(self.n, self.pct), "a long, b long"), "jaccard-links")
             done = part if done is None else done.unionByName(part)
             release(near.sparkSession)
         return done

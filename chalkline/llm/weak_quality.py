@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import by_value, free_name, positional
+from .common import by_value, free_name, in_slices, positional
 
 SAMPLE_DOCS = 20_000
 #: The sample takes a share of so many hash values; fine enough for any number of rows.
@@ -41,6 +41,8 @@ WINDOW = 1000
 THRESHOLD = 0.3
 EM_ROUNDS = 100
 STEPS = 300
+#: Texts that a task measures at a time.
+ROWS = 256
 CLEAN, JUNK, PASS = 1, -1, 0
 
 _SHAPE = bytes(97 if 97 <= c <= 122 or c > 127 else 65 if 65 <= c <= 90 else 48 if 48 <= c <= 57 else c for c in range(256))
@@ -179,7 +181,7 @@ def train(sample: list[tuple[np.ndarray, np.ndarray, float]]) -> np.ndarray:
 # ---- over the corpus ----
 
 def _vote(batches):
-    for b in batches:
+    for b in in_slices(batches, ROWS):
         seen = Counter(tuple(votes(Measures(t))) for t in b.column(0).to_pylist())
         yield pa.RecordBatch.from_arrays(
             [pa.array([",".join(map(str, p)) for p in seen], pa.string()), pa.array(list(seen.values()), pa.int64())],
@@ -189,7 +191,7 @@ def _vote(batches):
 def _sample(batches):
     """(hash, pattern, at, val) of every text, once a task however many rows hold it."""
     seen: set[int] = set()
-    for b in batches:
+    for b in in_slices(batches, ROWS):
         hashes, rows = [], []
         for h, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
             if h not in seen:
@@ -223,7 +225,7 @@ def fit(docs: DataFrame, text: str = "text", sample_docs: int = SAMPLE_DOCS) ->
 
 def _judge(text_at: int, posterior: dict, weights: np.ndarray):
     def run(batches):
-        for b in batches:
+        for b in in_slices(batches, ROWS):
             out = []
             for text in b.column(text_at).to_pylist():
                 m = Measures(text)
