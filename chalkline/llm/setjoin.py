@@ -32,7 +32,7 @@ names; an empty table gives an empty table.
 from __future__ import annotations
 
 from bisect import bisect_right
-from itertools import combinations
+from itertools import combinations, product
 from math import comb
 
 import numpy as np
@@ -52,8 +52,10 @@ LIST_COST = 8
 BAND_GROWTH = 1.25
 #: Members of a list that all others are compared with first.
 PIVOTS = 4
-#: List entries are sorted, and pairs verified, in this many shares, one after the other.
+#: List entries are sorted in this many shares, one after the other.
 SHARES = 4
+#: Pairs are verified by so many shares of their first texts times as many of their second ones.
+TEXT_SHARES = 3
 #: Lists with more members than this outside their main component are joined by pairs of
 #: lists: every member is compared with those, against about K / 2 more entries a member.
 LONG = 512
@@ -191,6 +193,10 @@ def _share(sig: Column) -> Column:
     return F.pmod(F.shiftright(sig, 1), F.lit(SHARES))
 
 
+def _of_share(cid: str, share: int) -> Column:
+    return F.pmod(F.xxhash64(cid), F.lit(TEXT_SHARES)) == share
+
+
 def _subsets(pct: int):
     def run(batches):
         for b in batches:
@@ -279,15 +285,17 @@ def _verify(n: int, pct: int):
         def shingles(text):
             w = words_of(text)
             return set(zip(*(w[i:] for i in range(min(n, len(w))))))
-        held = (None, None)
+        held_a = held_b = (None, None)          # pairs come sorted by one of their texts
         for b in in_slices(batches, PAIRS):
             ok = []
-            for a, ta, tb in zip(b.column(0).to_pylist(), b.column(2).to_pylist(), b.column(3).to_pylist()):
-                if held[0] != a:
-                    held = (a, shingles(ta))
-                other = shingles(tb)
-                common = len(held[1] & other)
-                ok.append(100 * common >= pct * (len(held[1]) + len(other) - common))
+            for x, y, tx, ty in zip(*(c.to_pylist() for c in b.columns)):
+                if held_a[0] != x:
+                    held_a = (x, shingles(tx))
+                if held_b[0] != y:
+                    held_b = (y, shingles(ty))
+                one, other = held_a[1], held_b[1]
+                common = len(one & other)
+                ok.append(100 * common >= pct * (len(one) + len(other) - common))
             mask = pa.array(ok, pa.bool_())
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1)], names=["a", "b"]).filter(mask)
     return run
@@ -347,10 +355,13 @@ class Join:
                     .where(_near(self.pct)).select("a", "b").distinct(), "jaccard-near")
         t = self.member_texts()
         done = None
-        for share in range(SHARES):         # texts of a share of the pairs at a time, which bounds the disk
-            mine = near.where(F.pmod(F.xxhash64("a", "b"), F.lit(SHARES)) == share)
-            both = (mine.join(t.select(F.col("cid").alias("a"), F.col("text").alias("ta")), "a")
-                    .join(t.select(F.col("cid").alias("b"), F.col("text").alias("tb")), "b").select("a", "b", "ta", "tb"))
+        # a share of the first texts meets a share of the second ones at a time, and only those
+        # two are dealt out, which bounds the disk
+        for x, y in product(range(TEXT_SHARES), repeat=2):
+            first, second = _of_share("cid", x), _of_share("cid", y)
+            mine = near.where(_of_share("a", x) & _of_share("b", y))
+            both = (mine.join(t.where(first).select(F.col("cid").alias("a"), F.col("text").alias("ta")), "a")
+                    .join(t.where(second).select(F.col("cid").alias("b"), F.col("text").alias("tb")), "b").select("a", "b", "ta", "tb"))
             with small_batches(near.sparkSession):
                 part = land(both.mapInArrow(_verify(self.n, self.pct), "a long, b long"), "jaccard-links")
             done = part if done is None else done.unionByName(part)

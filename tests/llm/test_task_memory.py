@@ -74,3 +74,29 @@ def test_texts_reach_python_in_small_batches(spark):
     assert spark.conf.get(name) == before
     assert sum(r["rows"] for r in seen) == 400
     assert max(r["bytes"] for r in seen) <= 2 * common.BATCH_BYTES
+
+
+@pytest.mark.parametrize("by", ["a", "b"])
+def test_pairs_sorted_by_either_text_cut_it_once(monkeypatch, by):
+    """Sixty pairs of one text with others: 61 texts are cut into shingles, not 120."""
+    cut = []
+    words = setjoin.words_of
+    monkeypatch.setattr(setjoin, "words_of", lambda text: cut.append(text) or words(text))
+    one, others = pa.array([0] * 60, pa.int64()), pa.array(range(1, 61), pa.int64())
+    hub, rest = pa.array(["a b c d e f"] * 60), pa.array(["a b c d e f" if i % 2 else f"a b c d e {i}" for i in range(60)])
+    columns = [one, others, hub, rest] if by == "a" else [others, one, rest, hub]
+    out = list(setjoin._verify(3, 90)([pa.RecordBatch.from_arrays(columns, names=["a", "b", "ta", "tb"])]))
+    assert sum(b.num_rows for b in out) == 30
+    assert len(cut) == 61
+
+
+def test_links_do_not_depend_on_the_shares_of_texts(spark, monkeypatch):
+    rows = [(i, " ".join(f"w{j}" for j in range(40 + i % 3)) + f" t{i // 6}") for i in range(30)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = []
+    for shares in (1, 3):
+        monkeypatch.setattr(setjoin, "TEXT_SHARES", shares)
+        j = setjoin.Join(docs, 3, 80)
+        texts = {r["cid"]: r["doc"] for r in j.classes.select("cid", "doc").collect()}
+        found.append({frozenset((texts[r["a"]], texts[r["b"]])) for r in j.links().collect()})
+    assert found[0] == found[1] and len(found[0]) > 100
