@@ -17,7 +17,12 @@ enumerated subsets would cost more than list entries, over the sizes that occur.
 
 Every list member is compared with a few pivots of the list first; a 512-bit parity
 sketch, whose Hamming distance never exceeds the symmetric difference, discards pairs
-without losing any, and the texts of the rest are compared word for word.  Components
+without losing any, and the texts of the rest are compared word for word.  A large set
+would fill such a sketch, so the slices of its band are grouped into windows, each with
+a sketch of its own, and a pair that meets in a slice is judged by the window of that
+slice: of w slices in a window, d hold a difference and e are empty; w - d - e summed
+over the windows is 2 at least if the sets link, so some window with d < w has a slice
+in which they meet, and all such windows together have two.  Components
 of those links are found, and only lists that still span several components are joined
 with themselves, across components.  So a group of near copies costs links in
 proportion to its size, and every pair of linked texts ends in one component.
@@ -32,8 +37,10 @@ names; an empty table gives an empty table.
 from __future__ import annotations
 
 from bisect import bisect_right
+from functools import reduce
 from itertools import combinations, product
 from math import comb
+from operator import add
 
 import numpy as np
 import pyarrow as pa
@@ -66,6 +73,18 @@ KNOWN_WORDS = 50_000
 ROWS, PAIRS = 256, 64
 #: Set in the keys of subsets, not in those of slices.
 SUBSET = np.uint64(1)
+#: Slices of a window, to less than twice as many; fewer are one window, the whole set.
+WINDOW = 128
+#: Most windows of a band; larger sets have more slices in each.
+WINDOWS = 256
+#: Keys of slices name their window in the bits above the lowest: 0 is the whole set, else
+#: 1 + WINDOWS * (band mod 8) + window.  Should two bands of a set agree in that, a pair is
+#: judged by either window.
+WINDOW_BITS = 12
+LOW_BITS = WINDOW_BITS + 1
+NAMED = np.uint64((1 << LOW_BITS) - 1)
+#: A window's limit that excludes nothing.
+ANY = (1 << 31) - 1
 
 
 # ---- sizes, bands, slices ----
@@ -125,10 +144,36 @@ def boundary(histogram: dict[int, int], pct: int) -> int:
 
 # ---- per document ----
 
-def _sketch(hashes: np.ndarray) -> list[int]:
+def window_edges(k: int) -> np.ndarray:
+    """The first slices of the windows of a band of k slices, and k."""
+    count = min(max(k // WINDOW, 1), WINDOWS)
+    return np.arange(count + 1, dtype=np.int64) * k // count
+
+
+def window_names(band: int, count: int) -> np.ndarray:
+    return np.arange(count, dtype=np.int64) + 1 + WINDOWS * (band % 8) if count > 1 else np.zeros(count, np.int64)
+
+
+def _slice_cuts(hashes: np.ndarray, k: int) -> np.ndarray:
+    step = np.uint64(((1 << 64) - 1) // k)
+    return np.concatenate(([0], np.searchsorted(hashes, np.arange(1, k, dtype=np.uint64) * step), [len(hashes)]))
+
+
+def sketches(hashes: np.ndarray, pct: int, table, lows) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of a sorted set and of each of its windows: the name, the most differences of a pair
+    that is judged by it, and the sketch."""
     bit = (mix64(hashes + np.uint64(0x51ED270B)) >> np.uint64(55)).astype(np.int64)
-    odd = (np.bincount(bit, minlength=SKETCH_BITS) & 1).astype(np.uint8)
-    return np.packbits(odd).view(np.int64)
+    names, most, cells, at = [np.zeros(1, np.int64)], [np.array([ANY])], [bit], 1
+    for i in band_numbers(len(hashes), pct, table, lows) if len(hashes) else ():
+        edges = window_edges(table[i][2])
+        if len(edges) > 2:
+            cuts = _slice_cuts(hashes, table[i][2])[edges]
+            cells.append(bit + SKETCH_BITS * (at + np.repeat(np.arange(len(cuts) - 1), np.diff(cuts))))
+            names.append(window_names(i, len(edges) - 1))
+            most.append(np.diff(edges) - 1)
+            at += len(edges) - 1
+    odd = (np.bincount(np.concatenate(cells), minlength=at * SKETCH_BITS) & 1).astype(np.uint8)
+    return np.concatenate(names), np.concatenate(most), np.packbits(odd).view(np.int64)
 
 
 def slice_keys(hashes: np.ndarray, pct: int, table, lows) -> np.ndarray:
@@ -137,13 +182,14 @@ def slice_keys(hashes: np.ndarray, pct: int, table, lows) -> np.ndarray:
     out = []
     for i in band_numbers(len(hashes), pct, table, lows):
         _, _, k, empty = table[i]
-        step = np.uint64(((1 << 64) - 1) // k)
-        cuts = np.searchsorted(hashes, np.arange(1, k, dtype=np.uint64) * step)
-        cuts = np.concatenate(([0], cuts, [len(hashes)]))
+        cuts = _slice_cuts(hashes, k)
         filled = cuts[1:] > cuts[:-1]
         keys = mix64((sums[cuts[1:]] - sums[cuts[:-1]]) + mix64(np.arange(k, dtype=np.uint64) + np.uint64(i << 33)))
+        edges = window_edges(k)
+        name = np.repeat(window_names(i, len(edges) - 1), np.diff(edges)).astype(np.uint64)
+        keys = keys & ~NAMED | name << SUBSET
         out.append(keys if k - np.count_nonzero(filled) >= empty else keys[filled])
-    return np.concatenate(out) & ~SUBSET if out else hashes[:0]
+    return np.concatenate(out) if out else hashes[:0]
 
 
 def _profiles(n: int, pct: int):
@@ -151,7 +197,7 @@ def _profiles(n: int, pct: int):
         table, known = bands(pct), {}
         lows = [x[0] for x in table]
         for b in in_slices(batches, ROWS):
-            sizes, d1, d2, sketches, smalls, keys = [], [], [], [], [], []
+            sizes, d1, d2, drawn, smalls, keys = [], [], [], [], [], []
             if len(known) > KNOWN_WORDS:
                 known.clear()
             for text in b.column(1).to_pylist():
@@ -166,17 +212,25 @@ def _profiles(n: int, pct: int):
                 m = mix64(s)
                 d1.append(int(m.sum(dtype=np.uint64).view(np.int64)))
                 d2.append(int(mix64(m + np.uint64(1)).sum(dtype=np.uint64).view(np.int64)))
-                sketches.append(_sketch(s))
+                drawn.append(sketches(s, pct, table, lows))
                 smalls.append(s.view(np.int64) if 0 < len(s) <= LIGHT_MAX else None)
                 keys.append(slice_keys(s, pct, table, lows).view(np.int64) if len(s) else s.view(np.int64))
             longs = pa.list_(pa.int64())
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), b.column(2), pa.array(sizes, pa.int64()), pa.array(d1, pa.int64()), pa.array(d2, pa.int64()),
-                 pa.array(sketches, longs), pa.array(smalls, longs), pa.array(keys, longs)],
-                names=["doc", "tag", "n", "d1", "d2", "sketch", "small", "keys"])
+                 _sketch_rows(drawn), pa.array(smalls, longs), pa.array(keys, longs)],
+                names=["doc", "tag", "n", "d1", "d2", "sketches", "small", "keys"])
     return run
 
 
+def _sketch_rows(drawn) -> pa.Array:
+    flat = lambda i, kind: pa.array(np.concatenate([x[i] for x in drawn]) if drawn else [], kind)
+    words, counts = SKETCH_BITS // 64, [len(x[0]) for x in drawn]
+    bits = pa.ListArray.from_arrays(pa.array(np.arange(sum(counts) + 1) * words, pa.int32()), flat(2, pa.int64()))
+    rows = pa.StructArray.from_arrays([flat(0, pa.int32()), flat(1, pa.int32()), bits], names=["window", "most", "sketch"])
+    return pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(counts))), pa.int32()), rows)
+
+
 def text_tag(text: str) -> Column:
     """Tells apart the texts of rows that repeat an id."""
     return F.xxhash64(F.col(text).cast("string"))
@@ -185,12 +239,23 @@ def text_tag(text: str) -> Column:
 def profiles(docs: DataFrame, n: int, pct: int, text: str, key: str) -> DataFrame:
     rows = docs.select(F.col(key).alias("doc"), F.col(text).cast("string").alias("text"), text_tag(text).alias("tag"))
     kind = rows.schema["doc"].dataType.simpleString()
-    return rows.mapInArrow(_profiles(n, pct), f"doc {kind}, tag long, n long, d1 long, d2 long, sketch array<long>, "
-                                              "small array<long>, keys array<long>")
+    return rows.mapInArrow(_profiles(n, pct), f"doc {kind}, tag long, n long, d1 long, d2 long, "
+                                              "sketches array<struct<window int, most int, sketch array<long>>>, small array<long>, keys array<long>")
 
 
 def _share(sig: Column) -> Column:
-    return F.pmod(F.shiftright(sig, 1), F.lit(SHARES))
+    return F.pmod(F.shiftright(sig, LOW_BITS), F.lit(SHARES))
+
+
+def _window(sig: str) -> Column:
+    """The window that a list's pairs are judged by."""
+    of_slice = F.shiftright(F.col(sig), 1).bitwiseAND(F.lit((1 << WINDOW_BITS) - 1))
+    return F.when(F.col(sig).bitwiseAND(F.lit(1)) == 1, F.lit(0)).otherwise(of_slice).cast("int")
+
+
+def _of_two(x: Column, y: Column) -> Column:
+    """The key of two lists, judged by the window of the first."""
+    return F.xxhash64(x, y).bitwiseAND(F.lit(-1 << LOW_BITS)).bitwiseOR(x.bitwiseAND(F.lit((1 << LOW_BITS) - 1)))
 
 
 def _of_share(cid: str, share: int) -> Column:
@@ -269,15 +334,17 @@ def _shared(batches):
 # ---- candidates and verification ----
 
 def _near(pct: int) -> Column:
-    """No pair that links fails this: sizes, and Hamming distance of the sketches."""
-    ham = F.aggregate(F.zip_with("sa", "sb", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda a, x: a + x)
-    return ((100 * F.least("na", "nb") >= pct * F.greatest("na", "nb"))
+    """No pair that links fails this in all windows: sizes, and Hamming distance of the sketches.
+    Written out word by word, so that it is compiled."""
+    ham = reduce(add, (F.bit_count(F.col("sa")[i].bitwiseXOR(F.col("sb")[i])) for i in range(SKETCH_BITS // 64)))
+    return ((100 * F.least("na", "nb") >= pct * F.greatest("na", "nb")) & (ham <= F.col("ma"))
             & (ham * (100 + pct) <= (100 - pct) * (F.col("na") + F.col("nb"))))
 
 
 def _side(full: DataFrame, x: str, *more: str) -> DataFrame:
     """Members of lists as one side of a pair."""
-    return full.select("sig", *more, F.col("cid").alias(x), F.col("size").alias("n" + x), F.col("sketch").alias("s" + x))
+    return full.select("sig", *more, F.col("cid").alias(x), F.col("size").alias("n" + x), F.col("most").alias("m" + x),
+                       F.col("sketch").alias("s" + x))
 
 
 def _verify(n: int, pct: int):
@@ -303,11 +370,11 @@ def _verify(n: int, pct: int):
 
 class Join:
     """The landed tables of one join: ``docs`` (doc, n, d1, d2), ``classes`` (cid, n, d1,
-    d2, doc), ``sketches`` (cid, n, sketch), ``entries`` (sig, d1, pivots) of lists of two
+    d2, doc), ``sketches`` (cid, d1, n, window, most, sketch), ``entries`` (sig, d1, pivots) of lists of two
     members or more, and ``lists`` (sig, cid), the same by class."""
 
     def __init__(self, docs: DataFrame, n: int, pct: int, text: str = "text", key: str = "doc_id"):
-        self.n, self.pct, self._texts = n, pct, None
+        self.n, self.pct = n, pct
         self.texts = docs.select(F.col(key).alias("doc"), F.col(text).cast("string").alias("text"))
         spark, keyed_path = docs.sparkSession, shared_path(docs.sparkSession, "jaccard-keys")
         keyed = profiles(docs, n, pct, text, key)
@@ -323,9 +390,9 @@ class Join:
                             "jaccard-classes")
         c = self.classes.select("cid", *ids, F.col("doc").alias("first"), F.col("tag").alias("first_tag"))
         same = F.col("doc").eqNullSafe(F.col("first")) & (F.col("tag") == F.col("first_tag"))
-        members = land(self.rows.join(c, ids).where(same).select("cid", "d1", "n", "sketch", "small"), "jaccard-members")
+        members = land(self.rows.join(c, ids).where(same).select("cid", "d1", "n", "sketches", "small"), "jaccard-members")
         release(docs.sparkSession)
-        self.sketches = members.select("cid", "n", "sketch")
+        self.sketches = members.select("cid", "d1", "n", F.explode("sketches").alias("s")).select("cid", "d1", "n", "s.*")
         small = members.where(f"n <= {LIGHT_MAX}")
         counts = {r["n"]: r["count"] for r in small.groupBy("n").count().collect()}      # at most LIGHT_MAX rows
         self.boundary = x = boundary(counts, pct)
@@ -349,11 +416,8 @@ class Join:
 
     def _checked(self, pairs: DataFrame) -> DataFrame:
         """Pairs (a, b) whose texts link."""
-        s = self.sketches
-        near = land(pairs.join(s.select(F.col("cid").alias("a"), F.col("n").alias("na"), F.col("sketch").alias("sa")), "a")
-                    .join(s.select(F.col("cid").alias("b"), F.col("n").alias("nb"), F.col("sketch").alias("sb")), "b")
-                    .where(_near(self.pct)).select("a", "b").distinct(), "jaccard-near")
-        t = self.member_texts()
+        near = land(pairs.select("a", "b").distinct(), "jaccard-near")
+        t = self.texts_of(near)
         done = None
         # a share of the first texts meets a share of the second ones at a time, and only those
         # two are dealt out, which bounds the disk
@@ -368,21 +432,33 @@ class Join:
             release(near.sparkSession)
         return done
 
-    def member_texts(self) -> DataFrame:
-        """(cid, text) of the classes that stand in some list, fetched once."""
-        if self._texts is None:
-            wanted = self.lists.select("cid").distinct()
-            c = self.classes.join(wanted, "cid", "left_semi").select("cid", F.col("doc").alias("first"), "tag")
-            found = self.texts.join(c, F.col("doc").eqNullSafe(F.col("first")) & (text_tag("text") == F.col("tag")))
-            self._texts = land(found.select("cid", "text").dropDuplicates(["cid"]), "jaccard-texts")
-            release(self._texts.sparkSession)
-        return self._texts
+    def texts_of(self, pairs: DataFrame) -> DataFrame:
+        """(cid, text) of the classes in these pairs."""
+        wanted = pairs.select(F.explode(F.array("a", "b")).alias("cid")).distinct()
+        c = self.classes.join(wanted, "cid", "left_semi").select("cid", F.col("doc").alias("first"), "tag")
+        found = self.texts.join(c, F.col("doc").eqNullSafe(F.col("first")) & (text_tag("text") == F.col("tag")))
+        texts = land(found.select("cid", "text").dropDuplicates(["cid"]), "jaccard-texts")
+        release(texts.sparkSession)
+        return texts
+
+    def _sketched(self, lists: DataFrame) -> DataFrame:
+        """Members of lists with the size of their set, and limit and sketch of the list's window."""
+        s = self.sketches.drop("d1").withColumnsRenamed({"cid": "id", "n": "size", "window": "of"})
+        return lists.join(s, (F.col("cid") == F.col("id")) & (_window("sig") == F.col("of"))).drop("id", "of")
+
+    def _with_pivots(self) -> DataFrame:
+        """Pairs of a list's member and pivot that may link."""
+        pairs = (self.entries.select("d1", F.explode("pivots").alias("p"), _window("sig").alias("window")).where("p <> d1")
+                 .select(F.least("p", "d1").alias("da"), F.greatest("p", "d1").alias("db"), "window").distinct())
+        for x in "ab":
+            pairs = pairs.join(self.sketches.select(F.col("d1").alias("d" + x), "window", F.col("cid").alias(x), F.col("n").alias("n" + x),
+                                                    F.col("most").alias("m" + x), F.col("sketch").alias("s" + x)), ["d" + x, "window"])
+        return pairs.where(_near(self.pct)).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
     def _across(self, labels: DataFrame | None) -> DataFrame:
         """Pairs of one list that may link; with labels only those of different components."""
-        s = self.sketches.withColumnsRenamed({"cid": "id", "n": "size"})
         if labels is None:
-            full = land(self.lists.select("sig", "cid").join(s, F.col("cid") == F.col("id")).select("sig", "cid", "size", "sketch"), "jaccard-open")
+            full = land(self._sketched(self.lists.select("sig", "cid")), "jaccard-open")
             x, y = _side(full, "a"), _side(full, "b").withColumnRenamed("sig", "sig_b")
             hit = x.join(y, (F.col("sig") == F.col("sig_b")) & (F.col("a") < F.col("b")) & _near(self.pct))
             return hit.select("a", "b").distinct()
@@ -396,7 +472,7 @@ class Join:
         long = (F.col("outside") > LONG) & (F.col("sig").bitwiseAND(F.lit(1)) == 0)
         own = opened.where(long).groupBy("cid", "comp").agg(sorted_lists.alias("sigs"))
         pairs = F.flatten(F.transform("sigs", lambda x, i: F.transform(
-            F.slice(F.col("sigs"), i + 2, F.greatest(F.size("sigs") - i - 1, F.lit(0))), lambda y: F.xxhash64(x, y))))
+            F.slice(F.col("sigs"), i + 2, F.greatest(F.size("sigs") - i - 1, F.lit(0))), lambda y: _of_two(x, y))))
         double = own.select(F.explode(pairs).alias("sig"), "cid", "comp")
         return self._of_two_components(opened.where(~long).select("sig", "cid", "comp").unionByName(double))
 
@@ -413,11 +489,10 @@ class Join:
     def _sides(self, lists: DataFrame) -> DataFrame:
         """Members of the lists with two components or more; ``main`` marks those of the
         component that has most members there."""
-        s = self.sketches.withColumnsRenamed({"cid": "id", "n": "size"})
         sides = lists.groupBy("sig", "comp").agg(F.count(F.lit(1)).alias("m"))
         main = sides.groupBy("sig").agg(F.max_by("comp", F.struct("m", "comp")).alias("main"), F.count(F.lit(1)).alias("k"))
-        return land(lists.join(main.where("k > 1"), "sig").join(s, F.col("cid") == F.col("id"))
-                    .select("sig", "cid", "comp", "size", "sketch", (F.col("comp") == F.col("main")).alias("main")), "jaccard-sides")
+        return land(self._sketched(lists.join(main.where("k > 1"), "sig"))
+                    .select("sig", "cid", "comp", "size", "most", "sketch", (F.col("comp") == F.col("main")).alias("main")), "jaccard-sides")
 
     def links(self) -> DataFrame:
         """Every link between different classes: (a, b)."""
@@ -425,12 +500,7 @@ class Join:
 
     def component_labels(self) -> DataFrame:
         """(cid, label): label is the smallest document id of the class's component."""
-        pairs = (self.entries.select("d1", F.explode("pivots").alias("p")).where("p <> d1")
-                 .select(F.least("p", "d1").alias("da"), F.greatest("p", "d1").alias("db")).distinct())
-        ids = self.classes.select("d1", "cid")
-        pivots = (pairs.join(ids.withColumnsRenamed({"d1": "da", "cid": "a"}), "da")
-                  .join(ids.withColumnsRenamed({"d1": "db", "cid": "b"}), "db").select("a", "b"))
-        links = self._checked(pivots)
+        links = self._checked(self._with_pivots())
         labels = components(links)
         more = self._checked(self._across(labels))
         if not more.isEmpty():
